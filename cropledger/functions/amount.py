@@ -30,8 +30,8 @@ def parse_amount(c) -> Column:
 
 
 def to_amount(c) -> Column:
-    """Round to the stored decimal(18,2), half up."""
-    return _c(c).cast(AMOUNT_TYPE)
+    """Round to the stored decimal(18,2), half up; null on overflow."""
+    return _c(c).try_cast(AMOUNT_TYPE)
 
 
 def avg_half_even(c) -> Column:

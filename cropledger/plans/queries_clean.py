@@ -1 +1,318 @@
-"""Registered cleaning queries."""
+"""Registered cleaning queries (T1-T22, J1-J4, J7, V2, V3, W1) over the
+``raw_payments`` view and the driver's tables; oracles mirror each Spark
+expression in DuckDB SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cropledger.dims import COUNTRIES, CURRENCIES
+from cropledger.functions import (
+    collapse_spaces,
+    entity_id,
+    fingerprint,
+    parse_amount,
+    scheme_id,
+    to_amount,
+    trim_cell,
+    usable,
+)
+from cropledger.operators.clean import clean, clean_address, dedup_first
+from cropledger.operators.lookups import country_code, guess_scheme, national_currency, rate_to_eur
+from cropledger.plans import oracle as O
+from cropledger.plans import oracle_clean as OC
+from cropledger.plans.registry import present, register
+from cropledger.plans.testdata import country_of, payments, raw_payments, read_table
+from cropledger.schema import PAYMENT_COLUMNS
+
+
+def _raw(spark, sf_dir):
+    return raw_payments(spark, sf_dir)
+
+
+def _with_raw(body: str) -> str:
+    return f"WITH {OC.raw_payments_cte()}\n{body}"
+
+
+# ---------------------------------------------------------------------------
+# Scalar functions
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "trim_cell",
+    _with_raw(
+        f"SELECT _row, recipient_name, nullif({OC.trim_cell_sql('recipient_name')}, '') AS trimmed, "
+        f"{OC.collapse_sql(OC.trim_cell_sql('recipient_name'))} AS collapsed FROM raw"
+    ),
+)
+def trim_cell_q(spark, sf_dir):
+    """T1 + T4 on raw names (quotes, commas, runs of spaces)."""
+    r = _raw(spark, sf_dir)
+    return r.select(
+        "_row",
+        "recipient_name",
+        F.nullif(trim_cell("recipient_name"), F.lit("")).alias("trimmed"),
+        collapse_spaces(trim_cell("recipient_name")).alias("collapsed"),
+    )
+
+
+@register(
+    "usable_value",
+    _with_raw(
+        f"SELECT _row, recipient_name, {OC.usable_sql(OC.trim_cell_sql('recipient_name'))} AS usable_name, "
+        f"{OC.usable_sql('recipient_id')} AS usable_id FROM raw"
+    ),
+)
+def usable_value(spark, sf_dir):
+    """Placeholder names, blanks and ids."""
+    r = _raw(spark, sf_dir)
+    return r.select(
+        "_row",
+        "recipient_name",
+        usable(trim_cell("recipient_name")).alias("usable_name"),
+        usable("recipient_id").alias("usable_id"),
+    )
+
+
+@register(
+    "parse_amount",
+    _with_raw(
+        f"SELECT _row, amount, {O.num(OC.parse_amount_sql('amount'))} AS parsed, "
+        f"{O.num(OC.to_amount_sql(OC.parse_amount_sql('amount')))} AS rounded FROM raw"
+    ),
+)
+def parse_amount_q(spark, sf_dir):
+    """Decimal commas, malformed and empty amounts."""
+    r = _raw(spark, sf_dir)
+    return present(
+        r.select(
+            "_row",
+            "amount",
+            parse_amount("amount").alias("parsed"),
+            to_amount(parse_amount("amount")).alias("rounded"),
+        )
+    )
+
+
+@register(
+    "fingerprint",
+    "SELECT doc_id, lang, n_chars, " + O.fingerprint_sql("text") + " AS fingerprint FROM documents",
+)
+def fingerprint_q(spark, sf_dir):
+    """T5 over whole documents (up to 20,000 words each)."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", "lang", "n_chars", fingerprint("text").alias("fingerprint"))
+
+
+@register(
+    "hash_ids",
+    "SELECT c_custkey, "
+    + O.entity_id_sql(O.country_sql("c_nationkey"), O.fingerprint_sql("c_name"), "lower(c_mktsegment)")
+    + " AS recipient_id, "
+    + O.entity_id_sql("c_custkey", "NULL", "c_name")
+    + " AS with_null_part FROM customer",
+)
+def hash_ids(spark, sf_dir):
+    """Stable 40-hex ids over text parts, nulls skipped."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(
+        "c_custkey",
+        entity_id(country_of(F.col("c_nationkey")), fingerprint("c_name"), F.lower("c_mktsegment")).alias("recipient_id"),
+        entity_id("c_custkey", F.lit(None).cast("string"), "c_name").alias("with_null_part"),
+    )
+
+
+@register(
+    "scheme_ids",
+    "SELECT p_partkey, "
+    + O.scheme_id_sql("p_type || ' / ' || p_brand")
+    + " AS scheme_id FROM part",
+)
+def scheme_ids(spark, sf_dir):
+    """Scheme id from the normalised scheme text."""
+    p = read_table(spark, sf_dir, "part")
+    return p.select("p_partkey", scheme_id(F.concat(F.col("p_type"), F.lit(" / "), F.col("p_brand"))).alias("scheme_id"))
+
+
+# ---------------------------------------------------------------------------
+# J1, J3, J4, J7, T7, T13
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "country_lookup",
+    _with_raw(
+        f"SELECT _row, country, recipient_country, {OC.country_code_sql('country')} AS country_code, "
+        f"{OC.country_code_sql('recipient_country')} AS recipient_country_code FROM raw"
+    ),
+)
+def country_lookup(spark, sf_dir):
+    """Country text (any case, code or name) to ISO code."""
+    r = _raw(spark, sf_dir)
+    return r.select(
+        "_row",
+        "country",
+        "recipient_country",
+        country_code(F.col("country")).alias("country_code"),
+        country_code(F.col("recipient_country")).alias("recipient_country_code"),
+    )
+
+
+_S_TEXT = "nullif(" + OC.collapse_sql(OC.trim_cell_sql("scheme")) + ", '')"
+
+
+@register(
+    "scheme_match",
+    _with_raw(
+        f"SELECT _row, scheme, CASE WHEN {OC.has_fp_sql(_S_TEXT)} THEN {OC.guess_scheme_sql(_S_TEXT)} END AS matched FROM raw"
+    ),
+)
+def scheme_match(spark, sf_dir):
+    """J3 (id followed by whitespace, longest id first) then J4 (name
+    contains the text), else the text itself."""
+    from cropledger.functions import has_fingerprint
+
+    r = _raw(spark, sf_dir)
+    s = F.nullif(collapse_spaces(trim_cell("scheme")), F.lit(""))
+    return r.select("_row", "scheme", F.when(has_fingerprint(s), guess_scheme(s)).alias("matched"))
+
+
+@register(
+    "address",
+    _with_raw(
+        "SELECT _row, "
+        + OC.clean_address_sql(
+            "CAST(NULL AS VARCHAR)",
+            ["recipient_street", "recipient_location", "recipient_postcode", "upper(nullif(recipient_country, ''))"],
+            "upper(nullif(recipient_country, ''))",
+        )
+        + " AS address FROM raw"
+    ),
+)
+def address(spark, sf_dir):
+    """Parts joined, ``, CC`` suffix stripped, ``1097.0`` fixed,
+    xpath dumps reduced to their ``data`` text."""
+    r = _raw(spark, sf_dir)
+    cc = F.upper(F.nullif(F.col("recipient_country"), F.lit("")))
+    return r.select(
+        "_row",
+        clean_address(
+            F.lit(None).cast("string"),
+            [F.col("recipient_street"), F.col("recipient_location"), F.col("recipient_postcode"), cc],
+            cc,
+        ).alias("address"),
+    )
+
+
+_PARSED = OC.parse_amount_sql("amount")
+_NATL = OC.national_currency_sql("country")
+_RATE = OC.rate_sql(_NATL, "TRY_CAST(year AS INTEGER)")
+_EUR = OC.to_amount_sql(f"CASE WHEN currency = 'EUR' THEN {_PARSED} ELSE {_PARSED} * {_RATE} END")
+
+
+@register(
+    "clean_amount_eur",
+    _with_raw(
+        f"SELECT _row, country, year, currency, amount, "
+        f"{O.num(_EUR)} AS amount_eur, "
+        f"{O.num(OC.to_amount_sql(_PARSED))} AS amount_original FROM raw"
+    ),
+)
+def clean_amount_eur(spark, sf_dir):
+    """T13 + J1: amount in EUR by the payment country's rate for the year."""
+    r = _raw(spark, sf_dir)
+    parsed = parse_amount("amount")
+    natl = national_currency(F.col("country"))
+    rate = rate_to_eur(natl, F.col("year").try_cast("int"))
+    eur = F.when(F.col("currency") == "EUR", parsed).otherwise(parsed * rate)
+    return present(
+        r.select(
+            "_row", "country", "year", "currency", "amount",
+            to_amount(eur).alias("amount_eur"),
+            to_amount(parsed).alias("amount_original"),
+        )
+    )
+
+
+# ---------------------------------------------------------------------------
+# T22 whole pipeline, V2 errors, V3 quarantine, W1 dedup
+# ---------------------------------------------------------------------------
+
+_PAY_SQL_COLS = ", ".join(
+    O.num(c) + f" AS {c}" if c in ("amount", "amount_original") else c for c in PAYMENT_COLUMNS
+)
+
+
+@register("clean_all", OC.clean_sql(f"SELECT {_PAY_SQL_COLS} FROM cleaned WHERE _valid"))
+def clean_all(spark, sf_dir):
+    """Every cleaning step over all raw rows, valid rows out."""
+    return present(clean(_raw(spark, sf_dir)).payments)
+
+
+@register(
+    "error_report",
+    OC.clean_sql(
+        "SELECT _file, e.code AS code, e.value AS value, count(*) AS rows "
+        "FROM (SELECT _file, unnest(errors) AS e FROM cleaned) GROUP BY ALL"
+    ),
+)
+def error_report(spark, sf_dir):
+    """V2: distinct error messages per file with row counts."""
+    return clean(_raw(spark, sf_dir)).errors
+
+
+@register(
+    "quarantine_count",
+    OC.clean_sql("SELECT count(*) AS rows FROM cleaned WHERE NOT _valid"),
+)
+def quarantine_count(spark, sf_dir):
+    """V3: rows failing a domain or not-null rule."""
+    return clean(_raw(spark, sf_dir)).quarantine.agg(F.count(F.lit(1)).alias("rows"))
+
+
+_ORDER = ["country", "year", "recipient_id", "amount"]
+_OTHERS = [c for c in PAYMENT_COLUMNS if c not in _ORDER and c != "pk"]
+
+
+@register(
+    "dedup_pk",
+    O.with_payments(
+        "SELECT pk, "
+        + ", ".join(O.num(c) + f" AS {c}" if c in ("amount", "amount_original") else c for c in _ORDER + _OTHERS)
+        + " FROM (SELECT *, row_number() OVER (PARTITION BY pk ORDER BY "
+        + ", ".join(f"{c} NULLS FIRST" for c in _ORDER + _OTHERS)
+        + ") AS rn FROM payments) WHERE rn = 1"
+    ),
+)
+def dedup_pk(spark, sf_dir):
+    """One row per ``pk`` (45,832 of 60,000 at sf0.01), first by the
+    given order then by all columns."""
+    return present(dedup_first(payments(spark, sf_dir), "pk", _ORDER))
+
+
+_SERVED = ", ".join(O.q(c) for c, _n, _x in COUNTRIES)
+
+
+@register(
+    "domain_violations",
+    OC.clean_sql(
+        "SELECT rule, count(*) AS rows FROM ("
+        f"SELECT CASE WHEN country IS NULL OR country NOT IN ({_SERVED}) THEN 'country' "
+        "WHEN year IS NULL OR year NOT BETWEEN 2000 AND 2029 THEN 'year' "
+        "WHEN amount IS NULL THEN 'amount' "
+        f"WHEN currency_original IS NULL OR currency_original NOT IN ({', '.join(O.q(c) for c in CURRENCIES)}) THEN 'currency' "
+        "ELSE 'ok' END AS rule FROM cleaned) GROUP BY rule"
+    ),
+)
+def domain_violations(spark, sf_dir):
+    """V3: first failed domain rule per cleaned row, counted."""
+    c = clean(_raw(spark, sf_dir)).cleaned
+    rule = (
+        F.when(F.col("country").isNull() | ~F.col("country").isin(*[x for x, _n, _y in COUNTRIES]), "country")
+        .when(F.col("year").isNull() | ~F.col("year").between(2000, 2029), "year")
+        .when(F.col("amount").isNull(), "amount")
+        .when(F.col("currency_original").isNull() | ~F.col("currency_original").isin(*CURRENCIES), "currency")
+        .otherwise("ok")
+    )
+    return c.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("rows"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.dims import COUNTRY_CURRENCY, NATION_COUNTRY
+from cropledger.dims import COUNTRY_CURRENCY, CURRENCY_RATES, NATION_COUNTRY
 from cropledger.functions import entity_id, fingerprint, scheme_id
 from cropledger.schema import AMOUNT_TYPE, PAYMENT_COLUMNS
 from cropledger.session import sized_broadcast
@@ -103,74 +103,73 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # FIXED VALUES (ours): how raw text is varied, chosen by key arithmetic so
 # every variant occurs at every scale.
 PLACEHOLDER_NAMES = ("--", "**", "private individual")
+# scheme ids written into raw scheme text (II.1 and II.10 test longest match)
+RAW_SCHEME_IDS = ("II.1", "II.10", "III.3")
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text source rows, one per line item, with the defects of F1:
     decimal commas, quoted and padded cells, placeholder names with and
-    without a source id, malformed amounts, national currencies (no HUF rate
-    for some years), country names instead of codes, blank recipient
-    countries, ``1097.0`` postcodes and ``xpath`` addresses."""
+    without a source id, malformed and empty amounts, national currencies (no
+    HUF rate for some years), lower-case country codes, blank recipient
+    countries, ``1097.0`` postcodes, ``xpath`` addresses, scheme ids and
+    partial scheme names. ``_row`` is the source line key."""
     s = _star(spark, sf_dir)
     ok = F.col("l_orderkey")
     ck = F.col("c_custkey")
+    size = F.col("p_size")
     country = country_of(F.col("c_nationkey"))
-    currency = F.element_at(
+    natl = F.element_at(
         F.create_map(*[F.lit(x) for kv in COUNTRY_CURRENCY.items() for x in kv]), country
     )
-    is_euro = ~country.isin(*[c for c in NATION_COUNTRY if _has_rates(c)])
-    price = F.format_string("%.2f", F.col("l_extendedprice"))
+    converted = country.isin(*RATE_COUNTRIES)
+    price = F.col("l_extendedprice").cast(AMOUNT_TYPE).cast("string")
+    comma = F.replace(price, F.lit("."), F.lit(","))
     amount = (
-        F.when((ok % 97) == 0, F.concat(F.lit("1."), F.replace(price, F.lit("."), F.lit(","))))
-        .when((ok % 89) == 0, F.lit(""))
-        .when((ok % 2) == 1, F.replace(price, F.lit("."), F.lit(",")))
+        F.when(ok % 97 == 0, F.concat(F.lit("1."), comma))
+        .when(ok % 89 == 0, F.lit(""))
+        .when(ok % 2 == 1, comma)
         .otherwise(price)
     )
     name = (
-        F.when((ck % 53) == 0, F.lit(PLACEHOLDER_NAMES[0]))
-        .when((ck % 59) == 0, F.lit(PLACEHOLDER_NAMES[1]))
-        .when((ck % 61) == 0, F.lit(PLACEHOLDER_NAMES[2]))
-        .when((ck % 7) == 0, F.concat(F.lit('" '), F.col("c_name"), F.lit('  ",')))
-        .when((ck % 5) == 0, F.regexp_replace("c_name", "#", "  #  "))
+        F.when(ck % 53 == 0, F.lit(PLACEHOLDER_NAMES[0]))
+        .when(ck % 59 == 0, F.lit(PLACEHOLDER_NAMES[1]))
+        .when(ck % 61 == 0, F.lit(PLACEHOLDER_NAMES[2]))
+        .when(ck % 7 == 0, F.concat(F.lit('" '), F.col("c_name"), F.lit('  ",')))
+        .when(ck % 5 == 0, F.replace(F.col("c_name"), F.lit("#"), F.lit("  #  ")))
         .otherwise(F.col("c_name"))
     )
-    source_id = F.when((ck % 2) == 0, ck.cast("string"))
-    recipient_country = (
-        F.when((ck % 11) == 0, F.lit(""))
-        .when((ck % 3) == 0, F.lower(country))
-        .otherwise(country)
+    postcode = (F.lit(1000) + ck % 900).cast("string")
+    street_no = (ck % 100).cast("string")
+    scheme_ids = F.array(*[F.lit(i) for i in RAW_SCHEME_IDS])
+    scheme = (
+        F.when(size < MIN_SCHEME_SIZE, F.lit(""))
+        .when(size % 5 == 0, F.concat(F.element_at(scheme_ids, (size % 3 + 1).cast("int")), F.lit(" "), F.col("p_type")))
+        .when(size % 5 == 1, F.lower(F.col("p_type")))
+        .otherwise(F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand")))
     )
-    postcode = F.when((ck % 13) == 0, F.format_string("%d.0", 1000 + ck % 900)).otherwise(
-        F.format_string("%d", 1000 + ck % 900)
-    )
-    street = F.when(
-        (ck % 17) == 0, F.format_string("xpath /a data='Street %d'", ck % 100)
-    ).otherwise(F.format_string("Street %d", ck % 100))
-    p_scheme = (
-        F.when(F.col("p_size") < MIN_SCHEME_SIZE, F.lit(""))
-        .when((F.col("p_size") % 5) == 0, F.format_string("II.%d %s", F.col("p_size") % 3 * 9 + 1, F.col("p_type")))
-        .when((F.col("p_size") % 5) == 1, F.lower(F.col("p_type")))
-        .otherwise(F.concat_ws(" ", "p_type", "p_brand"))
-    )
-    df = s.select(
-        country.alias("country"),
+    return s.select(
+        F.when(ck % 19 == 0, F.lower(country)).otherwise(country).alias("country"),
         (F.year("l_shipdate") + YEAR_SHIFT).cast("string").alias("year"),
         name.alias("recipient_name"),
-        source_id.alias("recipient_id"),
-        street.alias("recipient_street"),
+        F.when(ck % 2 == 0, ck.cast("string")).alias("recipient_id"),
+        F.when(ck % 17 == 0, F.concat(F.lit("xpath /a data='Street "), street_no, F.lit("'")))
+        .otherwise(F.concat(F.lit("Street "), street_no))
+        .alias("recipient_street"),
         F.col("c_mktsegment").alias("recipient_location"),
-        postcode.alias("recipient_postcode"),
-        recipient_country.alias("recipient_country"),
-        p_scheme.alias("scheme"),
+        F.when(ck % 13 == 0, F.concat(postcode, F.lit(".0"))).otherwise(postcode).alias("recipient_postcode"),
+        F.when(ck % 11 == 0, F.lit("")).when(ck % 3 == 0, F.lower(country)).otherwise(country).alias("recipient_country"),
+        scheme.alias("scheme"),
         amount.alias("amount"),
-        F.when(is_euro, F.lit("EUR")).otherwise(currency).alias("currency"),
-        F.concat_ws("|", ok.cast("string"), F.col("l_linenumber").cast("string")).alias("source_row"),
+        F.when(converted, natl).otherwise(F.lit("EUR")).alias("currency"),
+        F.concat_ws("|", ok.cast("string"), F.col("l_linenumber").cast("string")).alias("_row"),
     )
-    return df
 
 
 def _has_rates(country: str) -> bool:
-    from cropledger.dims import CURRENCY_RATES
-
     cur = COUNTRY_CURRENCY.get(country)
     return any(k.startswith(f"{cur}|") for k in CURRENCY_RATES)
+
+
+# served countries whose payments are reported in their national currency
+RATE_COUNTRIES = tuple(c for c in NATION_COUNTRY if _has_rates(c))
