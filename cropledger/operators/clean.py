@@ -104,6 +104,11 @@ class CleanResult:
         )
 
 
+def _opt(value) -> Column:
+    """An option value: a literal, or a per-row Column (file-name context)."""
+    return value.cast("string") if isinstance(value, Column) else F.lit(str(value))
+
+
 def _err(cond: Column, code: str, value: Column) -> Column:
     return F.when(cond, F.struct(F.lit(code).alias("code"), value.cast("string").alias("value")))
 
@@ -121,9 +126,9 @@ def check_source(columns: list[str], year=None, country=None) -> list[tuple[str,
 
 def clean(
     raw: DataFrame,
-    year: int | str | None = None,
-    country: str | None = None,
-    currency: str | None = None,
+    year: int | str | Column | None = None,
+    country: str | Column | None = None,
+    currency: str | Column | None = None,
     geocode: DataFrame | None = None,
     legacy_address_strip: bool = False,
 ) -> CleanResult:
@@ -162,11 +167,11 @@ def clean(
     # S5 fill from options; S7 currency override only fills a missing column
     fills = {}
     if year is not None:
-        fills["year"] = F.coalesce(F.col("year"), F.lit(str(year)))
+        fills["year"] = F.coalesce(F.col("year"), _opt(year))
     if country is not None:
-        fills["country"] = F.coalesce(F.col("country"), F.lit(str(country)))
+        fills["country"] = F.coalesce(F.col("country"), _opt(country))
     if not has_currency_col and currency is not None:
-        fills["currency"] = F.lit(currency)
+        fills["currency"] = _opt(currency)
     if fills:
         df = df.withColumns(fills)
 

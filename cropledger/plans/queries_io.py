@@ -1 +1,182 @@
-"""Registered source and sink queries."""
+"""Registered source and sink queries (S1-S17). Files go to a fresh folder
+under the session's shared checkpoint folder for every run."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from cropledger.operators import summaries as S
+from cropledger.plans import oracle as O
+from cropledger.plans import oracle_clean as OC
+from cropledger.plans.registry import present, register
+from cropledger.plans.testdata import payments, raw_payments
+from cropledger.schema import PAYMENT_COLUMNS
+from cropledger.session import ensure_checkpoint_dir
+from cropledger.sources import export as X
+from cropledger.sources import store
+from cropledger.sources.csv_source import read_sources
+from cropledger.streaming.ingest import ingest_new_files
+
+
+def scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_RAW_COLS = [c for c in OC.RAW_PRESENT] + ["_row"]
+
+
+@register(
+    "csv_roundtrip",
+    f"WITH {OC.raw_payments_cte()}\nSELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _RAW_COLS) + " FROM raw",
+)
+def csv_roundtrip(spark, sf_dir):
+    """S1 + S11: raw rows written as gzip CSV (quotes, commas, decimal
+    commas inside cells) and read back as text by the header-grouped reader."""
+    path = scratch(spark, "roundtrip")
+    X.write_csv(raw_payments(spark, sf_dir), path)
+    rows = read_sources(spark, path).rows
+    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in _RAW_COLS])
+
+
+_EXPORT_SQL = O.with_payments(
+    "SELECT country, "
+    + "coalesce(array_to_string(list_sort(list_transform(array_agg(DISTINCT year) FILTER (WHERE year IS NOT NULL), "
+    "lambda v: CAST(v AS VARCHAR))), ';'), '') AS years, "
+    "CAST(count(*) AS VARCHAR) AS total_payments, CAST(count(DISTINCT recipient_id) AS VARCHAR) AS total_recipients, "
+    "CAST(CAST(sum(amount) AS DECIMAL(28,2)) AS VARCHAR) AS amount_sum, "
+    f"CAST({O.avg_sql('amount')} AS VARCHAR) AS amount_avg, "
+    "CAST(max(amount) AS VARCHAR) AS amount_max, CAST(min(amount) AS VARCHAR) AS amount_min "
+    "FROM payments GROUP BY country"
+)
+
+
+@register("export_csv", _EXPORT_SQL)
+def export_csv(spark, sf_dir):
+    """Summary exported with list cells sorted and joined by ';', read
+    back as text."""
+    path = scratch(spark, "export")
+    X.write_export(S.CountryQuery(payments(spark, sf_dir)).to_df(), path)
+    return X.read_csv_text(spark, path)
+
+
+_STATEMENTS_SQL = " UNION ALL ".join(
+    [
+        f"SELECT recipient_id AS id, 'LegalEntity' AS schema, {O.q(p)} AS prop, CAST({c} AS VARCHAR) AS value FROM payments"
+        for p, c in X.LEGAL_ENTITY_PROPS.items()
+    ]
+    + [
+        f"SELECT pk AS id, 'Payment' AS schema, {O.q(p)} AS prop, CAST({c} AS VARCHAR) AS value FROM payments"
+        for p, c in X.PAYMENT_PROPS.items()
+    ]
+    + [f"SELECT pk AS id, 'Payment' AS schema, 'programme' AS prop, {O.q(X.PROGRAMME)} AS value FROM payments"]
+)
+
+
+@register(
+    "entity_graph",
+    O.with_payments(
+        "SELECT id, schema, prop, string_agg(DISTINCT value, ';' ORDER BY value) AS value_list FROM ("
+        + _STATEMENTS_SQL
+        + ") s WHERE value IS NOT NULL AND id IS NOT NULL GROUP BY id, schema, prop"
+    ),
+)
+def entity_graph(spark, sf_dir):
+    """LegalEntity and Payment nodes with merged multi-valued
+    properties, one row per (entity, property)."""
+    g = X.entity_graph(payments(spark, sf_dir))
+    e = g.select("id", "schema", F.explode("properties").alias("prop", "values"))
+    return e.select("id", "schema", "prop", F.array_join("values", ";").alias("value_list"))
+
+
+_SQL_GUARDED = (
+    "select country, year, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS total\n"
+    "from payments where amount > 50000 group by country, year;"
+)
+
+
+@register(
+    "sql_guarded",
+    O.with_payments(
+        "SELECT country, year, n, " + O.num("total") + " AS total FROM ("
+        + _SQL_GUARDED.replace(";", "")
+        + ") t"
+    ),
+)
+def sql_guarded(spark, sf_dir):
+    """Checked read-only SQL over the payments view (multi-line text
+    accepted, trailing semicolon removed)."""
+    return present(X.run_sql(spark, payments(spark, sf_dir), _SQL_GUARDED))
+
+
+_UPSERT_COLS = [c for c in PAYMENT_COLUMNS]
+_NEW_AMOUNT = "CAST(amount + 1 AS DECIMAL(18,2))"
+
+
+def _sel(amount_expr: str) -> str:
+    out = []
+    for c in _UPSERT_COLS:
+        if c == "amount":
+            out.append(f"{O.num(amount_expr)} AS amount")
+        elif c == "amount_original":
+            out.append(f"{O.num('amount_original')} AS amount_original")
+        else:
+            out.append(c)
+    return ", ".join(out)
+
+
+_KEY = ["country", "year", "recipient_id", "pk"]
+_REST = [c for c in _UPSERT_COLS if c not in _KEY]
+
+
+@register(
+    "upsert",
+    O.with_payments(
+        f"SELECT {_sel('amount')} FROM payments WHERE year < 2013 UNION ALL "
+        f"SELECT {_sel('amount')} FROM (SELECT * REPLACE ({_NEW_AMOUNT} AS amount), row_number() OVER ("
+        f"PARTITION BY {', '.join(_KEY)} ORDER BY "
+        + ", ".join(f"{c} NULLS FIRST" for c in ["country", "year", "recipient_id"] + _REST)
+        + ") AS rn FROM payments WHERE year >= 2013) WHERE rn = 1"
+    ),
+)
+def upsert_q(spark, sf_dir):
+    """S8 + S9 + S10: create the table, insert the years up to 2013, then
+    upsert changed amounts for 2013 onwards; new rows win per key, untouched
+    partitions keep their rows."""
+    p = payments(spark, sf_dir)
+    path = scratch(spark, "table")
+    store.init_table(spark, path)
+    store.insert(p.filter(F.col("year") <= 2013), path)
+    changed = p.filter(F.col("year") >= 2013).withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    store.upsert(spark, changed, path)
+    return present(store.read_table(spark, path))
+
+
+@register(
+    "incremental_ingest",
+    OC.clean_sql(
+        "SELECT country, year, count(*) AS payments, "
+        + O.num("CAST(sum(amount) AS DECIMAL(28,2))")
+        + " AS amount_sum FROM cleaned WHERE _valid GROUP BY country, year"
+    ),
+)
+def incremental_ingest(spark, sf_dir):
+    """Two deliveries of source files; each run cleans and upserts only
+    the files it has not seen, then the table is summarised."""
+    raw = raw_payments(spark, sf_dir)
+    src = scratch(spark, "incoming")
+    table = scratch(spark, "ingested")
+    ckpt = scratch(spark, "ingest-ckpt")
+    year = F.col("year").cast("int")
+    X.write_csv(raw.filter(year < 2013), f"{src}/batch1", mode="overwrite")
+    cols = [c for c in raw.columns]
+    ingest_new_files(spark, src, cols, table, checkpoint=ckpt)
+    X.write_csv(raw.filter(year >= 2013), f"{src}/batch2", mode="overwrite")
+    ingest_new_files(spark, src, cols, table, checkpoint=ckpt)
+    t = store.read_table(spark, table)
+    return present(
+        t.groupBy("country", "year").agg(
+            F.count(F.lit(1)).alias("payments"), F.sum("amount").cast("decimal(28,2)").alias("amount_sum")
+        )
+    )
