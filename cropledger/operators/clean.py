@@ -318,7 +318,7 @@ def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool =
 
 def _rtrim_set(s: Column, chars: Column) -> Column:
     """Strip any trailing characters found in ``chars`` (character set)."""
-    return F.call_function("rtrim", s, chars)
+    return F.rtrim(s, chars)
 
 
 def dedup_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:

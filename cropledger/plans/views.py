@@ -131,8 +131,9 @@ class View:
         self.authenticated = authenticated
         self.public_years = list(public_years)
         check_params(self.params, self.aggregated)
-        self.page = int(self.params.get("p") or 1)
+        self.page = int(self.params.get("p") if self.params.get("p") is not None else 1)
         limit = self.params.get("limit")
+        get_slice(self.page, int(limit) if limit is not None else None)  # validates p ≥ 1, limit ≥ 1
         if not trusted:  # caps (W6); trusted callers may page freely
             cap = EXPORT_LIMIT if authenticated and self.params.get("output") in ("csv", "export") else self.max_limit
             limit = min(cap, int(limit) if limit else cap)

@@ -123,9 +123,12 @@ def write_entity_graph(payments: DataFrame, path: str) -> None:
 
 
 def check_query(query: str, table: str = "payments") -> str:
-    """Only ``SELECT … FROM <table>…``; semicolons and wrapping quotes
-    removed; line breaks allowed."""
-    q = query.replace(";", "").strip("\"' \n\t")
+    """Only ``SELECT … FROM <table>…``; semicolons and one pair of
+    wrapping quotes removed (a closing quote of a trailing literal is kept);
+    line breaks allowed."""
+    q = query.replace(";", "").strip()
+    if len(q) >= 2 and q[0] == q[-1] and q[0] in "\"'":
+        q = q[1:-1].strip()
     if not re.match(rf"^select\s.*\sfrom\s{re.escape(table)}\b.*", q, re.IGNORECASE | re.DOTALL):
         raise InvalidQuery("Invalid query")
     return q
