@@ -13,16 +13,26 @@ from cropledger.dims import EMPTY_MARKERS, FOLD_FROM, FOLD_TO, LEGAL_FORMS, NULL
 
 ID_SEPARATOR = "\u001f"
 
+# characters stripped from both ends of a cell (T1), then whitespace
+CELL_STRIP = "\"' ,"
+WHITESPACE = " \t\n\r\f\u000b"
+
+# A character class of everything that folds to a letter or digit: ASCII
+# alphanumerics, the Latin letters of the fold table, and the few characters
+# whose lower case lands there (sharp s, capital sharp s, Kelvin, Angstrom).
+ALNUM_CLASS = "[0-9A-Za-z" + FOLD_FROM + "ßẞKÅ]"
+
+LEGAL_FORM_ANY = r"\b(" + "|".join(long for long, _short in LEGAL_FORMS) + r")\b"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def trim_cell(c) -> Column:
-    """Strip quotes, spaces and commas from both ends, then whitespace."""
-    c = _c(c)
-    stripped = F.regexp_replace(c, r"""^["' ,]+|["' ,]+$""", "")
-    return F.regexp_replace(stripped, r"^\s+|\s+$", "")
+    """Strip quotes, spaces and commas from both ends, then whitespace
+    (character-set trims, no regular expression)."""
+    return F.trim(F.trim(_c(c), F.lit(CELL_STRIP)), F.lit(WHITESPACE))
 
 
 def null_token(c) -> Column:
@@ -51,9 +61,11 @@ def _clean_tokens(c) -> Column:
     """Folded text with every non-alphanumeric run as one space and legal
     forms shortened."""
     t = F.regexp_replace(fold_ascii(c), "[^a-z0-9]+", " ")
+    shortened = t
     for long_form, short_form in LEGAL_FORMS:
-        t = F.regexp_replace(t, rf"\b{long_form}\b", short_form)
-    return t
+        shortened = F.regexp_replace(shortened, rf"\b{long_form}\b", short_form)
+    # one combined test first: most names carry no legal form
+    return F.when(t.rlike(LEGAL_FORM_ANY), shortened).otherwise(t)
 
 
 def fingerprint(c) -> Column:
@@ -65,9 +77,9 @@ def fingerprint(c) -> Column:
 
 
 def has_fingerprint(c) -> Column:
-    """True when ``fingerprint(c)`` would not be null: some letter or digit
-    survives folding. Cheaper than building the fingerprint."""
-    return F.coalesce(fold_ascii(c).rlike("[a-z0-9]"), F.lit(False))
+    """True when ``fingerprint(c)`` would not be null: some character folds
+    to a letter or digit. One character-class test, no folding."""
+    return F.coalesce(_c(c).rlike(ALNUM_CLASS), F.lit(False))
 
 
 def usable(c) -> Column:

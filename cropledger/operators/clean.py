@@ -309,9 +309,9 @@ def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool =
             cc.isNotNull() & F.endswith(joined, suffix),
             F.substring(joined, F.lit(1), F.length(joined) - F.length(suffix)),
         ).otherwise(joined)
-        stripped = F.regexp_replace(stripped, "[, ]+$", "")
+        stripped = F.rtrim(stripped, F.lit(", "))
     out = F.when(has_fingerprint(stripped), stripped).otherwise(country_name(cc))
-    out = F.regexp_replace(out, r"(\s\d+)\.\d", "$1")
+    out = F.when(out.contains("."), F.regexp_replace(out, r"(\s\d+)\.\d", "$1")).otherwise(out)
     xpath = F.regexp_extract(out, r".*data='([\w.\s]+)'", 1)
     return F.when(out.contains("xpath") & (xpath != ""), xpath).otherwise(out)
 

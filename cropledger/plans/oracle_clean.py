@@ -12,6 +12,7 @@ from cropledger.dims import (
     NATION_COUNTRY,
     NULL_TOKENS,
 )
+from cropledger.functions.text import ALNUM_CLASS, CELL_STRIP, WHITESPACE
 from cropledger.operators.clean import ADDRESS_PARTS, ALTERNATIVES
 from cropledger.operators.lookups import rate_decimals, scheme_full_names, scheme_id_pattern
 from cropledger.plans.oracle import _star_sql, country_sql, entity_id_sql, fingerprint_sql, normalize_scheme_sql, q
@@ -35,8 +36,8 @@ def null_token_sql(x: str) -> str:
 
 
 def trim_cell_sql(x: str) -> str:
-    inner = f"regexp_replace({x}, '^[\"'' ,]+|[\"'' ,]+$', '', 'g')"
-    return f"regexp_replace({inner}, '^\\s+|\\s+$', '', 'g')"
+    ws = " || ".join(f"chr({ord(ch)})" for ch in WHITESPACE)
+    return f"trim(trim({x}, {q(CELL_STRIP)}), {ws})"
 
 
 def fold_sql(x: str) -> str:
@@ -44,7 +45,7 @@ def fold_sql(x: str) -> str:
 
 
 def has_fp_sql(x: str) -> str:
-    return f"coalesce(regexp_matches({fold_sql(x)}, '[a-z0-9]'), false)"
+    return f"coalesce(regexp_matches({x}, {q(ALNUM_CLASS)}), false)"
 
 
 def usable_sql(x: str) -> str:
@@ -109,7 +110,7 @@ def clean_address_sql(full: str, parts: list[str], cc: str) -> str:
         f"CASE WHEN {cc} IS NOT NULL AND ends_with({joined}, {suffix}) "
         f"THEN substring({joined}, 1, length({joined}) - length({suffix})) ELSE {joined} END"
     )
-    stripped = f"regexp_replace({stripped}, '[, ]+$', '', 'g')"
+    stripped = f"rtrim({stripped}, ', ')"
     out = f"CASE WHEN {has_fp_sql(stripped)} THEN {stripped} ELSE {country_name_sql(cc)} END"
     out = f"regexp_replace({out}, '(\\s\\d+)\\.\\d', '\\1', 'g')"
     xp = f"regexp_extract({out}, '.*data=''([\\w.\\s]+)''', 1)"

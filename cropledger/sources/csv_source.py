@@ -137,6 +137,12 @@ def read_sources(
         # position of the row in its input split: stable for the same files
         # and split size, so task retries and re-runs give the same key
         rows = rows.withColumn("_row", F.monotonically_increasing_id().cast("string"))
+    cores = spark.sparkContext.defaultParallelism
+    gz = [f for f in files if f.endswith((".gz", ".bz2", ".zst", ".zstd"))]
+    if gz and len(files) < cores:
+        # few whole-file (compressed) splits: spread the CPU-bound cleaning
+        # over all cores; with many files the scan is parallel already
+        rows = rows.repartition(cores)
     ctx_country, ctx_year = context_from_path(F.col("_file"))
     rows = rows.withColumns({"_ctx_country": ctx_country, "_ctx_year": ctx_year})
     skip = skipped[0]

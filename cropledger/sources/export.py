@@ -104,13 +104,20 @@ def entity_statements(payments: DataFrame) -> DataFrame:
 def entity_graph(payments: DataFrame) -> DataFrame:
     """Fragments with one id merged into multi-valued properties:
     ``id, schema, properties map<string, array<string>>`` (values distinct,
-    sorted). Distinct values are pre-aggregated in every task, so an entity
-    repeated in millions of rows shuffles only its distinct statements."""
+    sorted). One aggregation by entity; the set of (prop, value) statements
+    is pre-aggregated in every task, so an entity repeated in millions of
+    rows shuffles only its distinct statements."""
     st = entity_statements(payments)
-    per_prop = st.groupBy("id", "schema", "prop").agg(F.array_sort(F.collect_set("value")).alias("values"))
-    return per_prop.groupBy("id", "schema").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("prop", "values")))).alias("properties")
+    merged = st.groupBy("id", "schema").agg(F.collect_set(F.struct("prop", "value")).alias("sv"))
+    props = F.array_sort(F.array_distinct(F.transform("sv", lambda x: x["prop"])))
+    entries = F.transform(
+        props,
+        lambda p: F.struct(
+            p.alias("prop"),
+            F.array_sort(F.transform(F.filter("sv", lambda x: x["prop"] == p), lambda x: x["value"])).alias("values"),
+        ),
     )
+    return merged.select("id", "schema", F.map_from_entries(entries).alias("properties"))
 
 
 def write_entity_graph(payments: DataFrame, path: str) -> None:
