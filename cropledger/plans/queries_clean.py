@@ -316,3 +316,78 @@ def domain_violations(spark, sf_dir):
         .otherwise("ok")
     )
     return c.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------------------
+# J2 geocode, J5 scheme descriptions
+# ---------------------------------------------------------------------------
+
+# FIXED VALUES (ours): the segment left out of the geocode table, so some
+# addresses find no region codes.
+UNGEOCODED_SEGMENT = "MACHINERY"
+
+
+def _geocode(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    country = country_of(F.col("c_nationkey"))
+    return (
+        c.filter(F.col("c_mktsegment") != UNGEOCODED_SEGMENT)
+        .select(
+            F.concat_ws(", ", "c_mktsegment", country).alias("recipient_address"),
+            country.alias("country"),
+            F.concat(country, F.lit("1")).alias("nuts1"),
+            F.concat(country, F.lit("11")).alias("nuts2"),
+            F.concat(country, F.lit("11"), F.substring("c_mktsegment", 1, 1)).alias("nuts3"),
+        )
+        .distinct()
+    )
+
+
+@register(
+    "geocode_left",
+    O.with_payments(
+        "SELECT p.pk, p.country, p.recipient_address, g.nuts1, g.nuts2, g.nuts3 FROM payments p LEFT JOIN ("
+        "SELECT DISTINCT concat_ws(', ', c_mktsegment, " + O.country_sql("c_nationkey") + ") AS address, "
+        + O.country_sql("c_nationkey") + " AS country, "
+        + O.country_sql("c_nationkey") + " || '1' AS nuts1, "
+        + O.country_sql("c_nationkey") + " || '11' AS nuts2, "
+        + O.country_sql("c_nationkey") + " || '11' || substring(c_mktsegment, 1, 1) AS nuts3 "
+        f"FROM customer WHERE c_mktsegment <> '{UNGEOCODED_SEGMENT}') g "
+        "ON p.recipient_address = trim(g.address) AND p.country = g.country"
+    ),
+)
+def geocode_left(spark, sf_dir):
+    """Region codes by (address, payment country); no match leaves
+    nulls."""
+    from cropledger.operators.lookups import with_geocode
+
+    p = payments(spark, sf_dir).drop("nuts1", "nuts2", "nuts3")
+    return with_geocode(p, _geocode(spark, sf_dir)).select(
+        "pk", "country", "recipient_address", "nuts1", "nuts2", "nuts3"
+    )
+
+
+def _descriptions_case(x: str) -> str:
+    from cropledger.dims import SCHEMES
+    from cropledger.operators.lookups import scheme_full_names
+
+    pairs = [(full, desc) for (_i, _n, full), (_a, _b, _c, desc) in zip(scheme_full_names(), SCHEMES)]
+    return "CASE " + x + " " + " ".join(f"WHEN {O.q(f)} THEN {O.q(d)}" for f, d in pairs) + " END"
+
+
+@register(
+    "scheme_descriptions",
+    OC.clean_sql(
+        f"SELECT scheme_id AS id, min(scheme) AS name, {O.set_sql('year')} AS years, "
+        f"{O.set_sql('country')} AS countries, {O.measures_sql(True)}, "
+        f"{_descriptions_case('min(scheme)')} AS description "
+        "FROM cleaned WHERE _valid AND scheme_id IS NOT NULL GROUP BY scheme_id"
+    ),
+)
+def scheme_descriptions(spark, sf_dir):
+    """J5 + A4 on cleaned data: scheme summary with the dictionary
+    description of each full scheme name."""
+    from cropledger.operators import summaries as S
+
+    cleaned = clean(_raw(spark, sf_dir)).payments
+    return present(S.with_scheme_description(spark, S.SchemeQuery(cleaned).to_df()))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from cropledger.operators.clean import clean
 from cropledger.session import ensure_checkpoint_dir
-from cropledger.sources.csv_source import CSV_OPTIONS, context_from_path
+from cropledger.sources.csv_source import CSV_OPTIONS, MANUAL_CURRENCY, context_from_path, currency_override
 from cropledger.sources.store import upsert
 
 
@@ -49,7 +49,12 @@ def ingest_new_files(
         ctx_country, ctx_year = context_from_path(F.col("_file"))
         if "_row" not in batch.columns:
             batch = batch.withColumn("_row", F.monotonically_increasing_id().cast("string"))
-        result = clean(batch, year=ctx_year, country=ctx_country)
+        result = clean(
+            batch,
+            year=ctx_year,
+            country=ctx_country,
+            currency=currency_override(MANUAL_CURRENCY, ctx_country, ctx_year),
+        )
         stats["rows"] += upsert(spark, result.payments, table_path)
         stats["batches"] += 1
 

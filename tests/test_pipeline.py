@@ -146,3 +146,17 @@ def test_stream_reads_only_new_files(spark, tmp_path):
     third = ingest_new_files(spark, str(src), cols, table, checkpoint=ckpt)
     assert third["batches"] == 1
     assert store.read_table(spark, table).count() == 2 * n1
+
+
+def test_clean_files_manual_currency(spark, tmp_path):
+    from cropledger.operators.load import clean_files
+
+    d = tmp_path / "lt"
+    d.mkdir()
+    (d / "lt_2015.csv").write_text("recipient_name,amount\nJonas,100\n", encoding="utf-8")
+    res, src = clean_files(spark, str(d))
+    r = res.payments.first()
+    assert (r["country"], r["year"], r["currency_original"]) == ("LT", 2015, "LTL")
+    assert r["amount"] == Decimal("29.00")  # LTL 2015 rate 0.290
+    res2, _ = clean_files(spark, str(d), year=2016)
+    assert res2.payments.first()["year"] == 2016  # explicit option wins
