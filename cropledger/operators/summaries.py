@@ -9,9 +9,8 @@ repeatable); one "any" value is ``min(x)``.
 Scale notes: every summary is a single hash aggregation with a map-side
 partial step, so a hot key (one scheme or the null location holding a third
 of all rows) is pre-aggregated in every task before the shuffle; the
-distinct-recipient count is planned by Spark as an Expand + two-level
-aggregate keyed on (group, recipient_id), which spreads a hot group over all
-tasks. Sets are deduplicated map-side (``collect_set`` is partial).
+distinct-recipient count is planned by Spark as a two-level aggregate keyed
+first on (group, recipient_id), which spreads a hot group over all tasks. Sets are deduplicated map-side (``collect_set`` is partial).
 """
 
 from __future__ import annotations
