@@ -17,11 +17,6 @@ ID_SEPARATOR = "\u001f"
 CELL_STRIP = "\"' ,"
 WHITESPACE = " \t\n\r\f\u000b"
 
-# A character class of everything that folds to a letter or digit: ASCII
-# alphanumerics, the Latin letters of the fold table, and the few characters
-# whose lower case lands there (sharp s, capital sharp s, Kelvin, Angstrom).
-ALNUM_CLASS = "[0-9A-Za-z" + FOLD_FROM + "ßẞKÅ]"
-
 LEGAL_FORM_ANY = r"\b(" + "|".join(long for long, _short in LEGAL_FORMS) + r")\b"
 
 
@@ -52,9 +47,12 @@ def collapse_spaces(c) -> Column:
 
 
 def fold_ascii(c) -> Column:
-    """Lower case and Latin accent folding (``ß`` becomes ``ss``)."""
-    lowered = F.replace(F.lower(_c(c)), F.lit("ß"), F.lit("ss"))
-    return F.translate(lowered, FOLD_FROM, FOLD_TO)
+    """Lower case and Latin accent folding (``ß`` becomes ``ss``). Pure ASCII
+    text (as many bytes as characters) skips the translation table."""
+    c = _c(c)
+    lowered = F.lower(c)
+    folded = F.translate(F.replace(lowered, F.lit("ß"), F.lit("ss")), FOLD_FROM, FOLD_TO)
+    return F.when(F.octet_length(c) == F.length(c), lowered).otherwise(folded)
 
 
 def _clean_tokens(c) -> Column:
@@ -70,16 +68,21 @@ def _clean_tokens(c) -> Column:
 
 def fingerprint(c) -> Column:
     """T5: order-free name key: folded, punctuation removed, words unique and
-    sorted, legal forms shortened; null when nothing is left."""
-    tokens = F.filter(F.split(F.trim(_clean_tokens(c)), " "), lambda x: x != "")
+    sorted, legal forms shortened; null when nothing is left. Runs of
+    non-alphanumerics are already single spaces, so the trimmed text splits
+    into non-empty words without a lambda (keeps the expression in
+    whole-stage codegen)."""
+    tokens = F.split(F.trim(_clean_tokens(c)), " ")
     joined = F.array_join(F.array_sort(F.array_distinct(tokens)), " ")
     return F.when(joined == "", F.lit(None).cast("string")).otherwise(joined)
 
 
 def has_fingerprint(c) -> Column:
     """True when ``fingerprint(c)`` would not be null: some character folds
-    to a letter or digit. One character-class test, no folding."""
-    return F.coalesce(_c(c).rlike(ALNUM_CLASS), F.lit(False))
+    to a letter or digit. An ASCII letter or digit answers at once; only
+    text without one is folded (short-circuit keeps the common case cheap)."""
+    c = _c(c)
+    return F.coalesce(c.rlike("[0-9A-Za-z]") | fold_ascii(c).rlike("[a-z0-9]"), F.lit(False))
 
 
 def usable(c) -> Column:

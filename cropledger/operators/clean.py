@@ -109,8 +109,14 @@ def _opt(value) -> Column:
     return value.cast("string") if isinstance(value, Column) else F.lit(str(value))
 
 
+ERROR_TYPE = "array<struct<code:string,value:string>>"
+
+
 def _err(cond: Column, code: str, value: Column) -> Column:
-    return F.when(cond, F.struct(F.lit(code).alias("code"), value.cast("string").alias("value")))
+    """A one-element error array when ``cond`` holds, else an empty one; the
+    row's errors are the ``concat`` of these (no lambda, stays codegen'd)."""
+    entry = F.array(F.struct(F.lit(code).alias("code"), value.cast("string").alias("value")))
+    return F.when(F.coalesce(cond, F.lit(False)), entry).otherwise(F.array().cast(ERROR_TYPE))
 
 
 def check_source(columns: list[str], year=None, country=None) -> list[tuple[str, ...]]:
@@ -251,11 +257,11 @@ def clean(
 
     # V2 errors (reads the saved inputs: ``currency`` is already "EUR" here)
     is_eur = F.col("_eff_cur") == "EUR"
-    errors = F.array(
+    errors = F.concat(
         _err(F.col("country").isNull(), ERR_COUNTRY, F.col("_country_raw")),
         _err(rc_raw.isNotNull() & F.col("recipient_country").isNull(), ERR_COUNTRY, rc_raw)
         if has_rcountry_col
-        else F.lit(None).cast("struct<code:string,value:string>"),
+        else F.array().cast(ERROR_TYPE),
         _err(~F.coalesce(F.col("_eff_cur").isin(*CURRENCIES), F.lit(False)), ERR_CURRENCY, F.col("_eff_cur")),
         _err(F.col("amount_original").isNull(), ERR_AMOUNT, F.col("_amount_text")),
         _err(
@@ -269,7 +275,7 @@ def clean(
             F.concat(F.lit("No currency conversion for `"), F.col("_natl"), F.lit("|"), F.col("year").cast("string"), F.lit("`")),
         ),
     )
-    df = df.withColumn(ERRORS_COL, F.filter(errors, lambda e: e.isNotNull()))
+    df = df.withColumn(ERRORS_COL, errors)
 
     # J2 region codes
     df = with_geocode(df, geocode)

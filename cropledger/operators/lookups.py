@@ -34,12 +34,15 @@ def _map(pairs) -> Column:
 
 def country_code(text: Column) -> Column:
     """Country text (code, English or native name, any case) → ISO code;
-    null when unknown."""
+    null when unknown. Codes, the common case, hit a hashed ``isin`` set;
+    only other text scans the (bounded) name map."""
     aliases = {}
     for code, name, native in COUNTRIES:
-        for alias in (code, name, native):
+        for alias in (name, native):
             aliases[alias.lower()] = code
-    return F.try_element_at(_map(sorted(aliases.items())), F.lower(F.trim(text)))
+    up = F.upper(F.trim(text))
+    by_name = F.try_element_at(_map(sorted(aliases.items())), F.lower(F.trim(text)))
+    return F.when(up.isin(*[c for c, _n, _x in COUNTRIES]), up).otherwise(by_name)
 
 
 def country_name(code: Column) -> Column:
@@ -54,9 +57,28 @@ def national_currency(country: Column) -> Column:
 
 def rate_to_eur(currency: Column, year: Column) -> Column:
     """J1 step 2: (currency, year) → rate as decimal(12,10); null when the
-    table has no such year."""
-    pairs = [(key, F.lit(rate).cast(RATE_TYPE)) for key, rate in rate_decimals().items()]
-    return F.try_element_at(_map(pairs), F.concat_ws("|", currency, year.cast("string")))
+    table has no such year. Two-level lookup: currency → array of yearly
+    rates (one map entry per currency), then the year indexes the array."""
+    first, last = RATE_YEARS
+    by_cur: dict[str, list] = {}
+    for key, rate in rate_decimals().items():
+        cur, yr = key.split("|")
+        by_cur.setdefault(cur, [None] * (last - first + 1))[int(yr) - first] = rate
+    pairs = [
+        (cur, F.array(*[F.lit(r).cast(RATE_TYPE) if r is not None else F.lit(None).cast(RATE_TYPE) for r in rates]))
+        for cur, rates in sorted(by_cur.items())
+    ]
+    rates = F.try_element_at(_map(pairs), currency)
+    idx = (year - first + 1).cast("int")
+    return F.when(year.between(first, last), F.try_element_at(rates, idx))
+
+
+def _rate_years() -> tuple[int, int]:
+    years = [int(k.split("|")[1]) for k in CURRENCY_RATES]
+    return min(years), max(years)
+
+
+RATE_YEARS = _rate_years()
 
 
 def rate_decimals() -> dict[str, Decimal]:

@@ -12,7 +12,7 @@ from cropledger.dims import (
     NATION_COUNTRY,
     NULL_TOKENS,
 )
-from cropledger.functions.text import ALNUM_CLASS, CELL_STRIP, WHITESPACE
+from cropledger.functions.text import CELL_STRIP, WHITESPACE
 from cropledger.operators.clean import ADDRESS_PARTS, ALTERNATIVES
 from cropledger.operators.lookups import rate_decimals, scheme_full_names, scheme_id_pattern
 from cropledger.plans.oracle import _star_sql, country_sql, entity_id_sql, fingerprint_sql, normalize_scheme_sql, q
@@ -45,7 +45,7 @@ def fold_sql(x: str) -> str:
 
 
 def has_fp_sql(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, {q(ALNUM_CLASS)}), false)"
+    return f"coalesce(regexp_matches({x}, '[0-9A-Za-z]') OR regexp_matches({fold_sql(x)}, '[a-z0-9]'), false)"
 
 
 def usable_sql(x: str) -> str:
@@ -58,11 +58,13 @@ def collapse_sql(x: str) -> str:
 
 
 def country_code_sql(x: str) -> str:
+    codes = ", ".join(q(c) for c, _n, _x in COUNTRIES)
     aliases = {}
     for code, name, native in COUNTRIES:
-        for alias in (code, name, native):
+        for alias in (name, native):
             aliases[alias.lower()] = code
-    return _case(f"lower(trim({x}))", [(k, q(v)) for k, v in sorted(aliases.items())])
+    by_name = _case(f"lower(trim({x}))", [(k, q(v)) for k, v in sorted(aliases.items())])
+    return f"CASE WHEN upper(trim({x})) IN ({codes}) THEN upper(trim({x})) ELSE {by_name} END"
 
 
 def country_name_sql(x: str) -> str:
