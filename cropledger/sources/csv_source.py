@@ -10,6 +10,8 @@ source path and country / year can be derived from the file name.
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,9 +78,29 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_header(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
-    """Column names from the first line of one file (Spark reads one line)."""
-    df = spark.read.options(**CSV_OPTIONS).option("sep", delimiter).option("header", True).csv(path)
-    return [c.strip().strip('"').strip() for c in df.columns]
+    """Column names from the first line of one file, read through the
+    Hadoop file system (decompressed by the file's codec). Only that line
+    crosses to the driver."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = reader.readLine() or ""
+    finally:
+        reader.close()
+    cells = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter, quotechar='"'), [])
+    return [c.strip().strip('"').strip() for c in cells]
+
+
+def read_headers(spark: SparkSession, files: list[str], delimiter: str = ",", threads: int = 16) -> list[list[str]]:
+    """Headers of many files, fetched concurrently (one small read each)."""
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        return list(pool.map(lambda f: read_header(spark, f, delimiter), files))
 
 
 def context_from_path(path: Column) -> tuple[Column, Column]:
@@ -109,9 +131,9 @@ def read_sources(
     if not files:
         raise FileNotFoundError(f"no input files under {paths}")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        cols = tuple(header) if header else tuple(read_header(spark, f, delimiter))
-        groups.setdefault(cols, []).append(f)
+    headers = [list(header)] * len(files) if header else read_headers(spark, files, delimiter)
+    for f, cols in zip(files, headers):
+        groups.setdefault(tuple(cols), []).append(f)
 
     frames, skipped = [], []
     for cols, group_files in groups.items():

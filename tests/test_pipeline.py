@@ -160,3 +160,23 @@ def test_clean_files_manual_currency(spark, tmp_path):
     assert r["amount"] == Decimal("29.00")  # LTL 2015 rate 0.290
     res2, _ = clean_files(spark, str(d), year=2016)
     assert res2.payments.first()["year"] == 2016  # explicit option wins
+
+
+def test_headers_gzip_delimiter_and_caller_header(spark, tmp_path):
+    import gzip
+
+    from cropledger.sources.csv_source import read_header
+
+    d = tmp_path / "mixed"
+    d.mkdir()
+    with gzip.open(d / "de_2019.csv.gz", "wt", encoding="utf-8") as f:
+        f.write("﻿recipient_name;amount;currency\nAnna;5;EUR\n")
+    assert read_header(spark, str(d / "de_2019.csv.gz"), ";") == ["recipient_name", "amount", "currency"]
+    src = read_sources(spark, str(d), delimiter=";")
+    r = src.rows.first()
+    assert (r["recipient_name"], r["amount"], r["_ctx_country"], r["_ctx_year"]) == ("Anna", "5", "de", "2019")
+    h = tmp_path / "headerless"
+    h.mkdir()
+    (h / "x.csv").write_text("Bob,7\n", encoding="utf-8")
+    rows = read_sources(spark, str(h), header=["recipient_name", "amount"]).rows.collect()
+    assert [(r["recipient_name"], r["amount"]) for r in rows] == [("Bob", "7")]

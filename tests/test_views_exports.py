@@ -90,3 +90,36 @@ def test_identities(ten):
     nav = S.navigate(ten, "country", "DE", "scheme").to_df().collect()
     direct = S.SchemeQuery(ten.filter("country = 'DE'")).to_df().collect()
     assert sorted(map(tuple, nav)) == sorted(map(tuple, direct))
+
+
+def test_named_export_reused(spark, ten, tmp_path):
+    v = V.CountryView(ten, {"year": 2019}, authenticated=True)
+    out = X.named_export(spark, v, str(tmp_path / "exports"))
+    assert out.endswith(v.export_name())
+    first = X.read_csv_text(spark, out).collect()
+    assert sorted(r["country"] for r in first) == ["DE", "LU"]
+    again = X.named_export(spark, V.CountryView(ten, {"year": 2019}, authenticated=True), str(tmp_path / "exports"))
+    assert again == out  # same spec → same file, not rewritten
+
+
+def test_bulk_summaries(ten):
+    out = S.summaries(ten, ["country", "year", "aggregation"])
+    assert set(out) == {"country", "year", "aggregation"}
+    assert out["aggregation"].first()["total_payments"] == 10
+
+
+def test_nuts_records(spark, ten):
+    df = S.RecipientQuery(ten).where(recipient_id="r4").to_df()
+    df = S.with_nuts_records(spark, df.withColumn("codes", F.array(F.lit("DE1"), F.lit("XX9"))), "codes", "regions")
+    regions = df.first()["regions"]
+    assert regions[0]["name"] == "Germany 1" and regions[0]["level"] == 1 and regions[1] is None
+
+
+def test_clean_csv_sink(spark, ten, tmp_path):
+    from cropledger.schema import PAYMENT_COLUMNS
+
+    path = str(tmp_path / "clean_csv")
+    X.write_clean_csv(ten, path)
+    back = spark.read.option("header", True).csv(path)
+    assert back.columns == PAYMENT_COLUMNS and back.count() == 10
+    assert back.filter(F.col("pk") == "p04").first()["recipient_address"] is None  # null written empty
