@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.dims import COUNTRIES, CURRENCIES
-from cropledger.errors import ERR_AMOUNT, ERR_COUNTRY, ERR_CURRENCY, InvalidSource
+from cropledger.errors import ERR_AMOUNT, ERR_COUNTRY, ERR_CURRENCY, ERR_SOURCE, InvalidSource
 from cropledger.functions import (
     collapse_spaces,
     entity_id,
@@ -97,11 +97,20 @@ class CleanResult:
 
     @property
     def errors(self) -> DataFrame:
-        """V2: distinct error messages per file with their row counts."""
+        """V2: distinct error messages per file with their row counts, plus
+        one ``InvalidSource`` line per missing required column group (V1)."""
         e = self.cleaned.select(FILE_COL, F.explode(ERRORS_COL).alias("e"))
-        return e.groupBy(FILE_COL, F.col("e.code").alias("code"), F.col("e.value").alias("value")).agg(
+        rows = e.groupBy(FILE_COL, F.col("e.code").alias("code"), F.col("e.value").alias("value")).agg(
             F.count(F.lit(1)).alias("rows")
         )
+        if not self.missing_columns:
+            return rows
+        spark = self.cleaned.sparkSession
+        missing = spark.createDataFrame(
+            [(None, ERR_SOURCE, f"Not any of columns {group} existent", 0) for group in self.missing_columns],
+            rows.schema,
+        )
+        return rows.unionByName(missing)
 
 
 def _opt(value) -> Column:

@@ -146,3 +146,8 @@ def run_sql(spark: SparkSession, payments: DataFrame, query: str, table: str = "
     q = check_query(query, table)
     payments.createOrReplaceTempView(table)
     return spark.sql(q)
+
+
+def export_sql(spark: SparkSession, payments: DataFrame, query: str, path: str) -> None:
+    """A checked query's result written as CSV (export form)."""
+    write_csv(export_form(run_sql(spark, payments, query)), path, compression="none")

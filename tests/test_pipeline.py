@@ -180,3 +180,11 @@ def test_headers_gzip_delimiter_and_caller_header(spark, tmp_path):
     (h / "x.csv").write_text("Bob,7\n", encoding="utf-8")
     rows = read_sources(spark, str(h), header=["recipient_name", "amount"]).rows.collect()
     assert [(r["recipient_name"], r["amount"]) for r in rows] == [("Bob", "7")]
+
+
+def test_missing_column_groups_reported(spark):
+    df = spark.createDataFrame([("2019", "LU", "Anna")], "year string, country string, recipient_name string")
+    res = clean(df)
+    assert ("amount", "cuantum") in res.missing_columns and ("currency",) in res.missing_columns
+    src_errors = [r["value"] for r in res.errors.collect() if r["code"] == "InvalidSource"]
+    assert any("amount" in v for v in src_errors) and any("currency" in v for v in src_errors)

@@ -123,3 +123,10 @@ def test_clean_csv_sink(spark, ten, tmp_path):
     back = spark.read.option("header", True).csv(path)
     assert back.columns == PAYMENT_COLUMNS and back.count() == 10
     assert back.filter(F.col("pk") == "p04").first()["recipient_address"] is None  # null written empty
+
+
+def test_export_sql(spark, ten, tmp_path):
+    path = str(tmp_path / "q")
+    X.export_sql(spark, ten, "select country, count(*) as n from payments group by country", path)
+    got = {r["country"]: r["n"] for r in X.read_csv_text(spark, path).collect()}
+    assert got == {"LU": "4", "DE": "3", "HU": "3"}
