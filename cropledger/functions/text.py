@@ -30,9 +30,14 @@ def trim_cell(c) -> Column:
     return F.trim(F.trim(_c(c), F.lit(CELL_STRIP)), F.lit(WHITESPACE))
 
 
+_NULL_TOKENS_SQL = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in NULL_TOKENS)
+
+
 def null_token(c) -> Column:
-    """S3: map the usual missing-value tokens (and blanks) to null."""
-    c = _c(c)
+    """S3: map the usual missing-value tokens (and blanks) to null. For a
+    column name the test is one SQL ``IN`` list (one call to build)."""
+    if isinstance(c, str):
+        return F.expr(f"CASE WHEN `{c}` IN ({_NULL_TOKENS_SQL}) THEN NULL ELSE `{c}` END")
     return F.when(c.isin(*NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 

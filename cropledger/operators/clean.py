@@ -168,7 +168,8 @@ def clean(
     if ROW_COL not in present:
         df = df.withColumn(ROW_COL, F.lit(None).cast("string"))
     text_cols = [c for c in RAW_COLUMNS]
-    df = df.withColumns({c: null_token(F.col(c).cast("string")) for c in text_cols})
+    df = df.withColumns({c: F.col(c).cast("string") for c in text_cols})
+    df = df.withColumns({c: null_token(c) for c in text_cols})
 
     # Repeated header lines inside the data
     df = df.filter(

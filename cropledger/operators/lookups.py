@@ -24,12 +24,19 @@ from cropledger.dims import (
 )
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _map(pairs) -> Column:
+    """A map literal from (key, value) pairs, built as one SQL literal (a
+    single call into the JVM however many entries). Values are text, or
+    SQL snippets given as ``("sql", text)``."""
     items = []
     for k, v in pairs:
-        items.append(F.lit(k))
-        items.append(v if isinstance(v, Column) else F.lit(v))
-    return F.create_map(*items)
+        val = v[1] if isinstance(v, tuple) else _sql_str(v)
+        items.append(f"{_sql_str(k)}, {val}")
+    return F.expr("map(" + ", ".join(items) + ")")
 
 
 def country_code(text: Column) -> Column:
@@ -64,10 +71,10 @@ def rate_to_eur(currency: Column, year: Column) -> Column:
     for key, rate in rate_decimals().items():
         cur, yr = key.split("|")
         by_cur.setdefault(cur, [None] * (last - first + 1))[int(yr) - first] = rate
-    pairs = [
-        (cur, F.array(*[F.lit(r).cast(RATE_TYPE) if r is not None else F.lit(None).cast(RATE_TYPE) for r in rates]))
-        for cur, rates in sorted(by_cur.items())
-    ]
+    def dec(r):
+        return f"CAST('{r}' AS DECIMAL(12,10))" if r is not None else "CAST(NULL AS DECIMAL(12,10))"
+
+    pairs = [(cur, ("sql", "array(" + ", ".join(dec(r) for r in rates) + ")")) for cur, rates in sorted(by_cur.items())]
     rates = F.try_element_at(_map(pairs), currency)
     idx = (year - first + 1).cast("int")
     return F.when(year.between(first, last), F.try_element_at(rates, idx))
