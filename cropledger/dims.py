@@ -9,7 +9,6 @@ driver.
 from __future__ import annotations
 
 import unicodedata
-from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -314,27 +313,6 @@ FOLD_FROM, FOLD_TO = _fold_map()
 RATE_TYPE = T.DecimalType(12, 10)
 
 
-def rates_df(spark: SparkSession) -> DataFrame:
-    """currency string, year int, rate decimal(12,10): 112 rows."""
-    rows = []
-    for key, rate in CURRENCY_RATES.items():
-        cur, year = key.split("|")
-        rows.append((cur, int(year), Decimal(repr(rate)).quantize(Decimal("1e-10"), rounding=ROUND_HALF_UP)))
-    schema = T.StructType(
-        [
-            T.StructField("currency", T.StringType(), False),
-            T.StructField("year", T.IntegerType(), False),
-            T.StructField("rate", RATE_TYPE, False),
-        ]
-    )
-    return spark.createDataFrame(rows, schema)
-
-
-def country_currency_df(spark: SparkSession) -> DataFrame:
-    """country string, currency string: 30 rows."""
-    return spark.createDataFrame(
-        list(COUNTRY_CURRENCY.items()), "country string, national_currency string"
-    )
 
 
 def countries_df(spark: SparkSession) -> DataFrame:
@@ -344,15 +322,6 @@ def countries_df(spark: SparkSession) -> DataFrame:
     )
 
 
-def country_aliases_df(spark: SparkSession) -> DataFrame:
-    """alias string (lower case), country string: codes, English and native
-    names of the served countries (at most 3 per country)."""
-    rows = set()
-    for code, name, native in COUNTRIES:
-        for alias in (code, name, native):
-            rows.add((alias.lower(), code))
-    return spark.createDataFrame(sorted(rows), "alias string, country string")
-
 
 def schemes_df(spark: SparkSession) -> DataFrame:
     """scheme_id, scheme_article, scheme_name, scheme_description, ord,

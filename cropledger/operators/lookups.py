@@ -19,7 +19,6 @@ from cropledger.dims import (
     COUNTRIES,
     COUNTRY_CURRENCY,
     CURRENCY_RATES,
-    RATE_TYPE,
     SCHEMES,
 )
 

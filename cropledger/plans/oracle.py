@@ -4,7 +4,7 @@ one function of ``cropledger.functions`` or one adapter view."""
 
 from __future__ import annotations
 
-from cropledger.dims import COUNTRY_CURRENCY, CURRENCY_RATES, LEGAL_FORMS, NATION_COUNTRY, SCHEMES
+from cropledger.dims import LEGAL_FORMS, NATION_COUNTRY
 from cropledger.plans.testdata import MIN_SCHEME_SIZE, NO_ADDRESS_SEGMENT, YEAR_SHIFT
 
 
@@ -134,25 +134,3 @@ def with_payments(body: str) -> str:
     return f"WITH {payments_cte()}\n{body}"
 
 
-def rates_values_sql() -> str:
-    rows = []
-    for key, rate in CURRENCY_RATES.items():
-        cur, year = key.split("|")
-        rows.append(f"({q(cur)}, {int(year)}, CAST({rate!r} AS DECIMAL(12,10)))")
-    return "(VALUES " + ", ".join(rows) + ") AS rates(currency, year, rate)"
-
-
-def country_currency_values_sql() -> str:
-    rows = ", ".join(f"({q(k)}, {q(v)})" for k, v in COUNTRY_CURRENCY.items())
-    return f"(VALUES {rows}) AS cc(country, national_currency)"
-
-
-def schemes_values_sql() -> str:
-    rows = []
-    for pos, (sid, art, name, desc) in enumerate(SCHEMES):
-        nm = q(name) if name is not None else "CAST(NULL AS VARCHAR)"
-        rows.append(f"({q(sid)}, {q(art)}, {nm}, {q(desc)}, {pos})")
-    return (
-        "(VALUES " + ", ".join(rows) + ") AS schemes(scheme_id, scheme_article, scheme_name, "
-        "scheme_description, ord)"
-    )

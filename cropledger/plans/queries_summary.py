@@ -28,7 +28,7 @@ def _p(spark, sf_dir):
 # summaries
 # ---------------------------------------------------------------------------
 
-def _summary_sql(key_sql: str, key_alias: str, extra: list[str], recipients: bool, where: str = "", order: str | None = None) -> str:
+def _summary_sql(key_sql: str, key_alias: str, extra: list[str], recipients: bool, where: str = "") -> str:
     cols = [f"{key_sql} AS {key_alias}" if key_alias else key_sql] + extra + [measures_sql(recipients)]
     body = f"SELECT {', '.join(cols)} FROM payments {where} GROUP BY {key_sql}"
     return with_payments(body)
