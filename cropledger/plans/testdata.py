@@ -36,21 +36,24 @@ def country_of(nationkey: Column) -> Column:
     return F.element_at(codes, nationkey + 1)
 
 
-def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem ⋈ orders ⋈ customer ⋈ (nation ⋈ region) ⋈ part, pruned to
-    the columns the payments model needs.
-
-    lineitem is hash-partitioned on the order key up front: that is the
-    shuffle its join with orders needs at scale anyway (the planner reuses
-    the partitioning), and on small inputs it spreads the CPU-bound
-    projections that follow over ``spark.sql.shuffle.partitions`` tasks
-    instead of the file's few row groups."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    li = (
+def _lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items hash-partitioned on the order key into twice the cluster's
+    cores: the shuffle the join with orders needs anyway (reused by the
+    planner), and enough tasks for the CPU-bound projections that follow."""
+    n = 2 * spark.sparkContext.defaultParallelism
+    return (
         read_table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
         .repartition(n, "l_orderkey")
     )
+
+
+def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders ⋈ customer ⋈ (nation ⋈ region) ⋈ part, pruned to
+    the columns the payments model needs.
+
+    lineitem is hash-partitioned on the order key up front (``_lineitems``)."""
+    li = _lineitems(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
@@ -79,12 +82,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     those tables before the join: Catalyst prunes columns through joins but
     does not move computed expressions below them, and the dimension sides
     are 30-40x smaller than the line items."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    li = (
-        read_table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
-        .repartition(n, "l_orderkey")
-    )
+    li = _lineitems(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = sized_broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)

@@ -299,3 +299,34 @@ class AggregationView(View):
         out = super().result()
         out["has_next"] = out["has_prev"] = False
         return out
+
+
+# Reference API routes → views (what each route computes; no server here).
+ENDPOINTS: dict[str, type[View]] = {
+    "payments": PaymentView,
+    "recipients": RecipientView,
+    "recipients/base": RecipientBaseView,
+    "recipients/autocomplete": RecipientNameView,
+    "schemes": SchemeView,
+    "countries": CountryView,
+    "years": YearView,
+    "locations": LocationView,
+    "nuts/1": Nuts1View,
+    "nuts/2": Nuts2View,
+    "nuts/3": Nuts3View,
+    "agg": AggregationView,
+}
+
+
+def call(payments: DataFrame, endpoint: str, params: dict[str, Any] | None = None, authenticated: bool = False) -> dict[str, Any]:
+    """Answer one API request: the page (a DataFrame, in export form when
+    ``output`` is csv or export) with the paging fields."""
+    if endpoint not in ENDPOINTS:
+        raise InvalidQuery(f"Unknown endpoint `{endpoint}`")
+    view = ENDPOINTS[endpoint](payments, params, authenticated=authenticated)
+    out = view.result()
+    if (params or {}).get("output") in ("csv", "export"):
+        from cropledger.sources.export import export_form
+
+        out["results"] = export_form(out["results"])
+    return out

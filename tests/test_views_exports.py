@@ -130,3 +130,12 @@ def test_export_sql(spark, ten, tmp_path):
     X.export_sql(spark, ten, "select country, count(*) as n from payments group by country", path)
     got = {r["country"]: r["n"] for r in X.read_csv_text(spark, path).collect()}
     assert got == {"LU": "4", "DE": "3", "HU": "3"}
+
+
+def test_endpoint_dispatch(ten):
+    out = V.call(ten, "countries", {"order_by": "-total_payments", "limit": 2})
+    assert [r["country"] for r in out["results"].collect()] == ["LU", "DE"] and out["has_next"]
+    csv = V.call(ten, "recipients", {"country": "DE", "output": "csv"}, authenticated=True)
+    assert csv["results"].first()["years"] == "2019;2020"
+    with pytest.raises(InvalidQuery):
+        V.call(ten, "nope")
