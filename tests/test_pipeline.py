@@ -188,3 +188,14 @@ def test_missing_column_groups_reported(spark):
     assert ("amount", "cuantum") in res.missing_columns and ("currency",) in res.missing_columns
     src_errors = [r["value"] for r in res.errors.collect() if r["code"] == "InvalidSource"]
     assert any("amount" in v for v in src_errors) and any("currency" in v for v in src_errors)
+
+
+def test_init_and_recreate(spark, tmp_path, raw_dir):
+    _, res = _clean(spark, raw_dir)
+    path = str(tmp_path / "t2")
+    store.init_table(spark, path)
+    n = store.insert(res.payments, path)
+    store.init_table(spark, path)  # exists: left alone
+    assert store.read_table(spark, path).count() == n
+    store.init_table(spark, path, recreate=True)
+    assert store.read_table(spark, path).count() == 0

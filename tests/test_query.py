@@ -145,3 +145,8 @@ def test_point_lookup_and_navigation(ten):
     assert S.get(ten, "recipient", "nobody") is None
     years = rows(S.navigate(ten, "recipient", "r4", "year"))
     assert sorted(x["year"] for x in years) == [2019, 2020]
+
+
+def test_descending_keeps_nulls_last(ten):
+    got = [r["amount"] for r in rows(Query(ten).select("amount").order_by("amount", ascending=False))]
+    assert got[0] == Decimal("1000.00") and got[-1] is None
