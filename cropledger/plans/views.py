@@ -202,10 +202,13 @@ class View:
 
 class ResultCache:
     """Keep the full (unsliced, unordered) result of a view persisted when
-    it has at most ``max_rows`` rows, and serve pages and re-orderings from it."""
+    it has at most ``max_rows`` rows, and serve pages and re-orderings from
+    it. At most ``max_entries`` results are kept (least recently used are
+    unpersisted first)."""
 
-    def __init__(self, max_rows: int = CACHE_MAX_ROWS):
+    def __init__(self, max_rows: int = CACHE_MAX_ROWS, max_entries: int = 32):
         self.max_rows = max_rows
+        self.max_entries = max_entries
         self._store: dict[str, DataFrame] = {}
         self._skip: set[str] = set()
 
@@ -214,9 +217,13 @@ class ResultCache:
         if key not in self._skip and key not in self._store:
             if view.item_count() <= self.max_rows:
                 self._store[key] = view.base_query().to_df().persist()
+                while len(self._store) > self.max_entries:
+                    oldest = next(iter(self._store))
+                    self._store.pop(oldest).unpersist()
             else:
                 self._skip.add(key)
         if key in self._store:
+            self._store[key] = self._store.pop(key)  # most recently used last
             cached = Query(self._store[key])
             order = view.params.get("order_by")
             if order:

@@ -139,3 +139,11 @@ def test_endpoint_dispatch(ten):
     assert csv["results"].first()["years"] == "2019;2020"
     with pytest.raises(InvalidQuery):
         V.call(ten, "nope")
+
+
+def test_result_cache_bounded(ten):
+    cache = V.ResultCache(max_rows=100, max_entries=2)
+    for y in (2019, 2020, 2021):
+        cache.page(V.CountryView(ten, {"year": y, "limit": 5}))
+    assert len(cache._store) == 2
+    cache.clear()
