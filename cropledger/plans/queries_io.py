@@ -180,3 +180,23 @@ def incremental_ingest(spark, sf_dir):
             F.count(F.lit(1)).alias("payments"), F.sum("amount").cast("decimal(28,2)").alias("amount_sum")
         )
     )
+
+
+_EXPORT_SQL_TEXT = (
+    "select recipient_id, year, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS total "
+    "from payments where country in ('DK', 'SE') group by recipient_id, year"
+)
+
+
+@register(
+    "export_sql",
+    O.with_payments(
+        "SELECT recipient_id, CAST(year AS VARCHAR) AS year, CAST(n AS VARCHAR) AS n, "
+        "CAST(total AS VARCHAR) AS total FROM (" + _EXPORT_SQL_TEXT + ") t"
+    ),
+)
+def export_sql_q(spark, sf_dir):
+    """A checked query's result written as CSV and read back as text."""
+    path = scratch(spark, "sql-export")
+    X.export_sql(spark, payments(spark, sf_dir), _EXPORT_SQL_TEXT, path)
+    return X.read_csv_text(spark, path)
