@@ -158,18 +158,14 @@ def clean(
     has_rcountry_col = "recipient_country" in present
     has_code_short = "scheme_code_short" in present
 
-    # add absent raw columns as nulls; S3 null tokens and blanks → null
-    df = raw
-    for c in RAW_COLUMNS:
-        if c not in present:
-            df = df.withColumn(c, F.lit(None).cast("string"))
-    if FILE_COL not in present:
-        df = df.withColumn(FILE_COL, F.lit(None).cast("string"))
-    if ROW_COL not in present:
-        df = df.withColumn(ROW_COL, F.lit(None).cast("string"))
-    text_cols = [c for c in RAW_COLUMNS]
-    df = df.withColumns({c: F.col(c).cast("string") for c in text_cols})
-    df = df.withColumns({c: null_token(c) for c in text_cols})
+    # one projection: raw columns as text (absent ones null), S3 null tokens
+    null = F.lit(None).cast("string")
+    text_cols = list(RAW_COLUMNS)
+    df = raw.select(
+        *[(F.col(c).cast("string") if c in present else null).alias(c) for c in text_cols],
+        *[(F.col(c).cast("string") if c in present else null).alias(c) for c in (FILE_COL, ROW_COL)],
+    )
+    df = df.withColumns({c: null_token(c) for c in text_cols if c in present})
 
     # Repeated header lines inside the data
     df = df.filter(
@@ -318,7 +314,7 @@ def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool =
     joined = F.when(full.isNull(), from_parts).otherwise(F.concat_ws(", ", full, *extra))
     if legacy:
         chars = F.concat(F.lit(", "), F.coalesce(cc, F.lit("")))
-        stripped = _rtrim_set(joined, chars)
+        stripped = F.rtrim(joined, chars)
     else:
         suffix = F.concat(F.lit(", "), cc)
         stripped = F.when(
@@ -332,11 +328,6 @@ def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool =
     return F.when(out.contains("xpath") & (xpath != ""), xpath).otherwise(out)
 
 
-def _rtrim_set(s: Column, chars: Column) -> Column:
-    """Strip any trailing characters found in ``chars`` (character set)."""
-    return F.rtrim(s, chars)
-
-
 def dedup_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Keep one row per ``key``: the smallest by ``order`` then by all
     other columns. ``min(struct)`` is partially aggregated in every task
