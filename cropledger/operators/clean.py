@@ -161,9 +161,11 @@ def clean(
     # one projection: raw columns as text (absent ones null), S3 null tokens
     null = F.lit(None).cast("string")
     text_cols = list(RAW_COLUMNS)
+    known = set(text_cols) | {FILE_COL, ROW_COL}
     df = raw.select(
         *[(F.col(c).cast("string") if c in present else null).alias(c) for c in text_cols],
         *[(F.col(c).cast("string") if c in present else null).alias(c) for c in (FILE_COL, ROW_COL)],
+        *[F.col(f"`{c}`") for c in present if c not in known],  # e.g. file-name context for options
     )
     df = df.withColumns({c: null_token(c) for c in text_cols if c in present})
 
