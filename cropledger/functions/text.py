@@ -78,7 +78,7 @@ def fingerprint(c) -> Column:
     into non-empty words without a lambda (keeps the expression in
     whole-stage codegen)."""
     tokens = F.split(F.trim(_clean_tokens(c)), " ")
-    joined = F.array_join(F.array_sort(F.array_distinct(tokens)), " ")
+    joined = F.array_join(F.sort_array(F.array_distinct(tokens)), " ")
     return F.when(joined == "", F.lit(None).cast("string")).otherwise(joined)
 
 

@@ -40,7 +40,7 @@ def present(df: DataFrame) -> DataFrame:
         c = F.col(f"`{field.name}`")
         dt = field.dataType
         if isinstance(dt, T.ArrayType):
-            c = F.array_join(F.array_sort(F.transform(c, lambda x: x.cast("string"))), ";")
+            c = F.array_join(F.sort_array(c.cast("array<string>")), ";")
         elif isinstance(dt, T.DecimalType):
             c = c.cast("string").cast("double")
         elif isinstance(dt, T.StructType | T.MapType):

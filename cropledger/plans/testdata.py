@@ -48,6 +48,16 @@ def _lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer ⋈ (nation ⋈ region): dimension tables broadcast only after a
+    bounded row count proves them small, else left to the planner."""
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    region = sized_broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return cust.join(sized_broadcast(geo, 10_000), cust.c_nationkey == geo.n_nationkey)
+
+
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ (nation ⋈ region) ⋈ part, pruned to
     the columns the payments model needs.
@@ -55,18 +65,8 @@ def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem is hash-partitioned on the order key up front (``_lineitems``)."""
     li = _lineitems(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    cust = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
-    )
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    cust = _customers(spark, sf_dir)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
-
-    # nation and region are dimension tables: broadcast only after a
-    # bounded row count proves them small, else leave the join to the planner
-    region = sized_broadcast(region, 10_000)
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
-    cust = cust.join(sized_broadcast(geo, 10_000), cust.c_nationkey == geo.n_nationkey)
     return (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .join(cust, orders.o_custkey == cust.c_custkey)
@@ -84,11 +84,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     are 30-40x smaller than the line items."""
     li = _lineitems(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = sized_broadcast(read_table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
-    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    cust = cust.join(sized_broadcast(geo, 10_000), cust.c_nationkey == geo.n_nationkey)
+    cust = _customers(spark, sf_dir)
     country = country_of(F.col("c_nationkey"))
     has_geo = F.col("c_mktsegment") != NO_ADDRESS_SEGMENT
     recipients = cust.select(

@@ -37,7 +37,7 @@ def export_form(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.ArrayType):
-            c = F.array_join(F.array_sort(F.transform(c, lambda x: x.cast("string"))), ";")
+            c = F.array_join(F.sort_array(c.cast("array<string>")), ";")
         elif isinstance(f.dataType, T.StructType | T.MapType):
             c = F.to_json(c)
         else:
@@ -109,12 +109,12 @@ def entity_graph(payments: DataFrame) -> DataFrame:
     rows shuffles only its distinct statements."""
     st = entity_statements(payments)
     merged = st.groupBy("id", "schema").agg(F.collect_set(F.struct("prop", "value")).alias("sv"))
-    props = F.array_sort(F.array_distinct(F.transform("sv", lambda x: x["prop"])))
+    props = F.sort_array(F.array_distinct(F.transform("sv", lambda x: x["prop"])))
     entries = F.transform(
         props,
         lambda p: F.struct(
             p.alias("prop"),
-            F.array_sort(F.transform(F.filter("sv", lambda x: x["prop"] == p), lambda x: x["value"])).alias("values"),
+            F.sort_array(F.transform(F.filter("sv", lambda x: x["prop"] == p), lambda x: x["value"])).alias("values"),
         ),
     )
     return merged.select("id", "schema", F.map_from_entries(entries).alias("properties"))
