@@ -61,9 +61,10 @@ def insert(df: DataFrame, path: str) -> int:
 def upsert(spark: SparkSession, df: DataFrame, path: str) -> int:
     """New rows win over stored rows with the same key
     (country, year, recipient_id, pk); only the partitions the new rows touch
-    are read and rewritten (dynamic partition overwrite). The merged result is
-    checkpointed to the shared checkpoint folder before the overwrite, so the
-    job never reads files it is replacing and survives executor loss."""
+    are read and rewritten (dynamic partition overwrite). When stored rows are
+    merged, the result is checkpointed to the shared checkpoint folder before
+    the overwrite, so the job never reads files it is replacing and survives
+    executor loss; new partitions are written straight away."""
     new = conform(df).withColumn("_src", F.lit(0))
     if not path_exists(spark, path):
         init_table(spark, path)
@@ -73,9 +74,15 @@ def upsert(spark: SparkSession, df: DataFrame, path: str) -> int:
         .join(touched, PARTITION_COLUMNS, "left_semi")  # partition pruning via DPP
         .withColumn("_src", F.lit(1))
     )
-    keyed = new.unionByName(old).withColumn("_key", F.concat_ws("\u001f", *[F.col(k).cast("string") for k in UPSERT_KEY]))
-    merged = dedup_first(keyed, "_key", ["_src"]).drop("_key", "_src")
-    merged = cut_lineage(conform(merged))
+    table_dir = path.rstrip("/").split(":", 1)[-1]
+    from_table = any(table_dir in f for f in df.inputFiles())  # new rows read from this table
+    reads_target = from_table or not old.isEmpty()  # else a one-row probe of the touched partitions
+    both = new.unionByName(old) if reads_target else new
+    keyed = both.withColumn("_key", F.concat_ws("\u001f", *[F.col(k).cast("string") for k in UPSERT_KEY]))
+    merged = conform(dedup_first(keyed, "_key", ["_src"]).drop("_key", "_src"))
+    if reads_target:
+        # never overwrite files the same job is still reading
+        merged = cut_lineage(merged)
     obs = Observation("upsert")
     out = merged.observe(obs, F.count(F.lit(1)).alias("rows"))
     (

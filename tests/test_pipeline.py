@@ -199,3 +199,14 @@ def test_init_and_recreate(spark, tmp_path, raw_dir):
     assert store.read_table(spark, path).count() == n
     store.init_table(spark, path, recreate=True)
     assert store.read_table(spark, path).count() == 0
+
+
+def test_upsert_rows_moved_within_table(spark, raw_dir, tmp_path):
+    _, res = _clean(spark, raw_dir)
+    path = str(tmp_path / "t3")
+    n = store.insert(res.payments, path)
+    moved = store.read_table(spark, path).filter("year = 2015").withColumn("year", F.lit(2017))
+    store.upsert(spark, moved, path)  # reads 2015 files, writes the new 2017 partition
+    t = store.read_table(spark, path)
+    assert t.filter("year = 2017").count() == t.filter("year = 2015").count() > 0
+    assert t.count() == n + t.filter("year = 2017").count()
