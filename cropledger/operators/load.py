@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.operators.clean import CleanResult, clean
-from cropledger.sources.csv_source import MANUAL_CURRENCY, currency_override, read_sources
+from cropledger.sources.csv_source import MANUAL_CURRENCY, context_from_name, currency_override, read_sources
 
 
 def clean_files(
@@ -22,8 +22,19 @@ def clean_files(
     geocode=None,
 ) -> tuple[CleanResult, object]:
     """Explicit options win over the file name (S4); a missing currency
-    column is filled from the option or the manual fixes table (S7)."""
-    src = read_sources(spark, paths, header=header, delimiter=delimiter)
+    column is filled from the option or the manual fixes table (S7). A file
+    with no year or country column, no option and nothing in its name is
+    rejected whole (V1) and listed in ``src.rejected``."""
+
+    def accept(path: str, columns: list[str]) -> str | None:
+        ctx_country, ctx_year = context_from_name(path)
+        if "year" not in columns and year is None and ctx_year is None:
+            return "InvalidSource: Year is missing."
+        if "country" not in columns and country is None and ctx_country is None:
+            return "InvalidSource: Country is missing."
+        return None
+
+    src = read_sources(spark, paths, header=header, delimiter=delimiter, accept=accept)
     ctx_year = F.col("_ctx_year") if year is None else F.lit(str(year))
     ctx_country = F.col("_ctx_country") if country is None else F.lit(country)
     cur = F.lit(currency) if currency is not None else currency_override(MANUAL_CURRENCY, ctx_country, ctx_year)

@@ -11,6 +11,7 @@ source path and country / year can be derived from the file name.
 from __future__ import annotations
 
 import csv
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -44,6 +45,7 @@ class SourceRead:
     rows: DataFrame
     skipped: DataFrame
     headers: dict[tuple[str, ...], list[str]] = field(default_factory=dict)
+    rejected: list[tuple[str, str]] = field(default_factory=list)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -116,24 +118,45 @@ def context_from_path(path: Column) -> tuple[Column, Column]:
     return country, year
 
 
+def context_from_name(path: str) -> tuple[str | None, str | None]:
+    """S4 on the driver, for file metadata only: (country, year) from a file
+    name, same patterns as ``context_from_path``."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    for pat in FILENAME_PATTERNS:
+        m = re.match(pat, name)
+        if m:
+            return m.group(1), m.group(2)
+    return None, None
+
+
 def read_sources(
     spark: SparkSession,
     paths: str | list[str],
     header: list[str] | None = None,
     delimiter: str = ",",
+    accept=None,
 ) -> SourceRead:
     """Read all files, grouped by header, as one all-text
     DataFrame with ``_file``, ``_row`` and file-name context columns
-    ``_ctx_country`` / ``_ctx_year`` (S4)."""
+    ``_ctx_country`` / ``_ctx_year`` (S4). ``accept(file, columns)`` may
+    reject whole files before reading (V1); rejected files are listed in
+    ``SourceRead.rejected``."""
     files: list[str] = []
     for p in [paths] if isinstance(paths, str) else paths:
         files.extend(list_files(spark, p))
     if not files:
         raise FileNotFoundError(f"no input files under {paths}")
     groups: dict[tuple[str, ...], list[str]] = {}
+    rejected: list[tuple[str, str]] = []
     headers = [list(header)] * len(files) if header else read_headers(spark, files, delimiter)
     for f, cols in zip(files, headers):
+        reason = accept(f, cols) if accept else None
+        if reason:
+            rejected.append((f, reason))
+            continue
         groups.setdefault(tuple(cols), []).append(f)
+    if not groups:
+        raise FileNotFoundError(f"every input file was rejected: {rejected}")
 
     frames, skipped = [], []
     for cols, group_files in groups.items():
@@ -170,7 +193,7 @@ def read_sources(
     skip = skipped[0]
     for s in skipped[1:]:
         skip = skip.unionByName(s)
-    return SourceRead(rows, skip.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")), groups)
+    return SourceRead(rows, skip.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")), groups, rejected)
 
 
 def currency_override(overrides: dict[tuple[str, int], str], country: Column, year: Column) -> Column:

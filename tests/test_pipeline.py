@@ -210,3 +210,16 @@ def test_upsert_rows_moved_within_table(spark, raw_dir, tmp_path):
     t = store.read_table(spark, path)
     assert t.filter("year = 2017").count() == t.filter("year = 2015").count() > 0
     assert t.count() == n + t.filter("year = 2017").count()
+
+
+def test_clean_files_rejects_file_without_year(spark, tmp_path):
+    from cropledger.operators.load import clean_files
+
+    d = tmp_path / "v1"
+    d.mkdir()
+    (d / "lu_2019.csv").write_text("recipient_name,amount,currency\nAnna,5,EUR\n", encoding="utf-8")
+    (d / "nameless.csv").write_text("recipient_name,amount,currency\nBob,7,EUR\n", encoding="utf-8")
+    res, src = clean_files(spark, str(d))
+    assert [r["recipient_name"] for r in res.payments.collect()] == ["Anna"]
+    assert len(src.rejected) == 1 and src.rejected[0][0].endswith("nameless.csv")
+    assert "Year is missing" in src.rejected[0][1]
