@@ -33,13 +33,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster in
     ``spark.checkpoint.dir``; only when it is unset (tests, local runs) set a
-    fresh scratch folder of our own."""
+    fresh scratch folder of our own. Only a local master may fall back to it."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="cropledger-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, path)
     sc.setCheckpointDir(path)

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from cropledger.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -40,15 +41,15 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.queries()) - set(registry.oracle_sql())
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(registry.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(drows)
