@@ -23,13 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.llm.words import fresh_name
+from cropledger.llm.words import FILTER_BITS, fresh_name, maybe_keys
 from cropledger.session import cut_lineage
 
 PREFIX_BYTES = 256
-FILTER_BITS = 1 << 23
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BUCKET_BITS = 32768
 
 
 def normalised(text: Column) -> Column:
@@ -39,10 +37,6 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, _UPPER, _LOWER))
 
 
-def _slot(n: Column, prefix: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(n, prefix), F.lit(bits))
-
-
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -51,8 +45,6 @@ def exact_dedup(
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Decision per document: ``id_col, keep_id, group_size, kept``."""
-    if filter_bits % _BUCKET_BITS:
-        raise ValueError(f"filter_bits must be a multiple of {_BUCKET_BITS}")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     # the prefix hash takes the first prefix_bytes characters, normalised like the whole
     head = normalised(F.substring(text, 1, prefix_bytes))
@@ -71,18 +63,8 @@ def exact_dedup(
         by_prefix.join(by_length, "_len", "left_semi").where("_n > 1").select("_len", "_prefix")
     )
 
-    slot = _slot(F.col("_len"), F.col("_prefix"), filter_bits)
-    bitmap = survivors.groupBy(F.floor(slot / _BUCKET_BITS).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.pmod(slot, F.lit(_BUCKET_BITS))).alias("_bits")
-    )
-    bit = F.pmod(slot, F.lit(_BUCKET_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    maybe = (
-        rows.where(F.col("_id").isNotNull())
-        .withColumn("_bucket", F.floor(slot / _BUCKET_BITS))
-        .join(F.broadcast(bitmap), "_bucket")
-        .where(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1)
-    )
+    slot = F.pmod(F.xxhash64("_len", "_prefix"), F.lit(filter_bits))
+    maybe = maybe_keys(rows.where(F.col("_id").isNotNull()), survivors, slot, slot, filter_bits)
     # level 3: the whole text is hashed here, before anything is shuffled
     hashed = maybe.select("_id", "_len", "_prefix", F.sha2(normalised(F.col("_text")), 256).alias("_full"))
     hashed = cut_lineage(hashed.join(survivors, ["_len", "_prefix"], "left_semi"))

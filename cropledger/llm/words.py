@@ -9,11 +9,14 @@ block of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 1 << 20
 
@@ -140,3 +143,67 @@ def shingle_hashes(block: Block, word_hash: np.ndarray, k: int) -> tuple[np.ndar
     np.cumsum(word_hash * pw[: len(word_hash)], out=prefix[1:])
     end = np.minimum(start + k, block.first[1:][doc]) if len(doc) else start
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64)), doc
+
+
+def map_texts(
+    docs: DataFrame,
+    text_col: str,
+    fn: Callable[[pa.Array], Iterator[list[pa.Array]]],
+    schema: str,
+    drop_text: bool = False,
+) -> DataFrame:
+    """``docs`` with the columns of ``schema``, which ``fn`` gives for the texts:
+    lists of column parts, the parts in row order. No shuffle. A column of
+    ``docs`` whose name is one of the new ones is replaced; ``drop_text`` leaves
+    the text out."""
+    new = T.StructType.fromDDL(schema)
+    taken = {f.name.lower() for f in new.fields}
+    kept = [c for c in docs.columns if c.lower() not in taken and not (drop_text and c == text_col)]
+    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), *cols)
+    out = T.StructType([*rows.schema.fields[1:], *(T.StructField(f"n{i}", f.dataType) for i, f in enumerate(new.fields))])
+    names = [f.name for f in out.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = list(fn(batch.column(0)))
+            more = [pa.concat_arrays([p[i] for p in parts]) for i in range(len(new.fields))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *more], names=names)
+
+    made = rows.mapInArrow(run, out)
+    return made.toDF(*kept, *(f.name for f in new.fields))
+
+
+#: Bits of the filter that keeps rows without a wanted key out of a shuffle: a
+#: broadcast of FILTER_BITS / 8 bytes, whatever the number of keys.
+FILTER_BITS = 1 << 23
+_BUCKET_BITS = 32768
+
+
+def maybe_keys(rows: DataFrame, keys: DataFrame, row_slot: Column, key_slot: Column, bits: int = FILTER_BITS, mark: str | None = None) -> DataFrame:
+    """The ``rows`` whose slot (below ``bits``) is that of some key: a bitmap of
+    the keys' slots, built by aggregation and broadcast, holds back nearly all
+    others before they are shuffled. Collisions only let more rows pass.
+    With ``mark`` all rows stay, and the new boolean column of that name tells."""
+    if bits % _BUCKET_BITS:
+        raise ValueError(f"filter bits must be a multiple of {_BUCKET_BITS}")
+    bucket, bitmap_col = fresh_name(rows, "bucket"), fresh_name(rows, "bitmap")
+    bitmap = keys.groupBy(F.floor(key_slot / _BUCKET_BITS).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.pmod(key_slot, F.lit(_BUCKET_BITS))).alias(bitmap_col)
+    )
+    bit = F.pmod(row_slot, F.lit(_BUCKET_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bitmap_col), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = rows.withColumn(bucket, F.floor(row_slot / _BUCKET_BITS)).join(F.broadcast(bitmap), bucket, "left" if mark else "inner")
+    found = F.getbit(byte, F.pmod(bit, F.lit(8))) == 1
+    if mark:
+        return joined.withColumn(mark, F.coalesce(found, F.lit(False))).drop(bucket, bitmap_col)
+    return joined.where(found).drop(bucket, bitmap_col)
+
+
+def only_keys(rows: DataFrame, keys: DataFrame, row_key: str, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Semi-join of ``rows`` with ``keys``, the bitmap first. ``keys`` should be a
+    checkpointed or cheap frame: it is read twice."""
+    slot = [F.pmod(F.xxhash64(F.col(f"`{c}`").cast("string")), F.lit(bits)) for c in (row_key, key)]
+    return maybe_keys(rows, keys, *slot, bits).join(keys, F.col(f"`{row_key}`") == F.col(f"`{key}`"), "left_semi")
