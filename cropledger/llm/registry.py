@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cropledger.llm import (
     exact_dedup,
+    language_id,
+    ngram_join,
+    suffix_dedup,
 )
 
-MODULES = [exact_dedup]
+MODULES = [exact_dedup, language_id, ngram_join, suffix_dedup]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
