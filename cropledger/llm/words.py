@@ -25,8 +25,8 @@ _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _pow: dict[str, np.ndarray] = {}
 
 
@@ -100,7 +100,7 @@ class Block:
         return self
 
     def word_hashes(self, lower: bool) -> np.ndarray:
-        buf = _LOWER[self.buf] if lower else self.buf
+        buf = LOWER[self.buf] if lower else self.buf
         return span_hash(prefix_hash(buf), self.start, self.end)
 
     def word(self, i: int) -> bytes:
