@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cropledger.llm import (
+    byte_bpe,
+    context_mixing,
     exact_dedup,
+    html_extract,
     language_id,
     ngram_join,
+    packing,
+    quality_rules,
     suffix_dedup,
+    token_files,
 )
 
-MODULES = [exact_dedup, language_id, ngram_join, suffix_dedup]
+MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
