@@ -53,6 +53,8 @@ TABLE_TASKS = 8
 TOP_WORDS = 200_000
 LEVELS = 6
 GATES = 3 * LEVELS * (ORDERS + 1)
+#: A second gate, by bit and last byte's class, adds its weights to the first one's.
+WEIGHTS = GATES + 8 * 4 * LEVELS
 KNOTS, SPAN = 33, 8.0
 END, BLANK = 0x0A, 0x20
 _CACHE_BITS = 21
@@ -124,11 +126,11 @@ def _place(key: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     tables: dict[int, np.ndarray]  # order -> zeros in the low, ones in the high 16 bits of a slot
-    weights: np.ndarray  # [gate, order]
+    weights: np.ndarray  # [gate, order], those of the second gate behind the first one's
     refine: np.ndarray  # [gate, knot]: probability of a one
 
     def inputs(self, key: np.ndarray, contexts: dict, place: np.ndarray, depth: int):
-        """(logits [m, order], gate, bit)."""
+        """(logits [m, order], first gate, second gate, bit)."""
         node, bit = _bit(key, depth)
         x = np.empty((len(key), WORD), dtype=np.float32)
         high = np.zeros(len(key), dtype=np.int64)
@@ -140,10 +142,13 @@ class Model:
             if k <= ORDERS:
                 high = np.where(n > 1, k, high)
         level = (n > 0).astype(np.int64) + (n > 1) + (n > 3) + (n > 15) + (n > 255)
-        return x, (place * LEVELS + level) * (ORDERS + 1) + high, bit
+        first = (place * LEVELS + level) * (ORDERS + 1) + high
+        last = (key >> np.uint64(8)) & np.uint64(0xFF)
+        kind = np.where(last > 0x7F, 3, np.where(last > 0x60, 2, np.where(last > 0x20, 1, 0)))
+        return x, first, GATES + (depth * 4 + kind) * LEVELS + level, bit
 
-    def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ij->i", x, self.weights[gate]), -20, 20)
+    def mixed(self, x: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return np.clip(np.einsum("ij,ij->i", x, self.weights[first] + self.weights[second]), -20, 20)
 
     def final(self, logit: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """Probability of a one: the mixed one averaged with its refinement."""
@@ -159,8 +164,8 @@ class Model:
         cost = np.zeros(len(key), dtype=np.float32)
         contexts, place = _contexts(key, so_far), _place(key)
         for depth in range(8):
-            x, gate, bit = self.inputs(key, contexts, place, depth)
-            p = self.final(self.mixed(x, gate), gate)
+            x, gate, more, bit = self.inputs(key, contexts, place, depth)
+            p = self.final(self.mixed(x, gate, more), gate)
             cost -= np.log2(np.where(bit == 1, p, 1 - p))
         return cost
 
@@ -326,20 +331,21 @@ def _learn(bc, rate: float = 0.05, step: int = 4096):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(bc.value.tables, bc.value.weights.copy(), bc.value.refine)
-        past, seen = np.full((GATES, WORD), 1e-8), 0.0
+        past, seen = np.full((WEIGHTS, WORD), 1e-8), 0.0
         for key, contexts, place, n in _items(batches):
             seen += n.sum()
             for i in range(0, len(key), step):
                 now, w = slice(i, i + step), n[i : i + step]
                 part = {k: c[now] for k, c in contexts.items()}
                 for depth in range(8):
-                    x, gate, bit = model.inputs(key[now], part, place[now], depth)
-                    error = (bit - 1 / (1 + np.exp(-model.mixed(x, gate)))) * w
-                    mass = np.bincount(gate, weights=w, minlength=GATES)
-                    grad = np.stack([np.bincount(gate, weights=error * x[:, k], minlength=GATES) for k in range(WORD)], axis=1)
-                    grad /= np.maximum(mass, 1)[:, None]
-                    past += grad**2
-                    model.weights += rate * grad / np.sqrt(past)
+                    x, *gates, bit = model.inputs(key[now], part, place[now], depth)
+                    error = (bit - 1 / (1 + np.exp(-model.mixed(x, *gates)))) * w
+                    for gate in gates:
+                        mass = np.bincount(gate, weights=w, minlength=WEIGHTS)
+                        grad = np.stack([np.bincount(gate, weights=error * x[:, k], minlength=WEIGHTS) for k in range(WORD)], axis=1)
+                        grad /= np.maximum(mass, 1)[:, None]
+                        past += grad**2
+                        model.weights += rate * grad / np.sqrt(past)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([(model.weights * seen).ravel().tolist()])], names=["seen", "w"])
 
@@ -354,8 +360,8 @@ def _refine(bc):
         one, all_ = np.zeros(GATES * KNOTS), np.zeros(GATES * KNOTS)
         for key, contexts, place, n in _items(batches):
             for depth in range(8):
-                x, gate, bit = model.inputs(key, contexts, place, depth)
-                at = np.rint((np.clip(model.mixed(x, gate), -SPAN, SPAN) + SPAN) * ((KNOTS - 1) / (2 * SPAN))).astype(np.int64)
+                x, gate, more, bit = model.inputs(key, contexts, place, depth)
+                at = np.rint((np.clip(model.mixed(x, gate, more), -SPAN, SPAN) + SPAN) * ((KNOTS - 1) / (2 * SPAN))).astype(np.int64)
                 one += np.bincount(gate * KNOTS + at, weights=n * bit, minlength=len(one))
                 all_ += np.bincount(gate * KNOTS + at, weights=n, minlength=len(one))
         yield pa.RecordBatch.from_arrays([pa.array([one.tolist()]), pa.array([all_.tolist()])], names=["one", "all"])
@@ -418,11 +424,11 @@ def fit(counts: Counts) -> Model:
     n_mix = some.count()
     rest, own = chunks("n - m", counts.n_texts - n_mix), chunks("m", n_mix)
     knots = 1 / (1 + np.exp(-np.linspace(-SPAN, SPAN, KNOTS)))
-    model = Model(_tables(rest), np.full((GATES, WORD), 0.2), np.tile(knots, (GATES, 1)))
+    model = Model(_tables(rest), np.full((WEIGHTS, WORD), 0.1), np.tile(knots, (GATES, 1)))
     learned = cut_lineage(some.mapInArrow(_learn(sc.broadcast(model)), "seen double, w array<double>"))
     seen = learned.agg(F.sum("seen")).first()[0]
     if seen:
-        model.weights = (_summed(learned, ["w"])[0] / seen).reshape(GATES, WORD)
+        model.weights = (_summed(learned, ["w"])[0] / seen).reshape(WEIGHTS, WORD)
         one, all_ = _summed(cut_lineage(some.mapInArrow(_refine(sc.broadcast(model)), "one array<double>, all array<double>")), ["one", "all"])
         prior = 100.0
         model.refine = (one.reshape(GATES, KNOTS) + prior * knots) / (all_.reshape(GATES, KNOTS) + prior)
