@@ -360,15 +360,3 @@ def nuts_rows() -> list[tuple[int, str, str]]:
 def nuts_df(spark: SparkSession) -> DataFrame:
     """level int, nuts_id string, name string (4 rows per country)."""
     return spark.createDataFrame(nuts_rows(), "level int, nuts_id string, name string")
-
-
-def nuts_map():
-    """The region table as a map literal ``nuts_id -> struct<nuts_id, level,
-    name>`` (bounded: 4 entries per served country)."""
-    entries = []
-    for level, nid, name in nuts_rows():
-        entries.append(F.lit(nid))
-        entries.append(
-            F.struct(F.lit(nid).alias("nuts_id"), F.lit(level).alias("level"), F.lit(name).alias("name"))
-        )
-    return F.create_map(*entries)

@@ -1,6 +1,6 @@
 """Column-expression functions used by cleaning, queries and exports."""
 
-from cropledger.functions.amount import avg_half_even, parse_amount, sum_amount, to_amount
+from cropledger.functions.amount import avg_half_even, half_even_cents, parse_amount, sum_amount, to_amount
 from cropledger.functions.text import (
     collapse_spaces,
     entity_id,
@@ -22,6 +22,7 @@ __all__ = [
     "fingerprint",
     "first_usable",
     "fold_ascii",
+    "half_even_cents",
     "has_fingerprint",
     "normalize_scheme",
     "null_token",

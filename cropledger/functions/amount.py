@@ -42,17 +42,20 @@ def avg_half_even(c) -> Column:
     for decimal division; ties go to the even cent. Null for no values.
     """
     c = _c(c)
-    cents = (F.sum(c) * 100).cast(_CENTS)
-    n = F.count(c).cast(_CENTS)
+    return half_even_cents(F.sum(c), F.count(c))
+
+
+def half_even_cents(total: Column, n: Column) -> Column:
+    """total / n rounded half-even to cents, exact; null where n is 0."""
+    cents = (total * 100).cast(_CENTS)
+    n = n.cast(_CENTS)
     abs_cents = F.abs(cents)
     rem = F.pmod(abs_cents, n)
     quot = ((abs_cents - rem) / n).cast(_CENTS)
     bump = (rem * 2 > n) | ((rem * 2 == n) & (F.pmod(quot, F.lit(2)) == 1))
     mag = (quot + F.when(bump, 1).otherwise(0)).cast(_CENTS)
     signed = F.when(cents < 0, -mag).otherwise(mag)
-    return F.when(n == 0, F.lit(None).cast(AMOUNT_TYPE)).otherwise(
-        (signed / 100).cast(AMOUNT_TYPE)
-    )
+    return F.when(n == 0, F.lit(None).cast(AMOUNT_TYPE)).otherwise((signed / 100).cast(AMOUNT_TYPE))
 
 
 def sum_amount(c) -> Column:

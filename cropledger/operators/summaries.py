@@ -1,178 +1,169 @@
-"""Summary entities as grouped queries.
-
-Shared measures: ``count(*)``, ``sum(amount)``, exact half-even
-``round(avg(amount), 2)``, ``max``, ``min`` and, except for the two
-recipient queries, ``count(DISTINCT recipient_id)``. Sets of values are
-``sort_array(collect_set(x))`` (nulls skipped, sorted so results are
-repeatable); one "any" value is ``min(x)``.
-
-Scale notes: every summary is a single hash aggregation with a map-side
-partial step, so a hot key (one scheme or the null location holding a third
-of all rows) is pre-aggregated in every task before the shuffle; the
-distinct-recipient count is planned by Spark as a two-level aggregate keyed
-first on (group, recipient_id), which spreads a hot group over all tasks. Sets are deduplicated map-side (``collect_set`` is partial).
+"""Summary entities.
+
+``ENTITIES`` says what each summary is: its key, the sets of values it shows, and
+whether it counts recipients. One builder plans them all:
+
+- measures come from fixed-width hash aggregations. With a recipient count, rows are
+  first combined by (key, recipient), which spreads a hot key over all tasks, then
+  by key;
+- sets of values come from the distinct (key, values) rows, combined in every task
+  before the shuffle, and are joined to the measures by the key (null keys match).
+
+A result is sorted only if the caller orders or slices it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.dims import countries_df, nuts_df, nuts_map, schemes_df
-from cropledger.functions import avg_half_even, sum_amount
+from cropledger.dims import countries_df, nuts_df, schemes_df
+from cropledger.functions import avg_half_even, half_even_cents, sum_amount
 from cropledger.plans.query import Query
 
 
-def _set(col: str):
-    return lambda: F.sort_array(F.collect_set(col))
+@dataclass(frozen=True)
+class Entity:
+    key: str
+    alias: str
+    #: output name -> column whose values are shown as a sorted set
+    sets: tuple[tuple[str, str], ...] = ()
+    #: output names of ``sets`` that show the smallest value only
+    single: tuple[str, ...] = ()
+    recipients: bool = True
+    #: rows without a key don't form a group
+    key_needed: bool = False
+
+
+_NUTS = tuple((f"nuts{i}_codes", f"nuts{i}") for i in (1, 2, 3))
+_YEARS, _COUNTRIES = ("years", "year"), ("countries", "country")
+
+ENTITIES = {
+    "recipient": Entity(
+        "recipient_id",
+        "id",
+        (_YEARS, ("name", "recipient_name"), ("recipient_country", "recipient_country"), ("address", "recipient_address"), *_NUTS),
+        single=("recipient_country",),
+        recipients=False,
+    ),
+    "recipient_base": Entity("recipient_id", "id", recipients=False),
+    "scheme": Entity("scheme_id", "id", (("name", "scheme"), _YEARS, _COUNTRIES), single=("name",), key_needed=True),
+    "country": Entity("country", "country", (_YEARS,)),
+    "year": Entity("year", "year", (_COUNTRIES,)),
+    "location": Entity("recipient_address", "location", (_YEARS, _COUNTRIES, *_NUTS)),
+    **{f"nuts{i}": Entity(f"nuts{i}", "nuts", (_YEARS,), key_needed=True) for i in (1, 2, 3)},
+}
 
 
-def _measures(recipients: bool = True) -> tuple:
-    out = [lambda: F.count(F.lit(1)).alias("total_payments")]
-    if recipients:
-        out.append(lambda: F.count_distinct(F.col("recipient_id")).alias("total_recipients"))
-    out += [
-        lambda: sum_amount("amount").alias("amount_sum"),
-        lambda: avg_half_even("amount").alias("amount_avg"),
-        lambda: F.max("amount").alias("amount_max"),
-        lambda: F.min("amount").alias("amount_min"),
+def measures(recipients: bool = True) -> list[Column]:
+    """The shared measures as plain aggregates (global row, extended groupings)."""
+    counted = [F.count_distinct(F.col("recipient_id")).alias("total_recipients")] if recipients else []
+    return [
+        F.count(F.lit(1)).alias("total_payments"),
+        *counted,
+        sum_amount("amount").alias("amount_sum"),
+        avg_half_even("amount").alias("amount_avg"),
+        F.max("amount").alias("amount_max"),
+        F.min("amount").alias("amount_min"),
     ]
-    return tuple(out)
-
-
-def _named(fn, name):
-    return lambda: fn().alias(name)
-
-
-class RecipientQuery(Query):
-    """A1: one row per recipient with its sets of years, names, addresses
-    and region codes."""
-
-    fields = (
-        lambda: F.col("recipient_id").alias("id"),
-        _named(_set("year"), "years"),
-        _named(_set("recipient_name"), "name"),
-        lambda: F.min("recipient_country").alias("recipient_country"),
-        _named(_set("recipient_address"), "address"),
-        _named(_set("nuts1"), "nuts1_codes"),
-        _named(_set("nuts2"), "nuts2_codes"),
-        _named(_set("nuts3"), "nuts3_codes"),
-    ) + _measures(recipients=False)
-    key_field = "id"
-    group_by_fields = ("recipient_id",)
-    order_by_fields = ("recipient_id",)
-
-
-class RecipientBaseQuery(Query):
-    """A2: A1 without the text sets (cheap variant for top-k lists)."""
-
-    fields = (lambda: F.col("recipient_id").alias("id"),) + _measures(recipients=False)
-    key_field = "id"
-    group_by_fields = ("recipient_id",)
-    order_by_fields = ("recipient_id",)
-
-
-class RecipientNameQuery(Query):
-    """A3: distinct (id, name, country) for autocomplete."""
-
-    fields = (
-        lambda: F.col("recipient_id").alias("id"),
-        lambda: F.col("recipient_name").alias("name"),
-        lambda: F.col("recipient_country"),
-    )
-    distinct = True
-    count_mode = "payments"
-
-
-class SchemeQuery(Query):
-    """A4: per scheme id, with one scheme name, years and countries."""
-
-    fields = (
-        lambda: F.col("scheme_id").alias("id"),
-        lambda: F.min("scheme").alias("name"),
-        _named(_set("year"), "years"),
-        _named(_set("country"), "countries"),
-    ) + _measures()
-    where_lookup = {"scheme_id__null": False}
-    key_field = "id"
-    group_by_fields = ("scheme_id",)
-    order_by_fields = ("scheme_id",)
-
-
-class CountryQuery(Query):
-    """A5: per payment country, with its years."""
-
-    fields = (lambda: F.col("country"), _named(_set("year"), "years")) + _measures()
-    key_field = "country"
-    group_by_fields = ("country",)
-    order_by_fields = ("country",)
 
 
-class YearQuery(Query):
-    """Per year, with its countries."""
-
-    fields = (lambda: F.col("year"), _named(_set("country"), "countries")) + _measures()
-    key_field = "year"
-    group_by_fields = ("year",)
-    order_by_fields = ("year",)
-
-
-class LocationQuery(Query):
-    """Per address; the null address is kept as its own group."""
-
-    fields = (
-        lambda: F.col("recipient_address").alias("location"),
-        _named(_set("year"), "years"),
-        _named(_set("country"), "countries"),
-        _named(_set("nuts1"), "nuts1_codes"),
-        _named(_set("nuts2"), "nuts2_codes"),
-        _named(_set("nuts3"), "nuts3_codes"),
-    ) + _measures()
-    key_field = "location"
-    group_by_fields = ("recipient_address",)
-    order_by_fields = ("recipient_address",)
-
-
-def _nuts_query(level: int):
-    key = f"nuts{level}"
-
-    class NutsQuery(Query):
-        fields = (lambda: F.col(key).alias("nuts"), _named(_set("year"), "years")) + _measures()
-        where_lookup = {f"{key}__null": False}
-        key_field = "nuts"
-        group_by_fields = (key,)
-        order_by_fields = (key,)
-
-    NutsQuery.__name__ = f"Nuts{level}Query"
-    NutsQuery.__doc__ = f"A{7 + level}: per region code of level {level}, not null."
-    return NutsQuery
-
-
-Nuts1Query = _nuts_query(1)
-Nuts2Query = _nuts_query(2)
-Nuts3Query = _nuts_query(3)
-
-
-class AggregationQuery(Query):
-    """One global row over any filter; HAVING never applies."""
-
-    fields = _measures()
-    count_mode = "payments"
-
-
-SUMMARIES = {
-    "recipient": RecipientQuery,
-    "recipient_base": RecipientBaseQuery,
-    "recipient_name": RecipientNameQuery,
-    "scheme": SchemeQuery,
-    "country": CountryQuery,
-    "year": YearQuery,
-    "location": LocationQuery,
-    "nuts1": Nuts1Query,
-    "nuts2": Nuts2Query,
-    "nuts3": Nuts3Query,
-    "aggregation": AggregationQuery,
-}
+@dataclass(frozen=True)
+class SummaryQuery(Query):
+    """One row per key of an entity. Added columns or keys turn it into a plain
+    grouped query of the entity's columns and the added ones."""
+
+    entity: Entity | None = None
+
+    @property
+    def grouped(self) -> bool:
+        return True
+
+    def _plain(self) -> Query:
+        e = self.entity
+        shown = [
+            (F.min(column) if name in e.single else F.sort_array(F.collect_set(column))).alias(name) for name, column in e.sets
+        ]
+        return Query(
+            self.source, (F.col(e.key).alias(e.alias), *shown, *measures(e.recipients), *self.columns), (e.key, *self.keys), filters=self.filters
+        )
+
+    def result(self) -> tuple[DataFrame, list[str], list[str]]:
+        if self.columns or self.keys:
+            return self._plain().result()
+        e, rows = self.entity, self.filtered()
+        by = ["_key", "_recipient"] if e.recipients else ["_key"]
+        first = (
+            rows.select(F.col(e.key).alias("_key"), F.col("recipient_id").alias("_recipient"), "amount")
+            .groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("n"), F.count("amount").alias("k"), F.sum("amount").alias("s"), F.max("amount").alias("high"), F.min("amount").alias("low"))
+        )
+        counted = [F.count("_recipient").alias("r")] if e.recipients else []
+        total = first.groupBy("_key").agg(F.sum("n").alias("n"), *counted, F.sum("k").alias("k"), F.sum("s").alias("s"), F.max("high").alias("high"), F.min("low").alias("low"))
+        if e.sets:
+            columns = [c for _, c in e.sets]
+            values = rows.select(F.col(e.key).alias("_set_key"), *(F.col(c).alias(f"v{i}") for i, c in enumerate(columns))).distinct()
+            shown = values.groupBy("_set_key").agg(*(F.sort_array(F.collect_set(f"v{i}")).alias(f"v{i}") for i in range(len(columns))))
+            total = total.join(shown, F.col("_key").eqNullSafe(F.col("_set_key")))
+        sets = [(F.try_element_at(f"v{i}", F.lit(1)) if n in e.single else F.col(f"v{i}")).alias(n) for i, (n, _) in enumerate(e.sets)]
+        out = total.select(
+            F.col("_key"),
+            F.col("_key").alias(e.alias),
+            *sets,
+            F.col("n").alias("total_payments"),
+            *([F.col("r").alias("total_recipients")] if e.recipients else []),
+            F.col("s").cast("decimal(28,2)").alias("amount_sum"),
+            half_even_cents(F.col("s"), F.col("k")).alias("amount_avg"),
+            F.col("high").alias("amount_max"),
+            F.col("low").alias("amount_min"),
+        )
+        return out.toDF(*(f"_{i}" for i in range(len(out.columns)))), out.columns[1:], [e.key]
+
+    def to_df(self, sliced: bool = True) -> DataFrame:
+        # a slice of a summary needs an order to mean anything: by its key
+        if sliced and not self.order and (self.start or self.size is not None):
+            return self.order_by(self.entity.alias).to_df()
+        return super().to_df(sliced)
+
+    def count_df(self) -> DataFrame:
+        return self.filtered().agg(F.count_distinct(*map(F.col, (self.entity.key, *self.keys))).alias("count"))
+
+
+def entity_query(name: str, source: DataFrame) -> SummaryQuery:
+    e = ENTITIES[name]
+    return SummaryQuery(source, identity=(e.alias,), filters={f"{e.key}__null": False} if e.key_needed else {}, entity=e)
+
+
+@dataclass(frozen=True)
+class NamesQuery(Query):
+    """A3: distinct (id, name, country), in that order; counts payments."""
+
+    def to_df(self, sliced: bool = True) -> DataFrame:
+        if not self.order:
+            return replace(self, order=("id", "name", "recipient_country")).to_df(sliced)
+        return super().to_df(sliced)
+
+
+def names_query(source: DataFrame) -> NamesQuery:
+    shown = tuple(F.col(c).alias(n) for n, c in (("id", "recipient_id"), ("name", "recipient_name"), ("recipient_country", "recipient_country")))
+    return NamesQuery(source, shown, distinct=True, identity=("id", "name", "recipient_country"))
+
+
+def global_query(source: DataFrame) -> Query:
+    """One global row over any filter."""
+    return Query(source, tuple(measures()))
+
+
+SUMMARIES = {name: partial(entity_query, name) for name in ENTITIES} | {"recipient_name": names_query, "aggregation": global_query}
+RecipientQuery, RecipientBaseQuery, SchemeQuery = (SUMMARIES[n] for n in ("recipient", "recipient_base", "scheme"))
+CountryQuery, YearQuery, LocationQuery = (SUMMARIES[n] for n in ("country", "year", "location"))
+Nuts1Query, Nuts2Query, Nuts3Query = (SUMMARIES[f"nuts{i}"] for i in (1, 2, 3))
+RecipientNameQuery, AggregationQuery = names_query, global_query
 
 # key column of each entity for point lookups and reverse navigation
 LOOKUP_FIELDS = {
@@ -208,43 +199,65 @@ def navigate_many(payments: DataFrame, keys: DataFrame, key: str, target: str) -
     return SUMMARIES[target](payments.join(keys.select(key).distinct(), key, "left_semi"))
 
 
-def summaries(payments: DataFrame, entities=None) -> dict[str, DataFrame]:
-    """B1: several summaries from one persisted filtered scan."""
+@contextmanager
+def summaries(payments: DataFrame, entities=None) -> Iterator[dict[str, DataFrame]]:
+    """B1: several summaries from one persisted filtered scan, which is given back
+    when the block ends."""
     base = payments.persist()
-    return {e: SUMMARIES[e](base).to_df() for e in (entities or SUMMARIES)}
+    try:
+        yield {e: SUMMARIES[e](base).to_df() for e in (entities or SUMMARIES)}
+    finally:
+        base.unpersist()
 
 
 # ---------------------------------------------------------------------------
-# Enrichment joins on summary results (J5, J6, J8). Dimensions are tiny and
-# bounded by construction, so they are broadcast.
+# Records attached to summary results (J5, J6, J8). The tables are inputs, so their
+# joins are left to the planner.
 # ---------------------------------------------------------------------------
 
 
-def with_country_name(spark: SparkSession, df: DataFrame, col: str = "country") -> DataFrame:
+@dataclass(frozen=True)
+class Dimensions:
+    """Lookup tables of a deployment; None takes the built-in one.
+
+    ``countries(country, name)``, ``schemes(scheme_full_name, scheme_description)``,
+    ``nuts(nuts_id, level, name)``.
+    """
+
+    countries: DataFrame | None = None
+    schemes: DataFrame | None = None
+    nuts: DataFrame | None = None
+
+
+def with_country_name(spark: SparkSession, df: DataFrame, col: str = "country", countries: DataFrame | None = None) -> DataFrame:
     """Add the display ``name`` of the country code."""
-    dim = countries_df(spark).withColumnRenamed("country", "_cc")
-    return df.join(F.broadcast(dim), df[col] == dim["_cc"], "left").drop("_cc")
+    dim = (countries_df(spark) if countries is None else countries).select(F.col("country").alias("_cc"), "name")
+    return df.join(dim, df[col] == dim["_cc"], "left").drop("_cc")
 
 
-def with_scheme_description(spark: SparkSession, df: DataFrame, name_col: str = "name") -> DataFrame:
+def with_scheme_description(spark: SparkSession, df: DataFrame, name_col: str = "name", schemes: DataFrame | None = None) -> DataFrame:
     """Scheme description looked up by full scheme name."""
-    dim = schemes_df(spark).select(
+    dim = (schemes_df(spark) if schemes is None else schemes).select(
         F.col("scheme_full_name").alias("_sfn"), F.col("scheme_description").alias("description")
     )
-    return df.join(F.broadcast(dim), df[name_col] == dim["_sfn"], "left").drop("_sfn")
+    return df.join(dim, df[name_col] == dim["_sfn"], "left").drop("_sfn")
+
 
+def _nuts(spark: SparkSession, nuts: DataFrame | None, out_col: str) -> DataFrame:
+    dim = nuts_df(spark) if nuts is None else nuts
+    return dim.select(F.col("nuts_id").alias("_nid"), F.struct("nuts_id", "level", "name").alias(out_col))
 
-def with_nuts_records(spark: SparkSession, df: DataFrame, codes_col: str, out_col: str) -> DataFrame:
-    """Turn an array of region codes into an array of region records
-    ``struct<nuts_id, level, name>`` (null entries for unknown codes), through
-    a map literal of the bounded region table: no join, no shuffle."""
-    lookup = nuts_map()
-    return df.withColumn(out_col, F.transform(F.col(codes_col), lambda c: F.try_element_at(lookup, c)))
 
+def with_nuts_records(spark: SparkSession, df: DataFrame, codes_col: str, out_col: str, nuts: DataFrame | None = None) -> DataFrame:
+    """An array of region codes as an array of ``struct<nuts_id, level, name>`` in
+    the same order (null for an unknown code). Rows of ``df`` must differ, as
+    summary rows do by their key."""
+    flat = df.select("*", F.posexplode_outer(codes_col).alias("_pos", "_code"))
+    joined = flat.join(_nuts(spark, nuts, "_record"), F.col("_code") == F.col("_nid"), "left")
+    items = F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_record"))))
+    return joined.groupBy(*df.columns).agg(F.transform(items, lambda x: x["_record"]).alias(out_col))
 
-def with_nuts_record(spark: SparkSession, df: DataFrame, code_col: str, out_col: str) -> DataFrame:
+
+def with_nuts_record(spark: SparkSession, df: DataFrame, code_col: str, out_col: str, nuts: DataFrame | None = None) -> DataFrame:
     """J8 for one code per row (payments, NUTS summaries)."""
-    dim = nuts_df(spark).select(
-        F.col("nuts_id").alias("_nid"), F.struct("nuts_id", "level", "name").alias(out_col)
-    )
-    return df.join(F.broadcast(dim), df[code_col] == dim["_nid"], "left").drop("_nid")
+    return df.join(_nuts(spark, nuts, out_col), F.col(code_col) == F.col("_nid"), "left").drop("_nid")

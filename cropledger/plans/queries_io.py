@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cropledger.operators import summaries as S
 from cropledger.plans import oracle as O
 from cropledger.plans import oracle_clean as OC
+from cropledger.plans import views as V
 from cropledger.plans.registry import present, register
 from cropledger.plans.testdata import payments, raw_payments
 from cropledger.schema import PAYMENT_COLUMNS
@@ -200,3 +201,32 @@ def export_sql_q(spark, sf_dir):
     path = scratch(spark, "sql-export")
     X.export_sql(spark, payments(spark, sf_dir), _EXPORT_SQL_TEXT, path)
     return X.read_csv_text(spark, path)
+
+
+_EXPORT_PAGE_SQL = (
+    "SELECT {how} AS file, * FROM (SELECT country, CAST(count(*) AS VARCHAR) AS total_payments FROM payments "
+    "GROUP BY country ORDER BY country {cut})"
+)
+
+
+@register(
+    "named_export",
+    O.with_payments(
+        " UNION ALL ".join(
+            _EXPORT_PAGE_SQL.format(how=O.q(how), cut=cut)
+            for how, cut in (("page 1", "LIMIT 3"), ("page 2", "LIMIT 3 OFFSET 3"), ("full", ""), ("again", "LIMIT 3"))
+        )
+    ),
+)
+def named_export_q(spark, sf_dir):
+    """S14 through API requests: two pages and the full result have files of their
+    own, and a repeated request reads its first file again."""
+    p, folder = payments(spark, sf_dir), scratch(spark, "named")
+    out, paths = None, {}
+    for how, params in (("page 1", {"p": 1, "limit": 3}), ("page 2", {"p": 2, "limit": 3}), ("full", {}), ("again", {"p": 1, "limit": 3})):
+        path = V.call(p, "countries", params | {"output": "export"}, export_dir=folder)["path"]
+        if paths.setdefault(path, how) != how and how != "again":
+            raise ValueError("two requests share a file")
+        rows = X.read_csv_text(spark, path).select(F.lit(how).alias("file"), "country", "total_payments")
+        out = rows if out is None else out.union(rows)
+    return out

@@ -13,6 +13,7 @@ from cropledger.plans.oracle import avg_sql, fingerprint_sql, measures_sql, num,
 from cropledger.plans.query import Query
 from cropledger.plans.registry import present, register
 from cropledger.plans.testdata import payments
+from cropledger.session import cut_lineage
 
 # FIXED VALUES (ours): literals used by the registered example queries.
 FILTER_COUNTRY = "PL"
@@ -103,16 +104,16 @@ def summary_global(spark, sf_dir):
     with_payments(
         f"SELECT DISTINCT recipient_id AS id, recipient_name AS name, recipient_country FROM payments "
         f"WHERE country = {q(FILTER_COUNTRY)} AND recipient_fingerprint LIKE '%customer%' "
-        f"ORDER BY name, id LIMIT 10"
+        f"ORDER BY name, id, recipient_country LIMIT 50"
     ),
 )
 def recipient_autocomplete(spark, sf_dir):
     view = V.RecipientNameView(
         _p(spark, sf_dir),
-        {"country": FILTER_COUNTRY, "recipient_fingerprint__like": "%CUSTOMER%", "limit": 50},
+        {"country": FILTER_COUNTRY, "recipient_fingerprint__like": "%CUSTOMER%", "limit": 50, "order_by": "name"},
         authenticated=True,
     )
-    return present(view.query().order_by("name", "id").to_df())
+    return present(view.to_df())
 
 
 _ROW_COLS = "pk, country, year, recipient_id, recipient_name, scheme, amount"
@@ -173,7 +174,7 @@ def filter_null(spark, sf_dir):
 def payments_select(spark, sf_dir):
     """Payment rows through the payment view (authenticated: no year
     restriction)."""
-    view = V.PaymentView(_p(spark, sf_dir), {"country": "LU"}, authenticated=True, trusted=True)
+    view = V.PaymentView(_p(spark, sf_dir), {"country": "LU"}, authenticated=True)
     return present(view.to_df())
 
 
@@ -318,7 +319,7 @@ def page_desc_measure(spark, sf_dir):
 def fingerprint_search(spark, sf_dir):
     """P10: the search text is normalised like the stored fingerprint."""
     view = V.RecipientBaseView(
-        _p(spark, sf_dir), {"recipient_fingerprint__like": "%CUSTOMER#00000012%"}, authenticated=True, trusted=True
+        _p(spark, sf_dir), {"recipient_fingerprint__like": "%CUSTOMER#00000012%"}, authenticated=True
     )
     return present(view.base_query().to_df())
 
@@ -453,18 +454,180 @@ def country_names(spark, sf_dir):
     return present(S.with_country_name(spark, S.CountryQuery(_p(spark, sf_dir)).to_df()))
 
 
+_REGIONS_SQL = "(" + " UNION ".join(f"SELECT {i} AS level, nuts{i} AS nuts_id, 'Region ' || nuts{i} AS name FROM payments WHERE nuts{i} IS NOT NULL" for i in (1, 2, 3)) + ")"
+
+
+def _regions(p):
+    """A region table of the deployment's own codes, as an input would bring it."""
+    parts = [
+        p.where(F.col(f"nuts{i}").isNotNull())
+        .select(F.lit(i).alias("level"), F.col(f"nuts{i}").alias("nuts_id"), F.concat(F.lit("Region "), F.col(f"nuts{i}")).alias("name"))
+        .distinct()
+        for i in (1, 2, 3)
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def _record_sql(i: int) -> str:
+    return "CASE WHEN r.nuts_id IS NULL THEN NULL ELSE " "'{\"nuts_id\":\"' || r.nuts_id || '\",\"level\":' || r.level || ',\"name\":\"' || r.name || '\"}' END"
+
+
 @register(
     "nuts_enrich",
     with_payments(
-        f"SELECT nuts2 AS nuts, {set_sql('year')} AS years, {measures_sql(True)}, "
-        "CASE WHEN nuts2 IS NULL THEN NULL ELSE "
-        "'{\"nuts_id\":\"' || nuts2 || '\",\"level\":0,\"name\":\"' || min(cn.name) || '\"}' END AS region "
+        " UNION ALL ".join(
+            f"SELECT s.*, {_record_sql(i)} AS nuts_record FROM (SELECT nuts{i} AS nuts, {set_sql('year')} AS years, {measures_sql(True)} FROM payments "
+            f"WHERE nuts{i} IS NOT NULL GROUP BY nuts{i}) s LEFT JOIN {_REGIONS_SQL} r ON r.level = {i} AND s.nuts = r.nuts_id"
+            for i in (1, 2, 3)
+        )
+    ),
+)
+def nuts_enrich(spark, sf_dir):
+    """J8 through the views: the region record of each code, at levels 1 to 3."""
+    p = _p(spark, sf_dir)
+    regions = _regions(p)
+    parts = [
+        V.call(p, f"nuts/{i}", dims=S.Dimensions(nuts=regions.where(F.col("level") == i)))["results"] for i in (1, 2, 3)
+    ]
+    return present(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@register(
+    "nuts_lists",
+    with_payments(
+        "SELECT l.location, l.total_payments, string_agg(r.name, ';' ORDER BY r.nuts_id) AS regions FROM "
+        "(SELECT recipient_address AS location, count(*) AS total_payments FROM payments GROUP BY recipient_address) l "
+        f"LEFT JOIN (SELECT DISTINCT recipient_address, nuts3 FROM payments) c ON c.recipient_address = l.location "
+        f"LEFT JOIN {_REGIONS_SQL} r ON r.level = 3 AND c.nuts3 = r.nuts_id GROUP BY l.location, l.total_payments"
+    ),
+)
+def nuts_lists(spark, sf_dir):
+    """J8, array form: region records of a location's list of codes."""
+    p = _p(spark, sf_dir)
+    out = V.call(p, "locations", dims=S.Dimensions(nuts=_regions(p).where("level = 3")))["results"]
+    names = F.array_join(F.transform("nuts3_records", lambda x: x["name"]), ";")
+    return present(out.select("location", "total_payments", F.nullif(names, F.lit("")).alias("regions")))
+
+
+# ---------------------------------------------------------------------------
+# Refusals, measure filters, paging flags, reuse
+# ---------------------------------------------------------------------------
+
+_REQUESTS = {
+    "unknown field": ("countries", {"planet": "DE"}),
+    "unknown comparison": ("countries", {"country__near": "DE"}),
+    "comparison of another type": ("countries", {"country__gt": "DE"}),
+    "text for a number": ("countries", {"year__gt": "abc"}),
+    "measure of rows": ("payments", {"amount_sum__gte": 1}),
+    "unknown order": ("years", {"order_by": "recipient_name"}),
+    "page zero": ("years", {"p": 0, "limit": 3}),
+    "no limit of zero": ("years", {"limit": 0}),
+    "id is equal or not": ("recipients", {"recipient_id__like": "x%"}),
+    "good request": ("countries", {"year__gte": "2014", "amount_sum__gt": "0"}),
+}
+
+
+@register(
+    "request_checks",
+    "SELECT name, expected AS refused, n FROM (VALUES "
+    + ", ".join(f"({q(k)}, {str(k != 'good request').lower()})" for k in _REQUESTS)
+    + ") AS t(name, expected), (SELECT count(*) AS n FROM nation)",
+)
+def request_checks(spark, sf_dir):
+    """Requests that must be refused before any plan runs, and one that
+    must not, over the countries of the payments."""
+    p = _p(spark, sf_dir)
+    rows = []
+    for name, (endpoint, params) in _REQUESTS.items():
+        try:
+            V.View(endpoint, p, params).query()
+            rows.append((name, False))
+        except V.InvalidQuery:
+            rows.append((name, True))
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").agg(F.count(F.lit(1)).alias("n"))
+    return spark.createDataFrame(rows, "name string, refused boolean").withColumn("n", F.lit(n.first()["n"]))
+
+
+@register(
+    "view_measure_filter",
+    with_payments(
+        f"SELECT year, {set_sql('country')} AS countries, {measures_sql(True)} FROM payments "
+        "WHERE country IN ('DE', 'FR') OR country = 'FR' GROUP BY year HAVING count(*) >= 5 AND max(amount) > 1000"
+    ).replace("country IN ('DE', 'FR') OR country = 'FR'", "country LIKE 'F%'"),
+)
+def view_measure_filter(spark, sf_dir):
+    """One request with a row filter and measure filters, routed by the view."""
+    view = V.YearView(_p(spark, sf_dir), {"country__like": "F%", "total_payments__gte": "5", "amount_max__gt": 1000})
+    return present(view.to_df())
+
+
+@register(
+    "paging_flags",
+    with_payments(
+        "SELECT p AS page, n AS item_count, p * 7 < n AS has_next, p > 1 AS has_prev, least(7, greatest(0, n - (p - 1) * 7)) AS rows "
+        "FROM (SELECT count(DISTINCT country) AS n FROM payments) t, (VALUES (1), (2), (4), (9)) AS v(p)"
+    ),
+)
+def paging_flags(spark, sf_dir):
+    """Page flags and page sizes, in the middle, at the end and behind it."""
+    p, rows = _p(spark, sf_dir), []
+    for page in (1, 2, 4, 9):
+        r = V.CountryView(p, {"limit": 7, "p": page}).result()
+        rows.append((page, r["item_count"], r["has_next"], r["has_prev"], r["results"].count()))
+    return spark.createDataFrame(rows, "page int, item_count long, has_next boolean, has_prev boolean, rows long")
+
+
+@register(
+    "result_cache",
+    with_payments(
+        "SELECT 'cached' AS how, * FROM (SELECT recipient_id AS id, "
+        + measures_sql(False)
+        + " FROM payments WHERE country = 'PL' GROUP BY recipient_id ORDER BY count(*) DESC, recipient_id LIMIT 20 OFFSET 20) "
+        "UNION ALL SELECT 'other table', * FROM (SELECT recipient_id AS id, "
+        + measures_sql(False)
+        + " FROM payments WHERE country = 'PL' AND year >= 2014 GROUP BY recipient_id ORDER BY count(*) DESC, recipient_id LIMIT 20 OFFSET 20)"
+    ),
+)
+def result_cache(spark, sf_dir):
+    """Page 2 from a kept result, in the order of the page made afresh; the same
+    request over another table gets its own result."""
+    p, cache = _p(spark, sf_dir), V.ResultCache()
+    params = {"country": "PL", "limit": 20, "order_by": "-total_payments"}
+    out = None
+    for how, source in (("cached", p), ("other table", p.where("year >= 2014"))):
+        cache.page(V.RecipientBaseView(source, params | {"p": 1}, authenticated=True)).count()
+        page = cache.page(V.RecipientBaseView(source, params | {"p": 2}, authenticated=True)).select(F.lit(how).alias("how"), "*")
+        out = page if out is None else out.unionByName(page)
+    return present(out)
+
+
+@register(
+    "bulk_summaries",
+    with_payments(
+        "SELECT 'country' AS entity, country AS item, count(*) AS total_payments FROM payments GROUP BY country UNION ALL "
+        "SELECT 'year', CAST(year AS VARCHAR), count(*) FROM payments GROUP BY year"
+    ),
+)
+def bulk_summaries(spark, sf_dir):
+    """B1: several summaries from one kept scan."""
+    with S.summaries(_p(spark, sf_dir), ["country", "year"]) as made:
+        parts = [
+            made[e].select(F.lit(e).alias("entity"), F.col(e).cast("string").alias("item"), "total_payments") for e in ("country", "year")
+        ]
+        # the kept scan is given back when the block ends, so the small result is cut off first
+        out = cut_lineage(parts[0].union(parts[1]))
+    return out
+
+
+@register(
+    "endpoint_records",
+    with_payments(
+        f"SELECT p.country, {set_sql('year')} AS years, {measures_sql(True)}, min(cn.name) AS name "
         "FROM payments p LEFT JOIN (VALUES "
         + ", ".join(f"({q(c)}, {q(n)})" for c, n, _ in COUNTRIES)
-        + ") AS cn(code, name) ON p.nuts2 = cn.code WHERE nuts2 IS NOT NULL GROUP BY nuts2"
+        + ") AS cn(country, name) ON p.country = cn.country GROUP BY p.country ORDER BY sum(amount) DESC LIMIT 4"
     ),
 )
-def nuts_enrich(spark, sf_dir):
-    """NUTS summary with the region record of each code."""
-    df = S.Nuts2Query(_p(spark, sf_dir)).to_df()
-    return present(S.with_nuts_record(spark, df, "nuts", "region"))
+def endpoint_records(spark, sf_dir):
+    """J6 through an API request: a page of countries with their names."""
+    return present(V.call(_p(spark, sf_dir), "countries", {"order_by": "-amount_sum", "limit": 4})["results"])

@@ -7,7 +7,7 @@ pipeline. Both grow linearly with the input tables.
 
 Plan at scale: lineitem ⋈ orders and ⋈ customer and ⋈ part are equi-joins on
 keys of large tables, left to the planner (sort-merge with AQE skew
-splitting); only nation ⋈ region is broadcast, behind a row-count check.
+splitting), like nation ⋈ region.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from cropledger.dims import COUNTRY_CURRENCY, CURRENCY_RATES, NATION_COUNTRY
 from cropledger.functions import entity_id, fingerprint, scheme_id
 from cropledger.schema import AMOUNT_TYPE, PAYMENT_COLUMNS
-from cropledger.session import sized_broadcast
 
 # FIXED VALUES of the adapter (ours): the segment whose address and region
 # codes are null, and the part size under which a payment has no scheme.
@@ -37,33 +36,23 @@ def country_of(nationkey: Column) -> Column:
 
 
 def _lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items hash-partitioned on the order key into twice the cluster's
-    cores: the shuffle the join with orders needs anyway (reused by the
-    planner), and enough tasks for the CPU-bound projections that follow."""
-    n = 2 * spark.sparkContext.defaultParallelism
-    return (
-        read_table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate")
-        .repartition(n, "l_orderkey")
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice", "l_shipdate"
     )
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer ⋈ (nation ⋈ region): the nation-region pair is broadcast only
-    after a bounded row count proves it small, else left to the planner (which
-    also plans the inner join from size statistics)."""
+    """customer ⋈ (nation ⋈ region), both joins left to the planner."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    return cust.join(sized_broadcast(geo, 10_000), cust.c_nationkey == geo.n_nationkey)
+    return cust.join(geo, cust.c_nationkey == geo.n_nationkey)
 
 
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ (nation ⋈ region) ⋈ part, pruned to
-    the columns the payments model needs.
-
-    lineitem is hash-partitioned on the order key up front (``_lineitems``)."""
+    the columns the payments model needs."""
     li = _lineitems(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = _customers(spark, sf_dir)

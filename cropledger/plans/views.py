@@ -1,25 +1,29 @@
-"""API-style views: typed filter parameters, WHERE/HAVING split, public-year
-restriction, ordering, paging and result reuse (P10-P13, W3, W6-W8, S14).
+"""API-style views: typed filter parameters, filters on rows and on measures,
+public years, ordering, paging, exports and result reuse (P10-P13, W3, W6-W8, S14).
 
 A view turns a flat parameter dict (as a web request would carry it) into a
-``Query`` over the payments DataFrame. Nothing is collected except the page
-itself and the count.
+``Query`` over the payments. It returns what was asked for: without a limit the whole
+result, with one exactly that page. A caller that wants a largest page passes
+``max_limit``; a request beyond it is refused, never cut silently.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from decimal import Decimal, InvalidOperation
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.dims import PUBLIC_YEARS
 from cropledger.errors import InvalidQuery
 from cropledger.functions import fingerprint
 from cropledger.operators import summaries as S
-from cropledger.plans.query import Query
+from cropledger.plans.query import Query, truth
 
 STRING, NUMERIC, ID = "string", "numeric", "id"
 
@@ -55,11 +59,6 @@ LOOKUPS = {
 }
 CONTROL_PARAMS = ("order_by", "limit", "p", "output", "api_key")
 
-MAX_LIMIT = 1000
-NAMES_MAX_LIMIT = 10
-EXPORT_LIMIT = 100_000
-CACHE_MAX_ROWS = 100_000
-
 
 def fingerprint_pattern(value: str) -> Column:
     """P10: normalise the text inside ``%`` wrappers with the same
@@ -71,99 +70,153 @@ def fingerprint_pattern(value: str) -> Column:
     return F.concat(F.lit(head), fingerprint(F.lit(inner)), F.lit(tail))
 
 
-def check_params(params: dict[str, Any], aggregated: bool) -> None:
-    """Unknown fields or lookups are refused."""
-    allowed = dict(BASE_FIELDS)
-    if aggregated:
-        allowed.update(AGGREGATED_FIELDS)
-    for key in params:
-        if key in CONTROL_PARAMS:
-            continue
-        field, *ops = key.split("__")
-        if field not in allowed or len(ops) > 1:
-            raise InvalidQuery(f"Invalid filter: `{key}`")
-        if ops and ops[0] not in LOOKUPS[allowed[field]]:
-            raise InvalidQuery(f"Invalid lookup for `{field}`: `{ops[0]}`")
-
-
-def split_params(params: dict[str, Any]) -> tuple[dict, dict]:
-    """Route filters to WHERE (row fields) and HAVING (measures)."""
-    where, having = {}, {}
-    for key, value in params.items():
-        if key in CONTROL_PARAMS or value is None:
-            continue
-        field = key.split("__")[0]
-        if "fingerprint" in key and isinstance(value, str) and not key.endswith("__null"):
-            value = fingerprint_pattern(value)
-        (having if field in AGGREGATED_FIELDS else where)[key] = value
-    return where, having
-
-
-def get_slice(page: int, limit: int | None) -> tuple[int | None, int | None]:
-    """Page ≥ 1, limit ≥ 1, start = (page - 1) · limit."""
-    if page < 1:
-        raise InvalidQuery(f"Page must be 1 or higher (got `{page}`).")
-    if limit is None:
-        return None, None
-    if limit < 1:
-        raise InvalidQuery(f"Limit must be 1 or higher (got `{limit}`).")
-    start = (page - 1) * limit
-    return start, start + limit
+def typed(name: str, kind: str, suffix: str, value: Any) -> Any:
+    """The value in its field's type; one that isn't of the type is refused."""
+    if suffix == "null":
+        if not isinstance(value, bool) and str(value).strip().lower() not in ("0", "1", "true", "false", "yes", "no", "y", "n", "t", "f", "on", "off"):
+            raise InvalidQuery(f"{name} takes true or false, not {value!r}")
+        return truth(value)
+    if kind == NUMERIC:
+        try:
+            number = Decimal(str(value).strip())
+        except InvalidOperation:
+            number = Decimal("NaN")
+        if isinstance(value, bool) or not number.is_finite():
+            raise InvalidQuery(f"{name} takes a number, not {value!r}")
+        return int(number) if number == number.to_integral_value() and abs(number) < 2**63 else number
+    return str(value)
+
+
+def whole(name: str, value: Any, default: int | None) -> int | None:
+    """A parameter of 1 or more."""
+    if value is None:
+        return default
+    try:
+        number = int(str(value))
+    except ValueError:
+        number = 0
+    if number < 1:
+        raise InvalidQuery(f"{name} takes a whole number of 1 or more, not {value!r}")
+    return number
+
+
+@dataclass(frozen=True)
+class Kind:
+    """What a view shows."""
+
+    query: Callable[[DataFrame], Query]
+    #: columns a result may be ordered by
+    orders: tuple[str, ...]
+    aggregated: bool = False
+    restricted: bool = False
+    #: a single row: no pages
+    single: bool = False
+    #: columns that records are attached to: name -> "country", "scheme", "nuts" or "nuts list"
+    enrich: tuple[tuple[str, str], ...] = ()
+
+
+_MEASURES = ("total_payments", "amount_sum", "amount_avg", "amount_max", "amount_min")
+_WITH_RECIPIENTS = (*_MEASURES, "total_recipients")
+_NUTS = tuple((f"nuts{i}", "nuts") for i in (1, 2, 3))
+_NUTS_LISTS = tuple((f"nuts{i}_codes", "nuts list") for i in (1, 2, 3))
+
+
+def _payments(source: DataFrame) -> Query:
+    return Query(source, identity=("pk", "country", "year", "recipient_id"))
+
+
+KINDS: dict[str, Kind] = {
+    "payments": Kind(_payments, ("pk", *(f for f in BASE_FIELDS if f != "recipient_fingerprint")), restricted=True, enrich=_NUTS),
+    "recipients": Kind(S.RecipientQuery, ("id", "recipient_country", *_MEASURES), aggregated=True, restricted=True, enrich=_NUTS_LISTS),
+    "recipients/base": Kind(S.RecipientBaseQuery, ("id", *_MEASURES), aggregated=True, restricted=True),
+    "recipients/autocomplete": Kind(S.RecipientNameQuery, ("id", "name", "recipient_country"), restricted=True),
+    "schemes": Kind(S.SchemeQuery, ("id", "name", *_WITH_RECIPIENTS), aggregated=True, enrich=(("name", "scheme"),)),
+    "countries": Kind(S.CountryQuery, ("country", *_WITH_RECIPIENTS), aggregated=True, enrich=(("country", "country"),)),
+    "years": Kind(S.YearQuery, ("year", *_WITH_RECIPIENTS), aggregated=True),
+    "locations": Kind(S.LocationQuery, ("location", *_WITH_RECIPIENTS), aggregated=True, enrich=_NUTS_LISTS),
+    **{f"nuts/{i}": Kind(q, ("nuts", *_WITH_RECIPIENTS), aggregated=True, enrich=(("nuts", "nuts"),)) for i, q in ((1, S.Nuts1Query), (2, S.Nuts2Query), (3, S.Nuts3Query))},
+    "agg": Kind(S.AggregationQuery, (), restricted=True, single=True),
+}
 
 
+@dataclass
 class View:
-    query_cls: type[Query] = Query
-    restricted = False
-    aggregated = False
-    max_limit = MAX_LIMIT
-    fields: tuple | None = None
-
-    def __init__(
-        self,
-        payments: DataFrame,
-        params: dict[str, Any] | None = None,
-        authenticated: bool = False,
-        trusted: bool = False,
-        public_years=PUBLIC_YEARS,
-    ):
-        self.payments = payments
-        self.params = dict(params or {})
-        self.authenticated = authenticated
-        self.public_years = list(public_years)
-        check_params(self.params, self.aggregated)
-        self.page = int(self.params.get("p") if self.params.get("p") is not None else 1)
-        limit = self.params.get("limit")
-        get_slice(self.page, int(limit) if limit is not None else None)  # validates p ≥ 1, limit ≥ 1
-        if not trusted:  # caps (W6); trusted callers may page freely
-            cap = EXPORT_LIMIT if authenticated and self.params.get("output") in ("csv", "export") else self.max_limit
-            limit = min(cap, int(limit) if limit else cap)
-        self.limit = int(limit) if limit else None
-        self.where, self.having = split_params(self.params)
+    """One request: ``endpoint`` names a kind. ``version`` names the state of the
+    payments table (a snapshot, a date); it tells cached results and export files of
+    different states apart."""
+
+    endpoint: str
+    payments: DataFrame
+    params: dict[str, Any] = field(default_factory=dict)
+    authenticated: bool = False
+    public_years: tuple[int, ...] = tuple(PUBLIC_YEARS)
+    max_limit: int | None = None
+    version: str = ""
+
+    def __post_init__(self) -> None:
+        if self.endpoint not in KINDS:
+            raise InvalidQuery(f"no such view: {self.endpoint!r}")
+        self.kind = KINDS[self.endpoint]
+        self.page = whole("p", self.params.get("p"), 1)
+        self.limit = whole("limit", self.params.get("limit"), None)
+        if self.max_limit is not None and (self.limit is None or self.limit > self.max_limit):
+            raise InvalidQuery(f"limit must be given and be at most {self.max_limit}")
+        if self.page > 1 and self.limit is None:
+            raise InvalidQuery("a page needs a limit")
+        self.where, self.having, self.shown = {}, {}, {}
+        for name, value in self.params.items():
+            if name not in CONTROL_PARAMS and value is not None:
+                self._filter(name, value)
+        self.order = self._order(self.params.get("order_by"))
+
+    def _filter(self, name: str, value: Any) -> None:
+        """Check one filter and route it to rows or measures."""
+        column, _, suffix = name.partition("__")
+        measure = column in AGGREGATED_FIELDS and self.kind.aggregated
+        kind = AGGREGATED_FIELDS[column] if measure else BASE_FIELDS.get(column)
+        if kind is None:
+            raise InvalidQuery(f"no such filter here: {name!r}")
+        if "__" in name and suffix not in LOOKUPS[kind]:
+            raise InvalidQuery(f"{column} has no comparison {suffix!r}")
+        value = typed(name, kind, suffix, value)
+        self.shown[name] = str(value)
+        if column == "recipient_fingerprint" and suffix != "null":
+            value = fingerprint_pattern(value)
+        (self.having if measure else self.where)[name] = value
+
+    def _order(self, text: str | None) -> tuple[str, bool] | None:
+        if not text:
+            return None
+        name = text.removeprefix("-")
+        if name not in self.kind.orders:
+            raise InvalidQuery(f"{self.endpoint} can't be ordered by {name!r}")
+        return name, not text.startswith("-")
 
     # -- building ---------------------------------------------------------
     def base_query(self) -> Query:
-        """Filters and restriction, no order and no slice (the "full" query
-        reused across pages, W8)."""
-        q = self.query_cls(self.payments, fields=self.fields).where(**self.where)
+        """The full result: no order, no slice (reused across pages, W8)."""
+        query = self.kind.query(self.payments).where(**self.where)
         if self.having:
-            q = q.having(**self.having)
-        if self.restricted and not self.authenticated:
-            q = q.where(year__in=self.public_years)  # P13, ANDed with any year filter
-        return q
+            query = query.having(**self.having)
+        if self.kind.restricted and not self.authenticated:
+            # Public years, beside any year filter of the request
+            query = query.where(year__in=self.public_years)
+        return query
+
+    def arranged(self, query: Query) -> Query:
+        """The request's order and page. A page is ordered by the row's identity at
+        least, so pages never overlap."""
+        name, ascending = self.order or (None, True)
+        if name or self.limit is not None:
+            first = (name,) if name else query.identity[:1]
+            if first:
+                query = query.order_by(*first, ascending=ascending).with_tiebreak(*query.identity)
+        if self.limit is not None:
+            query = query.rows((self.page - 1) * self.limit, self.limit)
+        return query
 
     def query(self) -> Query:
-        q = self.base_query()
-        order = self.params.get("order_by")
-        if order:
-            ascending = not order.startswith("-")
-            name = order.lstrip("-")
-            q = q.order_by(name, ascending=ascending)
-            if q.key_field:
-                q = q.with_tiebreak(q.key_field)
-        start, end = get_slice(self.page, self.limit)
-        if start is not None:
-            q = q[start:end]
-        return q
+        return self.arranged(self.base_query())
 
     def to_df(self) -> DataFrame:
         return self.query().to_df()
@@ -172,168 +225,119 @@ class View:
         return self.base_query().count()
 
     def result(self) -> dict[str, Any]:
-        """Page plus paging flags (W7: ``has_next`` when more rows exist)."""
+        """The page and its place (W7: ``has_next`` when more rows exist)."""
         count = self.item_count()
-        has_next = self.limit is not None and count > self.page * self.limit
+        more = self.limit is not None and not self.kind.single
         return {
             "page": self.page,
             "limit": self.limit,
             "item_count": count,
-            "has_next": has_next,
-            "has_prev": self.page > 1,
+            "has_next": more and count > self.page * self.limit,
+            "has_prev": more and self.page > 1,
             "results": self.to_df(),
         }
 
-    def spec(self) -> str:
-        """Canonical description of the full query (cache and export key)."""
+    # -- names ------------------------------------------------------------
+    def spec(self, sliced: bool = False) -> str:
+        """What the result depends on: the full one, or with order and page."""
         data = {
-            "view": type(self).__name__,
-            "where": {k: str(v) for k, v in sorted(self.where.items())},
-            "having": {k: str(v) for k, v in sorted(self.having.items())},
-            "restricted": self.restricted and not self.authenticated,
-            "years": self.public_years,
+            "view": self.endpoint,
+            "filters": sorted(self.shown.items()),
+            "years": list(self.public_years) if self.kind.restricted and not self.authenticated else None,
+            "table": [self.version, self.payments.semanticHash()],
         }
+        if sliced:
+            data |= {"order": self.order, "page": self.page, "limit": self.limit}
         return json.dumps(data, sort_keys=True)
 
     def export_name(self) -> str:
-        """Export file name from a hash of the query spec."""
-        return hashlib.sha1(self.spec().encode()).hexdigest() + ".csv"
+        """The file name, from all that shapes the file."""
+        return hashlib.sha1(self.spec(sliced=True).encode()).hexdigest() + ".csv"
 
 
+@dataclass
 class ResultCache:
-    """Keep the full (unsliced, unordered) result of a view persisted when
-    it has at most ``max_rows`` rows, and serve pages and re-orderings from
-    it. At most ``max_entries`` results are kept (least recently used are
-    unpersisted first)."""
+    """Full results of views, kept by Spark (memory, then disk) and served page by
+    page with the same order as without the cache. At most ``max_entries`` results;
+    the least recently used goes first."""
 
-    def __init__(self, max_rows: int = CACHE_MAX_ROWS, max_entries: int = 32):
-        self.max_rows = max_rows
-        self.max_entries = max_entries
-        self._store: dict[str, DataFrame] = {}
-        self._skip: set[str] = set()
+    max_entries: int = 32
+    store: dict[str, DataFrame] = field(default_factory=dict)
 
     def page(self, view: View) -> DataFrame:
-        key = view.spec()
-        if key not in self._skip and key not in self._store:
-            if view.item_count() <= self.max_rows:
-                self._store[key] = view.base_query().to_df().persist()
-                while len(self._store) > self.max_entries:
-                    oldest = next(iter(self._store))
-                    self._store.pop(oldest).unpersist()
-            else:
-                self._skip.add(key)
-        if key in self._store:
-            self._store[key] = self._store.pop(key)  # most recently used last
-            cached = Query(self._store[key])
-            order = view.params.get("order_by")
-            if order:
-                cached = cached.order_by(order.lstrip("-"), ascending=not order.startswith("-"))
-            start, end = get_slice(view.page, view.limit)
-            if start is not None:
-                cached = cached[start:end]
-            return cached.to_df()
-        return view.to_df()
+        name = view.spec()
+        frame = self.store.pop(name, None)
+        if frame is None:
+            frame = view.base_query().to_df(sliced=False).persist()
+        self.store[name] = frame  # most recently used last
+        while len(self.store) > self.max_entries:
+            self.store.pop(next(iter(self.store))).unpersist()
+        return view.arranged(Query(frame, identity=view.base_query().identity)).to_df()
 
     def clear(self) -> None:
-        for df in self._store.values():
-            df.unpersist()
-        self._store.clear()
-        self._skip.clear()
-
-
-class PaymentView(View):
-    restricted = True
-
-
-class RecipientView(View):
-    query_cls = S.RecipientQuery
-    restricted = True
-    aggregated = True
-
-
-class RecipientBaseView(View):
-    query_cls = S.RecipientBaseQuery
-    restricted = True
-    aggregated = True
-
-
-class RecipientNameView(View):
-    query_cls = S.RecipientNameQuery
-    restricted = True
-    max_limit = NAMES_MAX_LIMIT
-
-
-class SchemeView(View):
-    query_cls = S.SchemeQuery
-    aggregated = True
-
-
-class CountryView(View):
-    query_cls = S.CountryQuery
-    aggregated = True
-
-
-class YearView(View):
-    query_cls = S.YearQuery
-    aggregated = True
-
-
-class LocationView(View):
-    query_cls = S.LocationQuery
-    aggregated = True
-
-
-class Nuts1View(View):
-    query_cls = S.Nuts1Query
-    aggregated = True
-
-
-class Nuts2View(View):
-    query_cls = S.Nuts2Query
-    aggregated = True
-
-
-class Nuts3View(View):
-    query_cls = S.Nuts3Query
-    aggregated = True
-
-
-class AggregationView(View):
-    query_cls = S.AggregationQuery
-    restricted = True
-
-    def result(self) -> dict[str, Any]:
-        out = super().result()
-        out["has_next"] = out["has_prev"] = False
-        return out
-
-
-# Reference API routes → views (what each route computes; no server here).
-ENDPOINTS: dict[str, type[View]] = {
-    "payments": PaymentView,
-    "recipients": RecipientView,
-    "recipients/base": RecipientBaseView,
-    "recipients/autocomplete": RecipientNameView,
-    "schemes": SchemeView,
-    "countries": CountryView,
-    "years": YearView,
-    "locations": LocationView,
-    "nuts/1": Nuts1View,
-    "nuts/2": Nuts2View,
-    "nuts/3": Nuts3View,
-    "agg": AggregationView,
-}
-
-
-def call(payments: DataFrame, endpoint: str, params: dict[str, Any] | None = None, authenticated: bool = False) -> dict[str, Any]:
-    """Answer one API request: the page (a DataFrame, in export form when
-    ``output`` is csv or export) with the paging fields."""
-    if endpoint not in ENDPOINTS:
-        raise InvalidQuery(f"Unknown endpoint `{endpoint}`")
-    view = ENDPOINTS[endpoint](payments, params, authenticated=authenticated)
+        while self.store:
+            self.store.popitem()[1].unpersist()
+
+
+def _named(endpoint: str) -> Callable[..., View]:
+    def make(payments: DataFrame, params: dict[str, Any] | None = None, **options: Any) -> View:
+        return View(endpoint, payments, dict(params or {}), **options)
+
+    return make
+
+
+PaymentView, RecipientView, RecipientBaseView = _named("payments"), _named("recipients"), _named("recipients/base")
+RecipientNameView, SchemeView, CountryView = _named("recipients/autocomplete"), _named("schemes"), _named("countries")
+YearView, LocationView, AggregationView = _named("years"), _named("locations"), _named("agg")
+Nuts1View, Nuts2View, Nuts3View = _named("nuts/1"), _named("nuts/2"), _named("nuts/3")
+
+
+def enriched(spark: SparkSession, kind: Kind, df: DataFrame, dims: S.Dimensions) -> DataFrame:
+    """The records that belong to a result's codes."""
+    for column, what in kind.enrich:
+        if what == "country":
+            df = S.with_country_name(spark, df, column, dims.countries)
+        elif what == "scheme":
+            df = S.with_scheme_description(spark, df, column, dims.schemes)
+        elif what == "nuts":
+            df = S.with_nuts_record(spark, df, column, f"{column}_record", dims.nuts)
+        else:
+            df = S.with_nuts_records(spark, df, column, column.removesuffix("_codes") + "_records", dims.nuts)
+    return df
+
+
+def call(
+    payments: DataFrame,
+    endpoint: str,
+    params: dict[str, Any] | None = None,
+    authenticated: bool = False,
+    export_dir: str | None = None,
+    dims: S.Dimensions | None = None,
+    **options: Any,
+) -> dict[str, Any]:
+    """Answer one API request: the page with its records attached and the paging
+    fields. ``output=csv`` gives the page in export form; ``output=export`` writes it
+    to ``export_dir`` and returns its ``path``."""
+    from cropledger.sources.export import export_form, named_export
+
+    spark = payments.sparkSession
+    view = View(endpoint, payments, dict(params or {}), authenticated, **options)
+    output = view.params.get("output")
+    if output == "export":
+        if export_dir is None:
+            raise InvalidQuery("an export needs a folder")
+        return {"path": named_export(spark, view, export_dir)}
     out = view.result()
-    if (params or {}).get("output") in ("csv", "export"):
-        from cropledger.sources.export import export_form
-
+    if output == "csv":
         out["results"] = export_form(out["results"])
+    elif view.kind.enrich:
+        page = enriched(spark, view.kind, out["results"], dims or S.Dimensions())
+        # records are joined to the page, so the page's order is set again
+        name, ascending = view.order or (None, True)
+        first = name or (view.base_query().identity or (None,))[0]
+        if first and (view.order or view.limit is not None):
+            column = F.col(first)
+            ties = [F.col(c).asc_nulls_last() for c in view.base_query().identity if c != first]
+            page = page.orderBy(column.asc_nulls_last() if ascending else column.desc_nulls_last(), *ties)
+        out["results"] = page
     return out

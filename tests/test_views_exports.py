@@ -18,6 +18,8 @@ def test_param_checks(ten):
         V.PaymentView(ten, {"amount_sum__gte": 1})  # measures only on summaries
     with pytest.raises(InvalidQuery):
         V.CountryView(ten, {"p": 0})
+    with pytest.raises(InvalidQuery):
+        V.CountryView(ten, {"year__gt": "abc"})  # a bad value is refused here, not in Spark
 
 
 def test_where_having_split(ten):
@@ -36,7 +38,9 @@ def test_restriction_and_paging(ten):
     res = auth.result()
     assert res["item_count"] == 7 and res["has_next"] and res["has_prev"]
     assert len(res["results"].collect()) == 2
-    assert V.RecipientNameView(ten, {"limit": 500}).limit == 10
+    assert V.RecipientNameView(ten, {"limit": 1_000_000}).limit == 1_000_000  # never cut silently
+    with pytest.raises(InvalidQuery):
+        V.RecipientNameView(ten, {"limit": 500}, max_limit=10)
 
 
 def test_fingerprint_search(ten):
@@ -50,12 +54,12 @@ def test_order_by_unknown_summary_field(ten):
 
 
 def test_result_cache(ten):
-    cache = V.ResultCache(max_rows=100)
+    cache = V.ResultCache()
     v1 = V.CountryView(ten, {"limit": 1, "p": 1, "order_by": "country"})
     v2 = V.CountryView(ten, {"limit": 1, "p": 2, "order_by": "-country"})
     assert cache.page(v1).collect()[0]["country"] == "DE"
     assert cache.page(v2).collect()[0]["country"] == "HU"
-    assert len(cache._store) == 1
+    assert len(cache.store) == 1
     cache.clear()
 
 
@@ -103,9 +107,9 @@ def test_named_export_reused(spark, ten, tmp_path):
 
 
 def test_bulk_summaries(ten):
-    out = S.summaries(ten, ["country", "year", "aggregation"])
-    assert set(out) == {"country", "year", "aggregation"}
-    assert out["aggregation"].first()["total_payments"] == 10
+    with S.summaries(ten, ["country", "year", "aggregation"]) as out:
+        assert set(out) == {"country", "year", "aggregation"}
+        assert out["aggregation"].first()["total_payments"] == 10
 
 
 def test_nuts_records(spark, ten):
@@ -142,8 +146,8 @@ def test_endpoint_dispatch(ten):
 
 
 def test_result_cache_bounded(ten):
-    cache = V.ResultCache(max_rows=100, max_entries=2)
+    cache = V.ResultCache(max_entries=2)
     for y in (2019, 2020, 2021):
         cache.page(V.CountryView(ten, {"year": y, "limit": 5}))
-    assert len(cache._store) == 2
+    assert len(cache.store) == 2
     cache.clear()
