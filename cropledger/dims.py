@@ -9,6 +9,7 @@ driver.
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -243,6 +244,9 @@ COUNTRIES = [
     ("UA", "Ukraine", "Україна"),
 ]
 
+# FIXED VALUES: codes in use for countries beside their ISO code.
+COUNTRY_CODE_ALIASES = {"EL": "GR", "UK": "GB"}
+
 # Scheme dictionary: id, article, name, description. ``II.1`` and ``II.10``
 # exercise longest-id-first matching; ``IV.9`` has no name.
 SCHEMES = [
@@ -315,6 +319,27 @@ RATE_TYPE = T.DecimalType(12, 10)
 
 
 
+@lru_cache(maxsize=1)
+def world_countries() -> tuple[tuple[str, str, tuple[str, ...]], ...]:
+    """(ISO code, English name, names in the country's own languages) of every
+    country, by rule: from the locale data of the JVM that Spark runs on. The served
+    countries' names come first."""
+    from pyspark.sql import SparkSession as Session
+
+    locale = Session.active().sparkContext._jvm.java.util.Locale
+    own: dict[str, set[str]] = {}
+    for x in locale.getAvailableLocales():
+        if x.getCountry():
+            own.setdefault(x.getCountry(), set()).add(x.getDisplayCountry(x))
+    served = {c: (n, native) for c, n, native in COUNTRIES}
+    out = []
+    for code in sorted({*locale.getISOCountries(), *served}):
+        english = locale("", code).getDisplayCountry(locale.ENGLISH)
+        name, native = served.get(code, (english, english))
+        out.append((code, name, tuple(sorted({native, english, *own.get(code, ())}))))
+    return tuple(out)
+
+
 def countries_df(spark: SparkSession) -> DataFrame:
     """country string, name string: one row per served country."""
     return spark.createDataFrame(

@@ -21,8 +21,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from cropledger.dims import COUNTRIES, CURRENCIES
+from cropledger.dims import COUNTRIES, CURRENCIES, SCHEMES
 from cropledger.errors import ERR_AMOUNT, ERR_COUNTRY, ERR_CURRENCY, ERR_SOURCE, InvalidSource
 from cropledger.functions import (
     collapse_spaces,
@@ -46,7 +47,7 @@ from cropledger.operators.lookups import (
 )
 from cropledger.schema import PAYMENT_COLUMNS, RAW_COLUMNS, YEAR_MAX, YEAR_MIN
 
-# required column groups (V1): any one of each group must exist
+# FIXED VALUES: required column groups (V1): any one of each group must exist
 REQUIRED_COLUMNS = (
     ("recipient_name", "denumire_beneficiar"),
     ("recipient_country", "country"),
@@ -55,7 +56,7 @@ REQUIRED_COLUMNS = (
     ("year",),
 )
 
-# column alternatives (T3): first usable value wins
+# FIXED VALUES: column alternatives (T3): first usable value wins
 ALTERNATIVES = (
     ("recipient_name", "denumire_beneficiar"),
     ("recipient_id", "cod_unic"),
@@ -64,6 +65,7 @@ ALTERNATIVES = (
     ("amount", "cuantum"),
 )
 
+# FIXED VALUES: the columns an address is made of
 ADDRESS_PARTS = (
     "recipient_street",
     "recipient_street1",
@@ -74,16 +76,35 @@ ADDRESS_PARTS = (
     "recipient_country",
 )
 
+# where a row stands: its file, the file's part it was read from, its number there
 FILE_COL = "_file"
+BLOCK_COL = "_block"
 ROW_COL = "_row"
 ERRORS_COL = "errors"
 
 
+@dataclass(frozen=True)
+class Lookups:
+    """Tables of a deployment; None takes the built-in one.
+
+    ``countries``: (code, name, other names); ``rates``: ``CUR|year`` → rate;
+    ``schemes``: (id, article, name, description); ``regions``: known region codes
+    (None: any).
+    """
+
+    countries: tuple | None = None
+    rates: dict | None = None
+    schemes: tuple | None = None
+    regions: frozenset | None = None
+
+
 @dataclass
 class CleanResult:
-    """Lazy outputs of one cleaning plan. ``cleaned`` holds every row with
-    its ``errors``; persist or checkpoint it before using several outputs."""
+    """Lazy outputs of one cleaning plan. ``rows`` holds every source row with its
+    ``errors``, ``cleaned`` the first row of each payment key; checkpoint them
+    before using several outputs."""
 
+    rows: DataFrame
     cleaned: DataFrame
     missing_columns: list[tuple[str, ...]]
 
@@ -97,17 +118,18 @@ class CleanResult:
 
     @property
     def errors(self) -> DataFrame:
-        """V2: distinct error messages per file with their row counts, plus
-        one ``InvalidSource`` line per missing required column group (V1)."""
-        e = self.cleaned.select(FILE_COL, F.explode(ERRORS_COL).alias("e"))
-        rows = e.groupBy(FILE_COL, F.col("e.code").alias("code"), F.col("e.value").alias("value")).agg(
-            F.count(F.lit(1)).alias("rows")
-        )
+        """V2: distinct error messages per file with their row counts, counted before
+        rows are de-duplicated, plus one ``InvalidSource`` line per missing required
+        column group (V1)."""
+        # equal lists are counted first: few rows are left to take apart
+        lists = self.rows.groupBy(FILE_COL, ERRORS_COL).agg(F.count(F.lit(1)).alias("n"))
+        e = lists.select(FILE_COL, "n", F.explode(ERRORS_COL).alias("e"))
+        rows = e.groupBy(FILE_COL, F.col("e.code").alias("code"), F.col("e.value").alias("value")).agg(F.sum("n").alias("rows"))
         if not self.missing_columns:
             return rows
         spark = self.cleaned.sparkSession
         missing = spark.createDataFrame(
-            [(None, ERR_SOURCE, f"Not any of columns {group} existent", 0) for group in self.missing_columns],
+            [(None, ERR_SOURCE, f"needs one of {', '.join(group)}", 0) for group in self.missing_columns],
             rows.schema,
         )
         return rows.unionByName(missing)
@@ -132,9 +154,9 @@ def check_source(columns: list[str], year=None, country=None) -> list[tuple[str,
     """V1: a missing year or country (with no option to fill it) rejects the
     whole source; other missing column groups are only reported."""
     if "year" not in columns and year is None:
-        raise InvalidSource("Year is missing.")
+        raise InvalidSource("the source says no year")
     if "country" not in columns and country is None:
-        raise InvalidSource("Country is missing.")
+        raise InvalidSource("the source says no country")
     present = set(columns) | ({"year"} if year is not None else set()) | ({"country"} if country is not None else set())
     return [group for group in REQUIRED_COLUMNS if not present & set(group)]
 
@@ -146,12 +168,16 @@ def clean(
     currency: str | Column | None = None,
     geocode: DataFrame | None = None,
     legacy_address_strip: bool = False,
+    lookups: Lookups | None = None,
 ) -> CleanResult:
     """Clean raw all-text rows (F1) into payments rows (F2).
 
-    ``raw`` may carry ``_file`` (source path) and ``_row`` (stable row key);
-    both are used for repeatable anonymous ids and the de-duplication order.
+    ``raw`` may carry ``_file`` (source path), ``_block`` and ``_row`` (numbers that
+    place the row in its file). They give the de-duplication order; ids of nameless
+    rows come from the place in the file and the row's cells, so the same file gives
+    the same ids wherever it lies and whatever is read with it.
     """
+    lookups = lookups or Lookups()
     present = list(raw.columns)
     missing = check_source(present, year, country)
     has_currency_col = "currency" in present
@@ -161,10 +187,12 @@ def clean(
     # one projection: raw columns as text (absent ones null), S3 null tokens
     null = F.lit(None).cast("string")
     text_cols = list(RAW_COLUMNS)
-    known = set(text_cols) | {FILE_COL, ROW_COL}
+    known = set(text_cols) | {FILE_COL, BLOCK_COL, ROW_COL}
+    number = F.lit(None).cast("long")
     df = raw.select(
         *[(F.col(c).cast("string") if c in present else null).alias(c) for c in text_cols],
-        *[(F.col(c).cast("string") if c in present else null).alias(c) for c in (FILE_COL, ROW_COL)],
+        (F.col(FILE_COL).cast("string") if FILE_COL in present else null).alias(FILE_COL),
+        *[(F.col(c).try_cast("long") if c in present else number).alias(c) for c in (BLOCK_COL, ROW_COL)],
         *[F.col(f"`{c}`") for c in present if c not in known],  # e.g. file-name context for options
     )
     df = df.withColumns({c: null_token(c) for c in text_cols if c in present})
@@ -184,18 +212,22 @@ def clean(
         fills["year"] = F.coalesce(F.col("year"), _opt(year))
     if country is not None:
         fills["country"] = F.coalesce(F.col("country"), _opt(country))
-    if not has_currency_col and currency is not None:
-        fills["currency"] = _opt(currency)
+    if currency is not None:
+        if not has_currency_col:
+            fills["currency"] = _opt(currency)
+        elif "_no_currency" in present:  # files of several headers: those without the column
+            fills["currency"] = F.when(F.col("_no_currency"), _opt(currency)).otherwise(F.col("currency"))
     if fills:
         df = df.withColumns(fills)
 
     # T3 alternatives; stable anonymous key (H3) over the raw row
     alt = {group[0]: F.coalesce(*[F.when(usable(c), F.col(c)) for c in group]) for group in ALTERNATIVES}
-    anon_key = F.sha1(F.concat_ws("\u001f", F.col(FILE_COL), F.col(ROW_COL), *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (BLOCK_COL, ROW_COL)]
+    anon_key = F.sha1(F.concat_ws("\u001f", *place, *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
     df = df.withColumn("_anon", anon_key).withColumns(alt)
 
     # J7 payment country
-    cc = country_code(F.col("country"))
+    cc = country_code(F.col("country"), lookups.countries)
     df = df.withColumns({"_country_raw": F.col("country"), "country": cc})
 
     # T6 name, T5 fingerprint
@@ -213,7 +245,7 @@ def clean(
     natl = national_currency(F.col("country"))
     eff_cur = F.coalesce(cur_orig, natl)
     parsed = parse_amount(F.col("amount"))
-    rate = rate_to_eur(natl, yr)
+    rate = rate_to_eur(natl, yr, lookups.rates)
     is_eur = eff_cur == "EUR"
     converted = F.when(is_eur, parsed).otherwise(parsed * rate)
     df = df.withColumns(
@@ -233,7 +265,7 @@ def clean(
     # T9 recipient country (blank falls back to the payment country)
     rc_raw = F.col("recipient_country")
     if has_rcountry_col:
-        rc = F.when(rc_raw.isNull(), F.col("country")).otherwise(country_code(rc_raw))
+        rc = F.when(rc_raw.isNull(), F.col("country")).otherwise(country_code(rc_raw, lookups.countries))
     else:
         rc = F.col("country")
     df = df.withColumns({"_rcountry_raw": rc_raw, "recipient_country": rc})
@@ -244,6 +276,7 @@ def clean(
         [F.col(p) for p in ADDRESS_PARTS],
         F.col("recipient_country"),
         legacy=legacy_address_strip,
+        countries=lookups.countries,
     ))
 
     # T16 recipient id
@@ -253,7 +286,7 @@ def clean(
     # T10 scheme text and match, T19 scheme code, T17 scheme id
     joined = F.nullif(F.trim(F.concat_ws(" ", "scheme_name", "scheme_1", "scheme_2")), F.lit(""))
     s_text = collapse_spaces(F.coalesce(F.col("scheme"), joined))
-    scheme = F.when(has_fingerprint(s_text), guess_scheme(s_text))
+    scheme = F.when(has_fingerprint(s_text), guess_scheme(s_text, lookups.schemes or SCHEMES))
     df = df.withColumn("scheme", scheme)
     df = df.withColumn("scheme_code", F.col("scheme_code_short") if has_code_short else F.lit(None).cast("string"))
     df = df.withColumn("scheme_id", scheme_id("scheme"))
@@ -267,7 +300,7 @@ def clean(
     is_eur = F.col("_eff_cur") == "EUR"
     errors = F.concat(
         _err(F.col("country").isNull(), ERR_COUNTRY, F.col("_country_raw")),
-        _err(rc_raw.isNotNull() & F.col("recipient_country").isNull(), ERR_COUNTRY, rc_raw)
+        _err(F.col("_rcountry_raw").isNotNull() & F.col("recipient_country").isNull(), ERR_COUNTRY, F.col("_rcountry_raw"))
         if has_rcountry_col
         else F.array().cast(ERROR_TYPE),
         _err(~F.coalesce(F.col("_eff_cur").isin(*CURRENCIES), F.lit(False)), ERR_CURRENCY, F.col("_eff_cur")),
@@ -288,23 +321,27 @@ def clean(
     # J2 region codes
     df = with_geocode(df, geocode)
 
-    # V3 domain / not-null rules
+    # V3 domain / not-null rules; the served list binds the payment country only
     valid = (
         F.col("pk").isNotNull()
         & F.col("country").isin(*[c for c, _n, _x in COUNTRIES])
         & F.col("year").between(YEAR_MIN, YEAR_MAX)
         & F.col("recipient_id").isNotNull()
         & F.col("recipient_country").isNotNull()
+        & (F.col("currency_original").isNull() | F.col("currency_original").isin(*CURRENCIES))
     )
+    if lookups.regions is not None:
+        for c in ("nuts1", "nuts2", "nuts3"):
+            valid = valid & (F.col(c).isNull() | F.col(c).isin(*sorted(lookups.regions)))
     df = df.withColumn("_valid", F.coalesce(valid, F.lit(False)))
 
-    # W1 de-duplicate by pk: first row (by file, row key, content) wins
-    out_cols = PAYMENT_COLUMNS + [FILE_COL, ROW_COL, ERRORS_COL, "_valid"]
-    df = dedup_first(df.select(*out_cols), "pk", [FILE_COL, ROW_COL])
-    return CleanResult(df.select(*out_cols), missing)
+    # W1 de-duplicate by pk: first row by file and place wins, equal places by content
+    out_cols = PAYMENT_COLUMNS + [FILE_COL, BLOCK_COL, ROW_COL, ERRORS_COL, "_valid"]
+    rows = df.select(*out_cols, "_anon")
+    return CleanResult(rows.select(*out_cols), dedup_first(rows, "pk", [FILE_COL, BLOCK_COL, ROW_COL, "_anon"]).select(*out_cols), missing)
 
 
-def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool = False) -> Column:
+def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool = False, countries=None) -> Column:
     """Join the address parts not already contained in the full
     address with ``, ``; strip a trailing ``, CC`` (``legacy`` strips the
     character set of ``", " + CC`` instead); empty → country name; ``1097.0``
@@ -324,18 +361,16 @@ def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool =
             F.substring(joined, F.lit(1), F.length(joined) - F.length(suffix)),
         ).otherwise(joined)
         stripped = F.rtrim(stripped, F.lit(", "))
-    out = F.when(has_fingerprint(stripped), stripped).otherwise(country_name(cc))
+    out = F.when(has_fingerprint(stripped), stripped).otherwise(country_name(cc, countries))
     out = F.when(out.contains("."), F.regexp_replace(out, r"(\s\d+)\.\d", "$1")).otherwise(out)
     xpath = F.regexp_extract(out, r".*data='([\w.\s]+)'", 1)
     return F.when(out.contains("xpath") & (xpath != ""), xpath).otherwise(out)
 
 
-def dedup_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Keep one row per ``key``: the smallest by ``order`` then by all
-    other columns. ``min(struct)`` is partially aggregated in every task
-    before the shuffle, so a key holding a third of all rows never lands in
-    one task as raw rows."""
-    others = [c for c in df.columns if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others])
-    best = df.groupBy(key).agg(F.min(packed).alias("_best"))
-    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in order + others])
+def dedup_first(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
+    """The first row of each ``key`` by ``order`` (nulls first). Spark keeps the
+    first row per key of every task before the shuffle, so a key that holds a third
+    of all rows sends one row per task; only the key and the order are compared."""
+    keys = [key] if isinstance(key, str) else key
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")

@@ -20,6 +20,8 @@ def clean_files(
     header: list[str] | None = None,
     delimiter: str = ",",
     geocode=None,
+    lookups=None,
+    line_breaks: bool = True,
 ) -> tuple[CleanResult, object]:
     """Explicit options win over the file name (S4); a missing currency
     column is filled from the option or the manual fixes table (S7). A file
@@ -29,13 +31,13 @@ def clean_files(
     def accept(path: str, columns: list[str]) -> str | None:
         ctx_country, ctx_year = context_from_name(path)
         if "year" not in columns and year is None and ctx_year is None:
-            return "InvalidSource: Year is missing."
+            return "InvalidSource: no year in columns, options or file name"
         if "country" not in columns and country is None and ctx_country is None:
-            return "InvalidSource: Country is missing."
+            return "InvalidSource: no country in columns, options or file name"
         return None
 
-    src = read_sources(spark, paths, header=header, delimiter=delimiter, accept=accept)
+    src = read_sources(spark, paths, header=header, delimiter=delimiter, accept=accept, line_breaks=line_breaks)
     ctx_year = F.col("_ctx_year") if year is None else F.lit(str(year))
     ctx_country = F.col("_ctx_country") if country is None else F.lit(country)
     cur = F.lit(currency) if currency is not None else currency_override(MANUAL_CURRENCY, ctx_country, ctx_year)
-    return clean(src.rows, year=ctx_year, country=ctx_country, currency=cur, geocode=geocode), src
+    return clean(src.rows, year=ctx_year, country=ctx_country, currency=cur, geocode=geocode, lookups=lookups), src

@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.dims import (
-    COUNTRIES,
+    COUNTRY_CODE_ALIASES,
     COUNTRY_CURRENCY,
     CURRENCY_RATES,
     SCHEMES,
+    world_countries,
 )
 
 
@@ -38,22 +39,28 @@ def _map(pairs) -> Column:
     return F.expr("map(" + ", ".join(items) + ")")
 
 
-def country_code(text: Column) -> Column:
-    """Country text (code, English or native name, any case) → ISO code;
-    null when unknown. Codes, the common case, hit a hashed ``isin`` set;
+def country_code(text: Column, countries=None) -> Column:
+    """Country text (code, English or own name, any case, ``EL``, ``UK``) → ISO
+    code; null when unknown. ``countries``: (code, name, other names) of a deployment,
+    default every ISO country. Codes, the common case, hit a hashed ``isin`` set;
     only other text scans the (bounded) name map."""
+    countries = world_countries() if countries is None else countries
     aliases = {}
-    for code, name, native in COUNTRIES:
-        for alias in (name, native):
-            aliases[alias.lower()] = code
+    for code, name, more in countries:
+        for alias in (name, *((more,) if isinstance(more, str) else more)):
+            aliases.setdefault(alias.lower(), code)
     up = F.upper(F.trim(text))
     by_name = F.try_element_at(_map(sorted(aliases.items())), F.lower(F.trim(text)))
-    return F.when(up.isin(*[c for c, _n, _x in COUNTRIES]), up).otherwise(by_name)
+    out = F.when(up.isin(*[c for c, *_ in countries]), up)
+    for alias, code in COUNTRY_CODE_ALIASES.items():
+        out = out.when(up == alias, F.lit(code))
+    return out.otherwise(by_name)
 
 
-def country_name(code: Column) -> Column:
+def country_name(code: Column, countries=None) -> Column:
     """J6 as an expression: ISO code → English display name."""
-    return F.try_element_at(_map([(c, n) for c, n, _ in COUNTRIES]), code)
+    countries = world_countries() if countries is None else countries
+    return F.try_element_at(_map([(c, n) for c, n, *_ in countries]), code)
 
 
 def national_currency(country: Column) -> Column:
@@ -61,37 +68,36 @@ def national_currency(country: Column) -> Column:
     return F.try_element_at(_map(COUNTRY_CURRENCY.items()), country)
 
 
-def rate_to_eur(currency: Column, year: Column) -> Column:
+def rate_to_eur(currency: Column, year: Column, rates: dict[str, float] | None = None) -> Column:
     """J1 step 2: (currency, year) → rate as decimal(12,10); null when the
     table has no such year. Two-level lookup: currency → array of yearly
-    rates (one map entry per currency), then the year indexes the array."""
-    first, last = RATE_YEARS
+    rates (one map entry per currency), then the year indexes the array. ``rates``:
+    ``CUR|year`` → rate of a deployment, default the built-in table."""
+    table = rate_decimals(rates)
+    first, last = _rate_years(table)
     by_cur: dict[str, list] = {}
-    for key, rate in rate_decimals().items():
+    for key, rate in table.items():
         cur, yr = key.split("|")
         by_cur.setdefault(cur, [None] * (last - first + 1))[int(yr) - first] = rate
     def dec(r):
         return f"CAST('{r}' AS DECIMAL(12,10))" if r is not None else "CAST(NULL AS DECIMAL(12,10))"
 
     pairs = [(cur, ("sql", "array(" + ", ".join(dec(r) for r in rates) + ")")) for cur, rates in sorted(by_cur.items())]
-    rates = F.try_element_at(_map(pairs), currency)
+    found = F.try_element_at(_map(pairs), currency)
     idx = (year - first + 1).cast("int")
-    return F.when(year.between(first, last), F.try_element_at(rates, idx))
+    return F.when(year.between(first, last), F.try_element_at(found, idx))
 
 
-def _rate_years() -> tuple[int, int]:
-    years = [int(k.split("|")[1]) for k in CURRENCY_RATES]
+def _rate_years(table) -> tuple[int, int]:
+    years = [int(k.split("|")[1]) for k in table]
     return min(years), max(years)
 
 
-RATE_YEARS = _rate_years()
-
-
-def rate_decimals() -> dict[str, Decimal]:
+def rate_decimals(rates: dict[str, float] | None = None) -> dict[str, Decimal]:
     """The rate table rounded half up to ten decimals (decimal(12,10))."""
     return {
         key: Decimal(repr(v)).quantize(Decimal("1e-10"), rounding=ROUND_HALF_UP)
-        for key, v in CURRENCY_RATES.items()
+        for key, v in (CURRENCY_RATES if rates is None else rates).items()
     }
 
 

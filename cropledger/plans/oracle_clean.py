@@ -17,13 +17,14 @@ from cropledger.operators.clean import ADDRESS_PARTS, ALTERNATIVES
 from cropledger.operators.lookups import rate_decimals, scheme_full_names, scheme_id_pattern
 from cropledger.plans.oracle import _star_sql, country_sql, entity_id_sql, fingerprint_sql, normalize_scheme_sql, q
 from cropledger.plans.testdata import (
+    FOREIGN,
     MIN_SCHEME_SIZE,
     PLACEHOLDER_NAMES,
     RATE_COUNTRIES,
     RAW_SCHEME_IDS,
     YEAR_SHIFT,
 )
-from cropledger.schema import PAYMENT_COLUMNS, RAW_COLUMNS, YEAR_MAX, YEAR_MIN
+from cropledger.schema import RAW_COLUMNS, YEAR_MAX, YEAR_MIN
 
 
 def _case(x: str, pairs, default: str = "NULL") -> str:
@@ -63,12 +64,15 @@ def country_code_sql(x: str) -> str:
     for code, name, native in COUNTRIES:
         for alias in (name, native):
             aliases[alias.lower()] = code
+    # of the countries beyond the served ones the raw view names these only
+    codes += ", 'CH', 'US'"
+    aliases |= {"united states": "US", "switzerland": "CH", "el": "GR", "uk": "GB"}
     by_name = _case(f"lower(trim({x}))", [(k, q(v)) for k, v in sorted(aliases.items())])
     return f"CASE WHEN upper(trim({x})) IN ({codes}) THEN upper(trim({x})) ELSE {by_name} END"
 
 
 def country_name_sql(x: str) -> str:
-    return _case(x, [(c, q(n)) for c, n, _ in COUNTRIES])
+    return _case(x, [(c, q(n)) for c, n, _ in [*COUNTRIES, ("CH", "Switzerland", ""), ("US", "United States", "")]])
 
 
 def national_currency_sql(x: str) -> str:
@@ -161,15 +165,16 @@ def raw_payments_cte() -> str:
          ELSE 'Street ' || {street_no} END AS recipient_street,
     c.c_mktsegment AS recipient_location,
     CASE WHEN {ck} % 13 = 0 THEN {postcode} || '.0' ELSE {postcode} END AS recipient_postcode,
-    CASE WHEN {ck} % 11 = 0 THEN '' WHEN {ck} % 3 = 0 THEN lower({country}) ELSE {country} END AS recipient_country,
+    CASE WHEN {ck} % 11 = 0 THEN '' {' '.join(f"WHEN {ck} % {n} = 0 THEN {q(t)}" for n, t in FOREIGN.items())}
+         WHEN {ck} % 3 = 0 THEN lower({country}) ELSE {country} END AS recipient_country,
     CASE WHEN {size} < {MIN_SCHEME_SIZE} THEN ''
          WHEN {size} % 5 = 0 THEN list_value({ids})[{size} % 3 + 1] || ' ' || p.p_type
          WHEN {size} % 5 = 1 THEN lower(p.p_type)
          ELSE p.p_type || ' ' || p.p_brand END AS scheme,
     CASE WHEN {ok} % 97 = 0 THEN '1.' || {comma} WHEN {ok} % 89 = 0 THEN ''
          WHEN {ok} % 2 = 1 THEN {comma} ELSE {price} END AS amount,
-    CASE WHEN {country} IN ({', '.join(q(c) for c in RATE_COUNTRIES)}) THEN {natl} ELSE 'EUR' END AS currency,
-    concat_ws('|', CAST({ok} AS VARCHAR), CAST(l.l_linenumber AS VARCHAR)) AS _row
+    CASE WHEN {ok} % 101 = 0 THEN 'XXX' WHEN {country} IN ({', '.join(q(c) for c in RATE_COUNTRIES)}) THEN {natl} ELSE 'EUR' END AS currency,
+    CAST({ok} * 100 + l.l_linenumber AS BIGINT) AS _row
   FROM {_star_sql()}
 )"""
 
@@ -193,7 +198,7 @@ def clean_ctes(present=RAW_PRESENT) -> str:
     has_cur = "currency" in present
     c1 = ", ".join(f"{null_token_sql(col[c])} AS {c}" for c in RAW_COLUMNS)
     c2 = ", ".join(f"nullif({trim_cell_sql(c)}, '') AS {c}" for c in RAW_COLUMNS)
-    anon = "sha1(concat_ws(chr(31), _file, _row, " + ", ".join(f"coalesce({c}, '')" for c in RAW_COLUMNS) + "))"
+    anon = "sha1(concat_ws(chr(31), '', coalesce(CAST(_row AS VARCHAR), ''), " + ", ".join(f"coalesce({c}, '')" for c in RAW_COLUMNS) + "))"
     alts = {g[0]: "coalesce(" + ", ".join(f"CASE WHEN {usable_sql(c)} THEN {c} END" for c in g) + ")" for g in ALTERNATIVES}
     c3_cols = [f"{alts.get(c, c)} AS {c}" for c in RAW_COLUMNS]
     # c4: country code, name, fingerprint inputs
@@ -236,10 +241,7 @@ def clean_ctes(present=RAW_PRESENT) -> str:
         )
         + "], lambda e: e IS NOT NULL)"
     )
-    out_order = [c for c in PAYMENT_COLUMNS if c != "pk"]
-    order_by = ", ".join(
-        ["_file NULLS FIRST", "_row NULLS FIRST"] + [f"{c} NULLS FIRST" for c in out_order + ["errors"]]
-    )
+    order_by = "_file NULLS FIRST, _row NULLS FIRST, _anon NULLS FIRST"
     return f"""{raw_payments_cte()},
 c1 AS (SELECT {c1}, CAST(NULL AS VARCHAR) AS _file, _row FROM raw),
 c2 AS (SELECT {c2}, _file, _row FROM c1
@@ -272,12 +274,13 @@ c8 AS (SELECT {entity_id_sql('year_i', 'country_c', 'recipient_id_c', 'scheme_id
               recipient_url, scheme_id_c AS scheme_id, scheme_c AS scheme, CAST(NULL AS VARCHAR) AS scheme_code,
               scheme_description, amount_c AS amount, 'EUR' AS currency, amount_original,
               cur_orig AS currency_original, CAST(NULL AS VARCHAR) AS nuts1, CAST(NULL AS VARCHAR) AS nuts2,
-              CAST(NULL AS VARCHAR) AS nuts3, _file, _row, errors
+              CAST(NULL AS VARCHAR) AS nuts3, _file, _row, _anon, errors
        FROM c7),
 c9 AS (SELECT *, coalesce(pk IS NOT NULL AND country IN ({served}) AND year BETWEEN {YEAR_MIN} AND {YEAR_MAX}
-                          AND recipient_id IS NOT NULL AND recipient_country IS NOT NULL, false) AS _valid
+                          AND recipient_id IS NOT NULL AND recipient_country IS NOT NULL
+                          AND (currency_original IS NULL OR currency_original IN ({currencies})), false) AS _valid
        FROM c8),
-cleaned AS (SELECT * EXCLUDE (_rn) FROM (
+cleaned AS (SELECT * EXCLUDE (_rn, _anon) FROM (
        SELECT *, row_number() OVER (PARTITION BY pk ORDER BY {order_by}) AS _rn FROM c9) WHERE _rn = 1)"""
 
 

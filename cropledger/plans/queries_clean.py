@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cropledger.dims import COUNTRIES, CURRENCIES
 from cropledger.functions import (
     collapse_spaces,
     entity_id,
@@ -254,7 +253,7 @@ def clean_all(spark, sf_dir):
     "error_report",
     OC.clean_sql(
         "SELECT _file, e.code AS code, e.value AS value, count(*) AS rows "
-        "FROM (SELECT _file, unnest(errors) AS e FROM cleaned) GROUP BY ALL"
+        "FROM (SELECT _file, unnest(errors) AS e FROM c9) GROUP BY ALL"
     ),
 )
 def error_report(spark, sf_dir):
@@ -288,34 +287,23 @@ _OTHERS = [c for c in PAYMENT_COLUMNS if c not in _ORDER and c != "pk"]
 def dedup_pk(spark, sf_dir):
     """One row per ``pk`` (45,832 of 60,000 at sf0.01), first by the
     given order then by all columns."""
-    return present(dedup_first(payments(spark, sf_dir), "pk", _ORDER))
-
-
-_SERVED = ", ".join(O.q(c) for c, _n, _x in COUNTRIES)
+    return present(dedup_first(payments(spark, sf_dir), "pk", _ORDER + _OTHERS))
 
 
 @register(
     "domain_violations",
     OC.clean_sql(
-        "SELECT rule, count(*) AS rows FROM ("
-        f"SELECT CASE WHEN country IS NULL OR country NOT IN ({_SERVED}) THEN 'country' "
-        "WHEN year IS NULL OR year NOT BETWEEN 2000 AND 2029 THEN 'year' "
-        "WHEN amount IS NULL THEN 'amount' "
-        f"WHEN currency_original IS NULL OR currency_original NOT IN ({', '.join(O.q(c) for c in CURRENCIES)}) THEN 'currency' "
-        "ELSE 'ok' END AS rule FROM cleaned) GROUP BY rule"
+        "SELECT country, recipient_country, currency_original, _valid AS valid, count(*) AS rows FROM cleaned GROUP BY ALL"
     ),
 )
 def domain_violations(spark, sf_dir):
-    """V3: first failed domain rule per cleaned row, counted."""
-    c = clean(_raw(spark, sf_dir)).cleaned
-    rule = (
-        F.when(F.col("country").isNull() | ~F.col("country").isin(*[x for x, _n, _y in COUNTRIES]), "country")
-        .when(F.col("year").isNull() | ~F.col("year").between(2000, 2029), "year")
-        .when(F.col("amount").isNull(), "amount")
-        .when(F.col("currency_original").isNull() | ~F.col("currency_original").isin(*CURRENCIES), "currency")
-        .otherwise("ok")
-    )
-    return c.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("rows"))
+    """V3 as the operator judges it: foreign recipients pass, unknown places and
+    currencies go to the quarantine."""
+    result = clean(_raw(spark, sf_dir))
+    keys = ["country", "recipient_country", "currency_original"]
+    good = result.payments.select(*keys, F.lit(True).alias("valid"))
+    bad = result.quarantine.select(*keys, F.lit(False).alias("valid"))
+    return good.union(bad).groupBy(*keys, "valid").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---------------------------------------------------------------------------

@@ -8,16 +8,18 @@ import uuid
 from pyspark.sql import functions as F
 
 from cropledger.operators import summaries as S
+from cropledger.operators.load import clean_files
 from cropledger.plans import oracle as O
 from cropledger.plans import oracle_clean as OC
 from cropledger.plans import views as V
+from cropledger.plans.oracle import _star_sql
 from cropledger.plans.registry import present, register
-from cropledger.plans.testdata import payments, raw_payments
+from cropledger.plans.testdata import YEAR_SHIFT, payments, raw_payments
 from cropledger.schema import PAYMENT_COLUMNS
 from cropledger.session import ensure_checkpoint_dir
 from cropledger.sources import export as X
 from cropledger.sources import store
-from cropledger.sources.csv_source import read_sources
+from cropledger.sources.csv_source import list_files, read_sources
 from cropledger.streaming.ingest import ingest_new_files
 
 
@@ -30,7 +32,7 @@ _RAW_COLS = [c for c in OC.RAW_PRESENT] + ["_row"]
 
 @register(
     "csv_roundtrip",
-    f"WITH {OC.raw_payments_cte()}\nSELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _RAW_COLS) + " FROM raw",
+    f"WITH {OC.raw_payments_cte()}\nSELECT " + ", ".join(f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in _RAW_COLS) + " FROM raw",
 )
 def csv_roundtrip(spark, sf_dir):
     """S1 + S11: raw rows written as gzip CSV (quotes, commas, decimal
@@ -163,18 +165,18 @@ def upsert_q(spark, sf_dir):
     ),
 )
 def incremental_ingest(spark, sf_dir):
-    """Two deliveries of source files; each run cleans and upserts only
-    the files it has not seen, then the table is summarised."""
+    """Two deliveries of source files, the second with its columns in another
+    order; each run cleans and upserts only the files it has not seen, then the
+    table is summarised. A third run finds nothing."""
     raw = raw_payments(spark, sf_dir)
-    src = scratch(spark, "incoming")
-    table = scratch(spark, "ingested")
-    ckpt = scratch(spark, "ingest-ckpt")
+    src, table, ckpt = scratch(spark, "incoming"), scratch(spark, "ingested"), scratch(spark, "ingest-ckpt")
     year = F.col("year").cast("int")
     X.write_csv(raw.filter(year < 2013), f"{src}/batch1", mode="overwrite")
-    cols = [c for c in raw.columns]
-    ingest_new_files(spark, src, cols, table, checkpoint=ckpt)
-    X.write_csv(raw.filter(year >= 2013), f"{src}/batch2", mode="overwrite")
-    ingest_new_files(spark, src, cols, table, checkpoint=ckpt)
+    ingest_new_files(spark, src, table, checkpoint=ckpt)
+    X.write_csv(raw.filter(year >= 2013).select(*reversed(raw.columns)), f"{src}/batch2", mode="overwrite")
+    ingest_new_files(spark, src, table, checkpoint=ckpt)
+    if ingest_new_files(spark, src, table, checkpoint=ckpt)["batches"]:
+        raise ValueError("files were read twice")
     t = store.read_table(spark, table)
     return present(
         t.groupBy("country", "year").agg(
@@ -183,6 +185,147 @@ def incremental_ingest(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------------------
+# Files as they come
+# ---------------------------------------------------------------------------
+
+_LINE_HEADER = "recipient_name,recipient_street,amount,currency,country,year"
+_STREET = "CASE WHEN c_custkey % 10 = 4 THEN NULL WHEN c_custkey % 3 = 0 THEN 'Upper' || chr(10) || 'Lower ' || c_custkey WHEN c_custkey % 7 = 0 THEN NULL ELSE 'Plain ' || c_custkey END"
+
+
+def _lines(spark, sf_dir):
+    """Source lines of the customers: quoted line breaks, null tokens, short rows, rows
+    that are too long, and a header line in every part (more than one in some)."""
+    ck = F.col("c_custkey")
+    street = (
+        F.when(ck % 3 == 0, F.concat(F.lit('"Upper\nLower '), ck, F.lit('"')))
+        .when(ck % 7 == 0, F.lit("NULL"))
+        .otherwise(F.concat(F.lit("Plain "), ck))
+    )
+    full = F.concat_ws(",", "c_name", street, ck.cast("string"), F.lit("EUR"), F.lit("DE"), F.lit("2015"))
+    line = F.when(ck % 10 == 3, F.concat(full, F.lit(",beyond"))).when(ck % 10 == 4, F.col("c_name")).otherwise(full)
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.pmod(ck, F.lit(8)).alias("part"), F.lit(1).alias("kind"), line.alias("value"))
+    heads = spark.range(8).select(F.col("id").alias("part"), F.lit(0).alias("kind"), F.lit(_LINE_HEADER).alias("value"))
+    return rows.unionByName(heads).repartition(8, "part").sortWithinPartitions("kind").select("value")
+
+
+@register(
+    "csv_lines",
+    f"SELECT c_name AS recipient_name, {_STREET} AS recipient_address, "
+    "CASE WHEN c_custkey % 10 <> 4 THEN CAST(c_custkey AS DOUBLE) END AS amount FROM customer WHERE c_custkey % 10 <> 3 "
+    "UNION ALL SELECT 'rows too long', CAST(NULL AS VARCHAR), CAST(count(*) AS DOUBLE) FROM customer WHERE c_custkey % 10 = 3",
+)
+def csv_lines(spark, sf_dir):
+    """Line breaks in cells, null tokens, short and long rows, repeated
+    headers; a missing country and year of short rows come from the caller."""
+    path = scratch(spark, "lines")
+    _lines(spark, sf_dir).write.text(path)
+    result, src = clean_files(spark, path, year=2015, country="DE")
+    street = F.when(F.col("recipient_address") != "DE", F.col("recipient_address"))
+    rows = result.payments.select("recipient_name", street.alias("recipient_address"), F.col("amount_original").cast("double").alias("amount"))
+    long = src.skipped.agg(F.sum("rows").cast("double").alias("amount"))
+    return rows.union(long.select(F.lit("rows too long"), F.lit(None).cast("string"), "amount"))
+
+
+#: country, year, file name and columns of files that say little about themselves
+_FILES = (
+    ("DK", 2013, "dk_2013.csv", ("recipient_name", "recipient_street", "amount", "currency", "scheme_code_short")),
+    ("PL", 2015, "pl_Subsidies_2015.csv", ("denumire_beneficiar", "localitate", "cuantum", "masura")),
+    ("LT", 2015, "lt_2015.csv", ("amount", "recipient_name", "recipient_street")),
+)
+_PLAIN = " AND ".join(f"o.o_custkey % {n} <> 0" for n in (5, 7, 53, 59, 61))
+
+
+def _named_file(spark, df, folder: str, name: str) -> None:
+    """One CSV file of that name (a delivery is one file, so it is written by one task)."""
+    tmp = f"{folder}-part-{uuid.uuid4().hex}"
+    X.write_csv(df.coalesce(1), tmp, compression="none")
+    part = next(f for f in list_files(spark, tmp) if f.endswith(".csv"))
+    p, fs = spark._jvm.org.apache.hadoop.fs.Path(part), None
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
+    fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
+@register(
+    "csv_files",
+    "SELECT country, year, currency_original, scheme_code, count(*) AS rows, count(recipient_address) AS addresses, "
+    "count(DISTINCT recipient_name) AS names, CAST(sum(amount) AS DOUBLE) AS amount FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {O.q(c)} AS country, {y} AS year, {cur} AS currency_original, {code} AS scheme_code, c.c_name AS recipient_name, "
+        f"'x' AS recipient_address, CAST(l.l_orderkey * 100 + l.l_linenumber AS DECIMAL(18,2)) AS amount FROM {_star_sql()} "
+        f"WHERE {O.country_sql('c.c_nationkey')} = {O.q(c)} AND year(l.l_shipdate) + {YEAR_SHIFT} = {y} AND {_PLAIN}"
+        for (c, y, _n, _cols), cur, code in zip(_FILES, ("'DKK'", "'EUR'", "'LTL'"), ("'S1'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"))
+    )
+    + ") GROUP BY ALL UNION ALL SELECT 'rejected', 1, NULL, NULL, 0, 0, 0, NULL",
+)
+def csv_files(spark, sf_dir):
+    """Country and year from file names, three headers,
+    other column names, a currency from the table of manual fixes, short scheme
+    codes, and a file that says no year."""
+    raw, folder = raw_payments(spark, sf_dir), scratch(spark, "files")
+    ck = F.regexp_extract("recipient_name", r"(\d+)", 1).cast("long")
+    plain = raw.where(F.col("recipient_name").rlike("^Customer#"))
+    for n in (5, 7, 53, 59, 61):
+        plain = plain.where(ck % n != 0)
+    for country, year, name, columns in _FILES:
+        rows = plain.where((F.upper("country") == country) & (F.col("year") == str(year)))
+        value = {
+            "recipient_name": "recipient_name", "denumire_beneficiar": "recipient_name", "recipient_street": "recipient_street",
+            "localitate": "recipient_street", "scheme_code_short": "'S1'", "masura": "scheme", "currency": "'DKK'",
+            "amount": "_row", "cuantum": "_row",
+        }
+        _named_file(spark, rows.selectExpr(*(f"{value[c]} AS {c}" for c in columns)), folder, name)
+    _named_file(spark, plain.select("country", "amount").limit(3), folder, "whole.csv")
+    result, src = clean_files(spark, folder)
+    # equal amounts of one recipient can't occur: the amount is the source line's number
+    rows = result.rows.groupBy("country", "year", "currency_original", "scheme_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("recipient_address").alias("addresses"),
+        F.count_distinct("recipient_name").alias("names"), F.sum("amount_original").cast("double").alias("amount"),
+    )
+    gone = spark.range(1).selectExpr("'rejected'", str(len(src.rejected)), "CAST(NULL AS STRING)", "CAST(NULL AS STRING)", "0L", "0L", "0L", "CAST(NULL AS DOUBLE)")
+    return rows.union(gone)
+
+
+@register(
+    "csv_headerless",
+    "SELECT c_custkey AS row, c_name AS recipient_name, CAST(round(c_acctbal, 2) AS VARCHAR) IS NOT NULL AS has_amount FROM customer",
+)
+def csv_headerless(spark, sf_dir):
+    """A header given by the caller, another delimiter."""
+    path = scratch(spark, "plain")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", F.col("c_acctbal").cast("string"))
+    rows.write.options(sep="|", header=False).csv(path)
+    got = read_sources(spark, path, header=["row", "recipient_name", "amount"], delimiter="|").rows
+    return got.select(F.col("row").cast("long").alias("row"), "recipient_name", F.col("amount").isNotNull().alias("has_amount"))
+
+
+@register(
+    "same_ids",
+    "SELECT count(*) AS rows, 0 AS differing, 0 AS lost FROM customer WHERE c_custkey % 2 = 0",
+)
+def same_ids(spark, sf_dir):
+    """A file of nameless rows gives the same payment keys alone and beside another."""
+    base = scratch(spark, "nameless")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.lit("DE").alias("country"), F.lit("2015").alias("year"), F.lit("--").alias("recipient_name"), F.lit("EUR").alias("currency"),
+        F.lit("7").alias("amount"), "c_custkey",
+    )
+    for name, rest in (("a", 0), ("b", 1)):
+        X.write_csv(rows.where(F.col("c_custkey") % 2 == rest).drop("c_custkey"), f"{base}/{name}", compression="none")
+    alone = clean_files(spark, f"{base}/a")[0].rows.select("pk", "_file")
+    beside = clean_files(spark, [f"{base}/a", f"{base}/b"])[0].rows.select("pk", "_file")
+    both = alone.select("pk", "_file", F.lit(1).alias("n")).unionByName(
+        beside.where(F.col("_file").contains(f"{base.rsplit('/', 1)[-1]}/a/")).select("pk", "_file", F.lit(-1).alias("n"))
+    )
+    per = both.groupBy("pk", "_file").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("rows"))
+    return per.agg(
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("n") != 0).cast("int").alias("differing"),
+        F.count_if(F.col("rows") == 0).cast("int").alias("lost"),
+    )
+
+
 _EXPORT_SQL_TEXT = (
     "select recipient_id, year, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS total "
     "from payments where country in ('DK', 'SE') group by recipient_id, year"

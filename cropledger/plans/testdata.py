@@ -135,6 +135,17 @@ PLACEHOLDER_NAMES = ("--", "**", "private individual")
 RAW_SCHEME_IDS = ("II.1", "II.10", "III.3")
 
 
+# recipients abroad and in unknown places: customer key divisor -> text
+FOREIGN = {23: "CH", 29: "United States", 31: "EL", 37: "uk", 41: "Atlantis", 43: "Ελλάδα"}
+
+
+def _foreign(ck: Column, country: Column) -> Column:
+    out = F.when(ck % 11 == 0, F.lit(""))
+    for n, text in FOREIGN.items():
+        out = out.when(ck % n == 0, F.lit(text))
+    return out.when(ck % 3 == 0, F.lower(country)).otherwise(country)
+
+
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text source rows, one per line item, with the defects of F1:
     decimal commas, quoted and padded cells, placeholder names with and
@@ -186,11 +197,11 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("recipient_street"),
         F.col("c_mktsegment").alias("recipient_location"),
         F.when(ck % 13 == 0, F.concat(postcode, F.lit(".0"))).otherwise(postcode).alias("recipient_postcode"),
-        F.when(ck % 11 == 0, F.lit("")).when(ck % 3 == 0, F.lower(country)).otherwise(country).alias("recipient_country"),
+        _foreign(ck, country).alias("recipient_country"),
         scheme.alias("scheme"),
         amount.alias("amount"),
-        F.when(converted, natl).otherwise(F.lit("EUR")).alias("currency"),
-        F.concat_ws("|", ok.cast("string"), F.col("l_linenumber").cast("string")).alias("_row"),
+        F.when(ok % 101 == 0, F.lit("XXX")).when(converted, natl).otherwise(F.lit("EUR")).alias("currency"),
+        (ok * 100 + F.col("l_linenumber")).cast("long").alias("_row"),
     )
 
 

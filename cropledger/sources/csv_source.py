@@ -1,37 +1,42 @@
 """Raw CSV sources.
 
-Every cell is read as text. Files are grouped by their header line and each
-group is read by one parallel scan (plain CSV splits across tasks; a ``.gz``
-file is one task, so many files give the parallelism). Rows with more fields
-than the header are skipped and counted (their extra field lands in an
-overflow column); short rows are padded with nulls. ``_file`` keeps the
-source path and country / year can be derived from the file name.
+Every cell is read as text. Spark reads the header lines of all files in one job;
+only the different headers, and the files of each, come to the driver. Each
+group of files with one header is read by one parallel scan. Quoted cells may hold
+line breaks, so a file is one task by default; ``line_breaks=False`` lets plain
+files split. Rows with more fields than the header are skipped and counted
+(their extra field lands in an overflow column); short rows are padded with nulls.
+``_file``, ``_block`` and ``_row`` place a row in its source, and country / year can
+be derived from the file name.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OVERFLOW_COL = "_overflow"
+#: whether the row's file has no currency column (S7 fills those only)
+NO_CURRENCY_COL = "_no_currency"
 
-# FIXED VALUES: file-name patterns giving (country, year), tried in order.
+# FIXED VALUES: file-name patterns giving (country, year), tried in order (the longer
+# one first: ``pl_Subsidies_2015`` is of PL, not of ES).
 FILENAME_PATTERNS = (
-    r".*([a-z\D]{2})_(\d{4})",
     r".*([a-z\D]{2})_Subsidies_(\d{4})",
+    r".*([a-z\D]{2})_(\d{4})",
 )
 
 CSV_OPTIONS = {
     "mode": "PERMISSIVE",
     "quote": '"',
     "escape": '"',
-    "multiLine": "false",
+    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
@@ -79,30 +84,22 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
-def read_header(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
-    """Column names from the first line of one file, read through the
-    Hadoop file system (decompressed by the file's codec). Only that line
-    crosses to the driver."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of our own through the Hadoop file system."""
     p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        line = reader.readLine() or ""
-    finally:
-        reader.close()
-    cells = next(csv.reader([line.lstrip("\ufeff")], delimiter=delimiter, quotechar='"'), [])
-    return [c.strip().strip('"').strip() for c in cells]
+    fs.delete(p, True)
 
 
-def read_headers(spark: SparkSession, files: list[str], delimiter: str = ",", threads: int = 16) -> list[list[str]]:
-    """Headers of many files, fetched concurrently (one small read each)."""
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        return list(pool.map(lambda f: read_header(spark, f, delimiter), files))
+def header_groups(spark: SparkSession, files: list[str], delimiter: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Files by their column names. A job reads each file's first line: the first of
+    its text splits, of which all but the first line are dropped in the tasks."""
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("line").collect():
+        cells = next(csv.reader([(r["line"] or "").lstrip("\ufeff")], delimiter=delimiter, quotechar='"'), [])
+        groups.setdefault(tuple(c.strip().strip('"').strip() for c in cells), []).extend(r["files"])
+    return groups
 
 
 def context_from_path(path: Column) -> tuple[Column, Column]:
@@ -129,15 +126,43 @@ def context_from_name(path: str) -> tuple[str | None, str | None]:
     return None, None
 
 
+def read_group(spark: SparkSession, files: list[str], columns: tuple[str, ...], header: bool, delimiter: str, line_breaks: bool) -> DataFrame:
+    """All rows of files with these columns, as text, with their place and
+    ``OVERFLOW_COL`` set where a row is too long."""
+    fields = [*columns, OVERFLOW_COL]
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in fields])
+    options = CSV_OPTIONS | {"multiLine": str(line_breaks).lower(), "sep": delimiter, "header": str(header).lower()}
+    rows = spark.read.options(**options).schema(schema).csv(files)
+    return placed(rows).withColumn(NO_CURRENCY_COL, F.lit("currency" not in columns))
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """``_file``, ``_block`` (where the row's split begins) and, unless the source has
+    its own, ``_row``: the row's number in its split, whatever else is read with it."""
+    rows = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"),
+    )
+    if "_row" in rows.columns:
+        return rows.drop("_at")
+    # a task may read several files: a split's first number is taken off
+    heads = rows.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(F.min("_at").alias("_head"))
+    joined = rows.join(heads, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return joined.withColumn("_row", F.col("_at") - F.col("_head")).drop("_f", "_b", "_head", "_at")
+
+
 def read_sources(
     spark: SparkSession,
     paths: str | list[str],
     header: list[str] | None = None,
     delimiter: str = ",",
     accept=None,
+    line_breaks: bool = True,
 ) -> SourceRead:
     """Read all files, grouped by header, as one all-text
-    DataFrame with ``_file``, ``_row`` and file-name context columns
+    DataFrame with ``_file``, ``_block``, ``_row`` and file-name context columns
     ``_ctx_country`` / ``_ctx_year`` (S4). ``accept(file, columns)`` may
     reject whole files before reading (V1); rejected files are listed in
     ``SourceRead.rejected``."""
@@ -146,54 +171,26 @@ def read_sources(
         files.extend(list_files(spark, p))
     if not files:
         raise FileNotFoundError(f"no input files under {paths}")
+    found = {tuple(header): files} if header else header_groups(spark, files, delimiter)
     groups: dict[tuple[str, ...], list[str]] = {}
     rejected: list[tuple[str, str]] = []
-    headers = [list(header)] * len(files) if header else read_headers(spark, files, delimiter)
-    for f, cols in zip(files, headers):
-        reason = accept(f, cols) if accept else None
-        if reason:
-            rejected.append((f, reason))
-            continue
-        groups.setdefault(tuple(cols), []).append(f)
+    for cols, members in found.items():
+        for f in members:
+            reason = accept(f, list(cols)) if accept else None
+            if reason:
+                rejected.append((f, reason))
+            else:
+                groups.setdefault(cols, []).append(f)
     if not groups:
         raise FileNotFoundError(f"every input file was rejected: {rejected}")
 
-    frames, skipped = [], []
-    for cols, group_files in groups.items():
-        schema = T.StructType(
-            [T.StructField(c, T.StringType(), True) for c in cols]
-            + [T.StructField(OVERFLOW_COL, T.StringType(), True)]
-        )
-        df = (
-            spark.read.options(**CSV_OPTIONS)
-            .option("sep", delimiter)
-            .option("header", header is None)
-            .schema(schema)
-            .csv(group_files)
-            .withColumn("_file", F.col("_metadata.file_path"))
-        )
-        skipped.append(df.filter(F.col(OVERFLOW_COL).isNotNull()).select("_file"))
-        frames.append(df.filter(F.col(OVERFLOW_COL).isNull()).drop(OVERFLOW_COL))
-
-    rows = frames[0]
-    for f in frames[1:]:
-        rows = rows.unionByName(f, allowMissingColumns=True)
-    if "_row" not in rows.columns:
-        # position of the row in its input split: stable for the same files
-        # and split size, so task retries and re-runs give the same key
-        rows = rows.withColumn("_row", F.monotonically_increasing_id().cast("string"))
-    cores = spark.sparkContext.defaultParallelism
-    gz = [f for f in files if f.endswith((".gz", ".bz2", ".zst", ".zstd"))]
-    if gz and len(files) < cores:
-        # few whole-file (compressed) splits: spread the CPU-bound cleaning
-        # over all cores; with many files the scan is parallel already
-        rows = rows.repartition(cores)
+    frames = [read_group(spark, members, cols, header is None, delimiter, line_breaks) for cols, members in groups.items()]
+    skipped = [f.where(F.col(OVERFLOW_COL).isNotNull()).select("_file") for f in frames]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.where(F.col(OVERFLOW_COL).isNull()).drop(OVERFLOW_COL) for f in frames])
     ctx_country, ctx_year = context_from_path(F.col("_file"))
     rows = rows.withColumns({"_ctx_country": ctx_country, "_ctx_year": ctx_year})
-    skip = skipped[0]
-    for s in skipped[1:]:
-        skip = skip.unionByName(s)
-    return SourceRead(rows, skip.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")), groups, rejected)
+    skip = reduce(lambda a, b: a.unionByName(b), skipped)
+    return SourceRead(rows, skip.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")), groups, sorted(rejected))
 
 
 def currency_override(overrides: dict[tuple[str, int], str], country: Column, year: Column) -> Column:

@@ -9,13 +9,18 @@ is split over several tasks and files instead of one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import operator
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cropledger.errors import ImproperlyConfigured
 from cropledger.operators.clean import dedup_first
 from cropledger.schema import PARTITION_COLUMNS, PAYMENT_COLUMNS, PAYMENTS_SCHEMA
-from cropledger.session import cut_lineage
-from cropledger.sources.csv_source import path_exists
+from cropledger.session import ensure_checkpoint_dir
+from cropledger.sources.csv_source import path_exists, remove_path
 
 # reference table's sorting key: the identity of a stored row
 UPSERT_KEY = ["country", "year", "recipient_id", "pk"]
@@ -38,9 +43,10 @@ def layout(df: DataFrame) -> DataFrame:
 
 
 def init_table(spark: SparkSession, path: str, recreate: bool = False) -> None:
-    """Create the (empty) table, or replace it when ``recreate``."""
+    """Create the (empty) table; one that exists is an error, unless
+    ``recreate`` replaces it."""
     if path_exists(spark, path) and not recreate:
-        return
+        raise ImproperlyConfigured(f"there is a table at {path} already")
     empty = spark.createDataFrame([], PAYMENTS_SCHEMA)
     empty.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
@@ -51,45 +57,72 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def insert(df: DataFrame, path: str) -> int:
     """Append rows by name; returns the number of rows written (counted
-    by an observation on the write itself, no second pass)."""
+    by an observation on the write itself, no second pass). Rows whose key is stored
+    already are an error: ``upsert`` is the way to bring them again."""
+    spark = df.sparkSession
+    new = conform(df)
+    stored = _partitions(spark, path) if path_exists(spark, path) else set()
+    if stored:
+        coming = {tuple(r) for r in new.select(*PARTITION_COLUMNS).distinct().collect()}
+        if shared := stored & coming:
+            old = read_table(spark, path).where(_in_partitions(shared)).select(*UPSERT_KEY)
+            twice = new.where(_in_partitions(shared)).select(*UPSERT_KEY).join(old, UPSERT_KEY, "left_semi").limit(1)
+            if not twice.isEmpty():
+                raise ImproperlyConfigured(f"rows that are to be inserted are in {path} already")
     obs = Observation("insert")
-    out = conform(df).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = new.observe(obs, F.count(F.lit(1)).alias("rows"))
     layout(out).write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
     return int(obs.get["rows"])
 
 
+def _partitions(spark: SparkSession, path: str) -> set[tuple]:
+    """The table's (country, year) pairs, a few hundred; read from its folders."""
+    return {tuple(r) for r in read_table(spark, path).select(*PARTITION_COLUMNS).distinct().collect()}
+
+
+def _in_partitions(pairs: set[tuple]) -> Column:
+    """The rows of these (country, year) pairs; prunes the table's folders."""
+    years: dict = {}
+    for country, year in sorted(pairs, key=str):
+        years.setdefault(country, []).append(year)
+    tests = [F.col("country").eqNullSafe(c) & F.col("year").isin(y) for c, y in years.items()]
+    return reduce(operator.or_, tests) if tests else F.lit(False)
+
+
 def upsert(spark: SparkSession, df: DataFrame, path: str) -> int:
     """New rows win over stored rows with the same key
-    (country, year, recipient_id, pk); only the partitions the new rows touch
-    are read and rewritten (dynamic partition overwrite). When stored rows are
-    merged, the result is checkpointed to the shared checkpoint folder before
-    the overwrite, so the job never reads files it is replacing and survives
-    executor loss; new partitions are written straight away."""
-    new = conform(df).withColumn("_src", F.lit(0))
+    (country, year, recipient_id, pk); of new rows with one key the first wins. Only the
+    partitions the new rows touch are read and rewritten (dynamic partition
+    overwrite). Returns the number of rows taken in.
+
+    The new rows are made once: they are written to the shared checkpoint folder,
+    which also lets them come from this very table, and all steps read that file. The
+    merged partitions go there too before they replace the stored ones; both
+    files are removed at the end."""
     if not path_exists(spark, path):
         init_table(spark, path)
-    touched = new.select(*PARTITION_COLUMNS).distinct()
-    old = (
-        read_table(spark, path)
-        .join(touched, PARTITION_COLUMNS, "left_semi")  # partition pruning via DPP
-        .withColumn("_src", F.lit(1))
-    )
-    table_dir = path.rstrip("/").split(":", 1)[-1]
-    from_table = any(table_dir in f for f in df.inputFiles())  # new rows read from this table
-    reads_target = from_table or not old.isEmpty()  # else a one-row probe of the touched partitions
-    both = new.unionByName(old) if reads_target else new
-    keyed = both.withColumn("_key", F.concat_ws("\u001f", *[F.col(k).cast("string") for k in UPSERT_KEY]))
-    merged = conform(dedup_first(keyed, "_key", ["_src"]).drop("_key", "_src"))
-    if reads_target:
-        # never overwrite files the same job is still reading
-        merged = cut_lineage(merged)
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
     obs = Observation("upsert")
-    out = merged.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (
-        layout(out)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS)
-        .parquet(path)
-    )
+    keyed = dedup_first(conform(df), UPSERT_KEY, [c for c in PAYMENT_COLUMNS if c not in UPSERT_KEY])
+    try:
+        keyed.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{scratch}/new")
+        new = spark.read.schema(PAYMENTS_SCHEMA).parquet(f"{scratch}/new")
+        touched = {tuple(r) for r in new.select(*PARTITION_COLUMNS).distinct().collect()}
+        shared = touched & _partitions(spark, path)
+        merged = new
+        if shared:
+            old = read_table(spark, path).where(_in_partitions(shared))
+            merged = new.unionByName(old.join(new.select(*UPSERT_KEY), UPSERT_KEY, "left_anti").select(*PAYMENT_COLUMNS))
+            merged.write.parquet(f"{scratch}/merged")
+            merged = spark.read.schema(PAYMENTS_SCHEMA).parquet(f"{scratch}/merged")
+        if touched:
+            (
+                layout(merged)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*PARTITION_COLUMNS)
+                .parquet(path)
+            )
+    finally:
+        remove_path(spark, scratch)
     return int(obs.get["rows"])

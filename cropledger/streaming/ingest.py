@@ -1,10 +1,13 @@
 """Incremental ingest of newly arrived source files.
 
-A file-source stream with ``trigger(availableNow=True)`` picks up only the
-files not yet recorded in its checkpoint; each micro-batch is cleaned and
-upserted (S10), so re-running after a failure or re-delivering a file is
-idempotent. The checkpoint lives under the shared ``spark.checkpoint.dir``
-unless a location is given.
+A file stream with ``trigger(availableNow=True)`` finds the files that its checkpoint
+doesn't know yet. Each micro-batch takes the names of its files, reads them with
+the batch reader (every file by its own header, long rows skipped, whole files
+rejected where year or country is missing), cleans them and upserts the
+payments, so running again after a failure changes nothing. Error messages,
+quarantined rows and rejected files are written beside the table, a folder per batch
+that a repeated batch replaces. The checkpoint lives under the shared
+``spark.checkpoint.dir`` unless a location is given.
 """
 
 from __future__ import annotations
@@ -13,56 +16,66 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cropledger.operators.clean import clean
+from cropledger.errors import InvalidSource
+from cropledger.operators.load import clean_files
 from cropledger.session import ensure_checkpoint_dir
-from cropledger.sources.csv_source import CSV_OPTIONS, MANUAL_CURRENCY, context_from_path, currency_override
 from cropledger.sources.store import upsert
 
 
 def ingest_new_files(
     spark: SparkSession,
     source_dir: str,
-    columns: list[str],
     table_path: str,
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
+    **options,
 ) -> dict:
-    """Clean and upsert every file in ``source_dir`` not seen before.
-    ``columns`` is the header of the files (all read as text)."""
+    """Clean and upsert every file under ``source_dir`` not seen before.
+    ``options`` go to ``clean_files``. Returns counts of batches, payments taken in
+    and files rejected."""
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid5(uuid.NAMESPACE_URL, source_dir)}"
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    reader = (
-        spark.readStream.options(**CSV_OPTIONS)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .schema(schema)
-    )
+    reader = spark.readStream.format("text").option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir).withColumn("_file", F.col("_metadata.file_path"))
-    stats = {"batches": 0, "rows": 0}
+    # one row per line goes no further than the distinct names
+    names = reader.load(source_dir).select(F.col("_metadata.file_path").alias("file"))
+    stats = {"batches": 0, "rows": 0, "rejected": 0}
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ctx_country, ctx_year = context_from_path(F.col("_file"))
-        if "_row" not in batch.columns:
-            batch = batch.withColumn("_row", F.monotonically_increasing_id().cast("string"))
-        result = clean(
-            batch,
-            year=ctx_year,
-            country=ctx_country,
-            currency=currency_override(MANUAL_CURRENCY, ctx_country, ctx_year),
-        )
-        stats["rows"] += upsert(spark, result.payments, table_path)
+        files = [r["file"] for r in batch.distinct().collect()]
+        if not files:
+            return
         stats["batches"] += 1
+        beside = f"{table_path.rstrip('/')}-reports"
+        try:
+            result, src = clean_files(spark, sorted(files), **options)
+            rejected = src.rejected
+        except FileNotFoundError:
+            result, rejected = None, [(f, "InvalidSource") for f in files]
+        stats["rejected"] += len(rejected)
+        part = f"batch={batch_id}"
+        spark.createDataFrame(rejected, "file string, reason string").write.mode("overwrite").parquet(f"{beside}/rejected/{part}")
+        if result is None:
+            return
+        result.errors.write.mode("overwrite").parquet(f"{beside}/errors/{part}")
+        result.quarantine.write.mode("overwrite").parquet(f"{beside}/quarantine/{part}")
+        src.skipped.write.mode("overwrite").parquet(f"{beside}/skipped/{part}")
+        stats["rows"] += upsert(spark, result.payments, table_path)
 
     query = (
-        stream.writeStream.foreachBatch(handle)
+        names.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
     return stats
+
+
+def reports(spark: SparkSession, table_path: str, kind: str) -> DataFrame:
+    """The ``errors``, ``quarantine``, ``skipped`` or ``rejected`` rows of all batches."""
+    if kind not in ("errors", "quarantine", "skipped", "rejected"):
+        raise InvalidSource(f"no reports of {kind!r}")
+    return spark.read.parquet(f"{table_path.rstrip('/')}-reports/{kind}")

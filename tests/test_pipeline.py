@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from cropledger.errors import InvalidSource
+from cropledger.errors import ImproperlyConfigured, InvalidSource
 from cropledger.operators.clean import clean
 from cropledger.sources import store
 from cropledger.sources.csv_source import read_sources
@@ -80,7 +80,8 @@ def test_clean_cases(spark, raw_dir):
     assert pay["Quoted, Name"]["scheme"] == "II.1 - Export refunds"
     assert pay["CZ ID7"]["amount"] is None  # 1.234,56 is invalid
     assert pay["Euro Payer"]["amount"] == Decimal("10.00")
-    assert pay["Dollar Payer"]["amount"] == Decimal("0.36")  # converted by country's rate
+    dollars = res.quarantine.filter("recipient_name = 'Dollar Payer'").first()
+    assert dollars["amount"] == Decimal("0.36")  # by the country's rate, but not a known currency
     assert pay["Anon Minus"]["amount"] < 0
     assert pay["Xpath Co"]["recipient_address"] == "Rue 5"
     assert pay["Short Row"]["amount"] is None
@@ -93,7 +94,7 @@ def test_clean_cases(spark, raw_dir):
     twice = res.payments.filter(F.col("recipient_name") == "Twice").count()
     assert twice == 1  # same payment twice
     quarantine = [r["recipient_name"] for r in res.quarantine.collect()]
-    assert quarantine == ["Nowhere"]
+    assert sorted(quarantine) == ["Dollar Payer", "Nowhere"]
     errs = {(r["code"], r["value"]) for r in res.errors.collect()}
     assert ("InvalidAmount", "1.234,56") in errs and ("InvalidAmount", "12,345") in errs
     assert ("InvalidCurrency", "USD") in errs and ("InvalidCountry", "XX") in errs
@@ -109,7 +110,7 @@ def test_clean_is_repeatable(spark, raw_dir):
 
 def test_missing_year_rejects_source(spark):
     df = spark.createDataFrame([("x", "1")], "recipient_name string, amount string")
-    with pytest.raises(InvalidSource, match="Year"):
+    with pytest.raises(InvalidSource, match="year"):
         clean(df)
 
 
@@ -136,14 +137,13 @@ def test_stream_reads_only_new_files(spark, tmp_path):
     src.mkdir()
     (src / "cz_2015.csv").write_text(CZ, encoding="utf-8")
     table, ckpt = str(tmp_path / "t"), str(tmp_path / "ckpt")
-    cols = CZ.splitlines()[0].split(",")
-    first = ingest_new_files(spark, str(src), cols, table, checkpoint=ckpt)
+    first = ingest_new_files(spark, str(src), table, checkpoint=ckpt)
     n1 = store.read_table(spark, table).count()
     assert first["batches"] == 1 and n1 > 0
-    again = ingest_new_files(spark, str(src), cols, table, checkpoint=ckpt)
+    again = ingest_new_files(spark, str(src), table, checkpoint=ckpt)
     assert again["batches"] == 0
     (src / "cz_2016.csv").write_text(CZ.replace(",2015,", ",2016,"), encoding="utf-8")
-    third = ingest_new_files(spark, str(src), cols, table, checkpoint=ckpt)
+    third = ingest_new_files(spark, str(src), table, checkpoint=ckpt)
     assert third["batches"] == 1
     assert store.read_table(spark, table).count() == 2 * n1
 
@@ -165,14 +165,12 @@ def test_clean_files_manual_currency(spark, tmp_path):
 def test_headers_gzip_delimiter_and_caller_header(spark, tmp_path):
     import gzip
 
-    from cropledger.sources.csv_source import read_header
-
     d = tmp_path / "mixed"
     d.mkdir()
     with gzip.open(d / "de_2019.csv.gz", "wt", encoding="utf-8") as f:
         f.write("﻿recipient_name;amount;currency\nAnna;5;EUR\n")
-    assert read_header(spark, str(d / "de_2019.csv.gz"), ";") == ["recipient_name", "amount", "currency"]
     src = read_sources(spark, str(d), delimiter=";")
+    assert list(src.headers) == [("recipient_name", "amount", "currency")]
     r = src.rows.first()
     assert (r["recipient_name"], r["amount"], r["_ctx_country"], r["_ctx_year"]) == ("Anna", "5", "de", "2019")
     h = tmp_path / "headerless"
@@ -195,7 +193,10 @@ def test_init_and_recreate(spark, tmp_path, raw_dir):
     path = str(tmp_path / "t2")
     store.init_table(spark, path)
     n = store.insert(res.payments, path)
-    store.init_table(spark, path)  # exists: left alone
+    with pytest.raises(ImproperlyConfigured):
+        store.init_table(spark, path)  # exists
+    with pytest.raises(ImproperlyConfigured):
+        store.insert(res.payments, path)  # the same rows again
     assert store.read_table(spark, path).count() == n
     store.init_table(spark, path, recreate=True)
     assert store.read_table(spark, path).count() == 0
@@ -222,4 +223,52 @@ def test_clean_files_rejects_file_without_year(spark, tmp_path):
     res, src = clean_files(spark, str(d))
     assert [r["recipient_name"] for r in res.payments.collect()] == ["Anna"]
     assert len(src.rejected) == 1 and src.rejected[0][0].endswith("nameless.csv")
-    assert "Year is missing" in src.rejected[0][1]
+    assert "no year" in src.rejected[0][1]
+
+
+def test_errors_counted_before_dedup_and_foreign_recipients(spark):
+    cols = "country string, year string, recipient_name string, recipient_country string, amount string, currency string, _row long"
+    rows = [("DE", "2019", "Anna", "Schweiz", "1.234,56", "EUR", i) for i in (1, 2, 3)]
+    rows += [("DE", "2019", "Bob", c, "5", "EUR", 10 + i) for i, c in enumerate(("CH", "EL", "uk", "United States", "Nowhereland"))]
+    res = clean(spark.createDataFrame(rows, cols))
+    errors = {(r["code"], r["value"]): r["rows"] for r in res.errors.collect()}
+    assert errors[("InvalidAmount", "1.234,56")] == 3  # one payment key, three bad rows
+    assert errors[("InvalidCountry", "Nowhereland")] == 1
+    got = {(r["recipient_name"], r["recipient_country"]) for r in res.payments.collect()}
+    assert got == {("Anna", "CH"), ("Bob", "CH"), ("Bob", "GR"), ("Bob", "GB"), ("Bob", "US")}
+
+
+def test_first_row_wins_by_number(spark):
+    cols = "country string, year string, recipient_name string, recipient_url string, amount string, currency string, _file string, _row long"
+    rows = [("DE", "2019", "Anna", f"url{i}", "5", "EUR", "f", i) for i in range(12, 0, -1)]
+    assert [r["recipient_url"] for r in clean(spark.createDataFrame(rows, cols)).payments.collect()] == ["url1"]
+
+
+def test_upsert_counts_rows_taken_in_and_cleans_up(spark, raw_dir, tmp_path):
+    _, res = _clean(spark, raw_dir)
+    path = str(tmp_path / "t4")
+    n = store.insert(res.payments, path)
+    assert store.upsert(spark, res.payments.filter("country = 'HU'"), path) == 1
+    assert store.read_table(spark, path).count() == n
+    scratch = spark.sparkContext.getCheckpointDir()
+    from cropledger.sources.csv_source import list_files
+
+    assert not [f for f in list_files(spark, scratch) if "/upsert-" in f]
+
+
+def test_stream_reads_each_file_by_its_own_header(spark, tmp_path):
+    from cropledger.streaming.ingest import reports
+
+    src = tmp_path / "in2"
+    src.mkdir()
+    (src / "de_2019.csv").write_text('recipient_name,amount,currency\n"Anna\nMaria",5,EUR\nBob,7,EUR,extra\n', encoding="utf-8")
+    (src / "fr_2019.csv").write_text("amount,currency,recipient_name\n9,EUR,Claire\nx,EUR,Dora\n", encoding="utf-8")
+    (src / "nothing.csv").write_text("recipient_name,amount,currency\nEve,1,EUR\n", encoding="utf-8")
+    table = str(tmp_path / "t5")
+    stats = ingest_new_files(spark, str(src), table, checkpoint=str(tmp_path / "c5"))
+    got = {r["recipient_name"]: r["amount_original"] for r in store.read_table(spark, table).collect()}
+    assert got == {"Anna Maria": Decimal("5.00"), "Claire": Decimal("9.00"), "Dora": None}
+    assert stats == {"batches": 1, "rows": 3, "rejected": 1}
+    assert reports(spark, table, "skipped").collect()[0]["rows"] == 1
+    assert {r["code"] for r in reports(spark, table, "errors").collect()} == {"InvalidAmount"}
+    assert reports(spark, table, "rejected").collect()[0]["file"].endswith("nothing.csv")
