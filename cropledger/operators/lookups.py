@@ -9,6 +9,7 @@ ordinary left join left to the planner.
 
 from __future__ import annotations
 
+import json
 import re
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -29,14 +30,13 @@ def _sql_str(v: str) -> str:
 
 
 def _map(pairs) -> Column:
-    """A map literal from (key, value) pairs, built as one SQL literal (a
-    single call into the JVM however many entries). Values are text, or
-    SQL snippets given as ``("sql", text)``."""
-    items = []
-    for k, v in pairs:
-        val = v[1] if isinstance(v, tuple) else _sql_str(v)
-        items.append(f"{_sql_str(k)}, {val}")
-    return F.expr("map(" + ", ".join(items) + ")")
+    """A map literal from (key, value) pairs. Text values go through one JSON literal,
+    which the optimiser folds to a map: the plan it analyses stays small however
+    many entries there are. Other values are SQL snippets given as ``("sql", text)``."""
+    pairs = list(pairs)
+    if all(v is None or isinstance(v, str) for _, v in pairs):
+        return F.from_json(F.lit(json.dumps(dict(pairs))), "map<string,string>")
+    return F.expr("map(" + ", ".join(f"{_sql_str(k)}, {v[1]}" for k, v in pairs) + ")")
 
 
 def country_code(text: Column, countries=None) -> Column:

@@ -1,9 +1,9 @@
-"""Write PLANS.md: formatted physical plans of the key queries over a stored,
+"""Print the formatted physical plans of the key queries over a stored,
 partitioned payments table (what a reviewer checks for scale: partition
 pruning, pushed filters, pruned read schema, partial aggregation, shuffles,
 top-k).
 
-    python tools/explain_plans.py [sf_dir] > PLANS.md
+    python tools/explain_plans.py [sf_dir] > plans.txt
 """
 
 from __future__ import annotations
