@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from cropledger.llm.pieces import cache_for, encoded_blocks
 from cropledger.llm.words import map_texts
 
-#: Pre-tokens and pairs remembered by a worker.
-MEMO = 1_000_000
+#: Pairs, pre-tokens and pieces of text remembered by a worker.
+PAIRS, WORDS, PIECES = 300_000, 200_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -102,7 +102,7 @@ class BytePairs:
     def _fits(self, a: int, b: int) -> bool:
         known = self.compatible.get((a, b))
         if known is None:
-            if len(self.compatible) > MEMO:
+            if len(self.compatible) > PAIRS:
                 self.compatible.clear()
             known = self.compatible[a, b] = self._decide(a, b)
         return known
@@ -145,7 +145,7 @@ class BytePairs:
                 if got is None:
                     got = self.encode_word(w.encode())
                     if len(w) <= 64:
-                        if len(words) > MEMO // 2:
+                        if len(words) > WORDS:
                             words.clear()
                         words[w] = got
                 ids += got
@@ -165,16 +165,22 @@ def coder(path: str, pattern: str) -> BytePairs:
     return _coders[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``ids array<int>``."""
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` without the text, with ``ids array<int>``; with ``decoded`` also the bytes
+    that the ids decode to, made in the same pass."""
 
     def run(texts: pa.Array) -> Iterator[list[pa.Array]]:
-        cache = cache_for("bpe" + pattern, path, lambda p: coder(p, pattern).encode_pieces, spaced=True)
+        pairs = coder(path, pattern)
+        cache = cache_for("bpe" + pattern, path, lambda p: pairs.encode_pieces, spaced=True, most=PIECES)
         for _, rows in encoded_blocks(texts, cache):
             off = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
-            yield [pa.ListArray.from_arrays(off, pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))]
+            flat = np.frombuffer(b"".join(rows), dtype=np.int32)
+            out = [pa.ListArray.from_arrays(off, pa.array(flat))]
+            if decoded:
+                out.append(pa.array([pairs.decode(flat[x:y].tolist()) for x, y in zip(off[:-1], off[1:], strict=True)], pa.binary()))
+            yield out
 
-    return map_texts(docs, text_col, run, "ids array<int>", drop_text=True)
+    return map_texts(docs, text_col, run, "ids array<int>" + ", decoded binary" * decoded, drop_text=True)
 
 
 def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -203,8 +209,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = decode(encode(docs, path, pattern), path, pattern)
-    return both.select(
+    return encode(docs, path, pattern, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -8,6 +8,7 @@ row are the text's ids. For vocabularies that drop white space any space will do
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,52 +17,67 @@ import pyarrow as pa
 from cropledger.llm.words import blocks
 
 #: Pieces kept in a worker's cache, and the longest piece that is kept.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 CACHE_CHARS = 200
 
+#: Letters (of scripts that all versions of Unicode agree on) with signs behind them: two
+#: pre-tokens in every vocabulary here, so the letters' ids are shared.
+_LETTERS = "".join(re.escape(chr(i)) for i in range(0x250) if chr(i).isalpha())
+_WORD = re.compile(f"([{_LETTERS}]+)([.,!?;:]*)")
+
 
 class PieceCache:
     """``encode_pieces`` gives the ids of each piece; ``spaced``: the space before a
     piece belongs to it."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], spaced: bool):
-        self.encode_pieces, self.spaced = encode_pieces, spaced
+    def __init__(self, encode_pieces: Callable[[list[str]], list[list[int]]], spaced: bool, most: int = CACHE_PIECES):
+        self.encode_pieces, self.spaced, self.most = encode_pieces, spaced, most
         self.known: dict[str, bytes] = {}
+        self.signs: dict[str, bytes] = {}  # signs behind a word
 
     def _learn(self, parts: set[str]) -> None:
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        new = [p for p in parts if p and len(p) <= CACHE_CHARS and (not self.spaced or not (p[0].isspace() or p[-1].isspace()))]
-        ids = self.encode_pieces([" " + p for p in new] if self.spaced else new)
-        self.known.update(zip(new, (np.array(x, dtype=np.int32).tobytes() for x in ids), strict=True))
+        known, signs, split, new = self.known, self.signs, [], {}
+        for p in parts:
+            if not p or len(p) > CACHE_CHARS or (self.spaced and (p[0].isspace() or p[-1].isspace())):
+                continue
+            m = _WORD.fullmatch(p)
+            if m and m[2]:
+                split.append((p, m[1], m[2]))
+                if m[1] not in known:
+                    new[m[1]] = None
+                if m[2] not in signs:
+                    signs[m[2]] = self._direct([m[2]])[0]
+            else:
+                new[p] = None
+        ids = self.encode_pieces([" " + p for p in new] if self.spaced else list(new))
+        known.update(zip(new, (np.array(x, dtype=np.int32).tobytes() for x in ids), strict=True))
+        known.update((p, known[word] + signs[sign]) for p, word, sign in split)
         if not self.spaced:
-            self.known[""] = b""
+            known[""] = b""
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        rows = [t.split(" ") for t in texts]
-        if self.spaced:
-            rows = [(r[0], r[1:]) for r in rows]
-        else:
-            rows = [("", r) for r in rows]
-        if len(self.known) > CACHE_PIECES:
+        if len(self.known) > self.most:
             self.known.clear()
-        missing: set[str] = set()
-        for _, rest in rows:
-            missing.update(set(rest).difference(self.known))
+        known, rows, missing = self.known, [], set()
+        for t in texts:
+            parts = t.split(" ")
+            first = parts.pop(0) if self.spaced else ""
+            got = list(map(known.get, parts))
+            if None in got:
+                missing.update(p for p, x in zip(parts, got, strict=True) if x is None)
+            rows.append((first, parts, got))
         if missing:
             self._learn(missing)
-        out, get = [], self.known.__getitem__
-        for text, (first, rest) in zip(texts, rows, strict=True):
-            try:
-                if self.spaced and (first[-1:].isspace() and rest):
-                    raise KeyError
-                body = b"".join(map(get, rest))
-                if first:
-                    body = self._direct([first])[0] + body
-            except KeyError:  # white space beside a space, or a very long piece
-                body = b"".join(self._direct(self._cut(text)))
-            out.append(body)
+        out = []
+        for text, (first, parts, got) in zip(texts, rows, strict=True):
+            if None in got:
+                got = [known.get(p) if x is None else x for p, x in zip(parts, got, strict=True)]
+            if None in got or (first[-1:].isspace() and parts):
+                # white space beside a space, or a very long piece
+                out.append(b"".join(self._direct(self._cut(text))))
+            else:
+                out.append((self._direct([first])[0] if first else b"") + b"".join(got))
         return out
 
     def _direct(self, pieces: list[str]) -> list[bytes]:
@@ -81,8 +97,18 @@ class PieceCache:
         return [*pieces, now]
 
 
+def _byte_alphabet() -> dict[int, int]:
+    """Byte -> the letter that stands for it in byte-level vocabularies: printable Latin-1
+    for themselves, the others in order from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 0x100 + i for i, b in enumerate(others)}
+
+
 class LibraryEncoder:
-    """Pieces through the ``tokenizers`` library; special tokens in a text are plain text."""
+    """Pieces through the ``tokenizers`` library; special tokens in a text are plain
+    text. A piece that is one word goes to the library's model straight away (its
+    normaliser first, where there is one), others through the whole library."""
 
     def __init__(self, path: str):
         import os
@@ -92,18 +118,37 @@ class LibraryEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.alphabet = _byte_alphabet()
 
     def __call__(self, pieces: list[str]) -> list[list[int]]:
+        if len(pieces) < 2:
+            return self._whole(pieces)
+        model, normaliser = self.tokenizer.model.tokenize, self.tokenizer.normalizer
+        out, rest = [], []
+        for i, piece in enumerate(pieces):
+            m = _WORD.fullmatch(piece, 1 if piece[:1] == " " else 0)
+            if m is None or m[2]:
+                out.append(None)
+                rest.append(i)
+                continue
+            if normaliser is not None:
+                piece = piece.lower() if piece.isascii() else normaliser.normalize_str(piece)
+            out.append([t.id for t in model(piece.encode().decode("latin-1").translate(self.alphabet))])
+        for i, ids in zip(rest, self._whole([pieces[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def _whole(self, pieces: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
 
 _caches: dict[tuple, PieceCache] = {}
 
 
-def cache_for(kind: str, path: str, make: Callable[[str], Callable], spaced: bool) -> PieceCache:
+def cache_for(kind: str, path: str, make: Callable[[str], Callable], spaced: bool, most: int = CACHE_PIECES) -> PieceCache:
     """The worker's cache for a vocabulary."""
     if (kind, path) not in _caches:
-        _caches[kind, path] = PieceCache(make(path), spaced)
+        _caches[kind, path] = PieceCache(make(path), spaced, most)
     return _caches[kind, path]
 
 
