@@ -39,6 +39,7 @@ END_ID = 2
 #: A pair must occur so often in a shard to be replaced; a round replaces so many
 #: pairs at most; rounds go on while they save this share of the symbols.
 LEAST, PAIRS, GAIN = 16, 2048, 0.01
+SLOTS = 1 << 18
 
 
 def re_pair(ids: np.ndarray, first: np.ndarray, base: int, least: int = LEAST, pairs: int = PAIRS, gain: float = GAIN):
@@ -55,26 +56,24 @@ def re_pair(ids: np.ndarray, first: np.ndarray, base: int, least: int = LEAST, p
     size = np.ones(base, dtype=np.int64)
     while len(seq) > 1:
         a, b = seq[:-1], seq[1:]
-        # rough counts by a hash of the pair, exact counts of the pairs that may be frequent
-        slot = ((a * 0x9E3779B1 + b * 0x85EBCA77) >> 7) & 0xFFFFF
+        # pairs are counted by slots of a hash: a slot counts one pair exactly, the last that
+        # fell into it; pairs that lost their slot come up again when the others are replaced
+        slot = ((a * 0x9E3779B1 + b * 0x85EBCA77) >> 7) & (SLOTS - 1)
         inside = ~heads[1:]
-        rough = np.bincount(slot[inside], minlength=1 << 20)
-        hot = np.flatnonzero(rough >= least)
-        if not len(hot):
-            break
-        bound = least
-        if len(hot) > 2 * pairs:
-            bound = max(least, int(np.partition(rough[hot], -2 * pairs)[-2 * pairs]))
-        at = np.flatnonzero(inside & (rough[slot] >= bound))
-        key, inverse, count = np.unique((a[at] << 32) | b[at], return_inverse=True, return_counts=True)
-        top = np.argsort(-count, kind="stable")[:pairs]
-        top = top[count[top] >= least]
+        pair = (a << 32) | b
+        holder = np.zeros(SLOTS, dtype=np.int64)
+        holder[slot[inside]] = pair[inside]
+        own = inside & (holder[slot] == pair)
+        count = np.bincount(slot[own], minlength=SLOTS)
+        top = np.flatnonzero(count >= least)
         if not len(top):
             break
-        number = np.full(len(key), -1, dtype=np.int64)
+        top = top[np.argsort(-count[top], kind="stable")[:pairs]]
+        number = np.full(SLOTS, -1, dtype=np.int64)
         number[top] = np.arange(len(top))
-        which = number[inverse]
-        at, which = at[which >= 0], which[which >= 0]
+        which = np.where(own, number[slot], -1)
+        at = np.flatnonzero(which >= 0)
+        which = which[at]
         # occurrences that overlap form runs; every second one of a run is taken
         run = np.concatenate([[True], np.diff(at) > 1])
         place = np.arange(len(at)) - np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
@@ -84,7 +83,7 @@ def re_pair(ids: np.ndarray, first: np.ndarray, base: int, least: int = LEAST, p
         if len(at) < gain * len(seq):
             break
         top, which = top[used[0]], used[1]
-        new = np.column_stack([key[top] >> 32, key[top] & 0xFFFFFFFF])
+        new = np.column_stack([holder[top] >> 32, holder[top] & 0xFFFFFFFF])
         rules.append(new)
         lengths.append(size[new].sum(axis=1))
         symbol = len(size)
@@ -129,6 +128,13 @@ class Shard:
         s = self.symbols.astype(np.int64)
         return np.where(s >= self.base, self.lengths[np.maximum(s - self.base, 0)] if len(self.lengths) else 1, 1)
 
+    def document_starts(self) -> np.ndarray:
+        """Each document's first id (n_docs + 1), from the expansion lengths."""
+        return np.concatenate([[0], np.cumsum(self.symbol_lengths())])[self.doc_at]
+
+    def all_ids(self) -> np.ndarray:
+        return expand(self.symbols, self.rules, self.base)
+
     def document(self, i: int) -> np.ndarray:
         return expand(self.symbols[self.doc_at[i] : self.doc_at[i + 1]], self.rules, self.base)
 
@@ -202,12 +208,9 @@ def read(spark: SparkSession, out: str, id_col: str = "doc_id") -> DataFrame:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 shard = Shard(row)
-                at, bodies, starts = row["before"], [], []
-                for i in range(len(row["doc_ids"])):
-                    body = shard.document(i).astype("<u4").tobytes()
-                    bodies.append(body)
-                    starts.append(at)
-                    at += len(body) // 4
+                at, flat = shard.document_starts(), shard.all_ids().astype("<u4")
+                bodies = [flat[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
+                starts = at[:-1] + row["before"]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["doc_ids"], to_arrow_type(kind)), pa.array(starts, pa.int64()), pa.array(bodies, pa.binary())], names=["id", "start", "ids"]
                 )
