@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.llm.words import LOWER as _LOWER
-from cropledger.llm.words import Block, blocks, map_texts, mix, prefix_hash, span_hash
+from cropledger.llm.words import Block, blocks, map_texts, mix, prefix_hash, span_hash, stored
 from cropledger.session import cut_lineage
 
 ORDERS = 5
@@ -49,6 +49,8 @@ WORD = ORDERS + 1
 TABLE_BITS = {1: 16, 2: 20, 3: 21, 4: 21, 5: 21, WORD: 22}
 MIX_BYTES = 48_000_000
 CHUNK = 1 << 16
+#: Bytes of text looked at together: a byte takes some 150 bytes of arrays.
+BLOCK = 1 << 18
 TABLE_TASKS = 8
 TOP_WORDS = 200_000
 LEVELS = 6
@@ -59,7 +61,8 @@ KNOTS, SPAN = 33, 8.0
 END, BLANK = 0x0A, 0x20
 _CACHE_BITS = 21
 _DELTA = 0.3
-_LOG = np.log(np.arange(1 << 16, dtype=np.float64) + _DELTA).astype(np.float32)
+#: A slot holds its logit in steps of 1 / SCALE, shifted over its level of evidence.
+SCALE, LEVEL_BITS = 4096, 4
 _SALT = mix(np.arange(1, WORD + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
@@ -100,7 +103,10 @@ def _so_far(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def _slots(context: np.ndarray, order: int, node: np.ndarray) -> np.ndarray:
-    return ((context + node * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - TABLE_BITS[order])
+    slot = context + node * np.uint64(0x9E3779B97F4A7C15)
+    slot *= np.uint64(0xD6E8FEB86659FD93)
+    slot >>= np.uint64(64 - TABLE_BITS[order])
+    return slot.view(np.int64)
 
 
 def _contexts(key: np.ndarray, so_far: np.ndarray) -> dict[int, np.ndarray]:
@@ -125,7 +131,7 @@ def _place(key: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    tables: dict[int, np.ndarray]  # order -> zeros in the low, ones in the high 16 bits of a slot
+    tables: dict[int, np.ndarray]  # order -> slots: logit of a one and level of evidence
     weights: np.ndarray  # [gate, order], those of the second gate behind the first one's
     refine: np.ndarray  # [gate, knot]: probability of a one
 
@@ -135,13 +141,12 @@ class Model:
         x = np.empty((len(key), WORD), dtype=np.float32)
         high = np.zeros(len(key), dtype=np.int64)
         for k in range(1, WORD + 1):
-            both = self.tables[k][_slots(contexts[k], k, node)]
-            n0, n1 = (both & np.uint32(0xFFFF)).astype(np.int64), (both >> np.uint32(16)).astype(np.int64)
-            x[:, k - 1] = _LOG[n1] - _LOG[n0]
-            n = n0 + n1
+            slot = self.tables[k][_slots(contexts[k], k, node)]
+            x[:, k - 1] = slot >> LEVEL_BITS
+            level = slot & ((1 << LEVEL_BITS) - 1)
             if k <= ORDERS:
-                high = np.where(n > 1, k, high)
-        level = (n > 0).astype(np.int64) + (n > 1) + (n > 3) + (n > 15) + (n > 255)
+                high[level > 1] = k
+        x *= np.float32(1 / SCALE)
         first = (place * LEVELS + level) * (ORDERS + 1) + high
         last = (key >> np.uint64(8)) & np.uint64(0xFF)
         kind = np.where(last > 0x7F, 3, np.where(last > 0x60, 2, np.where(last > 0x20, 1, 0)))
@@ -155,7 +160,7 @@ class Model:
         p = 1 / (1 + np.exp(-logit))
         at = (np.clip(logit, -SPAN, SPAN) + SPAN) * ((KNOTS - 1) / (2 * SPAN))
         low = np.minimum(at.astype(np.int64), KNOTS - 2)
-        part = at - low
+        part = at - low.astype(at.dtype)
         r = self.refine[gate, low] * (1 - part) + self.refine[gate, low + 1] * part
         return np.clip((p + r) / 2, 1e-6, 1 - 1e-6)
 
@@ -193,23 +198,28 @@ class _Scorer:
         return out
 
 
+_scorers: dict[str, _Scorer] = {}
+
+
 # -- training --------------------------------------------------------------------------
 
 
 class _Counts:
-    """(key, n), and for words their bytes, summed within a task; ``FOLD`` bounds it."""
+    """(key, n), and for words their bytes, summed within a task. Memory is bounded:
+    ``FOLD`` new rows are summed at a time, and a sum over ``FLUSH`` rows goes out."""
 
-    FOLD = 2_000_000
+    FOLD, FLUSH = 500_000, 1_000_000
 
     def __init__(self):
-        self.parts, self.size = [], 0
+        _scorers.clear()  # a worker that scored before gives that memory back
+        self.parts, self.size, self.folded = [], 0, 0
 
     def add(self, key: np.ndarray, n: np.ndarray, words: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
         self.parts.append((key, n, words))
         self.size += len(key)
-        if self.size > self.FOLD:
+        if self.size > self.folded + self.FOLD:
             self._fold()
-            if self.size > self.FOLD // 2:  # what is still large goes out, Spark sums it
+            if self.size > self.FLUSH:
                 yield from self.flush()
 
     def _fold(self) -> None:
@@ -217,7 +227,7 @@ class _Counts:
         u, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         n = np.bincount(inverse, weights=np.concatenate([p[1] for p in self.parts])).astype(np.int64)
         words = pa.concat_arrays([p[2] for p in self.parts]).take(pa.array(first)) if self.parts[0][2] is not None else None
-        self.parts, self.size = [(u, n, words)], len(u)
+        self.parts, self.size, self.folded = [(u, n, words)], len(u), len(u)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
@@ -228,13 +238,13 @@ class _Counts:
                 yield pa.RecordBatch.from_arrays([*arrays, words.cast(pa.binary())], names=["key", "n", "word"])
             else:
                 yield pa.RecordBatch.from_arrays(arrays, names=["key", "n"])
-            self.parts, self.size = [], 0
+            self.parts, self.size, self.folded = [], 0, 0
 
 
 def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = _Counts()
     for batch in batches:
-        for b in blocks(batch.column(0)):
+        for b in blocks(batch.column(0), BLOCK):
             key, n = np.unique(byte_strings(b.split_words())[0], return_counts=True)
             yield from counts.add(key, n)
     yield from counts.flush()
@@ -243,7 +253,7 @@ def _count_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = _Counts()
     for batch in batches:
-        for b in blocks(batch.column(0)):
+        for b in blocks(batch.column(0), BLOCK):
             h = b.split_words().word_hashes(lower=True)
             key, first, n = np.unique(h, return_index=True, return_counts=True)
             length = (b.end - b.start)[first]
@@ -255,14 +265,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _totals(rows: DataFrame, of: str) -> DataFrame:
-    """Checkpointed sums over ``rows(t, mix)``: (key, n, m) of byte strings, or with the
+    """Stored sums over ``rows(t, mix)``: (key, n, m) of byte strings, or with the
     ``word`` of words; m is the part of n in the texts kept for mixing."""
     run = _count_strings if of == "strings" else _count_words
     schema = "key long, n long" + (", word binary" if of == "words" else "")
     parts = [rows.where("NOT mix").select("t").mapInArrow(run, schema).withColumn("m", F.lit(0))]
     parts.append(rows.where("mix").select("t").mapInArrow(run, schema).withColumn("m", F.col("n")))
     word = [F.min("word").alias("word")] if of == "words" else []
-    return cut_lineage(parts[0].unionByName(parts[1]).groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").cast("long").alias("m"), *word))
+    return stored(parts[0].unionByName(parts[1]).groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").cast("long").alias("m"), *word))
 
 
 def _chunks(total: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
@@ -282,7 +292,7 @@ def _string_tables(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for depth in range(8):
             node, bit = _bit(key, depth)
             for k, counts in total.items():
-                np.add.at(counts, _slots(contexts[k], k, node).astype(np.int64) * 2 + bit, n)
+                np.add.at(counts, _slots(contexts[k], k, node) * 2 + bit, n)
     yield from _chunks(total)
 
 
@@ -300,7 +310,7 @@ def _word_tables(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             n, byte = np.repeat(part["n"].to_numpy(), length), buf.astype(np.uint64)
             for depth in range(8):
                 node, bit = _bit(byte, depth)
-                np.add.at(counts, _slots(context, WORD, node).astype(np.int64) * 2 + bit, n)
+                np.add.at(counts, _slots(context, WORD, node) * 2 + bit, n)
     yield from _chunks({WORD: counts})
 
 
@@ -308,17 +318,18 @@ def _sum_chunks(frame: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(2 * CHUNK, dtype=np.int64)
     for data in frame["data"]:
         total += np.frombuffer(zlib.decompress(data), dtype=np.int64)
-    pair = total.reshape(-1, 2)
-    # counts beyond 16 bits are scaled down together, a one stays a one
-    most = np.maximum(pair.max(axis=1, keepdims=True), 1)
-    small = np.where(most > 65535, np.maximum(pair * 65535 // most, (pair > 0).astype(np.int64)), pair).astype(np.uint32)
-    return pd.DataFrame({"k": frame["k"].iloc[:1].to_numpy(), "c": frame["c"].iloc[:1].to_numpy(), "data": [(small[:, 0] | (small[:, 1] << np.uint32(16))).tobytes()]})
+    zeros, ones = total[0::2], total[1::2]
+    logit = np.clip(np.log((ones + _DELTA) / (zeros + _DELTA)), -15, 15)
+    n = zeros + ones
+    level = (n > 0).astype(np.int64) + (n > 1) + (n > 3) + (n > 15) + (n > 255)
+    slots = ((np.rint(logit * SCALE).astype(np.int64) << LEVEL_BITS) | level).astype(np.int32)
+    return pd.DataFrame({"k": frame["k"].iloc[:1].to_numpy(), "c": frame["c"].iloc[:1].to_numpy(), "data": [slots.tobytes()]})
 
 
 def _items(batches: Iterator[pa.RecordBatch]):
     """(key, contexts, place, n) of the different predictions of each block."""
     for batch in batches:
-        for b in blocks(batch.column(0)):
+        for b in blocks(batch.column(0), BLOCK):
             key, so_far, _ = byte_strings(b.split_words())
             _, first, n = np.unique(mix(key + mix(so_far)), return_index=True, return_counts=True)
             key, so_far = key[first], so_far[first]
@@ -400,9 +411,9 @@ def count(docs: DataFrame, text_col: str = "text", id_col: str | None = None, mi
 
 
 def _tables(chunks: DataFrame) -> dict[int, np.ndarray]:
-    tables = {k: np.zeros(1 << b, dtype=np.uint32) for k, b in TABLE_BITS.items()}
+    tables = {k: np.zeros(1 << b, dtype=np.int32) for k, b in TABLE_BITS.items()}
     for r in chunks.groupBy("k", "c").applyInPandas(_sum_chunks, "k int, c int, data binary").collect():
-        tables[r["k"]][r["c"] * CHUNK : (r["c"] + 1) * CHUNK] = np.frombuffer(bytes(r["data"]), dtype=np.uint32)
+        tables[r["k"]][r["c"] * CHUNK : (r["c"] + 1) * CHUNK] = np.frombuffer(bytes(r["data"]), dtype=np.int32)
     return tables
 
 
@@ -418,7 +429,7 @@ def fit(counts: Counts) -> Model:
         words = counts.words.selectExpr(f"{n} AS n", "word").where("n > 0")
         end = spark.range(1 if ends else 0).select(F.lit(ends).cast("long").alias("n"), F.lit(b"").alias("word"))
         made = strings.coalesce(TABLE_TASKS).mapInPandas(_string_tables, schema)
-        return cut_lineage(made.union(words.coalesce(TABLE_TASKS).union(end).mapInPandas(_word_tables, schema)))
+        return stored(made.union(words.coalesce(TABLE_TASKS).union(end).mapInPandas(_word_tables, schema)))
 
     some = counts.texts.where("mix").select("t")
     n_mix = some.count()
@@ -432,13 +443,11 @@ def fit(counts: Counts) -> Model:
         one, all_ = _summed(cut_lineage(some.mapInArrow(_refine(sc.broadcast(model)), "one array<double>, all array<double>")), ["one", "all"])
         prior = 100.0
         model.refine = (one.reshape(GATES, KNOTS) + prior * knots) / (all_.reshape(GATES, KNOTS) + prior)
-    return Model(_tables(rest.union(own)), model.weights, model.refine)
+    return Model(_tables(rest.union(own)), model.weights.astype(np.float32), model.refine.astype(np.float32))
 
 
 # -- scoring ---------------------------------------------------------------------------
 
-_scorers: dict[str, _Scorer] = {}
-
 
 def _scorer(name: str, bc) -> _Scorer:
     if name not in _scorers:
@@ -453,7 +462,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     name, bc = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts: pa.Array) -> Iterator[list[pa.Array]]:
-        for b in blocks(texts):
+        for b in blocks(texts, BLOCK):
             key, so_far, doc = byte_strings(b.split_words())
             n = np.bincount(doc, minlength=b.n)
             bits = np.bincount(doc, weights=_scorer(name, bc)(key, so_far), minlength=b.n)
@@ -474,7 +483,7 @@ def unigram(docs: DataFrame, trained: Counts, text_col: str = "text", top_words:
 
     def run(texts: pa.Array) -> Iterator[list[pa.Array]]:
         keys, known = bc.value
-        for b in blocks(texts):
+        for b in blocks(texts, BLOCK):
             h = b.split_words().word_hashes(lower=True).view(np.int64)
             at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
             hit = keys[at] == h if len(keys) else np.zeros(len(h), dtype=bool)
@@ -497,7 +506,7 @@ def unigram(docs: DataFrame, trained: Counts, text_col: str = "text", top_words:
     fields = "n_tokens long, n_known long, base_score double, rare array<struct<h:long,m:long>>"
     rows = map_texts(docs, text_col, run, fields, drop_text=True)
     kept = [c for c in rows.columns if c not in ("n_tokens", "n_known", "base_score", "rare", "row__")]
-    rows = cut_lineage(rows.withColumn("row__", F.monotonically_increasing_id()))
+    rows = stored(rows.withColumn("row__", F.monotonically_increasing_id()))
     rare = rows.select("row__", F.inline("rare")).join(counts, F.col("h") == F.col("key"))
     more = rare.groupBy("row__").agg(F.sum("m").alias("k__"), F.sum(F.col("m") * F.log10(F.col("c") + 1.0)).alias("s__"))
     size = F.log10(F.lit(float(tokens + distinct + 1)))
