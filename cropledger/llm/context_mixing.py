@@ -2,7 +2,7 @@
 
 A text is its words (A-Z lower-cased), a blank after each, and one end: a string of
 bytes. Each byte is predicted bit by bit. For every order 1 to 5 the last bytes and
-the bits known so far are hashed to a slot that counts the zeros and ones seen in
+the bits known so far name a slot that counts the zeros and ones seen in
 training; so is the word so far, of any length. The logits of these six counts are the bit
 predictors. They are combined by weights that a gate selects (the place in the word,
 how often the word so far was seen, the highest order seen), learned online by gradient descent on
@@ -11,9 +11,12 @@ coding cost; an adaptive map then refines the probability by gate and logit. The
 depend on other texts, partitions or their order.
 
 The counts cover all training rows: tasks count (context, byte) strings and words, Spark
-sums them, and slot counts are made of the sums (tables of fixed size, ``TABLE_BITS``,
-which the driver broadcasts whatever the corpus). The few mixing weights and the
-refinement map are fitted on whole texts, a tenth of the training rows and about
+sums them, then the zeros and ones of each (context, bits known) pair. A table has as many
+slots as its pairs ask for (``LOAD`` of them are filled); pairs that meet go to slots of
+their own, and a slot holds a check of ``CHECK_BITS`` of its pair, so a context that was
+not seen finds nothing (but for one lookup in some thousands). Tables grow with the different
+pairs of the corpus, 4 / LOAD bytes each; the driver assembles and broadcasts them.
+The few mixing weights and the refinement map are fitted on whole texts, a tenth of the training rows and about
 ``MIX_BYTES`` at most, chosen by hash, under the counts of the other rows; partitions
 learn online and are averaged by their size. The final counts are those of all rows.
 
@@ -28,8 +31,8 @@ never read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import uuid
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,12 +49,11 @@ from cropledger.session import cut_lineage
 ORDERS = 5
 #: The word so far counts as the context of order WORD.
 WORD = ORDERS + 1
-TABLE_BITS = {1: 16, 2: 20, 3: 21, 4: 21, 5: 21, WORD: 22}
 MIX_BYTES = 48_000_000
-CHUNK = 1 << 16
+#: Slots of a chunk of a table, and the share of them that is filled on average.
+CHUNK, LOAD = 1 << 16, 0.5
 #: Bytes of text looked at together: a byte takes some 150 bytes of arrays.
 BLOCK = 1 << 18
-TABLE_TASKS = 8
 TOP_WORDS = 200_000
 LEVELS = 6
 GATES = 3 * LEVELS * (ORDERS + 1)
@@ -61,8 +63,10 @@ KNOTS, SPAN = 33, 8.0
 END, BLANK = 0x0A, 0x20
 _CACHE_BITS = 21
 _DELTA = 0.3
-#: A slot holds its logit in steps of 1 / SCALE, shifted over its level of evidence.
-SCALE, LEVEL_BITS = 4096, 4
+#: A slot holds its logit in steps of 1 / SCALE, shifted over the check of its pair and its
+#: level of evidence; 0 is an empty slot.
+SCALE, LEVEL_BITS, CHECK_BITS = 4096, 3, 12
+_LEVEL, _CHECK = (1 << LEVEL_BITS) - 1, (1 << CHECK_BITS) - 1
 _SALT = mix(np.arange(1, WORD + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
@@ -102,16 +106,46 @@ def _so_far(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.where(end > start, span_hash(prefix_hash(buf), start, end), np.uint64(0))
 
 
-def _slots(context: np.ndarray, order: int, node: np.ndarray) -> np.ndarray:
-    slot = context + node * np.uint64(0x9E3779B97F4A7C15)
-    slot *= np.uint64(0xD6E8FEB86659FD93)
-    slot >>= np.uint64(64 - TABLE_BITS[order])
-    return slot.view(np.int64)
+def _pairs(context: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each pair of context and bits known."""
+    name = context + node * np.uint64(0x9E3779B97F4A7C15)
+    name *= np.uint64(0xD6E8FEB86659FD93)
+    return name ^ (name >> np.uint64(32))
+
+
+def _homes(name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A pair's first place in its chunk, and its check."""
+    return (name & np.uint64(CHUNK - 1)).astype(np.int64), ((name >> np.uint64(16)) & np.uint64(_CHECK)).astype(np.int32)
+
+
+class Table:
+    """Slots of pairs, in chunks. A pair lies in its chunk at its home or behind it,
+    before the next empty slot."""
+
+    def __init__(self, chunks: int):
+        self.slots = np.zeros(chunks * CHUNK, dtype=np.int32)
+
+    def find(self, name: np.ndarray) -> np.ndarray:
+        """The pairs' slots, 0 where a pair wasn't counted."""
+        chunk = ((name >> np.uint64(32)) * np.uint64(len(self.slots) // CHUNK)) >> np.uint64(32)
+        base, (home, check) = chunk.astype(np.int64) * CHUNK, _homes(name)
+        out = self.slots[base + home]
+        other = np.flatnonzero((out != 0) & (((out >> LEVEL_BITS) & _CHECK) != check))
+        step = 0
+        while len(other):
+            step += 1
+            got = self.slots[base[other] + ((home[other] + step) & (CHUNK - 1))]
+            out[other] = got
+            other = other[(got != 0) & (((got >> LEVEL_BITS) & _CHECK) != check[other])]
+        return out
+
+
+def _context(key: np.ndarray, order: int) -> np.ndarray:
+    return mix(((key >> np.uint64(8)) & np.uint64((1 << (8 * order)) - 1)) + _SALT[order - 1])
 
 
 def _contexts(key: np.ndarray, so_far: np.ndarray) -> dict[int, np.ndarray]:
-    found = {k: mix(((key >> np.uint64(8)) & np.uint64((1 << (8 * k)) - 1)) + _SALT[k - 1]) for k in range(1, ORDERS + 1)}
-    return found | {WORD: mix(so_far + _SALT[WORD - 1])}
+    return {k: _context(key, k) for k in range(1, ORDERS + 1)} | {WORD: mix(so_far + _SALT[WORD - 1])}
 
 
 def _bit(key: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,21 +163,31 @@ def _place(key: np.ndarray) -> np.ndarray:
     return out
 
 
+def _unread(key: np.ndarray) -> np.ndarray:
+    return np.ones((WORD, len(key)), dtype=bool)
+
+
 @dataclass
 class Model:
-    tables: dict[int, np.ndarray]  # order -> slots: logit of a one and level of evidence
+    tables: dict[int, Table]  # order -> slots: logit of a one and level of evidence
     weights: np.ndarray  # [gate, order], those of the second gate behind the first one's
     refine: np.ndarray  # [gate, knot]: probability of a one
 
-    def inputs(self, key: np.ndarray, contexts: dict, place: np.ndarray, depth: int):
-        """(logits [m, order], first gate, second gate, bit)."""
+    def inputs(self, key: np.ndarray, contexts: dict, place: np.ndarray, depth: int, seen: np.ndarray):
+        """(logits [m, order], first gate, second gate, bit). ``seen`` [order, m]: contexts
+        counted with the bits known before; it is brought up to this depth."""
         node, bit = _bit(key, depth)
-        x = np.empty((len(key), WORD), dtype=np.float32)
+        x = np.zeros((len(key), WORD), dtype=np.float32)
         high = np.zeros(len(key), dtype=np.int64)
         for k in range(1, WORD + 1):
-            slot = self.tables[k][_slots(contexts[k], k, node)]
-            x[:, k - 1] = slot >> LEVEL_BITS
-            level = slot & ((1 << LEVEL_BITS) - 1)
+            if 1 < k <= ORDERS:  # what was seen after a long context was so after its end
+                seen[k - 1] &= seen[k - 2]
+            at = np.flatnonzero(seen[k - 1])
+            slot = self.tables[k].find(_pairs(contexts[k][at], node[at]))
+            seen[k - 1, at] = slot != 0
+            x[at, k - 1] = slot >> (LEVEL_BITS + CHECK_BITS)
+            level = np.zeros(len(key), dtype=np.int64)
+            level[at] = slot & _LEVEL
             if k <= ORDERS:
                 high[level > 1] = k
         x *= np.float32(1 / SCALE)
@@ -167,9 +211,9 @@ class Model:
     def bits(self, key: np.ndarray, so_far: np.ndarray) -> np.ndarray:
         """Cost in bits of each key's byte after its context."""
         cost = np.zeros(len(key), dtype=np.float32)
-        contexts, place = _contexts(key, so_far), _place(key)
+        contexts, place, seen = _contexts(key, so_far), _place(key), _unread(key)
         for depth in range(8):
-            x, gate, more, bit = self.inputs(key, contexts, place, depth)
+            x, gate, more, bit = self.inputs(key, contexts, place, depth, seen)
             p = self.final(self.mixed(x, gate, more), gate)
             cost -= np.log2(np.where(bit == 1, p, 1 - p))
         return cost
@@ -275,54 +319,79 @@ def _totals(rows: DataFrame, of: str) -> DataFrame:
     return stored(parts[0].unionByName(parts[1]).groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").cast("long").alias("m"), *word))
 
 
-def _chunks(total: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
-    for k, counts in total.items():
-        for c in range(len(counts) // (2 * CHUNK)):
-            part = counts[2 * CHUNK * c : 2 * CHUNK * (c + 1)]
-            if part.any():
-                yield pd.DataFrame({"k": [k], "c": [c], "data": [zlib.compress(part.tobytes(), 1)]})
+_PAIRS = "k int, h long, z long, o long, zm long, om long"
 
 
-def _string_tables(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Slot counts of a task's strings, as compressed chunks."""
-    total = {k: np.zeros(2 << TABLE_BITS[k], dtype=np.int64) for k in range(1, ORDERS + 1)}
-    for frame in frames:
-        key, n = frame["key"].to_numpy().view(np.uint64), frame["n"].to_numpy()
-        contexts = _contexts(key, key)
-        for depth in range(8):
-            node, bit = _bit(key, depth)
-            for k, counts in total.items():
-                np.add.at(counts, _slots(contexts[k], k, node) * 2 + bit, n)
-    yield from _chunks(total)
-
-
-def _word_tables(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Slot counts of the words so far. An empty word stands for the end of a text."""
-    counts = np.zeros(2 << TABLE_BITS[WORD], dtype=np.int64)
-    for frame in frames:
-        for lo in range(0, len(frame), 50_000):
-            part = frame.iloc[lo : lo + 50_000]
-            texts = part["word"].tolist()
-            length = np.array([len(w) for w in texts]) + 1
-            buf = np.frombuffer(b"".join(w + (b" " if w else b"\n") for w in texts), dtype=np.uint8)
-            begin = np.repeat(np.cumsum(length) - length, length)
-            context = mix(_so_far(buf, begin, np.arange(len(buf))) + _SALT[WORD - 1])
-            n, byte = np.repeat(part["n"].to_numpy(), length), buf.astype(np.uint64)
-            for depth in range(8):
-                node, bit = _bit(byte, depth)
-                np.add.at(counts, _slots(context, WORD, node) * 2 + bit, n)
-    yield from _chunks({WORD: counts})
+def _pair_counts(k: int, context: np.ndarray, byte: np.ndarray, n: np.ndarray, m: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Zeros and ones by pair of rows (context, byte) that are sorted by both."""
+    if not len(byte):
+        return
+    other = np.concatenate([[True], context[1:] != context[:-1]])
+    for depth in range(8):
+        node, bit = _bit(byte, depth)
+        at = np.flatnonzero(other | np.concatenate([[True], node[1:] != node[:-1]]))
+        sums = [pa.array(np.add.reduceat(np.where(bit == b, x, 0), at)) for x in (n, m) for b in (0, 1)]
+        name = pa.array(_pairs(context[at], node[at]).view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, dtype=np.int32)), name, *sums], names=["k", "h", "z", "o", "zm", "om"])
 
 
-def _sum_chunks(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(2 * CHUNK, dtype=np.int64)
-    for data in frame["data"]:
-        total += np.frombuffer(zlib.decompress(data), dtype=np.int64)
-    zeros, ones = total[0::2], total[1::2]
-    logit = np.clip(np.log((ones + _DELTA) / (zeros + _DELTA)), -15, 15)
+def _some(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _string_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in _some(batches, 250_000):
+        key, n, m = (part[c].to_numpy() for c in ("key", "n", "m"))
+        for k in range(1, ORDERS + 1):
+            u, inverse = np.unique(key.view(np.uint64) & np.uint64((1 << (8 * k + 8)) - 1), return_inverse=True)
+            sums = (np.bincount(inverse, weights=x, minlength=len(u)).astype(np.int64) for x in (n, m))
+            yield from _pair_counts(k, _context(u, k), u & np.uint64(0xFF), *sums)
+
+
+def _word_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the words so far. An empty word stands for the end of a text."""
+    for part in _some(batches, 50_000):
+        texts = part["word"].to_pylist()
+        length = np.array([len(w) for w in texts], dtype=np.int64) + 1
+        buf = np.frombuffer(b"".join(w + (b" " if w else b"\n") for w in texts), dtype=np.uint8)
+        begin = np.repeat(np.cumsum(length) - length, length)
+        context = mix(_so_far(buf, begin, np.arange(len(buf))) + _SALT[WORD - 1])
+        order = np.lexsort((buf, context))
+        context, byte = context[order], buf[order].astype(np.uint64)
+        n, m = (np.repeat(part[c].to_numpy(), length)[order] for c in ("n", "m"))
+        yield from _pair_counts(WORD, context, byte, n, m)
+
+
+def _fill(name: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """The slots of a chunk that holds these pairs, each behind its home if that is taken."""
+    if len(name) >= CHUNK:
+        raise ValueError("a chunk of a table is full")
+    home, check = _homes(name)
     n = zeros + ones
+    logit = np.clip(np.log((ones + _DELTA) / (zeros + _DELTA)), -15, 15)
     level = (n > 0).astype(np.int64) + (n > 1) + (n > 3) + (n > 15) + (n > 255)
-    slots = ((np.rint(logit * SCALE).astype(np.int64) << LEVEL_BITS) | level).astype(np.int32)
+    value = ((((np.rint(logit * SCALE).astype(np.int64) << CHECK_BITS) | check) << LEVEL_BITS) | level).astype(np.int32)
+    order = np.lexsort((name, home))
+    home, value = home[order], value[order]
+    row = np.arange(len(home))
+    at = np.maximum.accumulate(home - row) + row if len(row) else row
+    slots = np.zeros(CHUNK, dtype=np.int32)
+    slots[at[at < CHUNK]] = value[at < CHUNK]
+    over = value[at >= CHUNK]  # those behind the end go on at the start
+    slots[np.flatnonzero(slots == 0)[: len(over)]] = over
+    return slots
+
+
+def _fill_chunk(frame: pd.DataFrame) -> pd.DataFrame:
+    slots = _fill(frame["h"].to_numpy().view(np.uint64), frame["z"].to_numpy(), frame["o"].to_numpy())
     return pd.DataFrame({"k": frame["k"].iloc[:1].to_numpy(), "c": frame["c"].iloc[:1].to_numpy(), "data": [slots.tobytes()]})
 
 
@@ -347,9 +416,9 @@ def _learn(bc, rate: float = 0.05, step: int = 4096):
             seen += n.sum()
             for i in range(0, len(key), step):
                 now, w = slice(i, i + step), n[i : i + step]
-                part = {k: c[now] for k, c in contexts.items()}
+                part, unread = {k: c[now] for k, c in contexts.items()}, _unread(key[now])
                 for depth in range(8):
-                    x, *gates, bit = model.inputs(key[now], part, place[now], depth)
+                    x, *gates, bit = model.inputs(key[now], part, place[now], depth, unread)
                     error = (bit - 1 / (1 + np.exp(-model.mixed(x, *gates)))) * w
                     for gate in gates:
                         mass = np.bincount(gate, weights=w, minlength=WEIGHTS)
@@ -370,8 +439,9 @@ def _refine(bc):
         model: Model = bc.value
         one, all_ = np.zeros(GATES * KNOTS), np.zeros(GATES * KNOTS)
         for key, contexts, place, n in _items(batches):
+            unread = _unread(key)
             for depth in range(8):
-                x, gate, more, bit = model.inputs(key, contexts, place, depth)
+                x, gate, more, bit = model.inputs(key, contexts, place, depth, unread)
                 at = np.rint((np.clip(model.mixed(x, gate, more), -SPAN, SPAN) + SPAN) * ((KNOTS - 1) / (2 * SPAN))).astype(np.int64)
                 one += np.bincount(gate * KNOTS + at, weights=n * bit, minlength=len(one))
                 all_ += np.bincount(gate * KNOTS + at, weights=n, minlength=len(one))
@@ -410,32 +480,38 @@ def count(docs: DataFrame, text_col: str = "text", id_col: str | None = None, mi
     return Counts(rows, _totals(rows, "strings"), _totals(rows, "words"), sizes[0])
 
 
-def _tables(chunks: DataFrame) -> dict[int, np.ndarray]:
-    tables = {k: np.zeros(1 << b, dtype=np.int32) for k, b in TABLE_BITS.items()}
-    for r in chunks.groupBy("k", "c").applyInPandas(_sum_chunks, "k int, c int, data binary").collect():
-        tables[r["k"]][r["c"] * CHUNK : (r["c"] + 1) * CHUNK] = np.frombuffer(bytes(r["data"]), dtype=np.int32)
+def pairs(counts: Counts) -> DataFrame:
+    """Stored sums by order and pair: zeros and ones in all texts, and in those kept for mixing."""
+    spark = counts.texts.sparkSession
+    n_mix = counts.texts.where("mix").count()
+    end = spark.range(1 if counts.n_texts else 0).select(F.lit(counts.n_texts).cast("long").alias("n"), F.lit(n_mix).cast("long").alias("m"), F.lit(b"").alias("word"))
+    made = counts.strings.select("key", "n", "m").mapInArrow(_string_pairs, _PAIRS)
+    made = made.union(counts.words.select("n", "m", "word").union(end).mapInArrow(_word_pairs, _PAIRS))
+    return stored(made.groupBy("k", "h").agg(*[F.sum(c).alias(c) for c in ("z", "o", "zm", "om")]))
+
+
+def _tables(counted: DataFrame, zeros: str = "z", ones: str = "o") -> dict[int, Table]:
+    """Tables of the pairs, a task per chunk."""
+    rows = counted.selectExpr("k", "h", f"{zeros} AS z", f"{ones} AS o").where("z + o > 0")
+    sizes = {r["k"]: r["count"] for r in rows.groupBy("k").count().collect()}
+    chunks = {k: max(1, math.ceil(sizes.get(k, 0) / (LOAD * CHUNK))) for k in range(1, WORD + 1)}
+    many = F.element_at(F.array(*[F.lit(n).cast("long") for n in chunks.values()]), F.col("k"))
+    rows = rows.withColumn("c", F.shiftright(F.shiftrightunsigned("h", 32) * many, 32).cast("int"))
+    made = stored(rows.groupBy("k", "c").applyInPandas(_fill_chunk, "k int, c int, data binary"))
+    tables = {k: Table(n) for k, n in chunks.items()}
+    for r in made.toLocalIterator():
+        tables[r["k"]].slots[r["c"] * CHUNK : (r["c"] + 1) * CHUNK] = np.frombuffer(bytes(r["data"]), dtype=np.int32)
     return tables
 
 
 def fit(counts: Counts) -> Model:
     """Weights learned on the texts kept for mixing, under the counts of the others; then
     the counts of all."""
-    spark = counts.texts.sparkSession
-    sc = spark.sparkContext
-    schema = "k int, c int, data binary"
-
-    def chunks(n: str, ends: int) -> DataFrame:
-        strings = counts.strings.selectExpr("key", f"{n} AS n").where("n > 0")
-        words = counts.words.selectExpr(f"{n} AS n", "word").where("n > 0")
-        end = spark.range(1 if ends else 0).select(F.lit(ends).cast("long").alias("n"), F.lit(b"").alias("word"))
-        made = strings.coalesce(TABLE_TASKS).mapInPandas(_string_tables, schema)
-        return stored(made.union(words.coalesce(TABLE_TASKS).union(end).mapInPandas(_word_tables, schema)))
-
+    sc = counts.texts.sparkSession.sparkContext
+    counted = pairs(counts)
     some = counts.texts.where("mix").select("t")
-    n_mix = some.count()
-    rest, own = chunks("n - m", counts.n_texts - n_mix), chunks("m", n_mix)
     knots = 1 / (1 + np.exp(-np.linspace(-SPAN, SPAN, KNOTS)))
-    model = Model(_tables(rest), np.full((WEIGHTS, WORD), 0.1), np.tile(knots, (GATES, 1)))
+    model = Model(_tables(counted, "z - zm", "o - om"), np.full((WEIGHTS, WORD), 0.1), np.tile(knots, (GATES, 1)))
     learned = cut_lineage(some.mapInArrow(_learn(sc.broadcast(model)), "seen double, w array<double>"))
     seen = learned.agg(F.sum("seen")).first()[0]
     if seen:
@@ -443,7 +519,7 @@ def fit(counts: Counts) -> Model:
         one, all_ = _summed(cut_lineage(some.mapInArrow(_refine(sc.broadcast(model)), "one array<double>, all array<double>")), ["one", "all"])
         prior = 100.0
         model.refine = (one.reshape(GATES, KNOTS) + prior * knots) / (all_.reshape(GATES, KNOTS) + prior)
-    return Model(_tables(rest.union(own)), model.weights.astype(np.float32), model.refine.astype(np.float32))
+    return Model(_tables(counted), model.weights.astype(np.float32), model.refine.astype(np.float32))
 
 
 # -- scoring ---------------------------------------------------------------------------

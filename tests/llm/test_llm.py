@@ -300,6 +300,37 @@ def test_context_mixing_beats_order_zero_on_held_out(spark):
     assert r["b"] < 3.0  # letters alone take more than four bits
 
 
+def test_context_mixing_tables_hold_every_pair_apart(spark):
+    """Slots of their own however many contexts there are; contexts not seen find nothing."""
+    rng = np.random.default_rng(1)
+    name = np.unique(rng.integers(0, 2**63, 40_000, dtype=np.uint64) << np.uint64(1))
+    table = context_mixing.Table(1)
+    table.slots[:] = context_mixing._fill(name, np.zeros(len(name), dtype=np.int64), np.full(len(name), 2))
+    assert np.count_nonzero(table.slots) == len(name) and (table.find(name) != 0).all()
+    other = np.setdiff1d(rng.integers(0, 2**63, 40_000, dtype=np.uint64), name)
+    assert (table.find(other) != 0).mean() < 0.005
+    # sums by pair against a count of the bits after each context
+    texts = ["".join(random.Random(i).choices("abcdefgh ", k=3000)) for i in range(30)]
+    counts = context_mixing.count(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), id_col="doc_id")
+    got = context_mixing.pairs(counts)
+    want, after = Counter(), defaultdict(lambda: [0, 0])
+    for t in texts:
+        data = b"\n" * 5 + b"".join(w + b" " for w in t.encode().split()) + b"\n"
+        for i in range(5, len(data)):
+            for depth in range(8):
+                for k in range(1, 6):
+                    after[k, data[i - k : i], 1 << depth | data[i] >> 8 - depth][data[i] >> 7 - depth & 1] += 1
+    for k, _, _ in after:
+        want[k] += 1
+    assert {r["k"]: r["count"] for r in got.where("k < 6").groupBy("k").count().collect()} == dict(want)
+    sums = Counter((r["k"], r["z"], r["o"]) for r in got.where("k < 6").collect())
+    assert sums == Counter((k, z, o) for (k, _, _), (z, o) in after.items())
+    tables = context_mixing._tables(got)
+    assert {k: np.count_nonzero(t.slots) for k, t in tables.items() if k < 6} == dict(want)
+    # more contexts, more slots
+    assert len(tables[5].slots) >= want[5] / context_mixing.LOAD > len(tables[1].slots)
+
+
 def test_quality_measures(spark, docs, rows):
     out = {r["doc_id"]: r for r in quality_rules.measure(docs).collect()}
     for i, t in rows:
