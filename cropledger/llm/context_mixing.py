@@ -16,9 +16,10 @@ slots as its pairs ask for (``LOAD`` of them are filled); pairs that meet go to
 their own, and a slot holds a check of ``CHECK_BITS`` of its pair, so a context that was
 not seen finds nothing (but for one lookup in some thousands). Tables grow with the different
 pairs of the corpus, 4 / LOAD bytes each; the driver assembles and broadcasts them.
-The few mixing weights and the refinement map are fitted on whole texts, a tenth of the training rows and about
-``MIX_BYTES`` at most, chosen by hash, under the counts of the other rows; partitions
-learn online and are averaged by their size. The final counts are those of all rows.
+The mixing weights and the refinement map are fitted on whole texts, a share of
+``MIX_SHARE`` of the training rows whatever their number, chosen by hash, under the
+counts of the other rows; partitions learn online and are averaged by their size. The
+final counts are those of all rows.
 
 ``base`` scores are exact unigram scores with add-one smoothing. The ``TOP_WORDS`` most
 frequent training words are broadcast; other words of a text are counted per text and
@@ -49,7 +50,7 @@ from cropledger.session import cut_lineage
 ORDERS = 5
 #: The word so far counts as the context of order WORD.
 WORD = ORDERS + 1
-MIX_BYTES = 48_000_000
+MIX_SHARE = 0.1
 #: Slots of a chunk of a table, and the share of them that is filled on average.
 CHUNK, LOAD = 1 << 16, 0.5
 #: Bytes of text looked at together: a byte takes some 150 bytes of arrays.
@@ -469,15 +470,18 @@ class Counts:
     n_texts: int
 
 
-def count(docs: DataFrame, text_col: str = "text", id_col: str | None = None, mix_bytes: int = MIX_BYTES) -> Counts:
-    """Counts over all rows of ``docs``. A tenth of the rows, and about ``mix_bytes`` at
-    most, is marked for the mixing weights, by the hash of the id (else of the text)."""
+def marked(docs: DataFrame, text_col: str = "text", id_col: str | None = None) -> DataFrame:
+    """``t, mix``: the texts, ``MIX_SHARE`` of them marked for the mixing weights by the
+    hash of the id (else of the text)."""
     text = F.col(f"`{text_col}`").cast("string")
-    sizes = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
-    share = min(0.1, mix_bytes / max(sizes[1], 1))
     by = F.xxhash64(F.col(f"`{id_col}`").cast("string")) if id_col else F.xxhash64(text)
-    rows = docs.select(text.alias("t"), (F.pmod(by, F.lit(1_000_003)) < share * 1_000_003).alias("mix"))
-    return Counts(rows, _totals(rows, "strings"), _totals(rows, "words"), sizes[0])
+    return docs.select(text.alias("t"), (F.pmod(by, F.lit(1_000_003)) < MIX_SHARE * 1_000_003).alias("mix"))
+
+
+def count(docs: DataFrame, text_col: str = "text", id_col: str | None = None) -> Counts:
+    """Counts over all rows of ``docs``."""
+    rows = marked(docs, text_col, id_col)
+    return Counts(rows, _totals(rows, "strings"), _totals(rows, "words"), docs.count())
 
 
 def pairs(counts: Counts) -> DataFrame:

@@ -331,6 +331,13 @@ def test_context_mixing_tables_hold_every_pair_apart(spark):
     assert len(tables[5].slots) >= want[5] / context_mixing.LOAD > len(tables[1].slots)
 
 
+def test_context_mixing_learns_from_a_tenth_at_any_size(spark):
+    """2.4 GB of text, of which more than 48 MB take part; also of few rows."""
+    for rows, size in ((4000, 200_000), (4000, 1)):
+        big = spark.range(rows).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), F.lit(size)).alias("text"))
+        assert context_mixing.marked(big, id_col="doc_id").where("mix").count() == pytest.approx(rows / 10, rel=0.2)
+
+
 def test_quality_measures(spark, docs, rows):
     out = {r["doc_id"]: r for r in quality_rules.measure(docs).collect()}
     for i, t in rows:
