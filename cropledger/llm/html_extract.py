@@ -13,6 +13,10 @@ markup names the content itself (one ``article`` or ``main``); at most
 ``TRAIN_PAGES`` of them are read, chosen by the hash of the page's key, whole pages. Without
 any, the usual names alone decide.
 
+The text of scripts, styles, titles, text areas and frames goes to their end tag, else to the
+page's end. Controls, pictures and media (``LEFT_OUT``) are elements like any other whose
+runs are left out: they end with their end tag, with ``/>`` or with their parent.
+
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined by a blank line; nothing is cut or capped. Null and
 empty pages, and pages without words, give an empty text. Rows with a null key and
@@ -48,6 +52,12 @@ INLINE = set(
 )
 IMPLIED_END = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SEMANTIC = {"article", "main"}
+LEFT_OUT = set("noscript template select button svg math object canvas audio video".split())
+#: Elements inside svg and math that hold html again, and those that end svg and math elsewhere.
+HOLDS_HTML = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split()
+)
 PAGE_PARTS = set("nav header footer aside form menu dialog fieldset".split())
 OUTSIDE_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert warning popup modal overlay "
@@ -56,14 +66,17 @@ OUTSIDE_NAMES = set(
 )
 CONTENT_NAMES = set("article content main post entry story articlebody maincontent".split())
 
+_TAG_PATTERN = (
+    r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>"
+    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)(?:>|\Z)"
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|title|textarea|select|button|svg|math|iframe|object|canvas|audio|video)\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?>(?:[^>\"']|\"[^\"]*\"|'[^']*')*))>"
-    r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^>]*)(?:>|\Z)"
-    r"|<[!?/][^>]*(?:>|\Z)",
+    r"|<(?P<raw>script|style|title|textarea|iframe)\b[^>]*>(?:.*?</(?P=raw)\s*>|.*\Z)"
+    r"|" + _TAG_PATTERN + r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+_TAG = re.compile(r"(?P<raw>(?!))|" + _TAG_PATTERN, re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z0-9])(?=[A-Z])")
 
@@ -79,12 +92,28 @@ def names_of(tag: str, attrs: str) -> list[str]:
     return [tag, *dict.fromkeys("." + w.lower() for x in found for w in _SPLIT.split(x) if w)]
 
 
+def _foreign(stack: list[tuple[str, list[str]]]) -> bool:
+    """Whether the innermost open element is read as svg or math."""
+    for tag, _ in reversed(stack):
+        if tag in ("svg", "math"):
+            return True
+        if tag in HOLDS_HTML:
+            break
+    return False
+
+
 def read_page(page: str) -> Iterator[Run]:
     """The page's runs of text in order, with the tags before each."""
     stack: list[tuple[str, list[str]]] = []  # open elements: tag, names (inline ones without names)
+    skip: int | None = None  # the place of the open element that is left out
     block, tags, at = 0, [], 0
-    for m in [*_TOKEN.finditer(page), None]:
+    while True:
+        m = _TOKEN.search(page, at)
+        if m and m["raw"] and skip is not None and _foreign(stack):
+            m = _TAG.match(page, m.start())  # in svg and math these are elements
         text = page[at : m.start()] if m else page[at:]
+        if skip is not None:
+            text = ""
         if text and not text.isspace():
             run = Run()
             run.text, run.words, run.block, run.tags = text, len(text.split()), block, tags
@@ -94,8 +123,6 @@ def read_page(page: str) -> Iterator[Run]:
             run.in_content = any(t in SEMANTIC for t, _ in stack)
             tags = []
             yield run
-        elif text and tags == [] and m is None:
-            break
         if m is None:
             break
         at = m.end()
@@ -105,28 +132,59 @@ def read_page(page: str) -> Iterator[Run]:
             run.text, run.words, run.block, run.tags, run.names, run.link, run.block_tag, run.in_content = " ", 0, block, [], [], False, "", False
             yield run
         if m["raw"]:
-            tags.append(m["raw"].lower())
-            if m["raw"].lower() != "button":
-                block += m["raw"].lower() in ("title", "textarea", "select")
+            if skip is None:
+                tags.append(m["raw"].lower())
+                block += m["raw"].lower() in ("title", "textarea")
             continue
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
             continue
+        ended = bool(m["close"] or m["close2"])
+        if ended:
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] == tag:
+                    break
+                if tag in INLINE and stack[i][0] not in INLINE and (skip is None or i < skip):
+                    i = len(stack)  # a stray inline end tag doesn't close its block
+                    break
+            else:
+                i = len(stack)
+            inside = tag in LEFT_OUT or skip is not None and i >= skip
+            del stack[i:]
+            if skip is not None and skip >= len(stack):
+                skip = None
+            if inside:
+                continue
+        elif skip is not None:
+            if tag in ENDS_FOREIGN:
+                while _foreign(stack):
+                    stack.pop()
+            elif tag in ("button", "select"):  # these don't nest
+                for i in range(len(stack) - 1, skip - 1, -1):
+                    if stack[i][0] == tag:
+                        del stack[i:]
+                        break
+            if skip >= len(stack):
+                skip = None
+        alone = tag in VOID or (m["attrs"] or m["attrs2"] or "").endswith("/")
+        if skip is not None:
+            if not alone:
+                stack.append((tag, []))
+            continue
         tags.append(tag)
+        if tag in LEFT_OUT:
+            block += tag == "select"
+            if not alone:
+                skip = len(stack)
+                stack.append((tag, []))
+            continue
         if tag not in INLINE:
             block += 1
         elif tag == "br":
             run = Run()
             run.text, run.words, run.block, run.tags, run.names, run.link, run.block_tag, run.in_content = " ", 0, block, [], [], False, "", False
             yield run
-        if m["close"] or m["close2"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break  # a stray inline end tag doesn't close its block
-        elif tag not in VOID and not (m["attrs"] or m["attrs2"] or "").endswith("/"):
+        if not ended and not alone:
             if tag not in INLINE:  # a new block ends an open paragraph, a new item the open item
                 ends = IMPLIED_END.get(tag, set()) | {"p"}
                 for i in range(len(stack) - 1, -1, -1):

@@ -421,6 +421,26 @@ def test_html_extract(spark):
     assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in out.collect()) == [(0, "", 0), (1, want, len(want)), (2, "", 0), (4, "just words", 10)]
 
 
+@pytest.mark.parametrize(
+    "middle,words",
+    [
+        ('<p>one</p><svg class="i"/><p>two</p><p>three</p>', "one two three"),
+        ("<p>one</p><svg/><p>two</p><svg><text>no</text></svg><p>three</p>", "one two three"),
+        ("<p>one <svg><path d='x'><text>no</text></p><p>two</p>", "one two"),  # ended by its parent
+        ("<p>one</p><svg><g><text>no</text><p>two</p>", "one two"),  # a paragraph ends svg
+        ("<p>one <a href=x><svg><path></a> two</p>", "one two"),
+        ("<p>one</p><svg><foreignObject><p>no</p></foreignObject></svg><p>two</p>", "one two"),
+        ("<p>one</p><svg><title/><style/><text>no</text></svg><p>two</p>", "one two"),
+        ("<div><button>no <button>no</button></div><p>one</p><div><select><option>no</div><p>two", "one two"),
+        ("<div><noscript><p>no</p></div><p>one</p><math><mi>no</mi></math><video src=x>no</video> two", "one two"),
+        ("<p>one</p><script>if (a < b) no</script><p>two</p><textarea>no <p>no", "one two"),
+    ],
+)
+def test_html_elements_left_out_take_nothing_with_them(middle, words):
+    got = " ".join(r.text for r in html_extract.read_page(f"<article>{middle}</article>"))
+    assert " ".join(got.split()) == words
+
+
 def test_html_extract_on_all_pages(spark):
     """The articles of the test pages, cut out by their own markup."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
