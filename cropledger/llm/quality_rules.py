@@ -5,18 +5,23 @@ stratum on labelled documents so that, with probability ``1 - DELTA`` over the
 labels, the rules together reject at most the share ``ALPHA`` of the good documents of any
 stratum:
 
-- ``ALPHA`` is split evenly over the rules (union bound) and ``DELTA`` over all
-  pairs of stratum and rule (Bonferroni);
-- within a pair, cutoffs are tested from the strictest down (fixed sequence, so no
-  further correction): cutoff c passes if seeing so few good documents at or over c
-  has an exact binomial probability of at most the pair's share of ``DELTA`` when the
-  true share is ``ALPHA / rules``; the first that fails ends the sequence;
-- of the cutoffs that pass, the one with the best balance of bad and good
+- a stratum's vectors of cutoffs, one per rule, form one nested sequence: each lowers one
+  rule's cutoff, that which rejects the most bad documents for the documents of the
+  reference it rejects. The reference are all other documents: those of the stratum
+  without a label and the labelled ones of other strata. The good documents that test
+  the sequence have no part in it;
+- the vectors are tested from the strictest down (fixed sequence, so no further
+  correction; ``DELTA`` is split over the strata): a vector passes if seeing so few good
+  documents that any of its rules rejects has an exact binomial probability of at most
+  the stratum's share of ``DELTA`` when the true share is ``ALPHA``; the first that fails
+  ends the sequence;
+- of the vectors that pass, the one with the best balance of bad and good
   documents rejected is taken (a good one weighs ``GOOD_WEIGHT`` bad ones); none, if
   none rejects more than it costs.
 
-A stratum without enough labels for a bound gets no cutoff and keeps all. All
-labelled documents take part; the counts by (stratum, rule, bin, label) are
+A stratum without enough good labels for a bound (217 with four strata) gets no cutoff and
+keeps all that the base rules pass. All labelled documents take part; the counts by
+(stratum, rule, bin, label) and by (stratum, step, label) are
 aggregated by Spark, and only those counts (at most ``MAX_STRATA`` strata) reach
 the driver.
 
@@ -153,7 +158,8 @@ def binomial_cdf(k: int, n: int, p: float) -> float:
 
 
 def choose_cutoff(good: list[int], bad: list[int], alpha: float, delta: float, good_weight: float = GOOD_WEIGHT) -> int | None:
-    """The cutoff (a bin) of one stratum and rule from its counts by bin, or None."""
+    """The cutoff (a bin, or a step counted from the last) of one nested sequence from its
+    counts, or None."""
     n, over_good, over_bad = sum(good), 0, 0
     best, value = None, 0.0
     for c in range(len(good) - 1, 0, -1):
@@ -167,25 +173,73 @@ def choose_cutoff(good: list[int], bad: list[int], alpha: float, delta: float, g
     return best
 
 
+def choose_path(bad: np.ndarray, reference: np.ndarray) -> list[tuple[int, int]]:
+    """The nested sequence of one stratum: (rule, its new cutoff) step by step, from counts
+    [rule, bin]. A step takes the bins below a rule's cutoff that hold the most bad
+    documents per document of the reference, smoothed by one spread over the bins."""
+    rules, bins = bad.shape
+    cut, path = [bins] * rules, []
+
+    def best(r: int) -> tuple[float, int]:
+        new = np.cumsum(bad[r, 1 : cut[r]][::-1])
+        cost = np.cumsum(reference[r, 1 : cut[r]][::-1] + 1 / bins)
+        if not len(new) or not new[-1]:
+            return 0.0, 0
+        i = int(np.argmax(new / cost))
+        return float(new[i] / cost[i]), cut[r] - 1 - i
+
+    steps = [best(r) for r in range(rules)]
+    while (r := max(range(rules), key=lambda r: steps[r][0])) is not None and steps[r][0] > 0:
+        # bins of a step one by one, so that the sequence is as fine as it can be
+        for c in range(cut[r] - 1, steps[r][1] - 1, -1):
+            if bad[r, c]:
+                path.append((r, c))
+        cut[r] = steps[r][1]
+        steps[r] = best(r)
+    return path
+
+
 def fit(measured: DataFrame, labels: DataFrame, id_col: str, stratum_col: str, label_id: str = "doc_id", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> dict:
     """{stratum: {rule: bin}}: the cutoffs. ``label_col``: 1 good, 0 bad."""
     key = fresh_name(measured, "label_id")
     one = labels.where(F.col(label_col).isNotNull() & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias(key)).agg(F.min(label_col).alias(key + "q"))
-    rows = measured.dropDuplicates([id_col]).join(one, F.col(f"`{id_col}`") == F.col(key))
-    bins = F.array(*[F.struct(F.lit(r).alias("rule"), _bin(r).alias("bin")) for r in RULES])
-    flat = rows.select(F.col(f"`{stratum_col}`").cast("string").alias("stratum"), (F.col(key + "q") > 0).alias("good"), F.inline(bins))
-    counts = flat.groupBy("stratum", "rule", "bin", "good").count().limit(MAX_STRATA * len(RULES) * (BINS + 1) * 2 + 1).collect()
-    table: dict = {}
-    for r in counts:
-        at = table.setdefault(r["stratum"], {}).setdefault(r["rule"], ([0] * (BINS + 1), [0] * (BINS + 1)))
-        at[0 if r["good"] else 1][r["bin"]] += r["count"]
-    if len(table) > MAX_STRATA:
+    rows = measured.dropDuplicates([id_col]).join(one, F.col(f"`{id_col}`") == F.col(key), "left")
+    rows = cut_lineage(
+        rows.select(F.col(f"`{stratum_col}`").cast("string").alias("stratum"), (F.col(key + "q") > 0).alias("good"), F.array(*[_bin(r) for r in RULES]).alias("bins"))
+    )
+    strata = [r["stratum"] for r in rows.where("good IS NOT NULL").select("stratum").distinct().limit(MAX_STRATA + 1).collect()]
+    if len(strata) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata")
-    each = delta / max(1, len(table) * len(RULES))
-    return {
-        s: {r: c for r, (good, bad) in rules.items() if (c := choose_cutoff(good, bad, alpha / len(RULES), each)) is not None}
-        for s, rules in table.items()
-    }
+    if not strata:
+        return {}
+    spark = measured.sparkSession
+    known = F.broadcast(spark.createDataFrame([(x,) for x in strata], "s string"))
+    counts = rows.join(known, F.col("stratum").eqNullSafe(F.col("s")), "left_semi").select("stratum", "good", F.posexplode("bins").alias("rule", "bin"))
+    shape = len(RULES), BINS + 1
+    table = {s: {g: np.zeros(shape, dtype=np.int64) for g in (True, False, None)} for s in strata}
+    for r in counts.groupBy("stratum", "good", "rule", "bin").count().collect():
+        table[r["stratum"]][r["good"]][r["rule"], r["bin"]] += r["count"]
+    labelled = sum(t[True] + t[False] for t in table.values())
+    paths = {s: choose_path(t[False], t[None] + labelled - t[True] - t[False]) for s, t in table.items()}
+    # the step of the sequence that rejects a bin of a rule first, counted from the last step; 0 for none
+    first = []
+    for s, path in paths.items():
+        at = np.zeros(shape, dtype=np.int64)
+        for i, (r, c) in enumerate(path):
+            at[r, c:][at[r, c:] == 0] = len(path) - i
+        first.append((s, at.ravel().tolist()))
+    steps = F.broadcast(spark.createDataFrame(first, "s string, at array<int>"))
+    hit = [F.element_at("at", F.lit(r * (BINS + 1) + 1) + F.col("bins")[r]) for r in range(len(RULES))]
+    found = rows.where("good IS NOT NULL").join(steps, F.col("stratum").eqNullSafe(F.col("s"))).select("stratum", "good", F.greatest(*hit).alias("step"))
+    by_step = {s: ([0] * (len(p) + 1), [0] * (len(p) + 1)) for s, p in paths.items()}
+    for r in found.groupBy("stratum", "good", "step").count().collect():
+        by_step[r["stratum"]][0 if r["good"] else 1][r["step"]] += r["count"]
+    names, cutoffs = list(RULES), {}
+    for s, (good, bad) in by_step.items():
+        last = choose_cutoff(good, bad, alpha, delta / len(strata))
+        # the cutoffs only fall along the sequence
+        cutoffs[s] = {names[r]: c for r, c in paths[s][: len(paths[s]) + 1 - last]} if last is not None else {}
+    return cutoffs
 
 
 def judge(measured: DataFrame, cutoffs: dict, stratum_col: str) -> DataFrame:

@@ -379,6 +379,43 @@ def test_quality_guarantee_on_simulated_labels():
     assert broken <= 20
 
 
+def _measured(rng, stratum, n_good, n_bad, first):
+    """Rows of (id, stratum, good, scores of two rules in bins): bad ones break one of two rules."""
+    out = []
+    for i in range(n_good + n_bad):
+        good, at = i < n_good, rng.integers(2)
+        score = rng.integers(0, 20, 2)
+        if not good:
+            score[at] = rng.integers(60, 120)
+        out.append((first + i, stratum, int(good), *(int(x) for x in score)))
+    return out
+
+
+def test_quality_small_strata_get_cutoffs(spark):
+    """300 good labels bound the union of the rules in each of four strata, also without
+    documents that have no label; 100 don't."""
+    rng, rows = np.random.default_rng(4), []
+    for i, (s, n) in enumerate((("en", 3000), ("de", 300), (None, 300), ("es", 100))):
+        rows += _measured(rng, s, n, 60, 10_000 * i)
+    table = spark.createDataFrame(rows, "doc_id long, lang string, quality int, n_symbols long, n_marks long").selectExpr(
+        "*", "200L AS word_chars", "50L AS n_words", "0L AS n_dup_lines", "0L AS n_repeat_words", "0L AS n_upper", "10L AS n_lines"
+    )
+    cutoffs = quality_rules.fit(table, table.select("doc_id", "quality"), "doc_id", "lang")
+    assert cutoffs["es"] == {} and all(set(cutoffs[s]) == {"symbols", "marks"} for s in ("en", "de", None))
+    judged = quality_rules.judge(table, cutoffs, "lang")
+    r = {x["lang"]: x for x in judged.where("lang IS NULL OR lang <> 'es'").groupBy("lang").agg(F.sum(F.expr("int(kept AND quality = 0)")).alias("b"), F.sum(F.expr("int(NOT kept AND quality = 1)")).alias("g")).collect()}
+    assert all(x["b"] == 0 and x["g"] == 0 for x in r.values()) and len(r) == 3
+
+
+def test_quality_path_is_nested_and_blind_to_good_labels():
+    rng = np.random.default_rng(3)
+    bad, reference = rng.poisson(0.3, (5, 201)), rng.poisson(1, (5, 201))
+    path = quality_rules.choose_path(bad, reference)
+    for r in range(5):
+        own = [c for x, c in path if x == r]
+        assert own == [c for c in range(200, 0, -1) if bad[r, c]]
+
+
 def test_language_id(spark, docs, empty):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
