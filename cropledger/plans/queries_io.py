@@ -236,15 +236,20 @@ _FILES = (
 _PLAIN = " AND ".join(f"o.o_custkey % {n} <> 0" for n in (5, 7, 53, 59, 61))
 
 
-def _named_file(spark, df, folder: str, name: str) -> None:
-    """One CSV file of that name (a delivery is one file, so it is written by one task)."""
+def _named_files(spark, df, folder: str, name: str | None = None) -> None:
+    """CSV files of that name before the first point and a number, as many as there are
+    tasks; without a name, by the column ``name``, a large one split into several files."""
     tmp = f"{folder}-part-{uuid.uuid4().hex}"
-    X.write_csv(df.coalesce(1), tmp, compression="none")
-    part = next(f for f in list_files(spark, tmp) if f.endswith(".csv"))
-    p, fs = spark._jvm.org.apache.hadoop.fs.Path(part), None
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
-    fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    if name is None:
+        df.hint("rebalance", "name").write.partitionBy("name").options(**X.CSV_WRITE).option("compression", "none").csv(tmp)
+    else:
+        X.write_csv(df, tmp, compression="none")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for i, part in enumerate(f for f in list_files(spark, tmp) if f.endswith(".csv")):
+        stem = name.split(".")[0] if name else part.rsplit("/", 2)[1].removeprefix("name=")
+        fs.rename(path(part), path(f"{folder}/{stem}.{i}.csv"))
 
 
 @register(
@@ -262,7 +267,7 @@ def _named_file(spark, df, folder: str, name: str) -> None:
 def csv_files(spark, sf_dir):
     """Country and year from file names, three headers,
     other column names, a currency from the table of manual fixes, short scheme
-    codes, and a file that says no year."""
+    codes, and a file that says no year. Plain rows; all rows are in ``csv_files_all``."""
     raw, folder = raw_payments(spark, sf_dir), scratch(spark, "files")
     ck = F.regexp_extract("recipient_name", r"(\d+)", 1).cast("long")
     plain = raw.where(F.col("recipient_name").rlike("^Customer#"))
@@ -275,8 +280,8 @@ def csv_files(spark, sf_dir):
             "localitate": "recipient_street", "scheme_code_short": "'S1'", "masura": "scheme", "currency": "'DKK'",
             "amount": "_row", "cuantum": "_row",
         }
-        _named_file(spark, rows.selectExpr(*(f"{value[c]} AS {c}" for c in columns)), folder, name)
-    _named_file(spark, plain.select("country", "amount").limit(3), folder, "whole.csv")
+        _named_files(spark, rows.selectExpr(*(f"{value[c]} AS {c}" for c in columns)), folder, name)
+    _named_files(spark, plain.select("country", "amount").limit(3), folder, "whole.csv")
     result, src = clean_files(spark, folder)
     # equal amounts of one recipient can't occur: the amount is the source line's number
     rows = result.rows.groupBy("country", "year", "currency_original", "scheme_code").agg(
@@ -287,6 +292,30 @@ def csv_files(spark, sf_dir):
     return rows.union(gone)
 
 
+@register(
+    "csv_files_all",
+    OC.clean_sql(
+        "SELECT country, year, _valid AS valid, count(*) AS rows, count(DISTINCT recipient_name) AS names, "
+        "count(recipient_address) AS addresses, CAST(sum(len(errors)) AS BIGINT) AS error_count, "
+        + O.num("CAST(sum(amount) AS DECIMAL(28,2))")
+        + " AS amount_sum FROM c9 GROUP BY country, year, _valid"
+    ),
+)
+def csv_files_all(spark, sf_dir):
+    """All raw rows as files of every country and year, which only the
+    files' names tell; padded, quoted and placeholder names and bad amounts with them."""
+    raw, folder = raw_payments(spark, sf_dir), scratch(spark, "all-files")
+    named = raw.withColumn("name", F.concat_ws("_", F.lower("country"), "year")).drop("country", "year")
+    _named_files(spark, named, folder)
+    rows = clean_files(spark, folder)[0].rows
+    return present(
+        rows.groupBy("country", "year", F.col("_valid").alias("valid")).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("recipient_name").alias("names"), F.count("recipient_address").alias("addresses"),
+            F.sum(F.size("errors")).alias("error_count"), F.sum("amount").cast("decimal(28,2)").alias("amount_sum"),
+        )
+    )
+
+
 @register(
     "csv_headerless",
     "SELECT c_custkey AS row, c_name AS recipient_name, CAST(round(c_acctbal, 2) AS VARCHAR) IS NOT NULL AS has_amount FROM customer",

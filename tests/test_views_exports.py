@@ -151,3 +151,22 @@ def test_result_cache_bounded(ten):
         cache.page(V.CountryView(ten, {"year": y, "limit": 5}))
     assert len(cache.store) == 2
     cache.clear()
+
+
+def test_csv_files_hold_every_raw_row(spark):
+    """All countries and years, the padded, quoted and placeholder names with them."""
+    from cropledger.plans.registry import queries
+    from cropledger.plans.testdata import raw_payments
+
+    raw = raw_payments(spark, "/root/testdata/sf0.001")
+    got = queries()["csv_files_all"](spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["rows"] for r in got) == raw.count()
+    pairs = raw.selectExpr("upper(country) AS c", "int(year) AS y").distinct().collect()
+    assert {(r["country"], r["year"]) for r in got} == {(r["c"], r["y"]) for r in pairs}
+
+
+def test_request_checks_run_the_good_request(spark):
+    from cropledger.plans.registry import queries
+
+    plan = queries()["request_checks"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_extendedprice" in plan or "l_orderkey" in plan
