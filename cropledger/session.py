@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def default_heap() -> str:
+    """A quarter of the machine's memory (1 GB at least): the rest is for Python
+    workers and the page cache."""
+    total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    return f"{max(1024, total // 4 >> 20)}m"
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "cropledger") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on, UTC)."""
     spark = (
@@ -21,7 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY") or default_heap())
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

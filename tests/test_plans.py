@@ -8,9 +8,9 @@ import uuid
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from cropledger.operators import summaries as S
+from cropledger.plans import registry
 from cropledger.plans import views as V
 from cropledger.plans.testdata import payments
 from cropledger.session import ensure_checkpoint_dir
@@ -26,9 +26,9 @@ def plan_of(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_rows_or_cross_joins(spark, name):
-    plan = plan_of(E.queries()[name](spark, SF_SMALL))
+    plan = plan_of(registry.queries()[name](spark, SF_SMALL))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
 
