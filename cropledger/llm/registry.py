@@ -14,12 +14,13 @@ from cropledger.llm import (
     language_id,
     ngram_join,
     packing,
+    prefix_trie,
     quality_rules,
     suffix_dedup,
     token_files,
 )
 
-MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id]
+MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id, prefix_trie]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
