@@ -16,11 +16,12 @@ from cropledger.llm import (
     packing,
     prefix_trie,
     quality_rules,
+    spelling,
     suffix_dedup,
     token_files,
 )
 
-MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id, prefix_trie]
+MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id, spelling, prefix_trie]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
