@@ -14,6 +14,7 @@ from cropledger.llm import (
     language_id,
     ngram_join,
     packing,
+    pii,
     prefix_trie,
     quality_rules,
     spelling,
@@ -21,7 +22,7 @@ from cropledger.llm import (
     token_files,
 )
 
-MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id, spelling, prefix_trie]
+MODULES = [ngram_join, html_extract, byte_bpe, packing, context_mixing, exact_dedup, quality_rules, suffix_dedup, token_files, language_id, spelling, pii, prefix_trie]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
