@@ -8,7 +8,6 @@ driver.
 
 from __future__ import annotations
 
-import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -287,29 +286,6 @@ NATION_COUNTRY = [
 ]
 
 
-def _fold_map() -> tuple[str, str]:
-    """Latin accent folding by rule: every letter in U+00C0-U+024F and
-    U+1E00-U+1EFF whose canonical decomposition is one ASCII letter plus
-    combining marks maps to that letter. Returns ``translate`` arguments."""
-    src, dst = [], []
-    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
-        ch = chr(cp)
-        decomp = unicodedata.normalize("NFD", ch)
-        base, marks = decomp[0], decomp[1:]
-        if (
-            len(decomp) > 1
-            and base.isascii()
-            and base.isalpha()
-            and all(unicodedata.combining(m) for m in marks)
-        ):
-            src.append(ch)
-            dst.append(base)
-    return "".join(src), "".join(dst)
-
-
-FOLD_FROM, FOLD_TO = _fold_map()
-
-
 # ---------------------------------------------------------------------------
 # DataFrame builders. All tiny, bounded by the literals above.
 # ---------------------------------------------------------------------------

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cropledger.dims import EMPTY_MARKERS, FOLD_FROM, FOLD_TO, LEGAL_FORMS, NULL_TOKENS
+from cropledger.dims import EMPTY_MARKERS, LEGAL_FORMS, NULL_TOKENS
+from cropledger.functions.translit import SILENT, to_latin
 
 ID_SEPARATOR = "\u001f"
 
@@ -52,18 +53,14 @@ def collapse_spaces(c) -> Column:
 
 
 def fold_ascii(c) -> Column:
-    """Lower case and Latin accent folding (``ß`` becomes ``ss``). Pure ASCII
-    text (as many bytes as characters) skips the translation table."""
-    c = _c(c)
-    lowered = F.lower(c)
-    folded = F.translate(F.replace(lowered, F.lit("ß"), F.lit("ss")), FOLD_FROM, FOLD_TO)
-    return F.when(F.octet_length(c) == F.length(c), lowered).otherwise(folded)
+    """Lower case, and Latin, Greek and Cyrillic letters as ``a-z`` (``translit``)."""
+    return to_latin(_c(c))
 
 
 def _clean_tokens(c) -> Column:
-    """Folded text with every non-alphanumeric run as one space and legal
-    forms shortened."""
-    t = F.regexp_replace(fold_ascii(c), "[^a-z0-9]+", " ")
+    """Folded text with every run without letters and digits (of any script) as
+    one space and legal forms shortened."""
+    t = F.regexp_replace(fold_ascii(c), r"[^\p{L}\p{N}]+", " ")
     shortened = t
     for long_form, short_form in LEGAL_FORMS:
         shortened = F.regexp_replace(shortened, rf"\b{long_form}\b", short_form)
@@ -83,11 +80,10 @@ def fingerprint(c) -> Column:
 
 
 def has_fingerprint(c) -> Column:
-    """True when ``fingerprint(c)`` would not be null: some character folds
-    to a letter or digit. An ASCII letter or digit answers at once; only
-    text without one is folded (short-circuit keeps the common case cheap)."""
+    """True when ``fingerprint(c)`` would not be null: some letter or digit of any
+    script (a text of silent letters only has none)."""
     c = _c(c)
-    return F.coalesce(c.rlike("[0-9A-Za-z]") | fold_ascii(c).rlike("[a-z0-9]"), F.lit(False))
+    return F.coalesce(c.rlike("[0-9A-Za-z]") | F.regexp_replace(c, f"[{SILENT}{SILENT.upper()}]", "").rlike(r"[\p{L}\p{N}]"), F.lit(False))
 
 
 def usable(c) -> Column:

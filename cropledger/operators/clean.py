@@ -344,8 +344,8 @@ def clean(
 def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool = False, countries=None) -> Column:
     """Join the address parts not already contained in the full
     address with ``, ``; strip a trailing ``, CC`` (``legacy`` strips the
-    character set of ``", " + CC`` instead); empty → country name; ``1097.0``
-    → ``1097``; text inside ``data='…'`` when the value is an xpath dump."""
+    character set of ``", " + CC`` instead); empty or the code alone → country
+    name; ``1097.0`` → ``1097``; text inside ``data='…'`` when the value is an xpath dump."""
     full = F.nullif(F.trim(full), F.lit(""))
     clean_parts = [F.nullif(F.trim(p), F.lit("")) for p in parts]
     from_parts = F.concat_ws(", ", *clean_parts)
@@ -361,7 +361,9 @@ def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool =
             F.substring(joined, F.lit(1), F.length(joined) - F.length(suffix)),
         ).otherwise(joined)
         stripped = F.rtrim(stripped, F.lit(", "))
-    out = F.when(has_fingerprint(stripped), stripped).otherwise(country_name(cc, countries))
+    # the code alone says no more than the country
+    told = has_fingerprint(stripped) & ~stripped.eqNullSafe(cc)
+    out = F.when(told, stripped).otherwise(country_name(cc, countries))
     out = F.when(out.contains("."), F.regexp_replace(out, r"(\s\d+)\.\d", "$1")).otherwise(out)
     xpath = F.regexp_extract(out, r".*data='([\w.\s]+)'", 1)
     return F.when(out.contains("xpath") & (xpath != ""), xpath).otherwise(out)

@@ -12,8 +12,29 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# spellings of letters that don't decompose into a-z, written here apart from the library's
+_SPELLED = (
+    "ßss æae œoe þth ŋng ĳij ðd đd øo łl ħh ıi ŧt ŀl ĸk ſs əe "
+    "αa βv γg δd εe ζz ηi θth ιi κk λl μm νn ξx οo πp ρr σs ςs τt υy φf χch ψps ωo "
+    "аa бb вv гg ґg ѓgj дd ђdj еe ёe єye жzh зz ѕdz иi іi їyi йy јj кk ќkj лl љlj мm нn њnj оo пp рr сs тt "
+    "ћc уu ўu фf хkh цts чch џdzh шsh щshch ъa ыy ь эe юyu яya"
+).split()
+
+
+def fold_sql(x: str) -> str:
+    """Lower case and every letter spelled in a-z, one by one; plain ASCII as it is."""
+    table = "MAP {" + ", ".join(f"{q(w[0])}: {q(w[1:])}" for w in _SPELLED) + "}"
+    bare = f"regexp_replace(lower({x}), '\\p{{Mn}}', '', 'g')"
+    pairs = f"regexp_replace({bare}, 'ο[υύὐὑὓὒὔὕὖὗὺύῦ]', 'ou', 'g')"
+    pairs = f"regexp_replace({pairs}, '([αεη])[υύὐὑὓὒὔὕὖὗὺύῦ]', '\\1v', 'g')"
+    pairs = f"regexp_replace({pairs}, 'γ([γξχ])', 'n\\1', 'g')"
+    letter = f"coalesce(map_extract_value({table}, c), map_extract_value({table}, strip_accents(c)), strip_accents(c))"
+    spelled = f"array_to_string(list_transform(string_split({pairs}, ''), lambda c: {letter}), '')"
+    return f"CASE WHEN regexp_matches({x}, '[^\\x00-\\x7f]') THEN {spelled} ELSE lower({x}) END"
+
+
 def fingerprint_sql(x: str) -> str:
-    t = f"regexp_replace(strip_accents(replace(lower({x}), 'ß', 'ss')), '[^a-z0-9]+', ' ', 'g')"
+    t = f"regexp_replace({fold_sql(x)}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
     for long_form, short_form in LEGAL_FORMS:
         t = f"regexp_replace({t}, {q(chr(92) + 'b' + long_form + chr(92) + 'b')}, {q(short_form)}, 'g')"
     joined = (

@@ -18,6 +18,7 @@ from cropledger.operators.lookups import rate_decimals, scheme_full_names, schem
 from cropledger.plans.oracle import _star_sql, country_sql, entity_id_sql, fingerprint_sql, normalize_scheme_sql, q
 from cropledger.plans.testdata import (
     FOREIGN,
+    LOCAL,
     MIN_SCHEME_SIZE,
     PLACEHOLDER_NAMES,
     RATE_COUNTRIES,
@@ -41,12 +42,8 @@ def trim_cell_sql(x: str) -> str:
     return f"trim(trim({x}, {q(CELL_STRIP)}), {ws})"
 
 
-def fold_sql(x: str) -> str:
-    return f"strip_accents(replace(lower({x}), 'ß', 'ss'))"
-
-
 def has_fp_sql(x: str) -> str:
-    return f"coalesce(regexp_matches({x}, '[0-9A-Za-z]') OR regexp_matches({fold_sql(x)}, '[a-z0-9]'), false)"
+    return f"coalesce(regexp_matches({x}, '[\\p{{L}}\\p{{N}}]'), false)"
 
 
 def usable_sql(x: str) -> str:
@@ -117,7 +114,7 @@ def clean_address_sql(full: str, parts: list[str], cc: str) -> str:
         f"THEN substring({joined}, 1, length({joined}) - length({suffix})) ELSE {joined} END"
     )
     stripped = f"rtrim({stripped}, ', ')"
-    out = f"CASE WHEN {has_fp_sql(stripped)} THEN {stripped} ELSE {country_name_sql(cc)} END"
+    out = f"CASE WHEN {has_fp_sql(stripped)} AND {stripped} IS DISTINCT FROM {cc} THEN {stripped} ELSE {country_name_sql(cc)} END"
     out = f"regexp_replace({out}, '(\\s\\d+)\\.\\d', '\\1', 'g')"
     xp = f"regexp_extract({out}, '.*data=''([\\w.\\s]+)''', 1)"
     return f"CASE WHEN contains({out}, 'xpath') AND {xp} <> '' THEN {xp} ELSE {out} END"
@@ -150,6 +147,8 @@ def raw_payments_cte() -> str:
     ok, ck, size = "l.l_orderkey", "c.c_custkey", "p.p_size"
     ids = ", ".join(q(i) for i in RAW_SCHEME_IDS)
     postcode = f"CAST(1000 + {ck} % 900 AS VARCHAR)"
+    here = f"{ck} % 4 = 3 AND {country} IN ({', '.join(q(c) for c in LOCAL)})"
+    local = [_case(country, [(c, q(texts[i])) for c, texts in LOCAL.items()]) for i in range(3)]
     street_no = f"CAST({ck} % 100 AS VARCHAR)"
     return f"""raw AS (
   SELECT
@@ -157,19 +156,21 @@ def raw_payments_cte() -> str:
     CAST(year(l.l_shipdate) + {YEAR_SHIFT} AS VARCHAR) AS year,
     CASE WHEN {ck} % 53 = 0 THEN {q(PLACEHOLDER_NAMES[0])} WHEN {ck} % 59 = 0 THEN {q(PLACEHOLDER_NAMES[1])}
          WHEN {ck} % 61 = 0 THEN {q(PLACEHOLDER_NAMES[2])}
+         WHEN {here} THEN {local[0]} || ' ' || {ck}
          WHEN {ck} % 7 = 0 THEN '" ' || c.c_name || '  ",'
          WHEN {ck} % 5 = 0 THEN replace(c.c_name, '#', '  #  ')
          ELSE c.c_name END AS recipient_name,
     CASE WHEN {ck} % 2 = 0 THEN CAST({ck} AS VARCHAR) END AS recipient_id,
     CASE WHEN {ck} % 17 = 0 THEN 'xpath /a data=''Street ' || {street_no} || ''''
          ELSE 'Street ' || {street_no} END AS recipient_street,
-    c.c_mktsegment AS recipient_location,
+    CASE WHEN {here} THEN {local[1]} ELSE c.c_mktsegment END AS recipient_location,
     CASE WHEN {ck} % 13 = 0 THEN {postcode} || '.0' ELSE {postcode} END AS recipient_postcode,
     CASE WHEN {ck} % 11 = 0 THEN '' {' '.join(f"WHEN {ck} % {n} = 0 THEN {q(t)}" for n, t in FOREIGN.items())}
          WHEN {ck} % 3 = 0 THEN lower({country}) ELSE {country} END AS recipient_country,
     CASE WHEN {size} < {MIN_SCHEME_SIZE} THEN ''
          WHEN {size} % 5 = 0 THEN list_value({ids})[{size} % 3 + 1] || ' ' || p.p_type
          WHEN {size} % 5 = 1 THEN lower(p.p_type)
+         WHEN {here} AND {size} % 5 = 2 THEN {local[2]}
          ELSE p.p_type || ' ' || p.p_brand END AS scheme,
     CASE WHEN {ok} % 97 = 0 THEN '1.' || {comma} WHEN {ok} % 89 = 0 THEN ''
          WHEN {ok} % 2 = 1 THEN {comma} ELSE {price} END AS amount,

@@ -12,9 +12,8 @@ from cropledger.operators.load import clean_files
 from cropledger.plans import oracle as O
 from cropledger.plans import oracle_clean as OC
 from cropledger.plans import views as V
-from cropledger.plans.oracle import _star_sql
 from cropledger.plans.registry import present, register
-from cropledger.plans.testdata import YEAR_SHIFT, payments, raw_payments
+from cropledger.plans.testdata import payments, raw_payments
 from cropledger.schema import PAYMENT_COLUMNS
 from cropledger.session import ensure_checkpoint_dir
 from cropledger.sources import export as X
@@ -221,7 +220,7 @@ def csv_lines(spark, sf_dir):
     path = scratch(spark, "lines")
     _lines(spark, sf_dir).write.text(path)
     result, src = clean_files(spark, path, year=2015, country="DE")
-    street = F.when(F.col("recipient_address") != "DE", F.col("recipient_address"))
+    street = F.when(F.col("recipient_address") != "Germany", F.col("recipient_address"))
     rows = result.payments.select("recipient_name", street.alias("recipient_address"), F.col("amount_original").cast("double").alias("amount"))
     long = src.skipped.agg(F.sum("rows").cast("double").alias("amount"))
     return rows.union(long.select(F.lit("rows too long"), F.lit(None).cast("string"), "amount"))
@@ -233,7 +232,6 @@ _FILES = (
     ("PL", 2015, "pl_Subsidies_2015.csv", ("denumire_beneficiar", "localitate", "cuantum", "masura")),
     ("LT", 2015, "lt_2015.csv", ("amount", "recipient_name", "recipient_street")),
 )
-_PLAIN = " AND ".join(f"o.o_custkey % {n} <> 0" for n in (5, 7, 53, 59, 61))
 
 
 def _named_files(spark, df, folder: str, name: str | None = None) -> None:
@@ -252,36 +250,47 @@ def _named_files(spark, df, folder: str, name: str | None = None) -> None:
         fs.rename(path(part), path(f"{folder}/{stem}.{i}.csv"))
 
 
+#: what the files' columns are made of
+_VALUES = {
+    "recipient_name": "recipient_name", "denumire_beneficiar": "recipient_name", "recipient_street": "recipient_street",
+    "localitate": "recipient_street", "scheme_code_short": "'S1'", "masura": "scheme", "currency": "'DKK'", "amount": "_row", "cuantum": "_row",
+}
+
+
+def _file_sql(country: str, year: int, columns: tuple[str, ...], currency: str, code: str) -> str:
+    """The cleaning oracle over the rows of one file, its columns as they are named there."""
+    cells = ", ".join(f"CAST({_VALUES[c]} AS VARCHAR) AS {c}" for c in columns if c not in ("currency", "scheme_code_short"))
+    raw = (
+        f"raw AS (SELECT {O.q(country)} AS country, '{year}' AS year, {O.q(currency)} AS currency, {cells}, _row "
+        f"FROM (WITH {OC.raw_payments_cte()} SELECT * FROM raw) WHERE upper(country) = {O.q(country)} AND year = '{year}')"
+    )
+    present = ["country", "year", "currency", *(c for c in columns if c not in ("currency", "scheme_code_short"))]
+    body = f"SELECT country, year, currency_original, {code} AS scheme_code, recipient_address, recipient_name, amount_original FROM c9"
+    return OC.clean_sql(body, present).replace(OC.raw_payments_cte(), raw)
+
+
 @register(
     "csv_files",
     "SELECT country, year, currency_original, scheme_code, count(*) AS rows, count(recipient_address) AS addresses, "
-    "count(DISTINCT recipient_name) AS names, CAST(sum(amount) AS DOUBLE) AS amount FROM ("
+    "count(DISTINCT recipient_name) FILTER (WHERE NOT starts_with(recipient_name, 'Anonymous ')) "
+    # every nameless line of a file has a name of its own
+    "+ count(*) FILTER (WHERE starts_with(recipient_name, 'Anonymous ')) AS names, CAST(sum(amount_original) AS DOUBLE) AS amount FROM ("
     + " UNION ALL ".join(
-        f"SELECT {O.q(c)} AS country, {y} AS year, {cur} AS currency_original, {code} AS scheme_code, c.c_name AS recipient_name, "
-        f"'x' AS recipient_address, CAST(l.l_orderkey * 100 + l.l_linenumber AS DECIMAL(18,2)) AS amount FROM {_star_sql()} "
-        f"WHERE {O.country_sql('c.c_nationkey')} = {O.q(c)} AND year(l.l_shipdate) + {YEAR_SHIFT} = {y} AND {_PLAIN}"
-        for (c, y, _n, _cols), cur, code in zip(_FILES, ("'DKK'", "'EUR'", "'LTL'"), ("'S1'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"))
+        f"SELECT * FROM ({_file_sql(c, y, cols, cur, code)})"
+        for (c, y, _n, cols), cur, code in zip(_FILES, ("DKK", "EUR", "LTL"), ("'S1'", "CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"))
     )
     + ") GROUP BY ALL UNION ALL SELECT 'rejected', 1, NULL, NULL, 0, 0, 0, NULL",
 )
 def csv_files(spark, sf_dir):
     """Country and year from file names, three headers,
     other column names, a currency from the table of manual fixes, short scheme
-    codes, and a file that says no year. Plain rows; all rows are in ``csv_files_all``."""
+    codes, and a file that says no year. All raw rows of the three country-years; those
+    of every country and year are in ``csv_files_all``."""
     raw, folder = raw_payments(spark, sf_dir), scratch(spark, "files")
-    ck = F.regexp_extract("recipient_name", r"(\d+)", 1).cast("long")
-    plain = raw.where(F.col("recipient_name").rlike("^Customer#"))
-    for n in (5, 7, 53, 59, 61):
-        plain = plain.where(ck % n != 0)
     for country, year, name, columns in _FILES:
-        rows = plain.where((F.upper("country") == country) & (F.col("year") == str(year)))
-        value = {
-            "recipient_name": "recipient_name", "denumire_beneficiar": "recipient_name", "recipient_street": "recipient_street",
-            "localitate": "recipient_street", "scheme_code_short": "'S1'", "masura": "scheme", "currency": "'DKK'",
-            "amount": "_row", "cuantum": "_row",
-        }
-        _named_files(spark, rows.selectExpr(*(f"{value[c]} AS {c}" for c in columns)), folder, name)
-    _named_files(spark, plain.select("country", "amount").limit(3), folder, "whole.csv")
+        rows = raw.where((F.upper("country") == country) & (F.col("year") == str(year)))
+        _named_files(spark, rows.selectExpr(*(f"{_VALUES[c]} AS {c}" for c in columns)), folder, name)
+    _named_files(spark, raw.groupBy("country").agg(F.max("amount").alias("amount")).coalesce(1), folder, "whole.csv")
     result, src = clean_files(spark, folder)
     # equal amounts of one recipient can't occur: the amount is the source line's number
     rows = result.rows.groupBy("country", "year", "currency_original", "scheme_code").agg(
@@ -318,7 +327,7 @@ def csv_files_all(spark, sf_dir):
 
 @register(
     "csv_headerless",
-    "SELECT c_custkey AS row, c_name AS recipient_name, CAST(round(c_acctbal, 2) AS VARCHAR) IS NOT NULL AS has_amount FROM customer",
+    "SELECT c_custkey AS row, c_name AS recipient_name, CAST(c_acctbal AS DOUBLE) AS amount FROM customer",
 )
 def csv_headerless(spark, sf_dir):
     """A header given by the caller, another delimiter."""
@@ -326,7 +335,7 @@ def csv_headerless(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", F.col("c_acctbal").cast("string"))
     rows.write.options(sep="|", header=False).csv(path)
     got = read_sources(spark, path, header=["row", "recipient_name", "amount"], delimiter="|").rows
-    return got.select(F.col("row").cast("long").alias("row"), "recipient_name", F.col("amount").isNotNull().alias("has_amount"))
+    return got.select(F.col("row").cast("long").alias("row"), "recipient_name", F.col("amount").cast("double").alias("amount"))
 
 
 @register(

@@ -135,6 +135,22 @@ PLACEHOLDER_NAMES = ("--", "**", "private individual")
 RAW_SCHEME_IDS = ("II.1", "II.10", "III.3")
 
 
+# FIXED VALUES (ours): names, places and schemes in the letters of some countries, for
+# every fourth customer there (Ukrainian holders in RO)
+LOCAL = {
+    "GR": ("Αγροτικός Συνεταιρισμός Ναούσης", "Θεσσαλονίκη", "Βασική ενίσχυση"),
+    "CY": ("Γεωργική Εταιρεία Ουρανός", "Λευκωσία", "Ευφυής στήριξη γης"),
+    "BG": ("Иван Петров ЕООД", "Пловдив", "Схема за единно плащане"),
+    "RO": ("Щастя Київ Юг", "Чернівці", "Підтримка їжі"),
+    "PL": ("Łódź Żółw Spółka", "Świętochłowice", "Płatność obszarowa"),
+    "DK": ("Ærø Ødegård", "Nykøbing", "Støtte til økologi"),
+}
+
+
+def _local(country: Column, which: int) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for c, texts in LOCAL.items() for x in (c, texts[which])]), country)
+
+
 # recipients abroad and in unknown places: customer key divisor -> text
 FOREIGN = {23: "CH", 29: "United States", 31: "EL", 37: "uk", 41: "Atlantis", 43: "Ελλάδα"}
 
@@ -152,7 +168,8 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     without a source id, malformed and empty amounts, national currencies (no
     HUF rate for some years), lower-case country codes, blank recipient
     countries, ``1097.0`` postcodes, ``xpath`` addresses, scheme ids and
-    partial scheme names. ``_row`` is the source line key."""
+    partial scheme names, and names, places and schemes in Greek, Cyrillic, Polish
+    and Danish letters. ``_row`` is the source line key."""
     s = _star(spark, sf_dir)
     ok = F.col("l_orderkey")
     ck = F.col("c_custkey")
@@ -162,6 +179,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(*[F.lit(x) for kv in COUNTRY_CURRENCY.items() for x in kv]), country
     )
     converted = country.isin(*RATE_COUNTRIES)
+    here = (ck % 4 == 3) & country.isin(*LOCAL)
     price = F.col("l_extendedprice").cast(AMOUNT_TYPE).cast("string")
     comma = F.replace(price, F.lit("."), F.lit(","))
     amount = (
@@ -174,6 +192,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ck % 53 == 0, F.lit(PLACEHOLDER_NAMES[0]))
         .when(ck % 59 == 0, F.lit(PLACEHOLDER_NAMES[1]))
         .when(ck % 61 == 0, F.lit(PLACEHOLDER_NAMES[2]))
+        .when(here, F.concat(_local(country, 0), F.lit(" "), ck.cast("string")))
         .when(ck % 7 == 0, F.concat(F.lit('" '), F.col("c_name"), F.lit('  ",')))
         .when(ck % 5 == 0, F.replace(F.col("c_name"), F.lit("#"), F.lit("  #  ")))
         .otherwise(F.col("c_name"))
@@ -185,6 +204,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size < MIN_SCHEME_SIZE, F.lit(""))
         .when(size % 5 == 0, F.concat(F.element_at(scheme_ids, (size % 3 + 1).cast("int")), F.lit(" "), F.col("p_type")))
         .when(size % 5 == 1, F.lower(F.col("p_type")))
+        .when(here & (size % 5 == 2), _local(country, 2))
         .otherwise(F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand")))
     )
     return s.select(
@@ -195,7 +215,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ck % 17 == 0, F.concat(F.lit("xpath /a data='Street "), street_no, F.lit("'")))
         .otherwise(F.concat(F.lit("Street "), street_no))
         .alias("recipient_street"),
-        F.col("c_mktsegment").alias("recipient_location"),
+        F.when(here, _local(country, 1)).otherwise(F.col("c_mktsegment")).alias("recipient_location"),
         F.when(ck % 13 == 0, F.concat(postcode, F.lit(".0"))).otherwise(postcode).alias("recipient_postcode"),
         _foreign(ck, country).alias("recipient_country"),
         scheme.alias("scheme"),

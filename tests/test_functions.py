@@ -45,6 +45,19 @@ def test_collapse(spark):
         ("b a b", "a b"),
         ("Straße", "strasse"),
         ("ACME Limited Company", "acme co ltd"),
+        ("Αγροτικός Συνεταιρισμός Ναούσης", "agrotikos naousis synetairismos"),
+        ("ΑΓΡΟΤΙΚΟΣ ΣΥΝΕΤΑΙΡΙΣΜΟΣ ΝΑΟΥΣΗΣ", "agrotikos naousis synetairismos"),
+        ("Ευφυής άυλος αϋπνία Άγγελος Αγχίαλος", "anchialos angelos aylos aypnia evfyis"),
+        ("Иван Петров ЕООД", "eood ivan petrov"),
+        ("Щастя Київ їжак", "kiyiv shchastya yizhak"),
+        ("Ђорђе Његош", "djordje njegosh"),
+        ("Łódź Żółw", "lodz zolw"),
+        ("Ærø Ødegård", "aero odegard"),
+        ("Þór Eiður", "eidur thor"),
+        ("İSTANBUL Şirketi ılık", "ilik istanbul sirketi"),
+        ("cafe\u0301", "cafe"),
+        ("株式会社 東京", "東京 株式会社"),
+        ("Ь", None),
         ("!!!", None),
         (None, None),
     ],
@@ -56,7 +69,8 @@ def test_fingerprint(spark, raw, expected):
 @pytest.mark.parametrize(
     "raw,expected",
     [("Anna", True), ("--", False), ("**", False), ("Private Individual", False), ("NIJE primjenjivo x", False),
-     ("ro-nan", False), ("", False), (None, False), ("?!", False), ("é", True)],
+     ("ro-nan", False), ("", False), (None, False), ("?!", False), ("é", True),
+     ("Αθήνα", True), ("София", True), ("東京", True), ("ь", False), ("١٢", True)],
 )
 def test_usable(spark, raw, expected):
     assert one(spark, usable, raw) is expected
@@ -141,3 +155,35 @@ def test_avg_half_even(spark):
     )
     got = {r["k"]: r["a"] for r in df.groupBy("k").agg(avg_half_even("v").alias("a")).collect()}
     assert got == {"a": Decimal("10.02"), "b": Decimal("10.02"), "c": Decimal("-0.02"), "d": None}
+
+
+@pytest.mark.parametrize(
+    "parts,cc,expected",
+    [
+        (("Αθήνα", "GR"), "GR", "Αθήνα"),
+        (("улица Шипка 1", "София", "BG"), "BG", "улица Шипка 1, София"),
+        (("DE",), "DE", "Germany"),
+        ((None, "DE"), "DE", "Germany"),
+        (("?", "GR"), "GR", "Greece"),
+        (("DE", "Köln", "DE"), "DE", "DE, Köln"),
+    ],
+)
+def test_address_letters_and_code_alone(spark, parts, cc, expected):
+    df = spark.range(1)
+    out = clean_address(F.lit(None).cast("string"), [F.lit(p).cast("string") for p in parts], F.lit(cc))
+    assert df.select(out.alias("r")).first()["r"] == expected
+
+
+def test_local_names_make_one_recipient(spark):
+    """Names and schemes in other letters stay, equal ones share an id."""
+    from cropledger.operators.clean import clean
+
+    rows = [("GR", "2019", n, "Αθήνα", s, "10", "EUR") for n, s in (("Αγρός ΑΕ", "Βασική ενίσχυση"), ("ΑΓΡΟΣ ΑΕ", "Βασική ενίσχυση"), ("Άλλος", "東京"), ("--", "?"))]
+    raw = spark.createDataFrame(rows, "country string, year string, recipient_name string, recipient_location string, scheme string, amount string, currency string")
+    got = clean(raw).rows.select("recipient_name", "recipient_fingerprint", "recipient_address", "recipient_id", "scheme").collect()
+    known = {r.recipient_name: r for r in got if not r.recipient_name.startswith("Anonymous ")}
+    assert set(known) == {"Αγρός ΑΕ", "ΑΓΡΟΣ ΑΕ", "Άλλος"} and len(got) == 4
+    assert known["Αγρός ΑΕ"].recipient_id == known["ΑΓΡΟΣ ΑΕ"].recipient_id != known["Άλλος"].recipient_id
+    assert known["Αγρός ΑΕ"].recipient_fingerprint == "ae agros"
+    assert {r.recipient_address for r in got} == {"Αθήνα"}
+    assert sorted(str(r.scheme) for r in got) == sorted(["Βασική ενίσχυση", "Βασική ενίσχυση", "東京", "None"])
