@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from cropledger.errors import InvalidQuery
 from cropledger.operators import summaries as S
 from cropledger.operators.load import clean_files
 from cropledger.plans import oracle as O
@@ -92,24 +93,58 @@ def entity_graph(spark, sf_dir):
     return e.select("id", "schema", "prop", F.array_join("values", ";").alias("value_list"))
 
 
-_SQL_GUARDED = (
-    "select country, year, count(*) AS n, CAST(sum(amount) AS DECIMAL(28,2)) AS total\n"
-    "from payments where amount > 50000 group by country, year;"
-)
+#: Statements by name, each of one ``key`` and one ``total``; the oracle runs them as they are.
+_STATEMENTS = {
+    "lines and semicolon": "select concat_ws('-', country, year) AS key, CAST(sum(amount) AS DECIMAL(28,2)) AS total\n"
+    "from payments where amount > 50000 group by country, year;",
+    "cte and subquery": "with big as (select * from payments where amount > 90000), few as (select country from big group by country having count(*) > 2) "
+    "select country AS key, max(amount) AS total from payments where country in (select country from few) group by country",
+    "window": "select key, total from (select recipient_id AS key, amount AS total, row_number() over (partition by country order by amount desc, pk) AS r "
+    "from payments) t where r = 1",
+    "join and case": "select a.country AS key, sum(case when a.year = b.year then a.amount else 0 end) AS total from payments a "
+    "join (select country, min(year) AS year from payments group by country) b on a.country = b.country group by a.country",
+    "closing quote": "select country AS key, min(amount) AS total from payments group by country having country = 'DE'",
+}
+#: Statements that must be refused: other relations, paths, commands, calls out of SQL.
+_REFUSED = {
+    "file": "select value AS key, 1 AS total from payments join text.`/etc/hostname`",
+    "java call": "select reflect('java.lang.System', 'getProperty', 'user.home') AS key, 1 AS total from payments",
+    "file in subquery": "select pk AS key, 1 AS total from payments where pk in (select value from csv.`/etc/passwd`)",
+    "other table": "select key, total from customers, payments",
+    "hidden by a cte": "with payments as (select * from customers) select key, total from payments",
+    "cte out of scope": "select key, total from (with inner_one as (select * from payments) select * from inner_one), inner_one",
+    "table function": "select id AS key, 1 AS total from range(10), payments",
+    "name at run time": "select key, total from identifier('payments'), payments",
+    "no table": "select 1 AS key, 1 AS total",
+    "two statements": "select pk AS key, amount AS total from payments; drop table payments",
+    "drop": "drop table payments",
+    "insert": "insert into payments select * from payments",
+}
 
 
 @register(
     "sql_guarded",
     O.with_payments(
-        "SELECT country, year, n, " + O.num("total") + " AS total FROM ("
-        + _SQL_GUARDED.replace(";", "")
-        + ") t"
+        " UNION ALL ".join(
+            f"SELECT {O.q(name)} AS statement, true AS accepted, CAST(key AS VARCHAR) AS key, {O.num('CAST(total AS DECIMAL(28,2))')} AS total FROM ({sql.rstrip(';')}) t"
+            for name, sql in _STATEMENTS.items()
+        )
+        + "".join(f" UNION ALL SELECT {O.q(name)}, false, NULL, NULL" for name in _REFUSED)
     ),
 )
 def sql_guarded(spark, sf_dir):
-    """Checked read-only SQL over the payments view (multi-line text
-    accepted, trailing semicolon removed)."""
-    return present(X.run_sql(spark, payments(spark, sf_dir), _SQL_GUARDED))
+    """Statements over the payments view with their results, and statements that
+    the guard refuses, each a row without one."""
+    p = payments(spark, sf_dir)
+    out = None
+    for name, sql in (_STATEMENTS | _REFUSED).items():
+        try:
+            found = X.run_sql(spark, p, sql).select(F.col("key").cast("string").alias("key"), F.col("total").cast("decimal(28,2)").alias("total"))
+            rows = found.select(F.lit(name).alias("statement"), F.lit(True).alias("accepted"), "key", "total")
+        except InvalidQuery:
+            rows = spark.range(1).select(F.lit(name).alias("statement"), F.lit(False).alias("accepted"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("decimal(28,2)").alias("total"))
+        out = rows if out is None else out.union(rows)
+    return present(out)
 
 
 _UPSERT_COLS = [c for c in PAYMENT_COLUMNS]

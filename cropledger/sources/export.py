@@ -6,8 +6,7 @@ collected to the driver.
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +15,7 @@ from cropledger.dims import PROGRAMME
 from cropledger.errors import InvalidQuery
 from cropledger.schema import PAYMENT_COLUMNS
 from cropledger.sources.csv_source import CSV_OPTIONS, path_exists
+from cropledger.sources.sql_guard import check_query
 
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": ""}
 
@@ -124,23 +124,20 @@ def write_entity_graph(payments: DataFrame, path: str) -> None:
 # ---------------------------------------------------------------------------
 
 
-def check_query(query: str, table: str = "payments") -> str:
-    """Only ``SELECT … FROM <table>…``; semicolons and one pair of
-    wrapping quotes removed (a closing quote of a trailing literal is kept);
-    line breaks allowed."""
-    q = query.replace(";", "").strip()
-    if len(q) >= 2 and q[0] == q[-1] and q[0] in "\"'":
-        q = q[1:-1].strip()
-    if not re.match(rf"^select\s.*\sfrom\s{re.escape(table)}\b.*", q, re.IGNORECASE | re.DOTALL):
-        raise InvalidQuery("Invalid query")
-    return q
-
-
 def run_sql(spark: SparkSession, payments: DataFrame, query: str, table: str = "payments") -> DataFrame:
-    """Run a checked read-only query over ``payments`` as a temp view."""
-    q = check_query(query, table)
+    """A checked read-only query over ``payments``. The name stands for the table
+    while the query is resolved; a view that had it before has it again afterwards."""
+    text = check_query(spark, query, table)
+    before = spark.table(table) if spark.catalog.tableExists(table) else None
     payments.createOrReplaceTempView(table)
-    return spark.sql(q)
+    try:
+        return spark.sql(text)
+    except AnalysisException as e:
+        raise InvalidQuery(f"Invalid query: {e.getCondition() or 'unresolved'}") from e
+    finally:
+        spark.catalog.dropTempView(table)
+        if before is not None and not spark.catalog.tableExists(table):
+            before.createOrReplaceTempView(table)
 
 
 def export_sql(spark: SparkSession, payments: DataFrame, query: str, path: str) -> None:

@@ -64,12 +64,49 @@ def test_result_cache(ten):
 
 
 def test_sql_guard(spark, ten):
-    assert X.check_query("SELECT *\nFROM payments WHERE year = 2019;") == "SELECT *\nFROM payments WHERE year = 2019"
-    for bad in ("DROP TABLE payments", "select 1", "delete from payments"):
-        with pytest.raises(InvalidQuery):
-            X.check_query(bad)
-    got = X.run_sql(spark, ten, "select count(*) AS n from payments where country = 'DE'").first()["n"]
+    assert X.check_query(spark, "SELECT *\nFROM payments WHERE year = 2019;") == "SELECT *\nFROM payments WHERE year = 2019"
+    got = X.run_sql(spark, ten, "\"select count(*) AS n from payments where country = 'DE'\"").first()["n"]
     assert got == 3
+    assert X.run_sql(spark, ten, "select 'a;b' AS s from payments limit 1").first()["s"] == "a;b"
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "select country, case when amount > 5 then 'a' else lower(scheme) end AS c, extract(year from current_date()) AS y from payments limit 3 offset 2",
+        "select country, sum(amount) over w AS r from payments window w as (partition by year order by amount rows between 1 preceding and current row)",
+        "select country, year, grouping(country) AS g, sum(amount) AS a from payments group by rollup(country, year) order by 1 nulls last",
+        "select (select max(amount) from payments) AS m, exists(select 1 from payments p where p.pk = q.pk) AS e from payments q",
+        "select distinct country from payments union all select scheme from payments except select 'x'",
+        "select transform(array(1, 2), x -> x + amount) AS t, listagg(scheme, ',') within group (order by scheme) AS l from payments group by amount",
+    ],
+)
+def test_sql_guard_accepts(spark, ten, sql):
+    X.run_sql(spark, ten, sql).collect()
+
+
+@pytest.mark.parametrize(
+    "sql",
+    [
+        "DROP TABLE payments", "select 1", "delete from payments", "set x=1", "explain select * from payments", "values (1)", "select * from",
+        "select value from payments join text.`/etc/hostname`", "select * from spark_catalog.default.payments",
+        "select reflect('java.lang.System', 'getProperty', 'user.home') from payments", "select java_method('java.lang.System', 'exit', 1) from payments",
+        "select input_file_name() from payments", "select identifier('reflect')('a') from payments", "select transform(pk) using 'cat' from payments",
+        "select (select max(v) from other) from payments", "select no_such_column from payments",
+    ],
+)
+def test_sql_guard_refuses(spark, ten, sql):
+    with pytest.raises(InvalidQuery):
+        X.run_sql(spark, ten, sql)
+
+
+def test_sql_guard_gives_the_name_back(spark, ten):
+    spark.range(3).createOrReplaceTempView("payments")
+    try:
+        assert X.run_sql(spark, ten, "select count(*) AS n from payments").first()["n"] == 10
+        assert spark.table("payments").count() == 3
+    finally:
+        spark.catalog.dropTempView("payments")
 
 
 def test_export_form(ten):
