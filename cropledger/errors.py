@@ -34,6 +34,14 @@ class InvalidQuery(CropLedgerError):
     pass
 
 
+class InvalidRows(CropLedgerError):
+    """Rows that a write refuses: ``counts`` tells how many break each rule."""
+
+    def __init__(self, counts: dict[str, int]):
+        self.counts = dict(sorted(counts.items()))
+        super().__init__(", ".join(f"{rule}: {n} rows" for rule, n in self.counts.items()))
+
+
 # data error codes written into the ``errors`` column of cleaned rows
 ERR_CURRENCY = "InvalidCurrency"
 ERR_AMOUNT = "InvalidAmount"

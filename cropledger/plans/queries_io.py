@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cropledger.errors import InvalidQuery
+from cropledger.dims import COUNTRIES, CURRENCIES
+from cropledger.errors import InvalidQuery, InvalidRows
 from cropledger.operators import summaries as S
+from cropledger.operators.clean import clean
 from cropledger.operators.load import clean_files
 from cropledger.plans import oracle as O
 from cropledger.plans import oracle_clean as OC
@@ -420,29 +422,79 @@ def export_sql_q(spark, sf_dir):
 
 
 _EXPORT_PAGE_SQL = (
-    "SELECT {how} AS file, * FROM (SELECT country, CAST(count(*) AS VARCHAR) AS total_payments FROM payments "
+    "SELECT {how} AS file, * FROM (SELECT country, CAST(count(*) AS VARCHAR) AS total_payments FROM {rows} "
     "GROUP BY country ORDER BY country {cut})"
 )
+_OLD_ROWS = "(SELECT country FROM payments WHERE year < 2014)"
+_NEW_ROWS = "(SELECT country FROM payments WHERE year < 2014 UNION ALL SELECT country FROM (SELECT DISTINCT country, year, recipient_id, pk FROM payments WHERE year >= 2014))"
 
 
 @register(
     "named_export",
     O.with_payments(
         " UNION ALL ".join(
-            _EXPORT_PAGE_SQL.format(how=O.q(how), cut=cut)
-            for how, cut in (("page 1", "LIMIT 3"), ("page 2", "LIMIT 3 OFFSET 3"), ("full", ""), ("again", "LIMIT 3"))
+            _EXPORT_PAGE_SQL.format(how=O.q(how), rows=rows, cut=cut)
+            for how, rows, cut in (
+                ("page 1", _OLD_ROWS, "LIMIT 3"), ("page 2", _OLD_ROWS, "LIMIT 3 OFFSET 3"), ("full", _OLD_ROWS, ""),
+                ("again", _OLD_ROWS, "LIMIT 3"), ("page 1 of new rows", _NEW_ROWS, "LIMIT 3"), ("again of new rows", _NEW_ROWS, "LIMIT 3"),
+            )
         )
     ),
 )
 def named_export_q(spark, sf_dir):
-    """S14 through API requests: two pages and the full result have files of their
-    own, and a repeated request reads its first file again."""
-    p, folder = payments(spark, sf_dir), scratch(spark, "named")
+    """S14 through API requests over a stored table: two pages and the full result have
+    files of their own, a repeated request reads its first file again, and after an
+    upsert the same request gets a new file."""
+    p, folder, table = payments(spark, sf_dir), scratch(spark, "named"), scratch(spark, "exported")
+    store.insert(p.where("year < 2014"), table)
+    stored = store.read_table(spark, table)
+    first, second = {"p": 1, "limit": 3}, {"p": 2, "limit": 3}
     out, paths = None, {}
-    for how, params in (("page 1", {"p": 1, "limit": 3}), ("page 2", {"p": 2, "limit": 3}), ("full", {}), ("again", {"p": 1, "limit": 3})):
-        path = V.call(p, "countries", params | {"output": "export"}, export_dir=folder)["path"]
-        if paths.setdefault(path, how) != how and how != "again":
-            raise ValueError("two requests share a file")
+    for how, params in (("page 1", first), ("page 2", second), ("full", {}), ("again", first), ("page 1 of new rows", first), ("again of new rows", first)):
+        if how == "page 1 of new rows":
+            store.upsert(spark, p.where("year >= 2014"), table)
+        path = V.call(stored, "countries", params | {"output": "export"}, export_dir=folder)["path"]
+        if (path in paths) != how.startswith("again"):
+            raise ValueError(f"{how}: the file of {paths.get(path)}")
+        paths.setdefault(path, how)
         rows = X.read_csv_text(spark, path).select(F.lit(how).alias("file"), "country", "total_payments")
         out = rows if out is None else out.union(rows)
     return out
+
+
+_SERVED = ", ".join(O.q(c) for c, *_ in COUNTRIES)
+_KNOWN_CURRENCIES = ", ".join(O.q(c) for c in CURRENCIES)
+_RULES_SQL = {
+    "recipient_country is null": "recipient_country IS NULL",
+    "currency_original is unknown": f"currency_original NOT IN ({_KNOWN_CURRENCIES})",
+    "country is unknown": f"country NOT IN ({_SERVED})",
+    "nuts1 is unknown": "country = 'PL'",
+}
+
+
+@register(
+    "insert_refused",
+    OC.clean_sql(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(f"SELECT {O.q(rule)} AS what, count(*) AS rows FROM cleaned WHERE {test}" for rule, test in _RULES_SQL.items())
+        + ") WHERE rows > 0 UNION ALL SELECT 'in the table', count(*) FROM cleaned WHERE _valid AND country <> 'PL'"
+    ),
+)
+def insert_refused(spark, sf_dir):
+    """An insert of all cleaned rows, bad ones and codes outside the table of
+    regions among them, is refused with its counts and leaves the table empty; the good
+    rows then go in."""
+    table = scratch(spark, "checked")
+    regions = payments(spark, sf_dir).where("country != 'PL'").select("country").distinct()
+    cleaned = clean(raw_payments(spark, sf_dir)).cleaned.withColumn("nuts1", F.col("country"))
+    store.init_table(spark, table)
+    try:
+        store.insert(cleaned, table, regions=regions)
+        counts = {}
+    except InvalidRows as e:
+        counts = e.counts
+    if not store.read_table(spark, table).isEmpty():
+        raise ValueError("refused rows are in the table")
+    store.insert(cleaned.where(F.col("_valid") & (F.col("country") != "PL")), table, regions=regions)
+    bad = spark.createDataFrame(list(counts.items()), "what string, rows long")
+    return bad.union(store.read_table(spark, table).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("in the table"), "rows"))

@@ -24,6 +24,8 @@ from cropledger.errors import InvalidQuery
 from cropledger.functions import fingerprint
 from cropledger.operators import summaries as S
 from cropledger.plans.query import Query, truth
+from cropledger.sources.versions import relist
+from cropledger.sources.versions import version as table_version
 
 STRING, NUMERIC, ID = "string", "numeric", "id"
 
@@ -141,9 +143,9 @@ KINDS: dict[str, Kind] = {
 
 @dataclass
 class View:
-    """One request: ``endpoint`` names a kind. ``version`` names the state of the
-    payments table (a snapshot, a date); it tells cached results and export files of
-    different states apart."""
+    """One request: ``endpoint`` names a kind. The state of the files behind the payments
+    (the table's version stamp) tells cached results and export files of different
+    states apart; ``version`` is a caller's own name for a state, beside it."""
 
     endpoint: str
     payments: DataFrame
@@ -244,7 +246,7 @@ class View:
             "view": self.endpoint,
             "filters": sorted(self.shown.items()),
             "years": list(self.public_years) if self.kind.restricted and not self.authenticated else None,
-            "table": [self.version, self.payments.semanticHash()],
+            "table": [self.version, table_version(self.payments), self.payments.semanticHash()],
         }
         if sliced:
             data |= {"order": self.order, "page": self.page, "limit": self.limit}
@@ -262,21 +264,28 @@ class ResultCache:
     the least recently used goes first."""
 
     max_entries: int = 32
-    store: dict[str, DataFrame] = field(default_factory=dict)
+    #: name of the result -> the frame, the payments it is made of and their state
+    store: dict[str, tuple[DataFrame, int, str]] = field(default_factory=dict)
 
     def page(self, view: View) -> DataFrame:
-        name = view.spec()
-        frame = self.store.pop(name, None)
+        name, source, state = view.spec(), view.payments.semanticHash(), table_version(view.payments)
+        # results of an older state go first: Spark would take them for the new ones
+        stale = [n for n, (_, s, v) in self.store.items() if s == source and v != state]
+        for n in stale:
+            self.store.pop(n)[0].unpersist(blocking=True)
+        if stale:
+            relist(view.payments)
+        frame = self.store.pop(name, (None,))[0]
         if frame is None:
             frame = view.base_query().to_df(sliced=False).persist()
-        self.store[name] = frame  # most recently used last
+        self.store[name] = (frame, source, state)  # most recently used last
         while len(self.store) > self.max_entries:
-            self.store.pop(next(iter(self.store))).unpersist()
+            self.store.pop(next(iter(self.store)))[0].unpersist()
         return view.arranged(Query(frame, identity=view.base_query().identity)).to_df()
 
     def clear(self) -> None:
         while self.store:
-            self.store.popitem()[1].unpersist()
+            self.store.popitem()[1][0].unpersist()
 
 
 def _named(endpoint: str) -> Callable[..., View]:

@@ -53,7 +53,8 @@ class SourceRead:
     rejected: list[tuple[str, str]] = field(default_factory=list)
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """A path and its file system (local, HDFS, object store)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -62,14 +63,14 @@ def _fs(spark: SparkSession, path: str):
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (cluster-safe)."""
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     return bool(fs.exists(p))
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Files under ``path`` through the Hadoop file system (works for local,
     HDFS and object stores)."""
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     if not fs.exists(p):
         return []
     if fs.getFileStatus(p).isFile():
@@ -86,7 +87,7 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder of our own through the Hadoop file system."""
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     fs.delete(p, True)
 
 

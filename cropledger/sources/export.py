@@ -16,6 +16,7 @@ from cropledger.errors import InvalidQuery
 from cropledger.schema import PAYMENT_COLUMNS
 from cropledger.sources.csv_source import CSV_OPTIONS, path_exists
 from cropledger.sources.sql_guard import check_query
+from cropledger.sources.versions import relist
 
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": ""}
 
@@ -61,6 +62,7 @@ def named_export(spark: SparkSession, view, export_dir: str) -> str:
     name is used again."""
     out = f"{export_dir.rstrip('/')}/{view.export_name()}"
     if not path_exists(spark, f"{out}/_SUCCESS"):
+        relist(view.payments)
         write_export(view.to_df(), out)
     return out
 

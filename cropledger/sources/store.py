@@ -5,6 +5,10 @@ pruning replaces the reference's primary index prefix), rows sorted by
 ``recipient_id`` inside each file so Parquet min/max statistics prune
 recipient lookups. Writes go through AQE's rebalance so a hot partition value
 is split over several tasks and files instead of one.
+
+A write first puts its rows into the shared checkpoint folder, once; the same job
+counts the rows that break a rule (V3). Only if there are none is the table touched.
+Every write leaves a version stamp (``versions``).
 """
 
 from __future__ import annotations
@@ -16,11 +20,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.errors import ImproperlyConfigured
+from cropledger.dims import COUNTRIES, CURRENCIES
+from cropledger.errors import ImproperlyConfigured, InvalidRows
 from cropledger.operators.clean import dedup_first
-from cropledger.schema import PARTITION_COLUMNS, PAYMENT_COLUMNS, PAYMENTS_SCHEMA
+from cropledger.schema import NOT_NULL_COLUMNS, PARTITION_COLUMNS, PAYMENT_COLUMNS, PAYMENTS_SCHEMA, YEAR_MAX, YEAR_MIN
 from cropledger.session import ensure_checkpoint_dir
 from cropledger.sources.csv_source import path_exists, remove_path
+from cropledger.sources.versions import stamp
 
 # reference table's sorting key: the identity of a stored row
 UPSERT_KEY = ["country", "year", "recipient_id", "pk"]
@@ -49,30 +55,73 @@ def init_table(spark: SparkSession, path: str, recreate: bool = False) -> None:
         raise ImproperlyConfigured(f"there is a table at {path} already")
     empty = spark.createDataFrame([], PAYMENTS_SCHEMA)
     empty.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    stamp(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAYMENTS_SCHEMA).parquet(path).select(*PAYMENT_COLUMNS)
 
 
-def insert(df: DataFrame, path: str) -> int:
-    """Append rows by name; returns the number of rows written (counted
-    by an observation on the write itself, no second pass). Rows whose key is stored
-    already are an error: ``upsert`` is the way to bring them again."""
+#: Region code columns, checked against a table of codes if the writer gives one.
+REGION_COLUMNS = ["nuts1", "nuts2", "nuts3"]
+
+
+def rules(countries: list[str] | None = None) -> dict[str, Column]:
+    """V3: the rules of a stored row, by name: true where a row breaks one. ``countries``
+    are the served payment countries, by default all known ones."""
+    served = countries or [c for c, *_ in COUNTRIES]
+    broken = {f"{c} is null": F.col(c).isNull() for c in NOT_NULL_COLUMNS}
+    # an unknown value is told apart from a null, which has a rule of its own
+    broken["country is unknown"] = ~F.col("country").isin(*served)
+    broken["year is out of range"] = ~F.col("year").between(YEAR_MIN, YEAR_MAX)
+    broken["currency_original is unknown"] = ~F.col("currency_original").isin(*CURRENCIES)
+    broken["currency is not EUR"] = F.col("currency") != "EUR"
+    return broken
+
+
+def _staged(df: DataFrame, scratch: str, countries: list[str] | None, regions: DataFrame | None) -> tuple[DataFrame, int]:
+    """The rows written to ``scratch``, and their number; ``InvalidRows`` if any breaks a
+    rule. The counts come with the write; region codes are counted first, then looked
+    up in the table ``regions`` (its first column) by an anti-join of the few codes."""
     spark = df.sparkSession
-    new = conform(df)
-    stored = _partitions(spark, path) if path_exists(spark, path) else set()
-    if stored:
-        coming = {tuple(r) for r in new.select(*PARTITION_COLUMNS).distinct().collect()}
+    broken = rules(countries)
+    obs = Observation("write")
+    counts = [F.count_if(F.coalesce(test, F.lit(False))).alias(f"r{i}") for i, test in enumerate(broken.values())]
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(f"{scratch}/new")
+    found = {rule: int(obs.get[f"r{i}"]) for i, rule in enumerate(broken)}
+    new = spark.read.schema(PAYMENTS_SCHEMA).parquet(f"{scratch}/new")
+    if regions is not None:
+        cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("code")) for c in REGION_COLUMNS])
+        codes = new.select(F.inline(cells)).where("code IS NOT NULL").groupBy("name", "code").agg(F.count(F.lit(1)).alias("n"))
+        known = regions.select(F.col(regions.columns[0]).cast("string").alias("code")).distinct()
+        strange = codes.join(known, "code", "left_anti").groupBy("name").agg(F.sum("n").alias("n"))
+        found |= {f"{r['name']} is unknown": int(r["n"]) for r in strange.collect()}
+    if any(found.values()):
+        raise InvalidRows({rule: n for rule, n in found.items() if n})
+    return new, int(obs.get["rows"])
+
+
+def insert(df: DataFrame, path: str, countries: list[str] | None = None, regions: DataFrame | None = None) -> int:
+    """Append rows by name; returns the number of rows written. Rows that break a
+    rule (V3) are an error and nothing is written; so are rows whose key is stored
+    already: ``upsert`` is the way to bring them again."""
+    spark = df.sparkSession
+    scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/insert-{uuid.uuid4().hex}"
+    try:
+        new, count = _staged(conform(df), scratch, countries, regions)
+        stored = _partitions(spark, path) if path_exists(spark, path) else set()
+        coming = {tuple(r) for r in new.select(*PARTITION_COLUMNS).distinct().collect()} if stored else set()
         if shared := stored & coming:
             old = read_table(spark, path).where(_in_partitions(shared)).select(*UPSERT_KEY)
             twice = new.where(_in_partitions(shared)).select(*UPSERT_KEY).join(old, UPSERT_KEY, "left_semi").limit(1)
             if not twice.isEmpty():
                 raise ImproperlyConfigured(f"rows that are to be inserted are in {path} already")
-    obs = Observation("insert")
-    out = new.observe(obs, F.count(F.lit(1)).alias("rows"))
-    layout(out).write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
-    return int(obs.get["rows"])
+        stamp(spark, path)
+        layout(new).write.mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
+        stamp(spark, path)
+    finally:
+        remove_path(spark, scratch)
+    return count
 
 
 def _partitions(spark: SparkSession, path: str) -> set[tuple]:
@@ -89,24 +138,23 @@ def _in_partitions(pairs: set[tuple]) -> Column:
     return reduce(operator.or_, tests) if tests else F.lit(False)
 
 
-def upsert(spark: SparkSession, df: DataFrame, path: str) -> int:
+def upsert(spark: SparkSession, df: DataFrame, path: str, countries: list[str] | None = None, regions: DataFrame | None = None) -> int:
     """New rows win over stored rows with the same key
     (country, year, recipient_id, pk); of new rows with one key the first wins. Only the
     partitions the new rows touch are read and rewritten (dynamic partition
-    overwrite). Returns the number of rows taken in.
+    overwrite). Returns the number of rows taken in; rows that break a rule (V3) are an
+    error and the table stays as it is.
 
     The new rows are made once: they are written to the shared checkpoint folder,
     which also lets them come from this very table, and all steps read that file. The
     merged partitions go there too before they replace the stored ones; both
     files are removed at the end."""
-    if not path_exists(spark, path):
-        init_table(spark, path)
     scratch = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
-    obs = Observation("upsert")
     keyed = dedup_first(conform(df), UPSERT_KEY, [c for c in PAYMENT_COLUMNS if c not in UPSERT_KEY])
     try:
-        keyed.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(f"{scratch}/new")
-        new = spark.read.schema(PAYMENTS_SCHEMA).parquet(f"{scratch}/new")
+        new, count = _staged(keyed, scratch, countries, regions)
+        if not path_exists(spark, path):
+            init_table(spark, path)
         touched = {tuple(r) for r in new.select(*PARTITION_COLUMNS).distinct().collect()}
         shared = touched & _partitions(spark, path)
         merged = new
@@ -116,6 +164,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str) -> int:
             merged.write.parquet(f"{scratch}/merged")
             merged = spark.read.schema(PAYMENTS_SCHEMA).parquet(f"{scratch}/merged")
         if touched:
+            stamp(spark, path)
             (
                 layout(merged)
                 .write.mode("overwrite")
@@ -123,6 +172,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str) -> int:
                 .partitionBy(*PARTITION_COLUMNS)
                 .parquet(path)
             )
+            stamp(spark, path)
     finally:
         remove_path(spark, scratch)
-    return int(obs.get["rows"])
+    return count

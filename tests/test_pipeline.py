@@ -1,14 +1,16 @@
 """Sources → cleaning → store → streaming, on hand-written raw CSV files
 that contain the F1 cases."""
 
+import uuid
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from cropledger.errors import ImproperlyConfigured, InvalidSource
+from cropledger.errors import ImproperlyConfigured, InvalidRows, InvalidSource
 from cropledger.operators.clean import clean
-from cropledger.sources import store
+from cropledger.session import ensure_checkpoint_dir
+from cropledger.sources import store, versions
 from cropledger.sources.csv_source import read_sources
 from cropledger.streaming.ingest import ingest_new_files
 
@@ -272,3 +274,31 @@ def test_stream_reads_each_file_by_its_own_header(spark, tmp_path):
     assert reports(spark, table, "skipped").collect()[0]["rows"] == 1
     assert {r["code"] for r in reports(spark, table, "errors").collect()} == {"InvalidAmount"}
     assert reports(spark, table, "rejected").collect()[0]["file"].endswith("nothing.csv")
+
+
+@pytest.mark.parametrize("write", ["insert", "upsert"])
+def test_writes_refuse_bad_rows(spark, ten, write):
+    """A write with bad rows tells their counts and changes nothing."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/refused-{uuid.uuid4().hex}"
+    store.insert(ten.where("country = 'LU'"), path)
+    state = versions.version(store.read_table(spark, path))
+    null = F.lit(None).cast("string")
+    bad = (
+        ten.where("country = 'DE'")
+        .withColumn("country", F.when(F.col("pk") == "p05", F.lit("ZZ")).when(F.col("pk") == "p06", null).otherwise(F.col("country")))
+        .withColumn("recipient_id", F.when(F.col("pk") == "p06", null).otherwise(F.col("recipient_id")))
+        .withColumn("year", F.when(F.col("pk") == "p07", F.lit(1850)).otherwise(F.col("year")))
+        .withColumn("currency_original", F.lit("XXX"))
+    )
+    call = (lambda **more: store.insert(bad, path, **more)) if write == "insert" else (lambda **more: store.upsert(spark, bad, path, **more))
+    with pytest.raises(InvalidRows) as e:
+        call(regions=spark.createDataFrame([("LU0",)], "code string"))
+    assert e.value.counts == {
+        "country is null": 1, "country is unknown": 1, "currency_original is unknown": 3, "nuts1 is unknown": 3,
+        "recipient_id is null": 1, "year is out of range": 1,
+    }
+    assert store.read_table(spark, path).count() == 4
+    assert versions.version(store.read_table(spark, path)) == state
+    with pytest.raises(InvalidRows):
+        store.insert(ten.where("country = 'DE'"), path, countries=["LU"])
+    assert store.insert(ten.where("country = 'DE'"), path, regions=spark.createDataFrame([("DE1",)], "code string")) == 3

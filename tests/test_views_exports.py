@@ -1,12 +1,20 @@
 """API views (P10-P13, W3, W6-W8), exports (S13-S16) and identities."""
 
+import glob
+import os
+import uuid
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cropledger.errors import InvalidQuery
 from cropledger.operators import summaries as S
 from cropledger.plans import views as V
+from cropledger.session import ensure_checkpoint_dir
 from cropledger.sources import export as X
+from cropledger.sources import store, versions
 
 
 def test_param_checks(ten):
@@ -63,6 +71,56 @@ def test_result_cache(ten):
     cache.clear()
 
 
+def _stored(spark, df):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/version-test-{uuid.uuid4().hex}"
+    store.insert(df, path)
+    return path
+
+
+def test_export_and_cache_follow_the_table(spark, ten, tmp_path):
+    """An upsert, and then a write of another application, give new results."""
+    path = _stored(spark, ten)
+    table = store.read_table(spark, path)
+    cache, params = V.ResultCache(), {"order_by": "country", "country": "LU"}
+    view = lambda: V.CountryView(table, params)
+    first = X.named_export(spark, view(), str(tmp_path))
+    assert X.named_export(spark, view(), str(tmp_path)) == first
+    assert [r["total_payments"] for r in cache.page(view()).collect()] == [4]
+    store.upsert(spark, ten.where("pk = 'p01'").withColumn("pk", F.lit("p99")), path)
+    second = X.named_export(spark, view(), str(tmp_path))
+    assert second != first
+    assert [r["total_payments"] for r in X.read_csv_text(spark, second).collect()] == ["5"]
+    assert [r["total_payments"] for r in cache.page(view()).collect()] == [5]
+    # another application replaces the files of a partition and leaves its stamp
+    path = path.removeprefix("file:")
+    part = glob.glob(f"{path}/country=LU/year=2019/*.parquet")
+    rows = pa.concat_tables([pq.read_table(f, partitioning=None) for f in part])
+    pq.write_table(pa.concat_tables([rows, rows]), f"{path}/country=LU/year=2019/part-other.parquet")
+    for f in part:
+        os.remove(f)
+    assert X.named_export(spark, view(), str(tmp_path)) == second  # no stamp yet
+    versions.stamp(spark, path)
+    third = X.named_export(spark, view(), str(tmp_path))
+    assert third not in (first, second)
+    assert [r["total_payments"] for r in X.read_csv_text(spark, third).collect()] == ["8"]
+    assert [r["total_payments"] for r in cache.page(view()).collect()] == [8]
+    assert len(cache.store) == 1
+    cache.clear()
+
+
+def test_versions(spark, ten):
+    path = _stored(spark, ten)
+    table = store.read_table(spark, path)
+    seen = {versions.version(table)}
+    for _ in range(2 * versions.KEPT):
+        versions.stamp(spark, path)
+        seen.add(versions.version(table))
+    assert len(seen) == 2 * versions.KEPT + 1
+    assert len(versions._names(spark, path)) <= versions.KEPT + 1
+    assert versions.version(table.where("year > 2019")) == versions.version(table)
+    assert store.read_table(spark, path).count() == 10  # stamps are no rows
+
+
 def test_sql_guard(spark, ten):
     assert X.check_query(spark, "SELECT *\nFROM payments WHERE year = 2019;") == "SELECT *\nFROM payments WHERE year = 2019"
     got = X.run_sql(spark, ten, "\"select count(*) AS n from payments where country = 'DE'\"").first()["n"]
