@@ -6,6 +6,8 @@ row, so the expressions stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,8 +20,6 @@ ID_SEPARATOR = "\u001f"
 CELL_STRIP = "\"' ,"
 WHITESPACE = " \t\n\r\f\u000b"
 
-LEGAL_FORM_ANY = r"\b(" + "|".join(long for long, _short in LEGAL_FORMS) + r")\b"
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -57,43 +57,34 @@ def fold_ascii(c) -> Column:
     return to_latin(_c(c))
 
 
-def _clean_tokens(c) -> Column:
-    """Folded text with every run without letters and digits (of any script) as
-    one space and legal forms shortened."""
-    t = F.regexp_replace(fold_ascii(c), r"[^\p{L}\p{N}]+", " ")
-    shortened = t
+def fingerprint(c) -> Column:
+    """T5: order-free name key: folded, punctuation removed, words unique and
+    sorted, legal forms shortened; null when nothing is left. Every run without
+    letters and digits (of any script) becomes two spaces, so each word has a space
+    of its own on both sides and legal forms are plain replacements. Each step reads
+    the one before once: the expression stays small and in whole-stage codegen."""
+    words = F.concat(F.lit(" "), F.regexp_replace(fold_ascii(c), r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
     for long_form, short_form in LEGAL_FORMS:
-        shortened = F.regexp_replace(shortened, rf"\b{long_form}\b", short_form)
-    # one combined test first: most names carry no legal form
-    return F.when(t.rlike(LEGAL_FORM_ANY), shortened).otherwise(t)
+        long_form, short_form = (f" {x.replace(' ', '  ')} " for x in (long_form, short_form))
+        words = F.replace(words, F.lit(long_form), F.lit(short_form))
+    tokens = F.split(F.trim(words), " +")
+    return F.nullif(F.array_join(F.sort_array(F.array_distinct(tokens)), " "), F.lit(""))
 
 
-def fingerprint(c) -> Column:
-    """T5: order-free name key: folded, punctuation removed, words unique and
-    sorted, legal forms shortened; null when nothing is left. Runs of
-    non-alphanumerics are already single spaces, so the trimmed text splits
-    into non-empty words without a lambda (keeps the expression in
-    whole-stage codegen)."""
-    tokens = F.split(F.trim(_clean_tokens(c)), " ")
-    joined = F.array_join(F.sort_array(F.array_distinct(tokens)), " ")
-    return F.when(joined == "", F.lit(None).cast("string")).otherwise(joined)
+#: A letter or digit of any script, but for letters without a sound.
+_SPOKEN = rf"[\p{{L}}\p{{N}}&&[^{SILENT}{SILENT.upper()}]]"
+_MARKERS = "|".join(re.escape(m) for m in EMPTY_MARKERS)
 
 
 def has_fingerprint(c) -> Column:
-    """True when ``fingerprint(c)`` would not be null: some letter or digit of any
-    script (a text of silent letters only has none)."""
-    c = _c(c)
-    return F.coalesce(c.rlike("[0-9A-Za-z]") | F.regexp_replace(c, f"[{SILENT}{SILENT.upper()}]", "").rlike(r"[\p{L}\p{N}]"), F.lit(False))
+    """True when ``fingerprint(c)`` would not be null."""
+    return F.coalesce(_c(c).rlike(_SPOKEN), F.lit(False))
 
 
 def usable(c) -> Column:
     """Not null or empty, no placeholder marker, and a fingerprint."""
     c = _c(c)
-    low = F.lower(c)
-    no_marker = F.lit(True)
-    for marker in EMPTY_MARKERS:
-        no_marker = no_marker & ~low.contains(marker)
-    return F.coalesce(c.isNotNull() & (c != "") & no_marker & has_fingerprint(c), F.lit(False))
+    return F.coalesce(c.rlike(_SPOKEN) & ~F.lower(c).rlike(_MARKERS), F.lit(False))
 
 
 def first_usable(*cols) -> Column:

@@ -271,13 +271,7 @@ def clean(
     df = df.withColumns({"_rcountry_raw": rc_raw, "recipient_country": rc})
 
     # T7 / T8 address
-    df = df.withColumn("recipient_address", clean_address(
-        F.col("recipient_address"),
-        [F.col(p) for p in ADDRESS_PARTS],
-        F.col("recipient_country"),
-        legacy=legacy_address_strip,
-        countries=lookups.countries,
-    ))
+    df = with_address(df, "recipient_address", "recipient_address", ADDRESS_PARTS, "recipient_country", legacy_address_strip, lookups.countries)
 
     # T16 recipient id
     addr_fp = F.coalesce(fingerprint("recipient_address"), F.col("_anon"))
@@ -285,9 +279,8 @@ def clean(
 
     # T10 scheme text and match, T19 scheme code, T17 scheme id
     joined = F.nullif(F.trim(F.concat_ws(" ", "scheme_name", "scheme_1", "scheme_2")), F.lit(""))
-    s_text = collapse_spaces(F.coalesce(F.col("scheme"), joined))
-    scheme = F.when(has_fingerprint(s_text), guess_scheme(s_text, lookups.schemes or SCHEMES))
-    df = df.withColumn("scheme", scheme)
+    df = df.withColumn("scheme", collapse_spaces(F.coalesce(F.col("scheme"), joined)))
+    df = df.withColumn("scheme", F.when(has_fingerprint("scheme"), guess_scheme(F.col("scheme"), lookups.schemes or SCHEMES)))
     df = df.withColumn("scheme_code", F.col("scheme_code_short") if has_code_short else F.lit(None).cast("string"))
     df = df.withColumn("scheme_id", scheme_id("scheme"))
 
@@ -341,32 +334,33 @@ def clean(
     return CleanResult(rows.select(*out_cols), dedup_first(rows, "pk", [FILE_COL, BLOCK_COL, ROW_COL, "_anon"]).select(*out_cols), missing)
 
 
-def clean_address(full: Column, parts: list[Column], cc: Column, legacy: bool = False, countries=None) -> Column:
-    """Join the address parts not already contained in the full
-    address with ``, ``; strip a trailing ``, CC`` (``legacy`` strips the
+def with_address(df: DataFrame, out: str, full: str | None, parts, cc: str, legacy: bool = False, countries=None) -> DataFrame:
+    """Column ``out``: the address parts not already contained in the column
+    ``full`` joined to it with ``, ``; a trailing ``, CC`` stripped (``legacy`` strips the
     character set of ``", " + CC`` instead); empty or the code alone → country
-    name; ``1097.0`` → ``1097``; text inside ``data='…'`` when the value is an xpath dump."""
-    full = F.nullif(F.trim(full), F.lit(""))
-    clean_parts = [F.nullif(F.trim(p), F.lit("")) for p in parts]
-    from_parts = F.concat_ws(", ", *clean_parts)
-    extra = [F.when(~F.coalesce(full.contains(p), F.lit(False)), p) for p in clean_parts]
-    joined = F.when(full.isNull(), from_parts).otherwise(F.concat_ws(", ", full, *extra))
+    name; ``1097.0`` → ``1097``; text inside ``data='…'`` when the value is an
+    xpath dump. Every step is a column that the next one reads, so no expression is
+    written out more than once."""
+    whole = F.nullif(F.trim(F.col(full)), F.lit("")) if full else F.lit(None).cast("string")
+    names = [f"_part{i}" for i in range(len(parts))]
+    df = df.withColumns({"_full": whole} | {n: F.nullif(F.trim(F.col(p)), F.lit("")) for n, p in zip(names, parts)})
+    extra = [F.when(~F.coalesce(F.col("_full").contains(F.col(n)), F.lit(False)), F.col(n)) for n in names]
+    df = df.withColumn("_address", F.concat_ws(", ", "_full", *extra))
+    code = F.col(cc)
     if legacy:
-        chars = F.concat(F.lit(", "), F.coalesce(cc, F.lit("")))
-        stripped = F.rtrim(joined, chars)
+        stripped = F.rtrim("_address", F.concat(F.lit(", "), F.coalesce(code, F.lit(""))))
     else:
-        suffix = F.concat(F.lit(", "), cc)
-        stripped = F.when(
-            cc.isNotNull() & F.endswith(joined, suffix),
-            F.substring(joined, F.lit(1), F.length(joined) - F.length(suffix)),
-        ).otherwise(joined)
-        stripped = F.rtrim(stripped, F.lit(", "))
+        suffix = F.concat(F.lit(", "), code)
+        cut = F.substring("_address", F.lit(1), F.length("_address") - F.length(code) - 2)
+        stripped = F.rtrim(F.when(F.endswith("_address", suffix), cut).otherwise(F.col("_address")), F.lit(", "))
+    df = df.withColumn("_address", stripped)
     # the code alone says no more than the country
-    told = has_fingerprint(stripped) & ~stripped.eqNullSafe(cc)
-    out = F.when(told, stripped).otherwise(country_name(cc, countries))
-    out = F.when(out.contains("."), F.regexp_replace(out, r"(\s\d+)\.\d", "$1")).otherwise(out)
-    xpath = F.regexp_extract(out, r".*data='([\w.\s]+)'", 1)
-    return F.when(out.contains("xpath") & (xpath != ""), xpath).otherwise(out)
+    told = has_fingerprint("_address") & ~F.col("_address").eqNullSafe(code)
+    df = df.withColumn("_address", F.when(told, F.col("_address")).otherwise(country_name(code, countries)))
+    plain = F.when(F.col("_address").contains("."), F.regexp_replace("_address", r"(\s\d+)\.\d", "$1")).otherwise(F.col("_address"))
+    df = df.withColumn("_address", plain)
+    dump = F.nullif(F.when(F.col("_address").contains("xpath"), F.regexp_extract("_address", r".*data='([\w.\s]+)'", 1)), F.lit(""))
+    return df.withColumn(out, F.coalesce(dump, F.col("_address"))).drop("_full", "_address", *names)
 
 
 def dedup_first(df: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:

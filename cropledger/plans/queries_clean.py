@@ -16,7 +16,7 @@ from cropledger.functions import (
     trim_cell,
     usable,
 )
-from cropledger.operators.clean import clean, clean_address, dedup_first
+from cropledger.operators.clean import clean, dedup_first, with_address
 from cropledger.operators.lookups import country_code, guess_scheme, national_currency, rate_to_eur
 from cropledger.plans import oracle as O
 from cropledger.plans import oracle_clean as OC
@@ -193,15 +193,8 @@ def address(spark, sf_dir):
     """Parts joined, ``, CC`` suffix stripped, ``1097.0`` fixed,
     xpath dumps reduced to their ``data`` text."""
     r = _raw(spark, sf_dir)
-    cc = F.upper(F.nullif(F.col("recipient_country"), F.lit("")))
-    return r.select(
-        "_row",
-        clean_address(
-            F.lit(None).cast("string"),
-            [F.col("recipient_street"), F.col("recipient_location"), F.col("recipient_postcode"), cc],
-            cc,
-        ).alias("address"),
-    )
+    r = r.withColumn("cc", F.upper(F.nullif(F.col("recipient_country"), F.lit(""))))
+    return with_address(r, "address", None, ["recipient_street", "recipient_location", "recipient_postcode", "cc"], "cc").select("_row", "address")
 
 
 _PARSED = OC.parse_amount_sql("amount")

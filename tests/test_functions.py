@@ -16,10 +16,16 @@ from cropledger.functions import (
     trim_cell,
     usable,
 )
-from cropledger.operators.clean import clean_address
+from cropledger.operators.clean import with_address
 from cropledger.operators.lookups import country_code, guess_scheme, rate_to_eur
 
 
+def address_of(spark, full, parts, cc, legacy=False):
+    names = [f"p{i}" for i in range(len(parts))]
+    df = spark.createDataFrame([(full, cc, *parts)], ", ".join(f"{n} string" for n in ("full", "cc", *names)))
+    return with_address(df, "a", "full", names, "cc", legacy).first()["a"]
+
+
 def one(spark, col, value, dtype="string"):
     df = spark.createDataFrame([(value,)], f"v {dtype}")
     return df.select(col(F.col("v")).alias("r")).first()["r"]
@@ -135,16 +141,11 @@ def test_rate(spark):
     ],
 )
 def test_address(spark, full, parts, cc, expected):
-    cols = [F.lit(p).cast("string") for p in parts]
-    df = spark.range(1).select(clean_address(F.lit(full).cast("string"), cols, F.lit(cc)).alias("a"))
-    assert df.first()["a"] == expected
+    assert address_of(spark, full, parts, cc) == expected
 
 
 def test_address_legacy_charset_strip(spark):
-    df = spark.range(1).select(
-        clean_address(F.lit("Paul Street, LU").cast("string"), [], F.lit("LU"), legacy=True).alias("a")
-    )
-    assert df.first()["a"] == "Paul Street"
+    assert address_of(spark, "Paul Street, LU", [], "LU", legacy=True) == "Paul Street"
 
 
 def test_avg_half_even(spark):
@@ -169,9 +170,7 @@ def test_avg_half_even(spark):
     ],
 )
 def test_address_letters_and_code_alone(spark, parts, cc, expected):
-    df = spark.range(1)
-    out = clean_address(F.lit(None).cast("string"), [F.lit(p).cast("string") for p in parts], F.lit(cc))
-    assert df.select(out.alias("r")).first()["r"] == expected
+    assert address_of(spark, None, parts, cc) == expected
 
 
 def test_local_names_make_one_recipient(spark):
