@@ -16,9 +16,11 @@ cross documents; overlaps count; strings are judged on the input.
    contexts, builds their suffix array (prefix doubling), the common prefixes of
    neighbours, and scans them with a stack: every interval of the common-prefix
    tree of ``LENGTH`` bytes or more whose suffixes differ in the byte to their
-   left (or start a context) is a maximal repeat, with all its occurrences.
-4. Occurrences of a digest that repeats in part pass the repeat on to all rows of
-   the digest. Spans are united per document.
+   left (or start a context) is a maximal repeat. The tree is kept as it is: a row
+   per interval and a row per suffix, so nested repeats cost no more rows than
+   there are suffixes; an interval's occurrences are its range of suffixes.
+4. A suffix is removed to the depth of its deepest interval. Spans are united per
+   document.
 
 An anchor with more than ``BLOCK`` different contexts (a passage in very many
 documents has them at its edges) is cut finer first: into strips of 16 window
@@ -29,8 +31,8 @@ A repeat longer than a context appears as overlapping groups, one per anchor.
 
 Null and empty texts have no bytes and lose none. Texts shorter than ``LENGTH``
 lose none. Rows with a null id take part in no match and are left out. Rows that
-share an id are different documents (told apart by a digest of their text); of
-rows equal in id and text one counts. Other columns are never read. An empty table gives no rows.
+share an id are different documents (told apart by a digest of their text); rows
+equal in id and text are copies of each other, and each loses what it shares. Other columns are never read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -44,12 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropledger.llm.words import FILTER_BITS, blocks, maybe_keys, mix, prefix_hash, powers
+from cropledger.llm.words import FILTER_BITS, blocks, give_back, maybe_keys, mix, prefix_hash, powers
 from cropledger.session import cut_lineage
 
 LENGTH = 400
 GRAM = 64
 BLOCK = 512
+#: Bytes of texts whose contexts are found at once.
+CONTEXT_BYTES = 1 << 18
 
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -97,7 +101,7 @@ def _emit(length: int, gram: int, anchors_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1)
-            for b in blocks(batch.column(2)):
+            for b in blocks(batch.column(2), CONTEXT_BYTES):
                 doc, lo, end, aoff, anchor, digest = contexts(b.buf, b.off, length, gram)
                 if not len(doc):
                     continue
@@ -118,6 +122,7 @@ def _emit(length: int, gram: int, anchors_only: bool):
                     ],
                     names=["anchor", "digest", "id", "th", "lo", "n", "aoff"],
                 )
+        give_back()
 
     return run
 
@@ -218,12 +223,14 @@ class SuffixArray:
             most = np.where(fits & (self.buf[x] != self.buf[y]), got, most)
         return got
 
-    def repeats(self, length: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Maximal repeats: (bytes, starts of all occurrences). A scan of the common
-        prefixes with a stack closes each interval of the tree once; its left
-        diversity is the union of its children's left bytes."""
+    def repeats(self) -> tuple[np.ndarray, np.ndarray]:
+        """Maximal repeats as intervals (bytes, first, last place in ``start``), and for
+        each place the bytes of the deepest interval it lies in (0: none). A scan of the common
+        prefixes with a stack closes each interval of the tree once, inner ones first;
+        its left diversity is the union of its children's left bytes."""
+        found, deepest = [], np.zeros(len(self.start), dtype=np.int64)
         if not len(self.start):
-            return
+            return np.zeros((0, 3), dtype=np.int64), deepest
         at_head = self.left[self.start] == self.size[self.text[self.start]]
         before = np.where(at_head, -1, self.buf[np.maximum(self.start - 1, 0)].astype(np.int64))
         heads = np.flatnonzero(np.concatenate([[True], self.run[1:] != self.run[:-1]]))
@@ -234,6 +241,7 @@ class SuffixArray:
         for lo, hi in zip(heads[mixed].tolist(), tails[mixed].tolist(), strict=True):
             lcp, side = self.lcp[lo : hi - 1].tolist(), before[lo:hi].tolist()
             stack: list[list[int]] = []  # [common prefix, left end, left byte or DIVERSE]
+            free = [lo]  # places that no closed interval holds, in order
             at, have = lo, side[0]  # the interval or suffix closed last
             for i in range(lo + 1, hi + 1):
                 depth = lcp[i - 1 - lo] if i < hi else 0
@@ -241,7 +249,9 @@ class SuffixArray:
                     d, at, s = stack.pop()
                     have = s if s == have else DIVERSE
                     if have == DIVERSE:
-                        yield d, self.start[at:i]
+                        found.append((d, at, i - 1))
+                        while free and free[-1] >= at:
+                            deepest[free.pop()] = d
                 if depth:
                     if stack and stack[-1][0] == depth:
                         stack[-1][2] = have if have == stack[-1][2] else DIVERSE
@@ -249,27 +259,24 @@ class SuffixArray:
                         stack.append([depth, at, have])
                 if i < hi:
                     at, have = i, side[i - lo]
+                    free.append(i)
+        return np.array(found, dtype=np.int64).reshape(-1, 3), deepest
 
 
-def repeat_rows(texts: list[bytes], group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All occurrences of all maximal repeats: repeat's number, its bytes, text, offset."""
+def repeat_tree(texts: list[bytes], group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals (bytes, first, last place), and the places in them: (place, bytes of
+    the deepest interval, text, offset)."""
     array = SuffixArray(texts, group, length)
-    found = list(array.repeats(length))
-    if not found:
-        z = np.zeros(0, dtype=np.int64)
-        return z, z, z, z
-    sizes = np.array([len(x) for _, x in found])
-    start = np.concatenate([x for _, x in found])
+    found, deepest = array.repeats()
+    at = np.flatnonzero(deepest)
+    start = array.start[at]
     text = array.text[start]
-    return (
-        np.repeat(np.arange(len(found)), sizes),
-        np.repeat(np.array([d for d, _ in found]), sizes),
-        text,
-        start - array.head[text],
-    )
+    return found, np.stack([at, deepest[at], text, start - array.head[text]], axis=1)
 
 
 BATCH_BYTES = 1 << 20
+#: Bytes of contexts that a task of the scan gets on average.
+TASK_BYTES = 2 << 20
 
 
 def _scan(length: int):
@@ -278,18 +285,23 @@ def _scan(length: int):
     def flush(groups: list[pd.DataFrame]) -> pd.DataFrame:
         rows = pd.concat(groups, ignore_index=True)
         number = np.unique(rows["anchor"].to_numpy(), return_inverse=True)[1]
-        which, size, text, at = repeat_rows(rows["bytes"].tolist(), number, length)
-        own = rows.iloc[text]
-        return pd.DataFrame(
+        found, places = repeat_tree(rows["bytes"].tolist(), number, length)
+        own = rows.iloc[places[:, 2]]
+        part = int(rows["anchor"].iloc[0])  # whole anchors: no other part begins with it
+        tree = pd.DataFrame({"part": part, "repeat": np.arange(len(found)), "n": found[:, 0], "first": found[:, 1], "last": found[:, 2]})
+        leaf = pd.DataFrame(
             {
-                "anchor": own["anchor"].to_numpy(),
-                "repeat": which,
-                "n": size,
+                "part": part,
+                "repeat": -1,
+                "n": places[:, 1],
+                "first": places[:, 0],
+                "last": places[:, 0],
                 "id": own["id"].to_numpy(),
                 "th": own["th"].to_numpy(),
-                "start": own["lo"].to_numpy() + at,
+                "start": own["lo"].to_numpy() + places[:, 3],
             }
         )
+        return pd.concat([tree.assign(id=None, th=None, start=None).astype({"th": "Int64", "start": "Int64"}), leaf.astype({"th": "Int64", "start": "Int64"})]).astype({"id": object})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_group, ready, size = None, [], 0
@@ -304,6 +316,7 @@ def _scan(length: int):
                 size += int(rows["bytes"].str.len().sum())
         if ready:
             yield flush(ready)
+        give_back()
 
     return run
 
@@ -350,8 +363,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def maximal_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int | None = None, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame]:
-    """(groups, copies). ``groups``: a row for each occurrence of each maximal repeat
-    within a group of contexts: ``anchor, repeat, n`` (bytes), ``id, th, start``.
+    """(tree, copies). ``tree``: within a ``part`` a row for each maximal repeat (``repeat``
+    0, 1, ..., ``n`` bytes, ``first`` to ``last`` the places of its occurrences) and for each
+    place (``repeat`` -1, ``first`` its number, ``id, th, start`` where it is, ``n`` the bytes of
+    the longest repeat that starts there); ``occurrences`` puts them together.
     ``copies``: the contexts that recur as a whole: ``anchor, digest, id, th, start, n``.
     ``th`` is the hash of the text, which tells rows of one id apart."""
     gram = gram or min(GRAM, length // 2)
@@ -399,47 +414,62 @@ def maximal_repeats(
         held = cut_lineage(one.join(one.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "anchor"))
     # strips of one window: a group's rows are equal, so nothing is left in `held`
     work = parts[0].unionByName(parts[1])
+    # a byte costs far more here than elsewhere: tasks by bytes, not left to the shuffle's size
+    size = work.agg(F.sum(F.length("bytes"))).first()[0] or 0
     groups = (
-        work.repartition("anchor")
+        work.repartition(max(8, -(-size // TASK_BYTES)), "anchor")
         .sortWithinPartitions("anchor")
-        .mapInPandas(_scan(length), f"anchor long, repeat long, n long, id {id_type}, th long, start long")
+        .mapInPandas(_scan(length), f"part long, repeat long, n long, first long, last long, id {id_type}, th long, start long")
     )
     return cut_lineage(groups), copies
 
 
+def occurrences(tree: DataFrame) -> DataFrame:
+    """``part, repeat, n, id, th, start``: every occurrence of every repeat of ``tree`` (as
+    many rows as all repeats have occurrences, nested ones counted each)."""
+    repeats = tree.where("repeat >= 0").select("part", "repeat", "n", "first", "last")
+    places = tree.where("repeat < 0").select("part", F.col("first").alias("place"), "id", "th", "start")
+    inside = (F.col("place") >= F.col("first")) & (F.col("place") <= F.col("last"))
+    return repeats.join(places, "part").where(inside).select("part", "repeat", "n", "id", "th", "start")
+
+
 def _strip(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
-        for t, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            data = (t or "").encode()
-            merged: list[list[int]] = []
-            for s in sorted((x["start"], x["end"]) for x in spans or []):
-                if merged and s[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s[1])
-                else:
-                    merged.append([*s])
-            edges = [0, *(x for m in merged for x in m), len(data)]
-            left = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            n_bytes.append(len(data))
-            n_removed.append(len(data) - len(left))
-            n_spans.append(len(merged))
-            sha.append(hashlib.sha256(left).hexdigest())
-            kept.append(left.decode("utf-8", "ignore") if keep_text else None)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[2:], pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())],
-            names=[*batch.schema.names[2:], "n0", "n1", "n2", "n3", "n4"],
-        )
+        for lo in range(0, batch.num_rows, 512):
+            part = batch.slice(lo, 512)
+            n_bytes, n_removed, n_spans, sha, kept = [], [], [], [], []
+            for t, spans in zip(part.column(0), part.column(1).to_pylist(), strict=True):
+                text = t.as_py()
+                data = (text or "").encode()
+                merged: list[list[int]] = []
+                for s in sorted((x["start"], x["end"]) for x in spans or []):
+                    if merged and s[0] <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], s[1])
+                    else:
+                        merged.append([*s])
+                edges = [0, *(x for m in merged for x in m), len(data)]
+                left = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if merged else data
+                n_bytes.append(len(data))
+                n_removed.append(len(data) - len(left))
+                n_spans.append(len(merged))
+                sha.append(hashlib.sha256(left).hexdigest())
+                kept.append((left.decode("utf-8", "ignore") if merged else text) if keep_text else None)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[2:], pa.array(n_bytes, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())],
+                names=[*part.schema.names[2:], "n0", "n1", "n2", "n3", "n4"],
+            )
+    give_back()
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, keep_text: bool = True, columns: list[str] | None = None, **params
 ) -> DataFrame:
     """``docs`` with ``n_bytes, n_removed, n_spans, kept_sha256, kept_text`` (the
-    remaining bytes as text, characters that a cut has broken left out). Rows with
-    a null id keep their text whole. ``columns``: those to pass on (all). A column
-    of one of the new names is replaced."""
-    groups, copies = maximal_repeats(docs, id_col, text_col, length, **params)
-    spans = groups.select("id", "th", "start", (F.col("start") + F.col("n")).alias("end")).union(
+    remaining bytes as text, characters that a cut has broken left out; a text that loses
+    nothing as it is, null included). Rows with a null id keep their text whole.
+    ``columns``: those to pass on (all). A column of one of the new names is replaced."""
+    tree, copies = maximal_repeats(docs, id_col, text_col, length, **params)
+    spans = tree.where("repeat < 0").select("id", "th", "start", (F.col("start") + F.col("n")).alias("end")).union(
         copies.select("id", "th", "start", (F.col("start") + F.col("n")).alias("end"))
     )
     # of the spans that start at one byte only the longest matters
@@ -449,9 +479,9 @@ def remove_repeats(
     )
     new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     names = [c for c in (columns or docs.columns) if c.lower() not in new]
-    t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    t = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(
-        t.alias("t"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(t).alias("th"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+        t.alias("t"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("th"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
     )
     row_slot, key_slot = (F.pmod(F.xxhash64(*c), F.lit(FILTER_BITS)) for c in (("id", "th"), ("_i", "_h")))
     marked = maybe_keys(rows, by_doc, row_slot, key_slot, mark="maybe")

@@ -9,6 +9,9 @@ block of its own.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -148,6 +151,15 @@ def shingle_hashes(block: Block, word_hash: np.ndarray, k: int) -> tuple[np.ndar
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64)), doc
 
 
+def give_back() -> None:
+    """Hands memory that a finished task no longer needs back to the system: workers are
+    used again by later stages, which have an executor's memory to share."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_texts(
     docs: DataFrame,
     text_col: str,
@@ -158,13 +170,15 @@ def map_texts(
     """``docs`` with the columns of ``schema``, which ``fn`` gives for the texts:
     lists of column parts, the parts in row order. No shuffle. A column of
     ``docs`` whose name is one of the new ones is replaced; ``drop_text`` leaves
-    the text out."""
+    the text out. A text that stays goes to Python once, for both uses."""
     new = T.StructType.fromDDL(schema)
     taken = {f.name.lower() for f in new.fields}
     kept = [c for c in docs.columns if c.lower() not in taken and not (drop_text and c == text_col)]
-    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), *cols)
-    out = T.StructType([*rows.schema.fields[1:], *(T.StructField(f"n{i}", f.dataType) for i, f in enumerate(new.fields))])
+    plain = dict(docs.dtypes)[text_col] == "string"
+    sent = [c for c in kept if not (plain and c == text_col)]
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(sent)])
+    place = [0 if plain and c == text_col else 1 + sent.index(c) for c in kept]
+    out = T.StructType([*(rows.schema.fields[i] for i in place), *(T.StructField(f"n{i}", f.dataType) for i, f in enumerate(new.fields))])
     names = [f.name for f in out.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +188,9 @@ def map_texts(
             at = 0
             for part in fn(batch.column(0)):  # small batches: what a worker holds doesn't follow the batch
                 n = len(part[0])
-                yield pa.RecordBatch.from_arrays([*(c.slice(at, n) for c in batch.columns[1:]), *part], names=names)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, n) for i in place), *part], names=names)
                 at += n
+        give_back()
 
     made = rows.mapInArrow(run, out)
     return made.toDF(*kept, *(f.name for f in new.fields))

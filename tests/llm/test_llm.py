@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cropledger.llm import byte_bpe, context_mixing, exact_dedup, html_extract, language_id, ngram_join, packing, quality_rules, registry, suffix_dedup, token_files, words
+from cropledger.llm import byte_bpe, context_mixing, exact_dedup, html_extract, language_id, ngram_join, packing, prefix_trie, quality_rules, registry, spelling, suffix_dedup, token_files, words
 from cropledger.llm.pieces import LibraryEncoder, PieceCache
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -165,12 +165,78 @@ def test_suffix_dedup_edges(spark, empty):
 
 def test_suffix_array_gives_maximal_repeats():
     texts = [b"xxABCDEFGHIJKLMNOPQRyy", b"zzABCDEFGHIJKLMNOPQRww", b"qABCDEFGHIJKLMNOPzz\0", b"ABCDEFGHIJKLMNOPQR"]
-    found = suffix_dedup.repeat_rows(texts, np.zeros(4, dtype=np.int64), 16)
-    groups = defaultdict(set)
-    for r, n, t, s in zip(*found):
-        groups[r, n].add((t, s))
-    assert set(map(frozenset, groups.values())) == {frozenset({(0, 2), (1, 2), (2, 1), (3, 0)}), frozenset({(0, 2), (1, 2), (3, 0)})}
-    assert {n for _, n in groups} == {16, 18}
+    found, places = suffix_dedup.repeat_tree(texts, np.zeros(4, dtype=np.int64), 16)
+    where = {p: (t, s) for p, _, t, s in places.tolist()}
+    groups = {frozenset(where[p] for p in range(a, b + 1)): n for n, a, b in found.tolist()}
+    assert groups == {frozenset({(0, 2), (1, 2), (2, 1), (3, 0)}): 16, frozenset({(0, 2), (1, 2), (3, 0)}): 18}
+    assert {(t, s): n for _, n, t, s in places.tolist()} == {(0, 2): 18, (1, 2): 18, (2, 1): 16, (3, 0): 18}
+
+
+def _brute_maximal(texts, length):
+    """Maximal repeats of distinct texts: groups of all occurrences, from all pairs."""
+    strings = {t[a:b] for t in texts for a in range(len(t)) for b in range(a + length, len(t) + 1)}
+    out = {}
+    for s in strings:
+        at = [(i, k) for i, t in enumerate(texts) for k in range(len(t) - len(s) + 1) if t[k : k + len(s)] == s]
+        if len(at) > 1:
+            left = {texts[i][k - 1] if k else (i, "head") for i, k in at}
+            right = {texts[i][k + len(s)] if k + len(s) < len(texts[i]) else (i, "end") for i, k in at}
+            if len(left) > 1 and len(right) > 1:
+                out[frozenset(at)] = len(s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeat_tree_equals_brute_force(seed):
+    rng = random.Random(seed)
+    shared = bytes(rng.choice(b"ab") for _ in range(14))
+    texts = []
+    for _ in range(7):
+        t = bytearray(rng.choice(b"abc") for _ in range(rng.randint(0, 5))) + shared[: rng.randint(9, 14)]
+        if rng.random() < 0.5:
+            t[rng.randrange(len(t))] = ord("d")
+        texts.append(bytes(t + bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 5)))))
+    texts = sorted(set(texts))
+    found, places = suffix_dedup.repeat_tree(texts, np.zeros(len(texts), dtype=np.int64), 8)
+    where = {p: (t, s) for p, _, t, s in places.tolist()}
+    assert {frozenset(where[p] for p in range(a, b + 1)): n for n, a, b in found.tolist()} == _brute_maximal(texts, 8)
+
+
+def test_repeat_rows_grow_with_the_copies_not_their_square(spark):
+    rng = random.Random(4)
+    base = "".join(rng.choice("abcdefgh") for _ in range(500))
+    counts = []
+    for n in (40, 160):
+        near = [base[: 120 + i % 20] + f"#{i}#" + base[121 + i % 20 :] for i in range(n)]
+        df = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+        tree, _ = suffix_dedup.maximal_repeats(df, length=100)
+        counts.append(tree.count())
+        if n == 40:
+            got = suffix_dedup.occurrences(tree)
+            sizes = got.groupBy("part", "repeat").agg(F.count(F.lit(1)).alias("m"), F.count_distinct("id", "start").alias("d")).collect()
+            assert sizes and all(r["m"] == r["d"] >= 2 for r in sizes)
+    assert counts[1] <= 6 * counts[0]
+
+
+def test_planted_passages_go_and_clean_documents_stay(spark):
+    """Passages of over 50 words that documents share are removed, and nothing else."""
+    rng = random.Random(11)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    passages = [words(rng.randint(70, 120)) for _ in range(5)]
+    rows, planted = [], {}
+    for i in range(60):
+        text = words(rng.randint(20, 300))
+        if i % 3 == 0:
+            p = passages[i // 3 % 5]
+            text, planted[i] = f"{text}\n{p}\n{words(30)}", p
+        rows.append((i, text))
+    got_rows = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [tuple(r) for r in sorted(got_rows)] and len(got_rows) == 60
+    for r in got_rows:
+        if r["doc_id"] in planted:
+            assert planted[r["doc_id"]] not in r["kept_text"] and abs(r["n_removed"] - len(planted[r["doc_id"]])) <= 4
+        else:
+            assert r["n_removed"] == 0
 
 
 def test_byte_bpe_equals_library(spark, docs, rows, empty):
@@ -518,6 +584,6 @@ def test_pipeline_stages_by_brute_force(spark):
 
 def test_queries_are_registered():
     found = registry.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 11))
-    assert set(registry.oracle_sql()) == {exact_dedup.NAME}
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 14))
+    assert set(registry.oracle_sql()) == {exact_dedup.NAME, spelling.NAME, prefix_trie.NAME}
     assert zlib.crc32(b"1") >= 0
