@@ -55,9 +55,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 400 bytes that occur elsewhere; n_chars follows."""
     rows, x = _plain(docs)
-    done = remove_repeats(rows, x["doc_id"], x["text"])
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(x["text"]))
-    done = done.withColumn(x["text"], text)
+    rest = [c for c in rows.columns if c != x["text"]]
+    done = remove_repeats(rows, x["doc_id"], x["text"], columns=rest).withColumnRenamed("kept_text", x["text"])
     if "n_chars" in x:
         kind = rows.schema[x["n_chars"]].dataType
         done = done.withColumn(x["n_chars"], F.when(F.col("n_removed") > 0, F.char_length(x["text"]).cast(kind)).otherwise(F.col(x["n_chars"])))
