@@ -521,8 +521,11 @@ def train(docs: DataFrame, text_col: str = "text", per_kind: int = TRAIN_PER_KIN
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"))
     # copies of a text give the same windows: each counts once
     made = texts.mapInArrow(run, "kind int, h long, w string, spans array<long>").distinct()
-    place = F.row_number().over(Window.partitionBy("kind").orderBy("h", "w"))
-    rows = made.withColumn("i", place).where(F.col("i") <= per_kind).orderBy("kind", "i").collect()
+    # the smallest of 64 parts of each kind first, then of these: no task sorts a whole kind
+    for keys in (["kind", F.pmod("h", F.lit(64))], ["kind"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "w"))
+        made = made.withColumn("i", place).where(F.col("i") <= per_kind)
+    rows = made.orderBy("kind", "i").collect()
     windows = []
     for r in rows:
         spans = [tuple(r["spans"][j : j + 3]) for j in range(0, len(r["spans"]), 3)]
