@@ -45,7 +45,7 @@ from cropledger.operators.lookups import (
     rate_to_eur,
     with_geocode,
 )
-from cropledger.schema import PAYMENT_COLUMNS, RAW_COLUMNS, YEAR_MAX, YEAR_MIN
+from cropledger.schema import PAYMENT_COLUMNS, RAW_COLUMNS, TOO_LONG_COL, YEAR_MAX, YEAR_MIN
 
 # FIXED VALUES: required column groups (V1): any one of each group must exist
 REQUIRED_COLUMNS = (
@@ -81,6 +81,7 @@ FILE_COL = "_file"
 BLOCK_COL = "_block"
 ROW_COL = "_row"
 ERRORS_COL = "errors"
+ANON_COL = "_anon"
 
 
 @dataclass(frozen=True)
@@ -100,14 +101,34 @@ class Lookups:
 
 @dataclass
 class CleanResult:
-    """Lazy outputs of one cleaning plan. ``rows`` holds every source row with its
-    ``errors``, ``cleaned`` the first row of each payment key; checkpoint them
-    before using several outputs."""
+    """Outputs of one cleaning plan, all lazy. ``every`` holds every source row with its
+    ``errors`` and what orders equal keys, rows with too many cells marked; all outputs
+    come from it. ``staged`` first writes it, so that several outputs clean once."""
 
-    rows: DataFrame
-    cleaned: DataFrame
+    every: DataFrame
     missing_columns: list[tuple[str, ...]]
 
+    def staged(self, path: str) -> CleanResult:
+        """The same outputs from ``every`` as a table at ``path`` (replaced if it is there)."""
+        self.every.write.mode("overwrite").parquet(path)
+        return CleanResult(self.every.sparkSession.read.schema(self.every.schema).parquet(path), self.missing_columns)
+
+    @property
+    def rows(self) -> DataFrame:
+        """Every source row, cleaned."""
+        return self.every.where(~F.col(TOO_LONG_COL)).drop(TOO_LONG_COL, ANON_COL)
+
+    @property
+    def skipped(self) -> DataFrame:
+        """Rows with too many cells, counted by file."""
+        return self.every.where(TOO_LONG_COL).groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("rows"))
+
+    @property
+    def cleaned(self) -> DataFrame:
+        """The first row of each payment key by file and place, equal places by content."""
+        rows = self.every.where(~F.col(TOO_LONG_COL)).drop(TOO_LONG_COL)
+        return dedup_first(rows, "pk", [FILE_COL, BLOCK_COL, ROW_COL, ANON_COL]).drop(ANON_COL)
+
     @property
     def payments(self) -> DataFrame:
         return self.cleaned.filter(F.col("_valid")).select(*PAYMENT_COLUMNS)
@@ -127,7 +148,7 @@ class CleanResult:
         rows = e.groupBy(FILE_COL, F.col("e.code").alias("code"), F.col("e.value").alias("value")).agg(F.sum("n").alias("rows"))
         if not self.missing_columns:
             return rows
-        spark = self.cleaned.sparkSession
+        spark = self.every.sparkSession
         missing = spark.createDataFrame(
             [(None, ERR_SOURCE, f"needs one of {', '.join(group)}", 0) for group in self.missing_columns],
             rows.schema,
@@ -187,10 +208,12 @@ def clean(
     # one projection: raw columns as text (absent ones null), S3 null tokens
     null = F.lit(None).cast("string")
     text_cols = list(RAW_COLUMNS)
-    known = set(text_cols) | {FILE_COL, BLOCK_COL, ROW_COL}
+    known = set(text_cols) | {FILE_COL, BLOCK_COL, ROW_COL, TOO_LONG_COL}
     number = F.lit(None).cast("long")
+    too_long = F.coalesce(F.col(TOO_LONG_COL), F.lit(False)) if TOO_LONG_COL in present else F.lit(False)
     df = raw.select(
         *[(F.col(c).cast("string") if c in present else null).alias(c) for c in text_cols],
+        too_long.alias(TOO_LONG_COL),
         (F.col(FILE_COL).cast("string") if FILE_COL in present else null).alias(FILE_COL),
         *[(F.col(c).try_cast("long") if c in present else number).alias(c) for c in (BLOCK_COL, ROW_COL)],
         *[F.col(f"`{c}`") for c in present if c not in known],  # e.g. file-name context for options
@@ -199,8 +222,8 @@ def clean(
 
     # Repeated header lines inside the data
     df = df.filter(
-        ~F.col("recipient_name").eqNullSafe("recipient_name")
-        & ~F.col("denumire_beneficiar").eqNullSafe("denumire_beneficiar")
+        F.col(TOO_LONG_COL)
+        | (~F.col("recipient_name").eqNullSafe("recipient_name") & ~F.col("denumire_beneficiar").eqNullSafe("denumire_beneficiar"))
     )
 
     # T1 trim every cell, blanks → null
@@ -224,7 +247,7 @@ def clean(
     alt = {group[0]: F.coalesce(*[F.when(usable(c), F.col(c)) for c in group]) for group in ALTERNATIVES}
     place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (BLOCK_COL, ROW_COL)]
     anon_key = F.sha1(F.concat_ws("\u001f", *place, *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
-    df = df.withColumn("_anon", anon_key).withColumns(alt)
+    df = df.withColumn(ANON_COL, anon_key).withColumns(alt)
 
     # J7 payment country
     cc = country_code(F.col("country"), lookups.countries)
@@ -235,7 +258,7 @@ def clean(
     name = (
         F.when(usable("recipient_name"), collapse_spaces("recipient_name"))
         .when(has_fingerprint(ident), F.concat_ws(" ", F.col("country"), ident))
-        .otherwise(F.concat(F.lit("Anonymous "), F.substring(F.col("_anon"), 1, 22)))
+        .otherwise(F.concat(F.lit("Anonymous "), F.substring(F.col(ANON_COL), 1, 22)))
     )
     df = df.withColumn("recipient_name", name).withColumn("recipient_fingerprint", fingerprint("recipient_name"))
 
@@ -274,7 +297,7 @@ def clean(
     df = with_address(df, "recipient_address", "recipient_address", ADDRESS_PARTS, "recipient_country", legacy_address_strip, lookups.countries)
 
     # T16 recipient id
-    addr_fp = F.coalesce(fingerprint("recipient_address"), F.col("_anon"))
+    addr_fp = F.coalesce(fingerprint("recipient_address"), F.col(ANON_COL))
     df = df.withColumn("recipient_id", entity_id("recipient_country", "recipient_fingerprint", addr_fp))
 
     # T10 scheme text and match, T19 scheme code, T17 scheme id
@@ -328,10 +351,8 @@ def clean(
             valid = valid & (F.col(c).isNull() | F.col(c).isin(*sorted(lookups.regions)))
     df = df.withColumn("_valid", F.coalesce(valid, F.lit(False)))
 
-    # W1 de-duplicate by pk: first row by file and place wins, equal places by content
-    out_cols = PAYMENT_COLUMNS + [FILE_COL, BLOCK_COL, ROW_COL, ERRORS_COL, "_valid"]
-    rows = df.select(*out_cols, "_anon")
-    return CleanResult(rows.select(*out_cols), dedup_first(rows, "pk", [FILE_COL, BLOCK_COL, ROW_COL, "_anon"]).select(*out_cols), missing)
+    out_cols = PAYMENT_COLUMNS + [FILE_COL, BLOCK_COL, ROW_COL, ERRORS_COL, "_valid", ANON_COL, TOO_LONG_COL]
+    return CleanResult(df.select(*out_cols), missing)
 
 
 def with_address(df: DataFrame, out: str, full: str | None, parts, cc: str, legacy: bool = False, countries=None) -> DataFrame:

@@ -40,4 +40,4 @@ def clean_files(
     ctx_year = F.col("_ctx_year") if year is None else F.lit(str(year))
     ctx_country = F.col("_ctx_country") if country is None else F.lit(country)
     cur = F.lit(currency) if currency is not None else currency_override(MANUAL_CURRENCY, ctx_country, ctx_year)
-    return clean(src.rows, year=ctx_year, country=ctx_country, currency=cur, geocode=geocode, lookups=lookups), src
+    return clean(src.every, year=ctx_year, country=ctx_country, currency=cur, geocode=geocode, lookups=lookups), src

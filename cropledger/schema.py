@@ -44,6 +44,9 @@ PARTITION_COLUMNS = ["country", "year"]
 
 YEAR_MIN, YEAR_MAX = 2000, 2029
 
+# marks source rows with more cells than their header
+TOO_LONG_COL = "_too_long"
+
 # Raw source columns every file may carry (F1); all read as text.
 RAW_COLUMNS = [
     "country",

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cropledger.schema import TOO_LONG_COL
+
 OVERFLOW_COL = "_overflow"
 #: whether the row's file has no currency column (S7 fills those only)
 NO_CURRENCY_COL = "_no_currency"
@@ -45,13 +47,21 @@ CSV_OPTIONS = {
 
 @dataclass
 class SourceRead:
-    """Raw rows (all text, ``_file`` set) plus the skipped long rows."""
+    """Raw rows (all text, ``_file`` set), those with too many cells marked."""
 
-    rows: DataFrame
-    skipped: DataFrame
+    every: DataFrame
     headers: dict[tuple[str, ...], list[str]] = field(default_factory=dict)
     rejected: list[tuple[str, str]] = field(default_factory=list)
 
+    @property
+    def rows(self) -> DataFrame:
+        return self.every.where(~F.col(TOO_LONG_COL)).drop(TOO_LONG_COL)
+
+    @property
+    def skipped(self) -> DataFrame:
+        """Rows with too many cells, counted by file."""
+        return self.every.where(TOO_LONG_COL).groupBy("_file").agg(F.count(F.lit(1)).alias("rows"))
+
 
 def file_system(spark: SparkSession, path: str):
     """A path and its file system (local, HDFS, object store)."""
@@ -186,12 +196,10 @@ def read_sources(
         raise FileNotFoundError(f"every input file was rejected: {rejected}")
 
     frames = [read_group(spark, members, cols, header is None, delimiter, line_breaks) for cols, members in groups.items()]
-    skipped = [f.where(F.col(OVERFLOW_COL).isNotNull()).select("_file") for f in frames]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.where(F.col(OVERFLOW_COL).isNull()).drop(OVERFLOW_COL) for f in frames])
+    marked = [f.withColumn(TOO_LONG_COL, F.col(OVERFLOW_COL).isNotNull()).drop(OVERFLOW_COL) for f in frames]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     ctx_country, ctx_year = context_from_path(F.col("_file"))
-    rows = rows.withColumns({"_ctx_country": ctx_country, "_ctx_year": ctx_year})
-    skip = reduce(lambda a, b: a.unionByName(b), skipped)
-    return SourceRead(rows, skip.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")), groups, sorted(rejected))
+    return SourceRead(rows.withColumns({"_ctx_country": ctx_country, "_ctx_year": ctx_year}), groups, sorted(rejected))
 
 
 def currency_override(overrides: dict[tuple[str, int], str], country: Column, year: Column) -> Column:

@@ -3,10 +3,11 @@
 A file stream with ``trigger(availableNow=True)`` finds the files that its checkpoint
 doesn't know yet. Each micro-batch takes the names of its files, reads them with
 the batch reader (every file by its own header, long rows skipped, whole files
-rejected where year or country is missing), cleans them and upserts the
-payments, so running again after a failure changes nothing. Error messages,
-quarantined rows and rejected files are written beside the table, a folder per batch
-that a repeated batch replaces. The checkpoint lives under the shared
+rejected where year or country is missing) and cleans them once: the cleaned rows of
+all kinds are staged beside the checkpoint, in a folder of the batch that a repeated
+batch replaces. Error messages, quarantined rows, skipped rows and the upsert
+all come from there, so running again after a failure changes nothing. The reports are
+written beside the table, a folder per batch that a repeated batch replaces. The checkpoint lives under the shared
 ``spark.checkpoint.dir`` unless a location is given.
 """
 
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from cropledger.errors import InvalidSource
 from cropledger.operators.load import clean_files
 from cropledger.session import ensure_checkpoint_dir
+from cropledger.sources.csv_source import remove_path
 from cropledger.sources.store import upsert
 
 
@@ -59,10 +61,13 @@ def ingest_new_files(
         spark.createDataFrame(rejected, "file string, reason string").write.mode("overwrite").parquet(f"{beside}/rejected/{part}")
         if result is None:
             return
-        result.errors.write.mode("overwrite").parquet(f"{beside}/errors/{part}")
-        result.quarantine.write.mode("overwrite").parquet(f"{beside}/quarantine/{part}")
-        src.skipped.write.mode("overwrite").parquet(f"{beside}/skipped/{part}")
-        stats["rows"] += upsert(spark, result.payments, table_path)
+        stage = f"{checkpoint.rstrip('/')}-staged/{part}"
+        staged = result.staged(stage)
+        staged.errors.write.mode("overwrite").parquet(f"{beside}/errors/{part}")
+        staged.quarantine.write.mode("overwrite").parquet(f"{beside}/quarantine/{part}")
+        staged.skipped.write.mode("overwrite").parquet(f"{beside}/skipped/{part}")
+        stats["rows"] += upsert(spark, staged.payments, table_path)
+        remove_path(spark, stage)
 
     query = (
         names.writeStream.foreachBatch(handle)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cropledger.errors import ImproperlyConfigured, InvalidRows, InvalidSource
 from cropledger.operators.clean import clean
+from cropledger.operators.load import clean_files
 from cropledger.session import ensure_checkpoint_dir
 from cropledger.sources import store, versions
 from cropledger.sources.csv_source import read_sources
@@ -302,3 +303,22 @@ def test_writes_refuse_bad_rows(spark, ten, write):
     with pytest.raises(InvalidRows):
         store.insert(ten.where("country = 'DE'"), path, countries=["LU"])
     assert store.insert(ten.where("country = 'DE'"), path, regions=spark.createDataFrame([("DE1",)], "code string")) == 3
+
+
+def test_outputs_of_a_staged_result(spark, tmp_path):
+    """Errors, quarantine, skipped and payments from one staged cleaning read no
+    source again and equal those of the lazy plan."""
+    (tmp_path / "de_2015.csv").write_text(
+        "recipient_name,recipient_location,amount,currency\nAnna,Bonn,10,EUR\nAnna,Bonn,10,EUR\nBert,Bonn,x,EUR\nCarl,Bonn,1,XXX\n"
+        "Dora,Bonn,2,EUR,beyond\nrecipient_name,recipient_location,amount,currency\n"
+    )
+    lazy, src = clean_files(spark, str(tmp_path))
+    staged = lazy.staged(f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}")
+    for name in ("rows", "errors", "quarantine", "skipped", "payments"):
+        a, b = getattr(lazy, name), getattr(staged, name)
+        assert a.columns == b.columns
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        assert "csv" not in b._jdf.queryExecution().executedPlan().toString().lower()
+    assert [r["rows"] for r in staged.skipped.collect()] == [1] == [r["rows"] for r in src.skipped.collect()]
+    assert sorted(r["recipient_name"] for r in staged.payments.collect()) == ["Anna", "Bert"]
+    assert staged.rows.count() == 4 and staged.quarantine.count() == 1
