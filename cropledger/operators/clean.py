@@ -41,6 +41,7 @@ from cropledger.operators.lookups import (
     country_code,
     country_name,
     guess_scheme,
+    match_schemes,
     national_currency,
     rate_to_eur,
     with_geocode,
@@ -89,13 +90,14 @@ class Lookups:
     """Tables of a deployment; None takes the built-in one.
 
     ``countries``: (code, name, other names); ``rates``: ``CUR|year`` → rate;
-    ``schemes``: (id, article, name, description); ``regions``: known region codes
+    ``schemes``: (id, article, name, description), or a DataFrame of any size
+    (``lookups.match_schemes``); ``regions``: known region codes
     (None: any).
     """
 
     countries: tuple | None = None
     rates: dict | None = None
-    schemes: tuple | None = None
+    schemes: tuple | DataFrame | None = None
     regions: frozenset | None = None
 
 
@@ -303,7 +305,11 @@ def clean(
     # T10 scheme text and match, T19 scheme code, T17 scheme id
     joined = F.nullif(F.trim(F.concat_ws(" ", "scheme_name", "scheme_1", "scheme_2")), F.lit(""))
     df = df.withColumn("scheme", collapse_spaces(F.coalesce(F.col("scheme"), joined)))
-    df = df.withColumn("scheme", F.when(has_fingerprint("scheme"), guess_scheme(F.col("scheme"), lookups.schemes or SCHEMES)))
+    df = df.withColumn("scheme", F.when(has_fingerprint("scheme"), F.col("scheme")))
+    if isinstance(lookups.schemes, DataFrame):
+        df = match_schemes(df, "scheme", lookups.schemes, "scheme")
+    else:
+        df = df.withColumn("scheme", guess_scheme(F.col("scheme"), lookups.schemes or SCHEMES))
     df = df.withColumn("scheme_code", F.col("scheme_code_short") if has_code_short else F.lit(None).cast("string"))
     df = df.withColumn("scheme_id", scheme_id("scheme"))
 

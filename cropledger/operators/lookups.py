@@ -4,7 +4,8 @@ Every dictionary here is a fixed table of at most a few hundred entries, so
 it is inlined into the plan as a map literal or a CASE chain: no join, no
 shuffle, no broadcast, and the expression stays inside whole-stage codegen.
 The geocode lookup (J2) is the exception: its table is data, so it is an
-ordinary left join left to the planner.
+ordinary left join left to the planner. So are scheme tables given as a DataFrame
+(``match_schemes``).
 """
 
 from __future__ import annotations
@@ -141,6 +142,91 @@ def guess_scheme(text: Column, schemes=SCHEMES) -> Column:
     return F.coalesce(by_id, by_name, text) if by_name is not None else F.coalesce(by_id, text)
 
 
+#: Characters of the pieces that names and texts are joined on; shorter texts are one piece.
+GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    """The distinct pieces of up to ``GRAM`` characters of a text."""
+
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+    sizes = [of(n) for n in range(1, GRAM + 1)]
+    return F.array_distinct(F.concat(*sizes))
+
+
+def scheme_index(schemes: DataFrame) -> DataFrame:
+    """``place, id, name, full`` of a scheme table: ``scheme_id``, ``scheme_name`` and, if
+    there is one, ``ord``, the place by which the first of several schemes is told (else
+    id and name in their order). Rows without an id are left out."""
+    order = ["ord", "scheme_id", "scheme_name"] if "ord" in schemes.columns else ["scheme_id", "scheme_name"]
+    return schemes.where("scheme_id IS NOT NULL").select(
+        F.struct(*order).alias("place"),
+        F.lower("scheme_id").alias("id"),
+        F.lower("scheme_name").alias("name"),
+        F.regexp_replace(F.concat(F.col("scheme_id"), F.lit(" - "), F.coalesce("scheme_name", F.lit(""))), r"[ -]+$", "").alias("full"),
+    )
+
+
+def match_schemes(df: DataFrame, text: str, schemes: DataFrame, out: str) -> DataFrame:
+    """J3, J4 for a scheme table of any size: ``guess_scheme`` as joins. Each different
+    text is matched once:
+
+    - the parts of a text that stand before a white space and are as long as some id are
+      joined to the ids; the leftmost and of those the longest part wins (J3);
+    - else the text is joined to the names by its rarest piece of three characters (a
+      text of three or less is its own piece) and the names that contain it are kept;
+      the first of them wins (J4). A text with a piece that no name has matches none.
+
+    Nulls stay null; an empty text matches nothing and stays; of equal ids the first
+    scheme counts."""
+    index = scheme_index(schemes)
+    texts = df.select(F.col(text).alias("_text")).where("_text <> ''").distinct().withColumn("_low", F.lower("_text"))
+
+    # One row per id, its lengths as a small array on every text
+    ids = index.groupBy("id").agg(F.min_by("full", "place").alias("by_id"))
+    lengths = ids.agg(F.sort_array(F.collect_set(F.length("id"))).alias("_lengths"))
+    ends = F.filter(F.sequence(F.lit(2), F.length("_low")), lambda i: F.substring("_low", i, F.lit(1)).rlike(r"\s"))
+    parts = (
+        texts.where(F.length("_low") > 1)
+        .select("_text", "_low", F.explode(ends).alias("_end"))
+        .select("_text", "_low", "_end", F.explode(lengths.scalar()).alias("_n"))
+        .where("_n < _end")
+        .select("_text", (F.col("_end") - F.col("_n")).alias("_at"), "_n", F.substring("_low", F.col("_end") - F.col("_n"), F.col("_n")).alias("id"))
+    )
+    by_id = parts.join(ids, "id").groupBy("_text").agg(F.min_by("by_id", F.struct("_at", -F.col("_n"))).alias("by_id"))
+
+    # The rarest piece of a text that all of its pieces' counts tell
+    names = index.where("name IS NOT NULL")
+    pieces = names.select("place", "name", "full", F.explode(_grams(F.col("name"))).alias("gram"))
+    counts = pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min_by("full", "place").alias("only"))
+    own = F.filter(_grams(F.col("_low")), lambda g: F.length(g) == F.least(F.length("_low"), F.lit(GRAM)))
+    rarest = (
+        texts.select("_text", "_low", F.explode(own).alias("gram"))
+        .join(counts, "gram", "left")
+        .groupBy("_text", "_low")
+        .agg(
+            F.count_if(F.col("n").isNull()).alias("_none"),
+            F.min_by("gram", F.struct("n", "gram")).alias("gram"),
+            F.first("only").alias("only"),
+        )
+        .where("_none = 0")
+    )
+    short = rarest.where(F.length("_low") <= GRAM).select("_text", F.col("only").alias("by_name"))
+    long = (
+        rarest.where(F.length("_low") > GRAM)
+        .select("_text", "_low", "gram")
+        .join(pieces, "gram")
+        .where(F.contains("name", "_low"))
+        .groupBy("_text")
+        .agg(F.min_by("full", "place").alias("by_name"))
+    )
+    found = by_id.join(short.union(long), "_text", "full").select("_text", F.coalesce("by_id", "by_name").alias("_full"))
+    return df.join(found, F.col(text) == F.col("_text"), "left").withColumn(out, F.coalesce("_full", text)).drop("_text", "_full")
+
+
 def scheme_description(full_name: Column, schemes=SCHEMES) -> Column:
     """J5 as an expression: full scheme name → description."""
     descs = {full: desc for (sid, _n, full), (_i, _a, _nm, desc) in zip(scheme_full_names(schemes), schemes)}

@@ -73,6 +73,17 @@ def measures(recipients: bool = True) -> list[Column]:
     ]
 
 
+def partial_measures() -> list[Column]:
+    """Fixed-width measures that add up over disjoint sets of payments."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.count("amount").alias("k"),
+        F.sum("amount").alias("s"),
+        F.max("amount").alias("high"),
+        F.min("amount").alias("low"),
+    ]
+
+
 @dataclass(frozen=True)
 class SummaryQuery(Query):
     """One row per key of an entity. Added columns or keys turn it into a plain
@@ -93,22 +104,24 @@ class SummaryQuery(Query):
             self.source, (F.col(e.key).alias(e.alias), *shown, *measures(e.recipients), *self.columns), (e.key, *self.keys), filters=self.filters
         )
 
+    def cells(self) -> DataFrame:
+        """Measures by (key, recipient), by key alone if recipients aren't counted."""
+        rows = self.filtered().select(F.col(self.entity.key).alias("_key"), F.col("recipient_id").alias("_recipient"), "amount")
+        return rows.groupBy("_key", *(["_recipient"] if self.entity.recipients else [])).agg(*partial_measures())
+
+    def values(self) -> DataFrame:
+        """The distinct (key, values of the sets)."""
+        shown = (F.col(c).alias(f"v{i}") for i, (_, c) in enumerate(self.entity.sets))
+        return self.filtered().select(F.col(self.entity.key).alias("_set_key"), *shown).distinct()
+
     def result(self) -> tuple[DataFrame, list[str], list[str]]:
         if self.columns or self.keys:
             return self._plain().result()
-        e, rows = self.entity, self.filtered()
-        by = ["_key", "_recipient"] if e.recipients else ["_key"]
-        first = (
-            rows.select(F.col(e.key).alias("_key"), F.col("recipient_id").alias("_recipient"), "amount")
-            .groupBy(*by)
-            .agg(F.count(F.lit(1)).alias("n"), F.count("amount").alias("k"), F.sum("amount").alias("s"), F.max("amount").alias("high"), F.min("amount").alias("low"))
-        )
+        e, first = self.entity, self.cells()
         counted = [F.count("_recipient").alias("r")] if e.recipients else []
         total = first.groupBy("_key").agg(F.sum("n").alias("n"), *counted, F.sum("k").alias("k"), F.sum("s").alias("s"), F.max("high").alias("high"), F.min("low").alias("low"))
         if e.sets:
-            columns = [c for _, c in e.sets]
-            values = rows.select(F.col(e.key).alias("_set_key"), *(F.col(c).alias(f"v{i}") for i, c in enumerate(columns))).distinct()
-            shown = values.groupBy("_set_key").agg(*(F.sort_array(F.collect_set(f"v{i}")).alias(f"v{i}") for i in range(len(columns))))
+            shown = self.values().groupBy("_set_key").agg(*(F.sort_array(F.collect_set(f"v{i}")).alias(f"v{i}") for i in range(len(e.sets))))
             total = total.join(shown, F.col("_key").eqNullSafe(F.col("_set_key")))
         sets = [(F.try_element_at(f"v{i}", F.lit(1)) if n in e.single else F.col(f"v{i}")).alias(n) for i, (n, _) in enumerate(e.sets)]
         out = total.select(
@@ -221,12 +234,14 @@ class Dimensions:
     """Lookup tables of a deployment; None takes the built-in one.
 
     ``countries(country, name)``, ``schemes(scheme_full_name, scheme_description)``,
-    ``nuts(nuts_id, level, name)``.
+    ``nuts(nuts_id, level, name)`` (``region_records``); ``parents``: the records of codes
+    bring those of the regions above.
     """
 
     countries: DataFrame | None = None
     schemes: DataFrame | None = None
     nuts: DataFrame | None = None
+    parents: bool = False
 
 
 def with_country_name(spark: SparkSession, df: DataFrame, col: str = "country", countries: DataFrame | None = None) -> DataFrame:
@@ -243,21 +258,56 @@ def with_scheme_description(spark: SparkSession, df: DataFrame, name_col: str =
     return df.join(dim, df[name_col] == dim["_sfn"], "left").drop("_sfn")
 
 
-def _nuts(spark: SparkSession, nuts: DataFrame | None, out_col: str) -> DataFrame:
-    dim = nuts_df(spark) if nuts is None else nuts
-    return dim.select(F.col("nuts_id").alias("_nid"), F.struct("nuts_id", "level", "name").alias(out_col))
+def region_records(regions: DataFrame, parents: bool = False) -> DataFrame:
+    """``nuts_id, record`` of a table of region codes: ``nuts_id``, ``name`` and, if there
+    is one, ``level`` (else by the code's length: two letters of the country, then a
+    character a level). ``record`` is ``struct<nuts_id, level, name>``; with ``parents`` also
+    the same of the codes that it begins with and that the table has, highest first. Rows
+    without a code are left out; of equal codes the least row counts."""
+    level = F.col("level").cast("int") if "level" in regions.columns else F.length("nuts_id") - 2
+    one = (
+        regions.where("nuts_id IS NOT NULL")
+        .groupBy("nuts_id")
+        .agg(F.min(F.struct(level.alias("level"), "name")).alias("r"))
+        .select("nuts_id", F.struct("nuts_id", "r.level", "r.name").alias("record"))
+    )
+    if not parents:
+        return one
+    above = one.where(F.length("nuts_id") > 2).select(
+        "nuts_id", F.explode(F.transform(F.sequence(F.lit(2), F.length("nuts_id") - 1), lambda n: F.substring("nuts_id", F.lit(1), n))).alias("_above")
+    )
+    found = above.join(one.select(F.col("nuts_id").alias("_above"), F.col("record").alias("_record")), "_above")
+    lists = found.groupBy("nuts_id").agg(F.sort_array(F.collect_list(F.struct(F.length("_above").alias("n"), "_record"))).alias("_parents"))
+    none = F.array().cast("array<struct<nuts_id:string,level:int,name:string>>")
+    shown = F.coalesce(F.transform("_parents", lambda x: x["_record"]), none)
+    return one.join(lists, "nuts_id", "left").select(
+        "nuts_id", F.struct("record.nuts_id", "record.level", "record.name", shown.alias("parents")).alias("record")
+    )
+
+
+def _nuts(spark: SparkSession, nuts: DataFrame | None, out_col: str, parents: bool = False) -> DataFrame:
+    dim = region_records(nuts_df(spark) if nuts is None else nuts, parents)
+    return dim.select(F.col("nuts_id").alias("_nid"), F.col("record").alias(out_col))
 
 
-def with_nuts_records(spark: SparkSession, df: DataFrame, codes_col: str, out_col: str, nuts: DataFrame | None = None) -> DataFrame:
-    """An array of region codes as an array of ``struct<nuts_id, level, name>`` in
-    the same order (null for an unknown code). Rows of ``df`` must differ, as
-    summary rows do by their key."""
+def with_nuts_records(
+    spark: SparkSession, df: DataFrame, codes_col: str, out_col: str, nuts: DataFrame | None = None, key: str | None = None, parents: bool = False
+) -> DataFrame:
+    """An array of region codes as an array of records (``region_records``) in the same
+    order, null for an unknown code. ``key`` is a column that tells the rows of ``df``
+    apart, by which they are brought together again; without one all columns do."""
     flat = df.select("*", F.posexplode_outer(codes_col).alias("_pos", "_code"))
-    joined = flat.join(_nuts(spark, nuts, "_record"), F.col("_code") == F.col("_nid"), "left")
+    joined = flat.join(_nuts(spark, nuts, "_record", parents), F.col("_code") == F.col("_nid"), "left")
     items = F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_record"))))
-    return joined.groupBy(*df.columns).agg(F.transform(items, lambda x: x["_record"]).alias(out_col))
+    records = F.transform(items, lambda x: x["_record"]).alias(out_col)
+    if key is None:
+        return joined.groupBy(*df.columns).agg(records)
+    others = [F.any_value(F.col(c)).alias(c) for c in df.columns if c != key]
+    return joined.groupBy(key).agg(*others, records).select(*df.columns, out_col)
 
 
-def with_nuts_record(spark: SparkSession, df: DataFrame, code_col: str, out_col: str, nuts: DataFrame | None = None) -> DataFrame:
+def with_nuts_record(
+    spark: SparkSession, df: DataFrame, code_col: str, out_col: str, nuts: DataFrame | None = None, parents: bool = False
+) -> DataFrame:
     """J8 for one code per row (payments, NUTS summaries)."""
-    return df.join(_nuts(spark, nuts, out_col), F.col(code_col) == F.col("_nid"), "left").drop("_nid")
+    return df.join(_nuts(spark, nuts, out_col, parents), F.col(code_col) == F.col("_nid"), "left").drop("_nid")

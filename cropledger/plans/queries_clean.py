@@ -17,7 +17,7 @@ from cropledger.functions import (
     usable,
 )
 from cropledger.operators.clean import clean, dedup_first, with_address
-from cropledger.operators.lookups import country_code, guess_scheme, national_currency, rate_to_eur
+from cropledger.operators.lookups import country_code, guess_scheme, match_schemes, national_currency, rate_to_eur
 from cropledger.plans import oracle as O
 from cropledger.plans import oracle_clean as OC
 from cropledger.plans.registry import present, register
@@ -177,6 +177,39 @@ def scheme_match(spark, sf_dir):
     return r.select("_row", "scheme", F.when(has_fingerprint(s), guess_scheme(s)).alias("matched"))
 
 
+# texts as sources write schemes: an id inside a text, a part of a name, a whole short word,
+# a name of another scheme cut so that it may be in none
+_TABLE_TEXTS = {
+    "id": "'aid ' || lower({id}) || ' paid'",
+    "part": "substring(p_name, 3, 11)",
+    "short": "upper(substring(p_name, 1, 2 + p_size % 2))",
+    "other": "substring(p_name, 2, 4 + p_size % 7) || substring(p_type, 1, p_size % 3)",
+}
+_TABLE_ID = "('P' || p_partkey)"
+
+
+@register(
+    "scheme_table_match",
+    "WITH s AS (SELECT p_partkey AS ord, " + _TABLE_ID + " AS id, p_name AS name FROM part), t AS (SELECT DISTINCT text FROM ("
+    + " UNION ALL ".join(f"SELECT {x.format(id=_TABLE_ID)} AS text FROM part" for x in _TABLE_TEXTS.values())
+    + ") WHERE text <> ''), full_names AS (SELECT ord, id, lower(name) AS name, id || ' - ' || name AS name_out FROM s), "
+    "i AS (SELECT text, arg_min(name_out, (strpos(lower(text), lower(id) || ' '), -length(id))) AS found FROM t JOIN full_names "
+    "ON contains(lower(text), lower(id) || ' ') GROUP BY text), "
+    "n AS (SELECT text, arg_min(name_out, ord) AS found FROM t JOIN full_names ON contains(name, lower(text)) GROUP BY text) "
+    "SELECT p_partkey, kind, u.text, coalesce(i.found, n.found, u.text) AS matched FROM ("
+    + " UNION ALL ".join(f"SELECT p_partkey, {O.q(k)} AS kind, {x.format(id=_TABLE_ID)} AS text FROM part" for k, x in _TABLE_TEXTS.items())
+    + ") u LEFT JOIN i ON u.text = i.text LEFT JOIN n ON u.text = n.text",
+)
+def scheme_table_match(spark, sf_dir):
+    """J3, J4 with a scheme table of one scheme per part: ids joined by the parts of a
+    text before white space, names by a text's rarest piece."""
+    part = read_table(spark, sf_dir, "part")
+    schemes = part.select(F.col("p_partkey").alias("ord"), F.expr(_TABLE_ID).alias("scheme_id"), F.col("p_name").alias("scheme_name"))
+    texts = F.array(*[F.struct(F.lit(k).alias("kind"), F.expr(x.format(id=_TABLE_ID)).alias("text")) for k, x in _TABLE_TEXTS.items()])
+    rows = part.select("p_partkey", F.inline(texts))
+    return match_schemes(rows, "text", schemes, "matched").select("p_partkey", "kind", "text", "matched")
+
+
 @register(
     "address",
     _with_raw(

@@ -3,17 +3,24 @@ W2-W6, J5-J9) over the ``payments`` adapter view."""
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropledger.functions import avg_half_even
 from cropledger.operators import summaries as S
+from cropledger.operators.kept import KeptSummaries
 from cropledger.plans import views as V
 from cropledger.dims import COUNTRIES
 from cropledger.plans.oracle import avg_sql, fingerprint_sql, measures_sql, num, q, set_sql, with_payments
 from cropledger.plans.query import Query
 from cropledger.plans.registry import present, register
 from cropledger.plans.testdata import payments
-from cropledger.session import cut_lineage
+from cropledger.schema import PAYMENT_COLUMNS
+from cropledger.session import cut_lineage, ensure_checkpoint_dir
+from cropledger.sources import store
 
 # FIXED VALUES (ours): literals used by the registered example queries.
 FILTER_COUNTRY = "PL"
@@ -25,6 +32,10 @@ def _p(spark, sf_dir):
     return payments(spark, sf_dir)
 
 
+def scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 # ---------------------------------------------------------------------------
 # summaries
 # ---------------------------------------------------------------------------
@@ -509,6 +520,32 @@ def nuts_lists(spark, sf_dir):
     return present(out.select("location", "total_payments", F.nullif(names, F.lit("")).alias("regions")))
 
 
+# codes of three levels below a country, as "FR", "FR1", "FR10", and payments that name the lowest
+_CODE3 = "concat(country, year % 3 + 1, year % 2)"
+_CODES = {0: "country", 1: "concat(country, year % 3 + 1)", 2: _CODE3}
+_CODES_SQL = " UNION ".join(f"SELECT {level} AS level, {code} AS nuts_id, 'Region ' || {code} AS name FROM payments WHERE country <> 'SE'" for level, code in _CODES.items())
+
+
+@register(
+    "nuts_parents",
+    with_payments(
+        f"SELECT u.code, u.total_payments, r.level, r.name, a.parents FROM (SELECT code, count(*) AS total_payments FROM (SELECT {_CODE3} AS code FROM payments) GROUP BY code) u "
+        f"LEFT JOIN ({_CODES_SQL}) r ON u.code = r.nuts_id LEFT JOIN (SELECT c.nuts_id, string_agg(p.nuts_id || '=' || p.name, ';' ORDER BY p.level) AS parents "
+        f"FROM ({_CODES_SQL}) c JOIN ({_CODES_SQL}) p ON p.level < c.level AND starts_with(c.nuts_id, p.nuts_id) GROUP BY c.nuts_id) a ON u.code = a.nuts_id"
+    ),
+)
+def nuts_parents(spark, sf_dir):
+    """Codes with the records of all regions above them, from a table of codes;
+    codes that the table doesn't have (of SE) get none."""
+    p = _p(spark, sf_dir)
+    cells = F.array(*[F.struct(F.expr(code).alias("nuts_id"), F.concat(F.lit("Region "), F.expr(code)).alias("name")) for code in _CODES.values()])
+    regions = p.where("country <> 'SE'").select(F.inline(cells)).distinct()
+    used = p.groupBy(F.expr(_CODE3).alias("code")).agg(F.count(F.lit(1)).alias("total_payments"))
+    above = F.transform("r.parents", lambda x: F.concat(x["nuts_id"], F.lit("="), x["name"]))
+    out = S.with_nuts_record(spark, used, "code", "r", regions, parents=True)
+    return out.select("code", "total_payments", "r.level", "r.name", F.array_join(above, ";").alias("parents"))
+
+
 # ---------------------------------------------------------------------------
 # Refusals, measure filters, paging flags, reuse
 # ---------------------------------------------------------------------------
@@ -602,22 +639,90 @@ def result_cache(spark, sf_dir):
     return present(out)
 
 
+_ITEM = ("total_payments", "total_recipients", "amount_sum", "amount_avg", "amount_max", "amount_min")
+
+
+def _long(made: dict) -> list:
+    """All summaries with one set of columns: the entity, its key, the measures it has
+    (null if none) and the sets' values as text."""
+    out = []
+    for name, df in made.items():
+        df = present(df)
+        key = S.ENTITIES[name].alias if name in S.ENTITIES else "id" if name == "recipient_name" else None
+        rest = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns if c != key and c not in _ITEM]
+        out.append(
+            df.select(
+                F.lit(name).alias("entity"),
+                (F.col(key) if key else F.lit(None)).cast("string").alias("item"),
+                *((F.col(c) if c in df.columns else F.lit(None).cast("long" if c.startswith("total") else "double")).alias(c) for c in _ITEM),
+                F.concat_ws("|", *rest).alias("sets"),
+            )
+        )
+    return out
+
+
+def _long_sql() -> str:
+    """The same by SQL, over the view ``payments``."""
+    types = {c: "BIGINT" if c.startswith("total") else "DOUBLE" for c in _ITEM}
+    measures = measures_sql(True)
+    without = measures.replace("count(DISTINCT recipient_id) AS total_recipients", "CAST(NULL AS BIGINT) AS total_recipients")
+    names = "SELECT 'recipient_name' AS entity, id AS item, " + ", ".join(f"CAST(NULL AS {types[c]}) AS {c}" for c in _ITEM)
+    parts = [
+        f"SELECT 'aggregation' AS entity, CAST(NULL AS VARCHAR) AS item, {measures}, '' AS sets FROM payments",
+        f"{names}, coalesce(name, '') || '|' || coalesce(recipient_country, '') AS sets "
+        "FROM (SELECT DISTINCT recipient_id AS id, recipient_name AS name, recipient_country FROM payments)",
+    ]
+    for name, e in S.ENTITIES.items():
+        shown = [f"coalesce(min({c}), '')" if n in e.single else set_sql(c) for n, c in e.sets]
+        where = f"WHERE {e.key} IS NOT NULL" if e.key_needed else ""
+        parts.append(
+            f"SELECT {q(name)} AS entity, CAST({e.key} AS VARCHAR) AS item, {measures if e.recipients else without}, "
+            f"{' || '.join(_barred(shown)) or repr('')} AS sets FROM payments {where} GROUP BY {e.key}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _barred(parts: list[str]) -> list[str]:
+    return [x for i, p in enumerate(parts) for x in (["'|'", p] if i else [p])]
+
+
+@register("bulk_summaries", with_payments(_long_sql()))
+def bulk_summaries(spark, sf_dir):
+    """B1: all eleven summaries, all measures and sets, from one kept scan."""
+    with S.summaries(_p(spark, sf_dir)) as made:
+        # the kept scan is given back when the block ends, so the results are cut off first
+        return cut_lineage(reduce(DataFrame.unionByName, _long(made)))
+
+
+# of rows with one key the first by the other columns stays
+_FIRST_SQL = ", ".join(f"{c} NULLS FIRST" for c in PAYMENT_COLUMNS if c not in store.UPSERT_KEY)
+
+
 @register(
-    "bulk_summaries",
+    "kept_summaries",
     with_payments(
-        "SELECT 'country' AS entity, country AS item, count(*) AS total_payments FROM payments GROUP BY country UNION ALL "
-        "SELECT 'year', CAST(year AS VARCHAR), count(*) FROM payments GROUP BY year"
+        "SELECT * FROM ("
+        + _long_sql().replace(
+            "FROM payments",
+            "FROM (SELECT * FROM payments WHERE year < 2014 UNION ALL SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY {', '.join(store.UPSERT_KEY)} ORDER BY {_FIRST_SQL}) AS r FROM payments WHERE year >= 2014) WHERE r = 1) p",
+        )
+        + ")"
     ),
 )
-def bulk_summaries(spark, sf_dir):
-    """B1: several summaries from one kept scan."""
-    with S.summaries(_p(spark, sf_dir), ["country", "year"]) as made:
-        parts = [
-            made[e].select(F.lit(e).alias("entity"), F.col(e).cast("string").alias("item"), "total_payments") for e in ("country", "year")
-        ]
-        # the kept scan is given back when the block ends, so the small result is cut off first
-        out = cut_lineage(parts[0].union(parts[1]))
-    return out
+def kept_summaries(spark, sf_dir):
+    """B1, A1-A11 from partial sums by (country, year): made for a stored table, refreshed
+    by an upsert for the partitions it touches alone, then all eleven summaries read
+    from them."""
+    p, table = _p(spark, sf_dir), scratch(spark, "kept-table")
+    kept = KeptSummaries(spark, table, scratch(spark, "kept-cells"))
+    store.insert(p.where("year < 2014"), table)
+    before = kept.refresh()
+    store.upsert(spark, p.where("year >= 2014"), table)
+    after = kept.refresh()
+    if not before or before & after or kept.stale():
+        raise ValueError("the cells made are not those of the partitions written")
+    return reduce(DataFrame.unionByName, _long({n: kept.query(n).to_df() for n in S.SUMMARIES}))
 
 
 @register(

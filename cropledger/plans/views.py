@@ -301,17 +301,17 @@ YearView, LocationView, AggregationView = _named("years"), _named("locations"),
 Nuts1View, Nuts2View, Nuts3View = _named("nuts/1"), _named("nuts/2"), _named("nuts/3")
 
 
-def enriched(spark: SparkSession, kind: Kind, df: DataFrame, dims: S.Dimensions) -> DataFrame:
-    """The records that belong to a result's codes."""
+def enriched(spark: SparkSession, kind: Kind, df: DataFrame, dims: S.Dimensions, key: str | None = None) -> DataFrame:
+    """The records that belong to a result's codes; ``key`` tells its rows apart."""
     for column, what in kind.enrich:
         if what == "country":
             df = S.with_country_name(spark, df, column, dims.countries)
         elif what == "scheme":
             df = S.with_scheme_description(spark, df, column, dims.schemes)
         elif what == "nuts":
-            df = S.with_nuts_record(spark, df, column, f"{column}_record", dims.nuts)
+            df = S.with_nuts_record(spark, df, column, f"{column}_record", dims.nuts, dims.parents)
         else:
-            df = S.with_nuts_records(spark, df, column, column.removesuffix("_codes") + "_records", dims.nuts)
+            df = S.with_nuts_records(spark, df, column, column.removesuffix("_codes") + "_records", dims.nuts, key, dims.parents)
     return df
 
 
@@ -340,7 +340,8 @@ def call(
     if output == "csv":
         out["results"] = export_form(out["results"])
     elif view.kind.enrich:
-        page = enriched(spark, view.kind, out["results"], dims or S.Dimensions())
+        identity = view.base_query().identity
+        page = enriched(spark, view.kind, out["results"], dims or S.Dimensions(), identity[0] if len(identity) == 1 else None)
         # records are joined to the page, so the page's order is set again
         name, ascending = view.order or (None, True)
         first = name or (view.base_query().identity or (None,))[0]

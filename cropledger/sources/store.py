@@ -112,8 +112,8 @@ def insert(df: DataFrame, path: str, countries: list[str] | None = None, regions
         stored = _partitions(spark, path) if path_exists(spark, path) else set()
         coming = {tuple(r) for r in new.select(*PARTITION_COLUMNS).distinct().collect()} if stored else set()
         if shared := stored & coming:
-            old = read_table(spark, path).where(_in_partitions(shared)).select(*UPSERT_KEY)
-            twice = new.where(_in_partitions(shared)).select(*UPSERT_KEY).join(old, UPSERT_KEY, "left_semi").limit(1)
+            old = read_table(spark, path).where(in_partitions(shared)).select(*UPSERT_KEY)
+            twice = new.where(in_partitions(shared)).select(*UPSERT_KEY).join(old, UPSERT_KEY, "left_semi").limit(1)
             if not twice.isEmpty():
                 raise ImproperlyConfigured(f"rows that are to be inserted are in {path} already")
         stamp(spark, path)
@@ -129,7 +129,7 @@ def _partitions(spark: SparkSession, path: str) -> set[tuple]:
     return {tuple(r) for r in read_table(spark, path).select(*PARTITION_COLUMNS).distinct().collect()}
 
 
-def _in_partitions(pairs: set[tuple]) -> Column:
+def in_partitions(pairs: set[tuple]) -> Column:
     """The rows of these (country, year) pairs; prunes the table's folders."""
     years: dict = {}
     for country, year in sorted(pairs, key=str):
@@ -159,7 +159,7 @@ def upsert(spark: SparkSession, df: DataFrame, path: str, countries: list[str] |
         shared = touched & _partitions(spark, path)
         merged = new
         if shared:
-            old = read_table(spark, path).where(_in_partitions(shared))
+            old = read_table(spark, path).where(in_partitions(shared))
             merged = new.unionByName(old.join(new.select(*UPSERT_KEY), UPSERT_KEY, "left_anti").select(*PAYMENT_COLUMNS))
             merged.write.parquet(f"{scratch}/merged")
             merged = spark.read.schema(PAYMENTS_SCHEMA).parquet(f"{scratch}/merged")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropledger.errors import InvalidSource
+from cropledger.operators.kept import KeptSummaries
 from cropledger.operators.load import clean_files
 from cropledger.session import ensure_checkpoint_dir
 from cropledger.sources.csv_source import remove_path
@@ -31,10 +32,12 @@ def ingest_new_files(
     table_path: str,
     checkpoint: str | None = None,
     max_files_per_trigger: int | None = None,
+    summaries_path: str | None = None,
     **options,
 ) -> dict:
     """Clean and upsert every file under ``source_dir`` not seen before.
-    ``options`` go to ``clean_files``. Returns counts of batches, payments taken in
+    ``options`` go to ``clean_files``; kept summaries at ``summaries_path`` are refreshed
+    for the partitions of each batch. Returns counts of batches, payments taken in
     and files rejected."""
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid5(uuid.NAMESPACE_URL, source_dir)}"
@@ -67,6 +70,8 @@ def ingest_new_files(
         staged.quarantine.write.mode("overwrite").parquet(f"{beside}/quarantine/{part}")
         staged.skipped.write.mode("overwrite").parquet(f"{beside}/skipped/{part}")
         stats["rows"] += upsert(spark, staged.payments, table_path)
+        if summaries_path is not None:
+            KeptSummaries(spark, table_path, summaries_path).refresh()
         remove_path(spark, stage)
 
     query = (

@@ -186,3 +186,48 @@ def test_local_names_make_one_recipient(spark):
     assert known["Αγρός ΑΕ"].recipient_fingerprint == "ae agros"
     assert {r.recipient_address for r in got} == {"Αθήνα"}
     assert sorted(str(r.scheme) for r in got) == sorted(["Βασική ενίσχυση", "Βασική ενίσχυση", "東京", "None"])
+
+
+def test_scheme_table_equals_dictionary(spark):
+    from cropledger.dims import SCHEMES, schemes_df
+    from cropledger.operators.lookups import guess_scheme, match_schemes
+
+    texts = [None, "a", "e ", "\u00e9", "zz", "zzz top", "II.1 x", "ii.1\tx", "xII.1 y I.1 z", "no id here ", "II.1", " ", "%", "\\s"]
+    for sid, _article, name, _description in SCHEMES:
+        texts += [f"{sid} tail", f"before {sid.lower()} tail", sid, f"{sid}\n"]
+        if name:
+            texts += [name, name.upper(), name[2:9], name[-4:], name[:3], name[3:5], name + "!", name[1:6] + "q"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts * 2)], "i int, text string, id string")
+    got = match_schemes(df, "text", schemes_df(spark), "found").withColumn("want", guess_scheme(F.col("text")))
+    assert got.columns == ["i", "text", "id", "found", "want"]
+    bad = got.where(~F.col("found").eqNullSafe(F.col("want"))).collect()
+    assert not bad and got.count() == 2 * len(texts)
+
+
+def test_scheme_table_cases(spark):
+    from cropledger.operators.lookups import match_schemes
+
+    schemes = spark.createDataFrame(
+        [("A", "Aid for oats", 2), ("a", "second of an id", 3), ("B.1", "aid for oats and rye", 1), (None, "no id", 0), ("C", None, 4)],
+        "scheme_id string, scheme_name string, ord int",
+    )
+    texts = ["", "oats", "for OATS and", "A x", "b.1 a x", "c\u00a0x", "c x", "no id", "oats for"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["m"] for r in match_schemes(df, "t", schemes, "m").collect()}
+    assert got == {
+        "": "", "oats": "B.1 - aid for oats and rye", "for OATS and": "B.1 - aid for oats and rye", "A x": "A - Aid for oats",
+        "b.1 a x": "B.1 - aid for oats and rye", "c\u00a0x": "c\u00a0x", "c x": "C", "no id": "no id", "oats for": "oats for",
+    }
+    assert match_schemes(df, "t", schemes.limit(0), "m").where("m <> t").count() == 0
+    assert match_schemes(df.limit(0), "t", schemes, "m").count() == 0
+
+
+def test_clean_with_a_scheme_table(spark):
+    from cropledger.dims import schemes_df
+    from cropledger.operators.clean import Lookups, clean
+    from cropledger.plans.testdata import raw_payments
+
+    raw = raw_payments(spark, "/root/testdata/sf0.001")
+    built_in = clean(raw).cleaned.select("pk", "scheme", "scheme_id")
+    by_table = clean(raw, lookups=Lookups(schemes=schemes_df(spark))).cleaned.select("pk", "scheme", "scheme_id")
+    assert built_in.exceptAll(by_table).count() == by_table.exceptAll(built_in).count() == 0

@@ -214,6 +214,24 @@ def test_nuts_records(spark, ten):
     assert regions[0]["name"] == "Germany 1" and regions[0]["level"] == 1 and regions[1] is None
 
 
+def test_region_parents_and_key(spark, ten):
+    regions = spark.createDataFrame(
+        [("FR", "France"), ("FR1", "Ile-de-France"), ("FR10", "Ile-de-France"), ("FR101", "Paris"), ("DE", None), (None, "x"), ("FR", "Frankreich")],
+        "nuts_id string, name string",
+    )
+    codes = spark.createDataFrame([(1, ["FR101", "XX", None]), (2, ["FR10", "DE", "FR"]), (3, []), (4, None), (None, ["FR1"])], "k int, codes array<string>")
+    out = S.with_nuts_records(spark, codes, "codes", "r", regions, key="k", parents=True)
+    got = {x["k"]: x["r"] for x in out.collect()}
+    assert out.columns == ["k", "codes", "r"]
+    paris = got[1][0]
+    assert paris["level"] == 3 and paris["name"] == "Paris" and got[1][1:] == [None, None]
+    assert [(p["nuts_id"], p["level"]) for p in paris["parents"]] == [("FR", 0), ("FR1", 1), ("FR10", 2)]
+    assert [len(x["parents"]) for x in got[2]] == [2, 0, 0] and got[2][2]["name"] == "France"
+    assert got[3] == [] and got[4] == [] and got[None][0]["nuts_id"] == "FR1"
+    page = V.call(ten, "recipients", {"limit": 3}, dims=S.Dimensions(nuts=regions, parents=True))["results"]
+    assert page.count() == 3 and "nuts1_records" in page.columns
+
+
 def test_clean_csv_sink(spark, ten, tmp_path):
     from cropledger.schema import PAYMENT_COLUMNS
 
