@@ -9,9 +9,9 @@ row are the text's ids. For vocabularies that drop white space any space will do
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 
 from cropledger.llm.words import blocks
@@ -24,6 +24,12 @@ CACHE_CHARS = 200
 #: pre-tokens in every vocabulary here, so the letters' ids are shared.
 _LETTERS = "".join(re.escape(chr(i)) for i in range(0x250) if chr(i).isalpha())
 _WORD = re.compile(f"([{_LETTERS}]+)([.,!?;:]*)")
+_ONE_WORD = re.compile(f" ?[{_LETTERS}]+")
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian 32-bit ids."""
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 class PieceCache:
@@ -50,7 +56,7 @@ class PieceCache:
             else:
                 new[p] = None
         ids = self.encode_pieces([" " + p for p in new] if self.spaced else list(new))
-        known.update(zip(new, (np.array(x, dtype=np.int32).tobytes() for x in ids), strict=True))
+        known.update(zip(new, map(_packed, ids), strict=True))
         known.update((p, known[word] + signs[sign]) for p, word, sign in split)
         if not self.spaced:
             known[""] = b""
@@ -65,14 +71,14 @@ class PieceCache:
             first = parts.pop(0) if self.spaced else ""
             got = list(map(known.get, parts))
             if None in got:
-                missing.update(p for p, x in zip(parts, got, strict=True) if x is None)
+                missing.update(set(parts) - known.keys())
             rows.append((first, parts, got))
         if missing:
             self._learn(missing)
         out = []
         for text, (first, parts, got) in zip(texts, rows, strict=True):
             if None in got:
-                got = [known.get(p) if x is None else x for p, x in zip(parts, got, strict=True)]
+                got = list(map(known.get, parts))
             if None in got or (first[-1:].isspace() and parts):
                 # white space beside a space, or a very long piece
                 out.append(b"".join(self._direct(self._cut(text))))
@@ -81,7 +87,7 @@ class PieceCache:
         return out
 
     def _direct(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(x, dtype=np.int32).tobytes() for x in self.encode_pieces(pieces)]
+        return [_packed(x) for x in self.encode_pieces(pieces)]
 
     def _cut(self, text: str) -> list[str]:
         parts = text.split(" ")
@@ -119,21 +125,25 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.alphabet = _byte_alphabet()
+        self.alphabet_break = chr(self.alphabet[0x0A])
 
     def __call__(self, pieces: list[str]) -> list[list[int]]:
         if len(pieces) < 2:
             return self._whole(pieces)
-        model, normaliser = self.tokenizer.model.tokenize, self.tokenizer.normalizer
-        out, rest = [], []
+        tokenize, normaliser = self.tokenizer.model.tokenize, self.tokenizer.normalizer
+        out: list = [None] * len(pieces)
+        words, at, rest = [], [], []
         for i, piece in enumerate(pieces):
-            m = _WORD.fullmatch(piece, 1 if piece[:1] == " " else 0)
-            if m is None or m[2]:
-                out.append(None)
+            # a letter and letters only, perhaps with the space that belongs to them
+            if _ONE_WORD.fullmatch(piece) is None:
                 rest.append(i)
                 continue
-            if normaliser is not None:
-                piece = piece.lower() if piece.isascii() else normaliser.normalize_str(piece)
-            out.append([t.id for t in model(piece.encode().decode("latin-1").translate(self.alphabet))])
+            at.append(i)
+            words.append(piece if normaliser is None else piece.lower() if piece.isascii() else normaliser.normalize_str(piece))
+        # all words at once in the letters of the vocabulary; a line break separates them
+        spelt = "\n".join(words).encode().decode("latin-1").translate(self.alphabet).split(self.alphabet_break) if words else []
+        for i, word in zip(at, spelt, strict=True):
+            out[i] = [t.id for t in tokenize(word)]
         for i, ids in zip(rest, self._whole([pieces[i] for i in rest]), strict=True):
             out[i] = ids
         return out

@@ -306,6 +306,54 @@ def test_packer_keeps_all_limits():
     assert Counter({k: n for k, _, n, _ in items}) == sum((Counter({x[0]: x[2]}) for s in done for x in s), Counter())
 
 
+def test_packer_short_pieces_need_little_padding():
+    for limits, tokens in (((4096, 256, 4096), 11), ((4096, 8, 4096), 300), ((4096, 256, 500), 90)):
+        p = packing.Packer(limits)
+        done = [s for b in range(3) for s in p.pack([(b * 2000 + k, 0, tokens, tokens) for k in range(2000)])] + [*p.rest()]
+        sizes = [sum(x[2] for x in s) for s in done]
+        assert sum(sizes) == 6000 * tokens
+        assert all(len(s) <= limits[1] and sum(x[3] for x in s) <= limits[2] for s in done)
+        assert sum(0 if n & (n - 1) == 0 else 4096 - n for n in sizes) <= 0.05 * sum(sizes)
+
+
+def test_packer_takes_the_best_dot_product():
+    """Without cuts the order is that of an exhaustive search over single pieces."""
+    rng = random.Random(9)
+    items = [(k, 0, n := rng.randint(1, 40), rng.randint(0, n)) for k in range(60)]
+    limits, p = (10**6, 10**6, 10**6), packing.Packer((10**6, 10**6, 10**6))
+    assert list(p.pack(items)) == []
+    left, pool, order = np.array(limits, dtype=float), list(items), []
+    total = np.array([(t, 1, loss) for _, _, t, loss in items], dtype=float).sum(axis=0) / limits
+    scale = total / total.max() / np.array(limits, dtype=float) ** 2
+    while pool:
+        score = [np.array((t, 1, loss)) @ (scale * left) for _, _, t, loss in pool]
+        best = pool.pop(int(np.argmax(score)))
+        order.append(best)
+        left -= (best[2], 1, best[3])
+    assert [x[2:] for x in p.open] == [x[2:] for x in order]
+
+
+def test_packing_prompts_bear_no_loss(spark):
+    path = P.path("word_bpe_49k.json")
+    whole = LibraryEncoder(path)
+    texts = [(1, "what is a cow", "an animal that gives milk"), (2, None, "only an answer"), (3, "no answer", None), (4, "long prompt " * 90, "long answer " * 60), (None, "", "")] * 4
+    docs = spark.createDataFrame(texts, "id int, prompt string, text string").coalesce(1)
+    limits = (64, 6, 20)
+    out = packing.pack_documents(docs, path, "id", limits=limits, slack=4, prompt_col="prompt").collect()
+    seqs, got, loss = defaultdict(list), Counter(), Counter()
+    bare = {i: (len(whole._whole([p or ""])[0]), len(whole._whole([t or ""])[0]) + 1) for i, p, t in texts}
+    for r in out:
+        before, after = bare[r["id"]]
+        assert r["doc_tokens"] == before + after
+        assert r["loss_tokens"] == max(0, r["start"] + r["length"] - max(before, r["start"]))
+        got[r["id"]] += r["length"]
+        loss[r["id"]] += r["loss_tokens"]
+        seqs[r["sequence_id"]].append(r)
+    assert got == {i: 4 * sum(n) for i, n in bare.items()} and loss == {i: 4 * n[1] for i, n in bare.items()}
+    for s in seqs.values():
+        assert sum(r["length"] for r in s) <= 64 and len(s) <= 6 and sum(r["loss_tokens"] for r in s) <= 20
+
+
 def test_token_files(spark, docs, rows, empty, tmp_path):
     path, whole = P.path("byte_bpe_50k.json"), LibraryEncoder(P.path("byte_bpe_50k.json"))
     token_files.write(docs, str(tmp_path / "f"), path, shard_ids=3000)
