@@ -71,7 +71,7 @@ class PieceCache:
             first = parts.pop(0) if self.spaced else ""
             got = list(map(known.get, parts))
             if None in got:
-                missing.update(set(parts) - known.keys())
+                missing.update(set(parts).difference(known))
             rows.append((first, parts, got))
         if missing:
             self._learn(missing)
