@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from cropledger.operators.clean import clean
 from cropledger.operators.lookups import match_schemes
+from cropledger.plans import queries_clean, queries_io, queries_summary, testdata
 
+SF = "/root/testdata/sf0.001"
 
-def test_scheme_tables_are_not_broadcast(spark):
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scheme_tables_are_not_broadcast(spark, tmp_path):
     """The pieces of the names are many times the table that the planner's estimate sees."""
     schemes = spark.createDataFrame([(1, "P1", "old plate"), (2, "P2", "old plate"), (3, "P3", "hot ring")], "ord int, scheme_id string, scheme_name string")
+    schemes.write.parquet(f"{tmp_path}/schemes")
+    schemes = spark.read.parquet(f"{tmp_path}/schemes")
     texts = spark.createDataFrame([("ld pla",), ("aid p2 paid",), ("ring",), ("nothing",), ("ho",), (None,)], "text string")
     found = match_schemes(texts, "text", schemes, "out")
     assert {r["text"]: r["out"] for r in found.collect()} == {
@@ -16,3 +26,35 @@ def test_scheme_tables_are_not_broadcast(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString()
     for key in ("gram", "id"):
         assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and f"[{key}#" in x], plan
+
+
+def test_cleaning_is_compiled(spark):
+    """The pipeline's one method would be interpreted under Spark's default limit."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    clean(testdata.raw_payments(spark, SF))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_outputs_of_one_cleaning(spark, monkeypatch):
+    """What is read more than once comes from the cleaned rows, not from the sources again."""
+    seen = []
+    monkeypatch.setattr(queries_io.store, "insert", lambda df, *a, f=queries_io.store.insert, **k: (seen.append(_plan(df)), f(df, *a, **k))[1])
+    queries_io.insert_refused(spark, SF)
+    assert len(seen) == 2 and not any("l_orderkey" in p for p in seen)
+    assert "l_orderkey" not in _plan(queries_clean.scheme_descriptions(spark, SF))
+    judged = _plan(queries_clean.domain_violations(spark, SF)).splitlines()
+    assert sum("Relation [l_orderkey" in x for x in judged) == 1
+
+
+def test_recipients_join_orders_before_line_items(spark):
+    """Line items are shuffled without the recipients' columns."""
+    for view in (testdata.payments, testdata.raw_payments):
+        joins = [x for x in _plan(view(spark, SF)).splitlines() if "Join Inner" in x]
+        assert "l_orderkey" in joins[0]
+
+
+def test_pages_share_the_payments(spark, monkeypatch):
+    cached, real = [], queries_summary.V.CountryView
+    monkeypatch.setattr(queries_summary.V, "CountryView", lambda p, *a, **k: (cached.append(p.storageLevel.useMemory), real(p, *a, **k))[1])
+    assert queries_summary.paging_flags(spark, SF).count() == 4
+    assert cached == [True] * 4
