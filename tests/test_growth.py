@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cropledger.operators.clean import clean
 from cropledger.operators.lookups import match_schemes
 from cropledger.plans import queries_clean, queries_io, queries_summary, testdata
+from cropledger.schema import PAYMENT_COLUMNS
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +57,15 @@ def test_recipients_join_orders_before_line_items(spark):
         assert "l_orderkey" in joins[0]
 
 
+def test_filter_on_recipients_joins_orders_first(spark):
+    """All line items meet the filtered orders only; those left meet the parts."""
+    plan = _plan(queries_summary.view_measure_filter(spark, SF)).splitlines()
+    items = [x for x in plan if "Join Inner" in x and ("l_orderkey" in x or "l_partkey" in x)]
+    assert items and [("l_partkey" in x) for x in items] == [True, False] * (len(items) // 2)
+    rows = [testdata.payments(spark, SF, few).groupBy().agg(F.count("*"), F.sum(F.xxhash64(*PAYMENT_COLUMNS).cast("decimal(38,0)"))).first() for few in (True, False)]
+    assert rows[0] == rows[1]
+
+
 def test_pages_share_the_payments(spark, monkeypatch):
     cached, real = [], queries_summary.V.CountryView
     monkeypatch.setattr(queries_summary.V, "CountryView", lambda p, *a, **k: (cached.append(p.storageLevel.useMemory), real(p, *a, **k))[1])
