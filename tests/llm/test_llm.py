@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cropledger.llm import byte_bpe, context_mixing, exact_dedup, html_extract, language_id, ngram_join, packing, prefix_trie, quality_rules, registry, spelling, suffix_dedup, token_files, words
 from cropledger.llm.pieces import LibraryEncoder, PieceCache
+from cropledger.sources.csv_source import path_exists
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOW = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -603,6 +604,28 @@ def test_html_extract_on_all_pages(spark):
         assert out[r["page_id"]] == "\n\n".join(x for x in blocks if x)
 
 
+def test_context_mixing_gives_its_disk_back(spark, monkeypatch):
+    """The learned tables are sent out once for both passes, and neither they nor the pairs stay."""
+    docs = spark.createDataFrame([(i, f"a text of a few words, number {i % 7}") for i in range(60)], "doc_id long, text string")
+    sent, gone, stored = [], [], []
+    real, keep = spark.sparkContext.broadcast, context_mixing.stored
+
+    def broadcast(value):
+        bc = real(value)
+        sent.append(bc)
+        end = bc.destroy
+        bc.destroy = lambda *a: (gone.append(bc), end(*a))[1]
+        return bc
+
+    counts = context_mixing.count(docs, id_col="doc_id")
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(context_mixing, "stored", lambda df: (stored.append(keep(df)), stored[-1])[1])
+    model = context_mixing.fit(counts)
+    assert len(sent) == 1 and gone == sent and model.tables
+    paths = {f.rsplit("/", 1)[0] for df in stored for f in df.inputFiles()}
+    assert len(paths) == len(stored) == 3 and not any(path_exists(spark, p) for p in paths)
+
+
 def test_pipeline_stages_by_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("_gone", F.lit(1))
     now = docs
