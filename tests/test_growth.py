@@ -8,6 +8,7 @@ from cropledger.operators.clean import clean
 from cropledger.operators.lookups import match_schemes
 from cropledger.plans import queries_clean, queries_io, queries_summary, testdata
 from cropledger.schema import PAYMENT_COLUMNS
+from cropledger.sources import csv_source
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,6 +67,19 @@ def test_filter_on_recipients_joins_orders_first(spark):
     assert rows[0] == rows[1]
 
 
+def test_file_names_are_matched_seldom(spark, tmp_path):
+    """Country and year of a row's file: few matches, on the name alone (16 in the plan before)."""
+    names = ["cz_2015.csv.gz", "pl_Subsidies_2015.csv", "DK_2013.0.csv", "plain.csv", "a_b_1999", "x_Subsidies_20.csv", "_2015.csv", "de_15.csv", ""]
+    paths = [(f"file:/data/lv_2001/{n}", n) for n in names] + [(n, n) for n in names] + [(None, None)]
+    rows = spark.createDataFrame(paths, "path string, name string")
+    country, year = csv_source.context_from_path(F.col("path"))
+    for r in rows.select("name", country.alias("c"), year.alias("y")).collect():
+        assert (r["c"], r["y"]) == (csv_source.context_from_name(r["name"]) if r["name"] is not None else (None, None)), r
+    (tmp_path / "lv_2014.csv").write_text("recipient_name,amount\nAnna,1\n")
+    plan = _plan(csv_source.read_sources(spark, f"{tmp_path}/lv_2014.csv").rows)
+    assert plan.count("regexp_extract(") <= 6 and "([^/]+)" not in plan, plan
+
+
 def test_pages_share_the_payments(spark, monkeypatch):
     cached, real = [], queries_summary.V.CountryView
     monkeypatch.setattr(queries_summary.V, "CountryView", lambda p, *a, **k: (cached.append(p.storageLevel.useMemory), real(p, *a, **k))[1])
