@@ -6,6 +6,7 @@ import pytest
 
 from cropledger.llm.byte_bpe import BytePairs, read_ranks
 from cropledger.llm.pieces import LibraryEncoder, PieceCache
+from cropledger.llm.token_files import Shard, re_pair
 
 TEXTS = [
     "One two. Two\nthree, one$$ Three.\nTwo\nOne",
@@ -59,3 +60,33 @@ def test_another_pattern_keeps_its_pieces():
     assert not cache.runs
     assert _ids(cache.encode(texts)) == pairs.encode_pieces(texts)
     assert pairs.decode(pairs.encode_pieces(texts)[0]) == texts[0].encode()
+
+
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_piece_is_looked_up_once_in_a_block(name, spaced):
+    """However often its texts hold it."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    cache = PieceCache(_encoder(name), spaced)
+    cache.known = Counted()
+    if not spaced:
+        cache.plain = cache.known
+    texts = ["one two three, " * 2000 + "end", "", " ", "two", "one two　 three"]
+    assert _ids(cache.encode(texts)) == cache.encode_pieces._whole(texts)
+    assert Counted.asked < 100
+
+
+def test_shard_expands_nested_rules():
+    ids = np.array([5, 6] * 500 + [7] * 333 + [5, 6, 7, 7] * 200 + [8], dtype=np.int32)
+    first = np.array([0, 1, 1000, 1333, len(ids)])
+    symbols, doc_at, rules, lengths = re_pair(ids, first, 10, least=2)
+    assert (rules >= 10).any() and len(symbols) < len(ids) // 10
+    shard = Shard({"base": 10, "symbols": symbols.astype("<u4").tobytes(), "width": 4, "doc_at": doc_at.astype("<u4").tobytes(), "rules": rules.astype("<u4").tobytes(), "lengths": lengths.astype("<u4").tobytes(), "n_ids": len(ids)})
+    assert shard.all_ids().tolist() == ids.tolist()
+    assert shard.document_starts().tolist() == first.tolist()
