@@ -658,3 +658,23 @@ def test_queries_are_registered():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in found) == list(range(1, 14))
     assert set(registry.oracle_sql()) == {exact_dedup.NAME, spelling.NAME, prefix_trie.NAME}
     assert zlib.crc32(b"1") >= 0
+
+
+def test_context_mixing_sends_a_byte_once(monkeypatch):
+    """Strings give a row per context and byte, not one per pair; a context cut by the end
+    of a batch gives its pairs once."""
+    rng = np.random.default_rng(3)
+    key = np.unique(rng.integers(97, 101, size=(300, 6)).astype(np.uint64) @ np.array([1 << (8 * j) for j in range(6)], dtype=np.uint64))
+    n = rng.integers(1, 9, size=len(key))
+    batch = pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(n // 2)], names=["key", "n", "m"])
+    sent = pa.Table.from_batches(context_mixing._string_rows(iter([batch])))
+    assert sent.num_rows == sum(len(np.unique(key & np.uint64((1 << (8 * k + 8)) - 1))) for k in range(1, 6))
+    batches = sent.sort_by([("x", "ascending"), ("b", "ascending")]).combine_chunks().to_batches(max_chunksize=3)
+    whole = pa.Table.from_batches(context_mixing._joint_pairs(iter(batches))).to_pylist()
+    monkeypatch.setattr(context_mixing, "_some", lambda batches, rows: (pa.Table.from_batches([b]) for b in batches))
+    cut = pa.Table.from_batches(context_mixing._joint_pairs(iter(batches))).to_pylist()
+    assert len({(r["k"], r["h"]) for r in cut}) == len(cut)
+    assert sorted(map(str, cut)) == sorted(map(str, whole))
+    for k in range(1, 6):
+        top = [r for r in whole if r["k"] == k]
+        assert sum(r["z"] + r["o"] for r in top) == 8 * n.sum() and sum(r["zm"] + r["om"] for r in top) == 8 * (n // 2).sum()
