@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cropledger.llm import spelling
 from cropledger.operators.clean import clean
 from cropledger.operators.lookups import match_schemes
 from cropledger.plans import queries_clean, queries_io, queries_summary, testdata
@@ -85,3 +86,13 @@ def test_pages_share_the_payments(spark, monkeypatch):
     monkeypatch.setattr(queries_summary.V, "CountryView", lambda p, *a, **k: (cached.append(p.storageLevel.useMemory), real(p, *a, **k))[1])
     assert queries_summary.paging_flags(spark, SF).count() == 4
     assert cached == [True] * 4
+
+
+def test_spelling_tables_are_not_broadcast(spark):
+    """Neighbours, forms and roots grow with the words; the planner sees a compressed file's size or less."""
+    words = spark.createDataFrame([(w, 3 + 9 * i) for i, w in enumerate(("plain", "plane", "plains", "other"))], "word string, n long")
+    pairs, groups = spelling.near_pairs(words), spelling.spelling_groups(words)
+    assert {(r["word"], r["near"]) for r in pairs.collect()} == {(a, b) for a, b in [("plain", "plains"), ("plains", "plain")]}
+    assert {r["word"]: r["root"] for r in groups.collect()} == {"plain": "plains", "plane": "plane", "plains": "plains", "other": "other"}
+    for made in (pairs, groups):
+        assert "Broadcast" not in made._jdf.queryExecution().sparkPlan().toString()
