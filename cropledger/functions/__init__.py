@@ -10,8 +10,12 @@ from cropledger.functions.text import (
     has_fingerprint,
     normalize_scheme,
     null_token,
+    pack_ids,
+    packed,
     scheme_id,
     trim_cell,
+    unpack_ids,
+    unpacked,
     usable,
 )
 
@@ -26,10 +30,14 @@ __all__ = [
     "has_fingerprint",
     "normalize_scheme",
     "null_token",
+    "pack_ids",
+    "packed",
     "parse_amount",
     "scheme_id",
     "sum_amount",
     "to_amount",
     "trim_cell",
+    "unpack_ids",
+    "unpacked",
     "usable",
 ]
