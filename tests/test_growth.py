@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import time
+
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from cropledger.functions import packed, unpacked
 from cropledger.llm import spelling
+from cropledger.operators import clean as clean_module
+from cropledger.operators import summaries
 from cropledger.operators.clean import clean
 from cropledger.operators.lookups import match_schemes
 from cropledger.plans import queries_clean, queries_io, queries_summary, testdata
 from cropledger.schema import PAYMENT_COLUMNS
-from cropledger.sources import csv_source
+from cropledger.session import SHUFFLE_CLEANUP_CONF
+from cropledger.sources import csv_source, export
+from cropledger.sources.csv_source import path_exists
 
 SF = "/root/testdata/sf0.001"
 
@@ -96,3 +104,85 @@ def test_spelling_tables_are_not_broadcast(spark):
     assert {r["word"]: r["root"] for r in groups.collect()} == {"plain": "plains", "plane": "plane", "plains": "plains", "other": "other"}
     for made in (pairs, groups):
         assert "Broadcast" not in made._jdf.queryExecution().sparkPlan().toString()
+
+
+def _jobs_plans(spark, monkeypatch, run) -> list[tuple[str, str]]:
+    """(clean-up setting, optimised plan) of each table that ``run`` writes."""
+    seen, real = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append((spark.conf.get(SHUFFLE_CLEANUP_CONF), _plan(self._df))), real(self, *a, **k))[1])
+    run()
+    monkeypatch.undo()
+    assert spark.conf.get(SHUFFLE_CLEANUP_CONF) == "false"
+    return seen
+
+
+def test_packed_ids(spark):
+    texts = ["", "0a", "0A", "abc", "da39a3ee5e6b4b0d3255bfef95601890afd80709", "DA39", "r1", "Łódź", "\x01x", None, " "]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2).select("t", packed("t").alias("p"), unpacked(packed("t")).alias("u")).collect()
+    assert all(r["t"] == r["u"] for r in rows) and len({r["p"] and bytes(r["p"]) for r in rows}) == len(texts)
+    assert max(len(r["p"]) for r in rows if r["p"] and len(r["t"]) == 40) == 21
+
+
+def test_stored_rows_with_a_key_of_their_own_stay(spark, tmp_path, monkeypatch):
+    made = [(f"{i % 40:040x}" if i < 60 else None if i < 64 else f"k{i}", i % 7, f"v{i}") for i in range(300)]
+    spark.createDataFrame(made, "pk string, at int, v string").repartition(5).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    moved, real = [], clean_module.dedup_first
+    monkeypatch.setattr(clean_module, "dedup_first", lambda df, *a: (moved.append(df), real(df, *a))[1])
+    got = clean_module.dedup_stored(rows, "pk", ["at", "v"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, real(rows, "pk", ["at", "v"]).collect()))
+    assert moved[0].count() == 44  # 20 keys that come twice and four rows without one
+    monkeypatch.setattr(clean_module, "KEY_BITS", 32768)
+    few = clean_module.dedup_stored(rows.where("at = 9"), "pk", ["at", "v"])
+    assert few.columns == rows.columns and few.count() == 0
+
+
+def test_cleaned_rows_are_stored_before_keys_are_compared(spark):
+    plan = _plan(queries_clean.clean_all(spark, SF))
+    assert "l_orderkey" not in plan and "bitmap_construct_agg" in plan and "unhex" in plan
+
+
+def test_writes_drop_their_shuffles(spark, ten, monkeypatch):
+    assert "unhex" in _plan(queries_io.store.layout(ten))
+    for query in (queries_io.upsert_q, queries_io.insert_refused, queries_clean.scheme_descriptions):
+        jobs = [p for p in _jobs_plans(spark, monkeypatch, lambda q=query: q(spark, SF)) if "Relation" in p[1]]
+        assert len(jobs) > 1 and {on for on, _ in jobs} == {"true"}
+
+
+def test_entity_graph_shuffles_one_set(spark, ten):
+    plan = _plan(export.entity_graph(ten))
+    assert plan.count("collect_set(") == 1 and "unhex" in plan
+    got = {(r["id"], r["schema"]): r["properties"] for r in export.entity_graph(ten.union(ten)).collect()}
+    assert len(got) == 17 and got["r4", "LegalEntity"]["name"] == ["Carla", "Carla GmbH"] and got["p01", "Payment"]["beneficiary"] == ["r1"]
+
+
+def test_summaries_share_stored_rows_of_recipients(spark, ten):
+    seen = []
+    with summaries.summaries(ten.withColumn("more", F.lit("x"))) as made:
+        for df in made.values():
+            seen += [f for f in df.inputFiles()]
+            assert "InMemoryRelation" not in _plan(df) and "more#" not in _plan(df)
+        assert sum(r["total_payments"] for r in made["country"].collect()) == 10
+        rows = {r["id"]: r for r in made["recipient"].collect()}
+        assert rows["r4"]["name"] == ["Carla", "Carla GmbH"]
+    assert seen and not any(path_exists(spark, f) for f in set(seen))
+    for query in (queries_summary.bulk_summaries, queries_summary.kept_summaries):
+        assert "Aggregate" not in _plan(query(spark, SF))
+
+
+def test_file_names_without_a_match_are_searched_once(spark):
+    """A pattern that may begin anywhere takes the square of a name's length where none matches (0.2 ms a row)."""
+    path = F.concat(F.lit("file:/in/"), F.repeat(F.lit("ab_"), 1000), F.col("id").cast("string"), F.lit(".csv"))
+    country, year = csv_source.context_from_path(path)
+    begun = time.time()
+    assert spark.range(0, 400, 1, 4).select(country.alias("c"), year.alias("y")).where("c IS NOT NULL OR y IS NOT NULL").count() == 0
+    assert time.time() - begun < 10
+    assert all(p.startswith("^") for p in csv_source.FILENAME_PATTERNS)
+
+
+def test_rules_alone_need_no_hashes(spark):
+    """Country, year, names, addresses, errors and validity of cleaned rows (csv_files_all): one hash a row, of nameless rows' cells."""
+    raw = spark.createDataFrame([("DE", "2015", "Anna  B", "1", "EUR", "II.1 x")], "country string, year string, recipient_name string, amount string, currency string, scheme string")
+    every = clean(raw).every
+    assert _plan(every.select("_valid", "country", "year", "errors")).count("sha1(") == 0
+    assert every.select("_valid", "recipient_name").first() == (True, "Anna B")
